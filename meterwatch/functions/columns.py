@@ -1,0 +1,77 @@
+"""Column helpers shared by the rules. All are native expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def half_even(x: Column, digits: int) -> Column:
+    """Round to `digits` decimals, ties to even.
+
+    A first rounding six digits further out removes the noise that the order of a distributed
+    float sum leaves behind, so that a tie is seen as a tie on every run.
+    """
+    fine, coarse = 10.0 ** (digits + 6), 10.0**digits
+    return F.rint(F.rint(x * fine) / fine * coarse) / coarse
+
+
+def fixed(x: Column, digits: int, grouped: bool = False) -> Column:
+    """Text with a fixed number of decimals, half-even, optionally with thousands commas."""
+    return F.format_string(f"%{',' if grouped else ''}.{digits}f", half_even(x, digits))
+
+
+def cost_nzd(kwh: Column, rate: float) -> Column:
+    return half_even(kwh * F.lit(rate), 2)
+
+
+def carbon_kg(kwh: Column, factor: float) -> Column:
+    return half_even(kwh * F.lit(factor), 3)
+
+
+def holds(cond: Column) -> Column:
+    """A condition that is false, not unknown, on missing readings."""
+    return F.coalesce(cond, F.lit(False))
+
+
+def is_blank(text: Column) -> Column:
+    return text.isNull() | (F.trim(text) == "")
+
+
+def whole_minutes(start: Column, end: Column) -> Column:
+    """Whole minutes between two timestamps, without any time-zone conversion."""
+    return (end - start).cast("interval minute").cast("bigint")
+
+
+def slot_offset(ts: Column, minutes: int) -> Column:
+    """How far a timestamp lies past the start of its slot within the hour."""
+    return F.make_dt_interval(
+        mins=(F.minute(ts) % minutes).cast("int"), secs=F.extract(F.lit("SECOND"), ts)
+    )
+
+
+def day_chunk(ts: Column, days: int) -> Column:
+    """Number of the `days`-long calendar chunk that holds a timestamp."""
+    return F.floor(F.unix_date(F.to_date(ts)) / F.lit(days)).cast("int")
+
+
+def cooling_degrees(temp: Column, base: float) -> Column:
+    """Degrees above the base temperature; null stays null (`greatest` alone would skip it)."""
+    return F.when(temp.isNotNull(), F.greatest(temp - F.lit(base), F.lit(0.0)))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN readings become null: Spark sorts NaN above every number."""
+    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    return df.select(
+        *[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floats else F.col(c) for c in df.columns]
+    )
+
+
+def lenient_time(text: Column, default: str) -> Column:
+    """M/d/yyyy or ISO text to a timestamp; anything else becomes `default` (PRE2)."""
+    return F.coalesce(
+        F.try_to_timestamp(text, F.lit("M/d/yyyy")).cast("timestamp_ntz"),
+        F.try_to_timestamp(text, F.lit("yyyy-MM-dd[ HH:mm:ss]")).cast("timestamp_ntz"),
+        F.to_timestamp_ntz(F.lit(default)),
+    )
