@@ -7,13 +7,12 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from meterwatch import config, schemas  # noqa: E402
 from meterwatch.config import CLEAN  # noqa: E402
-from meterwatch.functions.columns import carbon_kg, cost_nzd, half_even, lenient_time  # noqa: E402
+from meterwatch.functions.text import carbon_nz, cost_nzd, half_even, lenient_time, sql  # noqa: E402
 from meterwatch.operators import energy, evidence, facility, prep, profile  # noqa: E402
 from meterwatch.operators.exemptions import drop_exempt  # noqa: E402
 from meterwatch.operators.runs import RunRule, sustained_events  # noqa: E402
@@ -29,282 +28,240 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: sustained ventilation and high-demand breaches."""
-    return _air_quality(spark, TESTDATA, ("S06", "S08"))
+    return _air_quality(b.tables(spark, TESTDATA), "S06", "S08")
 
 
 # ---------------------------------------------------------------- sources and preparation
 
 
-def _scan_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return b.table(spark, sf, "events").where(F.col("value") > 100).select("event_id", "user_id", "value")
-
-
-def _weather_explode(spark: SparkSession, sf: str) -> DataFrame:
+def _weather_explode(t: b.TestTables) -> DataFrame:
     # one landed payload per day, as text
-    hours = b.hourly_weather(spark, sf).select(
-        F.to_date("timestamp").alias("day"),
-        F.struct(
-            F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm").alias("time"),
-            half_even(F.col("outdoor_temp_c"), 2).alias("temp"),
-        ).alias("h"),
+    payload = sql(
+        f"""
+        SELECT p.* FROM (
+          SELECT from_json(to_json(struct(struct(h.time AS time, h.temp AS temperature_2m) AS hourly)),
+                           '{schemas.WEATHER_PAYLOAD}') AS p
+          FROM (SELECT sort_array(collect_list(struct(date_format(timestamp, "yyyy-MM-dd'T'HH:mm") AS time,
+                                                      {half_even('outdoor_temp_c', 2)} AS temp))) AS h
+                FROM {{hourly}} GROUP BY to_date(timestamp)))
+        """,
+        hourly=t.hourly_weather,
     )
-    days = hours.groupBy("day").agg(F.sort_array(F.collect_list("h")).alias("h"))
-    payload = days.select(
-        F.to_json(F.struct(
-            F.struct(F.col("h.time").alias("time"), F.col("h.temp").alias("temperature_2m")).alias("hourly")
-        )).alias("text")
-    ).select(F.from_json("text", schemas.WEATHER_PAYLOAD).alias("p")).select("p.*")
     return wx.explode_payload(payload)
 
 
-def _dim_scenarios(spark: SparkSession, sf: str) -> DataFrame:
-    approvals = b.exemptions(spark, sf).groupBy(F.col("scenario_id").alias("scenario")).agg(
-        F.count(F.lit(1)).alias("approvals")
-    )
-    return config.scenarios(spark).join(approvals, "scenario", "left").withColumn(
-        "approvals", F.coalesce("approvals", F.lit(0).cast("bigint"))
-    )
-
-
-def _parse_strict(spark: SparkSession, sf: str) -> DataFrame:
-    texts = b.table(spark, sf, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("t")
+def _dim_scenarios(t: b.TestTables) -> DataFrame:
+    return sql(
+        """
+        SELECT s.*, coalesce(n, 0) AS approvals FROM {scenarios} s
+        LEFT JOIN (SELECT scenario_id, count(*) AS n FROM {exemptions} GROUP BY 1) x ON s.scenario = x.scenario_id
+        """,
+        scenarios=config.scenarios(t.spark), exemptions=t.exemptions,
     )
-    return texts.select("o_orderkey", F.to_timestamp_ntz("t", F.lit("yyyy-MM-dd HH:mm:ss")).alias("event_time"))
 
 
-def _parse_lenient(spark: SparkSession, sf: str) -> DataFrame:
-    return b.waste(spark, sf).select(
-        "manifest_id", "disposal_date",
-        lenient_time(F.col("disposal_date"), P.default_event_time).alias("event_time"),
-    )
+def _parse_strict(t: b.TestTables) -> DataFrame:
+    texts = t.source("orders").selectExpr("o_orderkey", "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS text")
+    return texts.selectExpr("o_orderkey", "to_timestamp_ntz(text, 'yyyy-MM-dd HH:mm:ss') AS event_time")
 
 
-def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return prep.enrich(b.telemetry(spark, sf), b.weather(spark, sf), P)
+def _enriched(t: b.TestTables) -> DataFrame:
+    return prep.enrich(t.telemetry, t.weather, P)
 
 
-def _resampled(spark: SparkSession, sf: str) -> DataFrame:
-    return wx.resample_linear(b.hourly_weather(spark, sf))
+def _resampled(t: b.TestTables) -> DataFrame:
+    return wx.resample_linear(t.hourly_weather)
 
 
-def _interval_overlay(spark: SparkSession, sf: str) -> DataFrame:
-    hot = wx.overlay(_resampled(spark, sf), "outdoor_temp_c", "2024-01-25 14:00:00", "2024-01-25 15:00:00", 26.5)
-    return hot.withColumn("outdoor_temp_c", half_even(F.col("outdoor_temp_c"), 6))
+def _overlaid(t: b.TestTables) -> DataFrame:
+    hot = wx.overlay(_resampled(t), "outdoor_temp_c", "2024-01-25 14:00:00", "2024-01-25 15:00:00", 26.5)
+    return wx.rounded(hot, 6)
 
 
 # ---------------------------------------------------------------- blocks
 
 
-def _sustained(spark: SparkSession, sf: str) -> DataFrame:
-    co2 = F.col("indoor_co2_ppm")
-    rule = RunRule("co2", co2 > 1000, 2, sums={"co2_sum": co2}, peaks={"co2_max": co2})
-    found = sustained_events(b.telemetry(spark, sf), [rule], tiebreak=facility.READING_ORDER)
-    return found.select(
+def _sustained(t: b.TestTables) -> DataFrame:
+    co2 = "indoor_co2_ppm"
+    rule = RunRule("co2", f"{co2} > 1000", 2, sums={"co2_sum": co2}, peaks={"co2_max": co2})
+    found = sustained_events(t.telemetry, [rule], tiebreak=facility.READING_ORDER)
+    return found.selectExpr(
         "asset_id", "start_time", "end_time", "n_rows",
-        F.col("co2_sum").cast("bigint").alias("co2_sum"), F.col("co2_max").cast("bigint").alias("co2_max"),
+        "CAST(co2_sum AS BIGINT) AS co2_sum", "CAST(co2_max AS BIGINT) AS co2_max",
     )
 
 
-def _exemption_anti_join(spark: SparkSession, sf: str) -> DataFrame:
+def _exemption_anti_join(t: b.TestTables) -> DataFrame:
     # every reading, tested as if it were an S04 event
-    readings = b.telemetry(spark, sf).select("asset_id", F.lit("S04").alias("scenario"), "timestamp")
-    return drop_exempt(readings, b.exemptions(spark, sf), at="timestamp")
+    readings = t.telemetry.selectExpr("asset_id", "'S04' AS scenario", "timestamp")
+    return drop_exempt(readings, t.exemptions, at="timestamp")
 
 
-def _cost_carbon(spark: SparkSession, sf: str) -> DataFrame:
-    kwh = F.col("total_power_kw") * 0.25
-    return b.telemetry(spark, sf).select(
-        "asset_id", "timestamp", half_even(kwh, 4).alias("kwh"),
-        cost_nzd(kwh, P.nzd_per_kwh).alias("financial_cost"),
-        carbon_kg(kwh, P.nz_kg_per_kwh).alias("carbon_kg"),
+def _cost_carbon(t: b.TestTables) -> DataFrame:
+    kwh = "total_power_kw * 0.25D"
+    return t.telemetry.selectExpr(
+        "asset_id", "timestamp", f"{half_even(kwh, 4)} AS kwh",
+        f"{cost_nzd(kwh, P)} AS financial_cost", f"{carbon_nz(kwh, P)} AS carbon_kg",
     )
 
 
-def _completeness(spark: SparkSession, sf: str) -> DataFrame:
-    share = F.col("completeness")
-    return profile.asset_profile(b.telemetry(spark, sf), P).select(
-        "asset_id", "n_rows", half_even(share, 6).alias("completeness"),
-        (share >= P.completeness).alias("complete"),
-    )
-
+def _six(*names: str) -> list[str]:
+    return [f"{half_even(n, 6)} AS {n}" for n in names]
 
-def _hourly_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    base = profile.hourly_baseline(b.telemetry(spark, sf), P)
-    return base.select(
-        "asset_id", "hour", *[half_even(F.col(c), 6).alias(c) for c in ("mean_kw", "std_kw", "limit_kw")]
-    )
 
+def _daily(t: b.TestTables) -> DataFrame:
+    return profile.daily_rollup(_enriched(t)).selectExpr("asset_id", "date", "n_rows", *_six("hvac_kwh"), "day_trait")
 
-def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.daily_rollup(_enriched(spark, sf)).select(
-        "asset_id", "date", "n_rows", half_even(F.col("hvac_kwh"), 6).alias("hvac_kwh"), "day_trait"
-    )
 
-
-def _cusum(spark: SparkSession, sf: str) -> DataFrame:
-    chart = profile.cusum(profile.daily_rollup(b.telemetry(spark, sf)), P)
-    return chart.select(
-        "asset_id", "date", *[half_even(F.col(c), 6).alias(c) for c in ("mu", "threshold", "cusum")], "alarm"
-    )
+def _cusum(t: b.TestTables) -> DataFrame:
+    chart = profile.cusum(profile.daily_rollup(t.telemetry), P)
+    return chart.selectExpr("asset_id", "date", *_six("mu", "threshold", "cusum"), "alarm")
 
 
 # ---------------------------------------------------------------- rules
 
 
-def _air_quality(spark: SparkSession, sf: str, codes: tuple[str, ...]) -> DataFrame:
-    found = facility.air_quality(
-        b.telemetry(spark, sf), b.registry(spark, sf), b.exemptions(spark, sf), P, codes
-    )
-    return found.select(*schemas.FACILITY_LOG)
-
-
-def _power(spark: SparkSession, sf: str, codes: tuple[str, ...]) -> DataFrame:
-    readings = _enriched(spark, sf) if "S05" in codes else b.telemetry(spark, sf)
-    found = energy.power_events(readings, b.registry(spark, sf), b.exemptions(spark, sf), P, codes)
-    return found.select(*schemas.ENERGY_LOG)
+def _air_quality(t: b.TestTables, *codes: str) -> DataFrame:
+    return facility.air_quality(t.telemetry, t.registry, t.exemptions, P, codes).select(*schemas.FACILITY_LOG)
 
 
-def _verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    return energy.asset_verdicts(_enriched(spark, sf), b.registry(spark, sf), P)
+def _power(t: b.TestTables, *codes: str) -> DataFrame:
+    readings = _enriched(t) if "S05" in codes else t.telemetry
+    return energy.power_events(readings, t.registry, t.exemptions, P, codes).select(*schemas.ENERGY_LOG)
 
 
-def _verdict_events(spark: SparkSession, sf: str, code: str) -> DataFrame:
-    found = energy.verdict_events(_verdicts(spark, sf), b.exemptions(spark, sf), P, (code,))
-    return found.select(*schemas.ENERGY_LOG)
+def _verdicts(t: b.TestTables) -> DataFrame:
+    return energy.asset_verdicts(_enriched(t), t.registry, P)
 
 
-def _scenario_totals(spark: SparkSession, sf: str) -> DataFrame:
-    a = b.inputs(spark, sf)
-    return logs.scenario_totals(logs.energy_log(a), logs.compliance_log(a))
+def _verdict_events(t: b.TestTables, code: str) -> DataFrame:
+    return energy.verdict_events(_verdicts(t), t.exemptions, P, (code,)).select(*schemas.ENERGY_LOG)
 
 
-def _summary_nz(spark: SparkSession, sf: str) -> DataFrame:
-    return energy.benchmark_summary(_verdicts(spark, sf))
+def _summary_au(t: b.TestTables) -> DataFrame:
+    return evidence.au_benchmark_summary(t.invoices, t.registry, P)
 
 
-def _summary_au(spark: SparkSession, sf: str) -> DataFrame:
-    return evidence.au_benchmark_summary(b.invoices(spark, sf), b.registry(spark, sf), P)
+def _evidence(found: DataFrame) -> DataFrame:
+    return found.select(*schemas.COMPLIANCE_LOG)
 
 
 # ---------------------------------------------------------------- star schema and reports
 
 
-def _assets(spark: SparkSession, sf: str) -> DataFrame:
-    return star.dim_assets(b.registry(spark, sf))
-
-
-def _priority_detail(spark: SparkSession, sf: str) -> DataFrame:
-    fact = b.fact(spark, sf)
-    return star.priority_detail(star.priority_top1(fact), fact).select("priority", "event_id", "detail")
-
-
-def _kpi_delta(spark: SparkSession, sf: str) -> DataFrame:
-    return reporting.kpi_delta(star.kpi_summary(b.fact(spark, sf)), b.prior_month(spark))
-
-
-def _rounded(df: DataFrame, digits: int) -> DataFrame:
-    return df.select(*[
-        half_even(F.col(c), digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes
-    ])
+def _assets(t: b.TestTables) -> DataFrame:
+    return star.dim_assets(t.registry)
+
+
+def _matrix(t: b.TestTables) -> DataFrame:
+    return reporting.compliance_matrix(t.fact, _assets(t))
+
+
+BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
+    # sources
+    "scan_projection": lambda t: t.source("events").where("value > 100").select("event_id", "user_id", "value"),
+    "weather_explode": _weather_explode,
+    "dim_assets": _assets,
+    "dim_scenarios": _dim_scenarios,
+    # preparation
+    "parse_strict": _parse_strict,
+    "parse_lenient": lambda t: t.waste.selectExpr(
+        "manifest_id", "disposal_date", f"{lenient_time('disposal_date', P.default_event_time)} AS event_time"
+    ),
+    "weather_enrich": lambda t: prep.weather_enrich(t.telemetry, t.weather).select(
+        "asset_id", "timestamp", "outdoor_temp_c", "day_type"
+    ),
+    "time_features": lambda t: _enriched(t).select("asset_id", "timestamp", "hour", "is_weekday"),
+    "cooling_degrees": lambda t: _enriched(t).selectExpr("asset_id", "timestamp", *_six("cdd")),
+    "site_label": lambda t: prep.site_label(t.telemetry, t.registry).select("asset_id", "timestamp", "location"),
+    "resample_linear": lambda t: wx.rounded(_resampled(t), 6),
+    "day_type": lambda t: wx.with_day_type(_resampled(t)).select("timestamp", "day_type"),
+    "interval_overlay": _overlaid,
+    "format_ts": lambda t: wx.as_text(_resampled(t)),
+    "iot_scope": lambda t: t.telemetry.select("asset_id", "timestamp").join(
+        prep.metered(t.registry).select("asset_id"), "asset_id", "left_semi"
+    ),
+    # blocks
+    "sustained_events": _sustained,
+    "exemption_anti_join": _exemption_anti_join,
+    "cost_carbon": _cost_carbon,
+    "completeness": lambda t: profile.asset_profile(t.telemetry, P).selectExpr(
+        "asset_id", "n_rows", *_six("completeness"), f"completeness >= {P.completeness}D AS complete"
+    ),
+    "assessed_span": lambda t: profile.asset_profile(t.telemetry, P).select("asset_id", "total_assessed_mins"),
+    "missing_slots": lambda t: profile.slot_profile(t.telemetry, P).select(
+        "asset_id", "missing_slots", "missing_mins"
+    ),
+    "hourly_baseline": lambda t: profile.hourly_baseline(t.telemetry, P).selectExpr(
+        "asset_id", "hour", *_six("mean_kw", "std_kw", "limit_kw")
+    ),
+    "daily_rollup_mode": _daily,
+    "cusum": _cusum,
+    "facility_log": logs.facility_log,
+    "energy_log": logs.energy_log,
+    "compliance_log": logs.compliance_log,
+    # rules
+    "s01_unauthorised": lambda t: facility.unauthorised(t.telemetry, t.registry, P).select(*schemas.FACILITY_LOG),
+    "s02_invoice_hash": lambda t: _evidence(evidence.hash_integrity(t.invoices)),
+    "s02_cascade": lambda t: evidence.untrusted_assets(t.invoices),
+    "s03_gap": lambda t: facility.telemetry_gaps(t.telemetry, t.registry, P).select(*schemas.FACILITY_LOG),
+    "s04_submeter": lambda t: _power(t, "S04"),
+    "s05_after_hours": lambda t: _power(t, "S05"),
+    "s06_co2": lambda t: _air_quality(t, "S06"),
+    "s07_cusum": lambda t: _verdict_events(t, "S07"),
+    "s08_high_demand": lambda t: _air_quality(t, "S08"),
+    "s09_billing": lambda t: _evidence(evidence.billing_variance(t.invoices, t.registry, P)),
+    "s10_benchmark": lambda t: _verdict_events(t, "S10"),
+    "s11_travel": lambda t: _evidence(evidence.travel_class(t.travel, P)),
+    "s12_waste": lambda t: _evidence(evidence.hazardous_waste(t.waste, P)),
+    "benchmark_summary_nz": lambda t: energy.benchmark_summary(_verdicts(t)),
+    "benchmark_summary_au": _summary_au,
+    "scenario_totals": lambda t: logs.scenario_totals(logs.energy_log(t), logs.compliance_log(t)),
+    "outcome_counts": logs.outcome_counts,
+    # star schema
+    "fact_normalise": lambda t: star.energy_facts(logs.energy_events(t)).select(
+        "category", "scenario", "asset_id", "event_time", *star.MEASURES, "detail"
+    ),
+    "fact_events": lambda t: t.fact.select(*schemas.FACT),
+    "event_ids": lambda t: t.fact.select("event_seq", "event_id", "scenario", "asset_id", "event_time"),
+    "kpi_violations": lambda t: star.violations(t.fact),
+    "kpi_net_avoidable": lambda t: star.net_avoidable(t.fact).selectExpr(
+        *[f"{half_even(c, 3)} AS {c}" for c in NET_COLUMNS]
+    ),
+    "kpi_summary": lambda t: star.kpi_summary(t.fact),
+    "priority_top1": lambda t: star.priority_top1(t.fact).select(
+        "priority", "scenario", "asset_id", "event_id", "measure"
+    ),
+    "priority_detail": lambda t: star.priority_detail(star.priority_top1(t.fact), t.fact).select(
+        "priority", "event_id", "detail"
+    ),
+    "priority_actions": lambda t: star.priority_actions(t.fact, config.scenarios(t.spark)),
+    "events_by_category": lambda t: star.events_by_category(t.fact),
+    # reporting tables
+    "kpi_delta": lambda t: reporting.kpi_delta(star.kpi_summary(t.fact), b.prior_month(t.spark)),
+    "compliance_matrix": _matrix,
+    "compliance_matrix_wide": lambda t: reporting.compliance_matrix_wide(_matrix(t)).toDF(
+        "asset_id", "display_name", "region", "facilities", "energy", "it_data", "finance", "esg"
+    ),
+    "short_label": lambda t: t.registry.selectExpr("asset_id", f"{reporting.short_label('asset_id')} AS label"),
+    "drill_down": lambda t: reporting.drill_down(t.fact, config.scenarios(t.spark)),
+    "ieq_exceedance": lambda t: reporting.ieq_exceedance(t.fact, _assets(t), P),
+    "ieq_high_demand": lambda t: reporting.ieq_exceedance(t.fact, _assets(t), P, "S08"),
+    "ieq_daily": lambda t: reporting.ieq_daily(t.fact),
+    "ieq_daily_total": lambda t: reporting.ieq_daily_total(reporting.ieq_daily(t.fact), P),
+    "ieq_log": lambda t: reporting.ieq_log(t.fact, _assets(t), config.scenarios(t.spark)),
+    "benchmark_rank": lambda t: reporting.benchmark_rank(energy.benchmark_summary(_verdicts(t)), _assets(t), P),
+    "benchmark_au_status": lambda t: reporting.benchmark_au_status(_summary_au(t), _assets(t)),
+    "energy_timeline": lambda t: reporting.energy_timeline(t.fact, _assets(t)),
+    "energy_event_log": lambda t: reporting.energy_event_log(t.fact, _assets(t), config.scenarios(t.spark)),
+    "evidence_findings": lambda t: reporting.evidence_findings(t.fact, _assets(t)),
+    "evidence_log": lambda t: reporting.evidence_log(t.fact, _assets(t), config.scenarios(t.spark)),
+}
+NET_COLUMNS = ("attributable_cost", "attributable_carbon", "net_overrun_cost", "net_overrun_carbon")
 
 
 def queries() -> dict[str, Query]:
-    tel, reg, fact, assets = b.telemetry, b.registry, b.fact, _assets
-    scen = config.scenarios
-    log = lambda name: lambda s, d: getattr(logs, name)(b.inputs(s, d))
-    return {
-        # sources
-        "scan_projection": _scan_projection,
-        "weather_explode": _weather_explode,
-        "dim_assets": assets,
-        "dim_scenarios": _dim_scenarios,
-        # preparation
-        "parse_strict": _parse_strict,
-        "parse_lenient": _parse_lenient,
-        "weather_enrich": lambda s, d: prep.weather_enrich(tel(s, d), b.weather(s, d)).select(
-            "asset_id", "timestamp", "outdoor_temp_c", "day_type"
-        ),
-        "time_features": lambda s, d: _enriched(s, d).select("asset_id", "timestamp", "hour", "is_weekday"),
-        "cooling_degrees": lambda s, d: _enriched(s, d).select(
-            "asset_id", "timestamp", half_even(F.col("cdd"), 6).alias("cdd")
-        ),
-        "site_label": lambda s, d: prep.site_label(tel(s, d), reg(s, d)).select("asset_id", "timestamp", "location"),
-        "resample_linear": lambda s, d: _rounded(_resampled(s, d), 6),
-        "day_type": lambda s, d: wx.with_day_type(_resampled(s, d)).select("timestamp", "day_type"),
-        "interval_overlay": _interval_overlay,
-        "format_ts": lambda s, d: wx.as_text(_resampled(s, d)),
-        "iot_scope": lambda s, d: tel(s, d).join(prep.metered(reg(s, d)).select("asset_id"), "asset_id", "left_semi")
-        .select("asset_id", "timestamp"),
-        # blocks
-        "sustained_events": _sustained,
-        "exemption_anti_join": _exemption_anti_join,
-        "cost_carbon": _cost_carbon,
-        "completeness": _completeness,
-        "assessed_span": lambda s, d: profile.asset_profile(tel(s, d), P).select("asset_id", "total_assessed_mins"),
-        "missing_slots": lambda s, d: profile.slot_profile(tel(s, d), P).select(
-            "asset_id", "missing_slots", "missing_mins"
-        ),
-        "hourly_baseline": _hourly_baseline,
-        "daily_rollup_mode": _daily,
-        "cusum": _cusum,
-        "facility_log": log("facility_log"),
-        "energy_log": log("energy_log"),
-        "compliance_log": log("compliance_log"),
-        # rules
-        "s01_unauthorised": lambda s, d: facility.unauthorised(tel(s, d), reg(s, d), P).select(*schemas.FACILITY_LOG),
-        "s02_invoice_hash": lambda s, d: evidence.hash_integrity(b.invoices(s, d)).select(*schemas.COMPLIANCE_LOG),
-        "s02_cascade": lambda s, d: evidence.untrusted_assets(b.invoices(s, d)),
-        "s03_gap": lambda s, d: facility.telemetry_gaps(tel(s, d), reg(s, d), P).select(*schemas.FACILITY_LOG),
-        "s04_submeter": lambda s, d: _power(s, d, ("S04",)),
-        "s05_after_hours": lambda s, d: _power(s, d, ("S05",)),
-        "s06_co2": lambda s, d: _air_quality(s, d, ("S06",)),
-        "s07_cusum": lambda s, d: _verdict_events(s, d, "S07"),
-        "s08_high_demand": lambda s, d: _air_quality(s, d, ("S08",)),
-        "s09_billing": lambda s, d: evidence.billing_variance(b.invoices(s, d), reg(s, d), P)
-        .select(*schemas.COMPLIANCE_LOG),
-        "s10_benchmark": lambda s, d: _verdict_events(s, d, "S10"),
-        "s11_travel": lambda s, d: evidence.travel_class(b.travel(s, d), P).select(*schemas.COMPLIANCE_LOG),
-        "s12_waste": lambda s, d: evidence.hazardous_waste(b.waste(s, d), P).select(*schemas.COMPLIANCE_LOG),
-        "benchmark_summary_nz": _summary_nz,
-        "benchmark_summary_au": _summary_au,
-        "scenario_totals": _scenario_totals,
-        "outcome_counts": lambda s, d: logs.outcome_counts(b.inputs(s, d)),
-        # star schema
-        "fact_normalise": lambda s, d: star.energy_facts(logs.energy_events(b.inputs(s, d))).select(
-            "category", "scenario", "asset_id", "event_time", *star.MEASURES, "detail"
-        ),
-        "fact_events": lambda s, d: fact(s, d).select(*schemas.FACT),
-        "event_ids": lambda s, d: fact(s, d).select("event_seq", "event_id", "scenario", "asset_id", "event_time"),
-        "kpi_violations": lambda s, d: star.violations(fact(s, d)),
-        "kpi_net_avoidable": lambda s, d: _rounded(star.net_avoidable(fact(s, d)), 3),
-        "kpi_summary": lambda s, d: star.kpi_summary(fact(s, d)),
-        "priority_top1": lambda s, d: star.priority_top1(fact(s, d)).select(
-            "priority", "scenario", "asset_id", "event_id", "measure"
-        ),
-        "priority_detail": _priority_detail,
-        "priority_actions": lambda s, d: star.priority_actions(fact(s, d), scen(s)),
-        "events_by_category": lambda s, d: star.events_by_category(fact(s, d)),
-        # reporting tables
-        "kpi_delta": _kpi_delta,
-        "compliance_matrix": lambda s, d: reporting.compliance_matrix(fact(s, d), assets(s, d)),
-        "compliance_matrix_wide": lambda s, d: reporting.compliance_matrix_wide(
-            reporting.compliance_matrix(fact(s, d), assets(s, d))
-        ).toDF("asset_id", "display_name", "region", "facilities", "energy", "it_data", "finance", "esg"),
-        "short_label": lambda s, d: reg(s, d).select("asset_id", reporting.short_label(F.col("asset_id")).alias("label")),
-        "drill_down": lambda s, d: reporting.drill_down(fact(s, d), scen(s)),
-        "ieq_exceedance": lambda s, d: reporting.ieq_exceedance(fact(s, d), assets(s, d), P),
-        "ieq_high_demand": lambda s, d: reporting.ieq_exceedance(fact(s, d), assets(s, d), P, "S08"),
-        "ieq_daily": lambda s, d: reporting.ieq_daily(fact(s, d)),
-        "ieq_daily_total": lambda s, d: reporting.ieq_daily_total(reporting.ieq_daily(fact(s, d)), P),
-        "ieq_log": lambda s, d: reporting.ieq_log(fact(s, d), assets(s, d), scen(s)),
-        "benchmark_rank": lambda s, d: reporting.benchmark_rank(_summary_nz(s, d), assets(s, d), P),
-        "benchmark_au_status": lambda s, d: reporting.benchmark_au_status(_summary_au(s, d), assets(s, d)),
-        "energy_timeline": lambda s, d: reporting.energy_timeline(fact(s, d), assets(s, d)),
-        "energy_event_log": lambda s, d: reporting.energy_event_log(fact(s, d), assets(s, d), scen(s)),
-        "evidence_findings": lambda s, d: reporting.evidence_findings(fact(s, d), assets(s, d)),
-        "evidence_log": lambda s, d: reporting.evidence_log(fact(s, d), assets(s, d), scen(s)),
-    }
+    return {name: lambda spark, sf, run=run: run(b.tables(spark, sf)) for name, run in BY_TABLES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -316,7 +273,7 @@ def oracle_sql() -> dict[str, str]:
           {rnd('286.0::DOUBLE - sum(anomaly_duration_mins) / 60', 2)} AS compliant_hours,
           {rnd('sum(anomaly_duration_mins) / 60 / 286.0::DOUBLE * 100', 1)} AS breach_pct, count(*) AS events
         FROM named WHERE scenario = '{code}' GROUP BY asset_id"""
-    sql = {
+    oracles = {
         "scan_projection": "SELECT event_id, user_id, value FROM events WHERE value > 100",
         "weather_explode": f"SELECT timestamp, {rnd('outdoor_temp_c', 2)} AS outdoor_temp_c FROM hourly",
         "dim_assets": f"SELECT {', '.join(schemas.DIM_ASSETS)} FROM registry",
@@ -401,8 +358,7 @@ def oracle_sql() -> dict[str, str]:
         "event_ids": "SELECT event_seq, event_id, scenario, asset_id, event_time FROM fact",
         "kpi_violations": """SELECT count(*) AS total_violations FROM fact_all
             WHERE scenario IN ('S01', 'S02', 'S03', 'S11', 'S12')""",
-        "kpi_net_avoidable": "SELECT " + ", ".join(f"{rnd(c, 3)} AS {c}" for c in (
-            "attributable_cost", "attributable_carbon", "net_overrun_cost", "net_overrun_carbon")) + " FROM net",
+        "kpi_net_avoidable": "SELECT " + ", ".join(f"{rnd(c, 3)} AS {c}" for c in NET_COLUMNS) + " FROM net",
         "kpi_summary": "SELECT metric, value_nzd, value_aud, label, unit, note FROM kpi",
         "priority_top1": "SELECT priority, scenario, asset_id, event_id, measure FROM top1",
         "priority_detail": "SELECT priority, event_id, detail FROM detailed",
@@ -468,4 +424,4 @@ def oracle_sql() -> dict[str, str]:
                 'Analysis suspended — invoice authenticity under review.') AS finding
             FROM named WHERE category = 'Compliance'""",
     }
-    return {name: with_shared(query) for name, query in sql.items()}
+    return {name: with_shared(query) for name, query in oracles.items()}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meterwatch import schemas
 
@@ -139,6 +138,5 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def scenarios(spark: SparkSession) -> DataFrame:
     """Scenario dimension (SRC6)."""
-    return spark.createDataFrame(SCENARIOS, schemas.SCENARIO).withColumn(
-        "ceo_visible", ~F.col("scenario").isin(*DETAIL_ONLY)
-    )
+    known = spark.createDataFrame(SCENARIOS, schemas.SCENARIO)
+    return known.selectExpr("*", f"scenario NOT IN {DETAIL_ONLY} AS ceo_visible")

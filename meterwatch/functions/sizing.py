@@ -31,7 +31,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder once and read it back, cutting its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet to the shared folder and scan it from there.
+
+    Unlike a checkpoint, readers still prune columns and push filters down.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

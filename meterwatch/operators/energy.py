@@ -4,52 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch.config import GUARD, AuditParams
-from meterwatch.functions.columns import carbon_kg, cost_nzd, half_even, holds, whole_minutes
+from meterwatch.functions.text import (
+    assessed_minutes, carbon_nz, columns, cost_nzd, half_even, holds, sql, whole_minutes,
+)
 from meterwatch.operators.exemptions import drop_exempt
 from meterwatch.operators.prep import metered
-from meterwatch.operators.profile import (
-    assessed_minutes, asset_profile, cusum, daily_rollup, hourly_baseline,
-)
+from meterwatch.operators.profile import asset_profile, cusum, daily_rollup, hourly_baseline
 from meterwatch.operators.runs import RunRule, sustained_events, with_chunk
 from meterwatch.schemas import EMIT, ENERGY_LOG
 
 STATUS = {
-    "S04": "L2_METER_LEAKAGE",
-    "S05": "L2_AFTER_HOURS_SPIKE",
-    "S07": "L2_EFFICIENCY_DEGRADATION",
-    "S10": "L1_NABERSNZ_BREACH",
+    "S04": "'L2_METER_LEAKAGE'",
+    "S05": "'L2_AFTER_HOURS_SPIKE'",
+    "S07": "'L2_EFFICIENCY_DEGRADATION'",
+    "S10": "'L1_NABERSNZ_BREACH'",
 }
 READING_ORDER = ("hvac_power_kw", "total_power_kw", "lighting_power_kw", "it_load_power_kw")
-EXTRAS = {
-    "nabersnz_ratio": "double", "ytd_actual_mj_sqm": "double", "nabersnz_budget_mj": "double",
-    "days_elapsed": "bigint", "peak_hvac_kw": "double", "cusum_trigger_date": "string",
-    "baseline_daily_kwh": "double", "cusum_threshold": "double", "avg_diff_ratio": "double",
+
+# Columns that only some rules set.
+DEFAULTS = {
+    "nabersnz_ratio": "CAST(NULL AS DOUBLE)", "ytd_actual_mj_sqm": "CAST(NULL AS DOUBLE)",
+    "nabersnz_budget_mj": "CAST(NULL AS DOUBLE)", "days_elapsed": "CAST(NULL AS BIGINT)",
+    "peak_hvac_kw": "CAST(NULL AS DOUBLE)", "cusum_trigger_date": "CAST(NULL AS STRING)",
+    "baseline_daily_kwh": "CAST(NULL AS DOUBLE)", "cusum_threshold": "CAST(NULL AS DOUBLE)",
+    "avg_diff_ratio": "CAST(NULL AS DOUBLE)", "emit_group": "1", "emit_entity": "asset_ord",
 }
 
 
-def _priced(kwh: Column, p: AuditParams) -> dict[str, Column]:
-    """Energy, cost and carbon; money and carbon come from the unrounded energy (BLK3)."""
-    return {
-        "waste_kwh": half_even(kwh, 4),
-        "financial_cost": cost_nzd(kwh, p.nzd_per_kwh),
-        "carbon_kg": carbon_kg(kwh, p.nz_kg_per_kwh),
+def _log(p: AuditParams, **values: str) -> str:
+    """Select list of the energy log; cost and carbon come from the unrounded `kwh`."""
+    priced = {
+        "waste_kwh": half_even("kwh", 4), "financial_cost": cost_nzd("kwh", p), "carbon_kg": carbon_nz("kwh", p),
     }
+    return columns([*ENERGY_LOG, *EMIT], **{**DEFAULTS, **priced, **values})
 
 
-def _event(df: DataFrame, **values) -> DataFrame:
-    given = {c: F.lit(None).cast(t) for c, t in EXTRAS.items()} | {"emit_group": F.lit(1)} | values
-    return df.select(*[given[c].alias(c) if c in given else F.col(c) for c in [*ENERGY_LOG, *EMIT]])
-
-
-def after_hours(p: AuditParams) -> Column:
+def after_hours(p: AuditParams) -> str:
     """Weekends, and weekday hours outside business time; an unknown day class is out of scope."""
-    weekday, hour = F.col("day_type") == "WEEKDAY", F.hour("timestamp")
-    closed = (hour < p.open_hour) | (hour >= p.close_hour)
-    return holds((F.col("day_type") == "WEEKEND") | (weekday & closed))
+    closed = f"(hour(timestamp) < {p.open_hour} OR hour(timestamp) >= {p.close_hour})"
+    return f"day_type = 'WEEKEND' OR (day_type = 'WEEKDAY' AND {closed})"
 
 
 def with_hour_limit(chunked: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -59,31 +55,37 @@ def with_hour_limit(chunked: DataFrame, baseline: DataFrame) -> DataFrame:
     that the join uses the key by which the rows are ordered afterwards: readings shuffle once,
     and an asset with very many readings is spread over its chunks.
     """
-    packed = baseline.where(F.col("limit_kw").isNotNull()).groupBy("asset_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("hour", "limit_kw"))).alias("limits")
+    limits = sql(
+        """
+        SELECT asset_id, chunk, limits
+        FROM (SELECT DISTINCT asset_id, chunk FROM {readings})
+        JOIN (SELECT asset_id, map_from_entries(collect_list(struct(hour, limit_kw))) AS limits
+              FROM {baseline} WHERE limit_kw IS NOT NULL GROUP BY asset_id) USING (asset_id)
+        """,
+        readings=chunked, baseline=baseline,
+    )
+    return sql(
+        """
+        SELECT r.*, try_element_at(l.limits, hour(r.timestamp)) AS limit_kw
+        FROM {readings} r LEFT JOIN {limits} l ON r.asset_id = l.asset_id AND r.chunk = l.chunk
+        """,
+        readings=chunked, limits=limits,
     )
-    per_chunk = chunked.select("asset_id", "chunk").distinct().join(packed, "asset_id")
-    joined = chunked.join(per_chunk, ["asset_id", "chunk"], "left")
-    return joined.withColumn("limit_kw", F.try_element_at("limits", F.hour("timestamp"))).drop("limits")
 
 
 def power_rules(p: AuditParams, scenarios: Sequence[str]) -> list[RunRule]:
-    total = F.col("total_power_kw")
-    metered_sum = F.col("hvac_power_kw") + F.col("lighting_power_kw") + F.col("it_load_power_kw")
-    gap = F.abs(total - metered_sum)
-    ratio = F.try_divide(gap, total + F.lit(GUARD))
-    hvac, limit = F.col("hvac_power_kw"), F.col("limit_kw")
-    excess = F.when(hvac > limit, hvac - limit).otherwise(0.0)
+    gap = "abs(total_power_kw - (hvac_power_kw + lighting_power_kw + it_load_power_kw))"
+    ratio = f"try_divide({gap}, total_power_kw + {GUARD}D)"
     rules = {
-        "S04": lambda: RunRule(
-            "S04", ratio > p.leak_ratio, p.leak_rows, sums={"gap_kw": gap, "gap_ratio": ratio}
+        "S04": RunRule(
+            "S04", f"{ratio} > {p.leak_ratio}D", p.leak_rows, sums={"gap_kw": gap, "gap_ratio": ratio}
         ),
-        "S05": lambda: RunRule(
-            "S05", hvac > limit, p.idle_rows, scope=after_hours(p),
-            sums={"excess_kw": excess}, peaks={"hvac_max": hvac},
+        "S05": RunRule(
+            "S05", "hvac_power_kw > limit_kw", p.idle_rows, scope=after_hours(p),
+            sums={"excess_kw": "greatest(hvac_power_kw - limit_kw, 0D)"}, peaks={"hvac_max": "hvac_power_kw"},
         ),
     }
-    return [rules[s]() for s in scenarios]
+    return [rules[s] for s in scenarios]
 
 
 def power_events(
@@ -94,30 +96,28 @@ def power_events(
     readings = with_chunk(enriched, p.chunk_days)
     if "S05" in scenarios:
         readings = with_hour_limit(readings, hourly_baseline(enriched, p))
-    runs = sustained_events(
-        readings, power_rules(p, scenarios), tiebreak=READING_ORDER
-    ).withColumnRenamed("rule", "scenario")
-    sites = metered(registry).join(
-        asset_profile(enriched, p).select("asset_id", "total_assessed_mins"), "asset_id"
+    runs = sustained_events(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)
+    minutes = f"n_rows * {p.slot_minutes}"
+    leak_kwh = f"gap_kw / n_rows * ({minutes} / 60D)" if "S04" in scenarios else "0D"
+    idle_kwh = "excess_kw * 0.25D" if "S05" in scenarios else "0D"
+    found = sql(
+        f"""
+        SELECT *, CASE scenario WHEN 'S04' THEN {leak_kwh} ELSE {idle_kwh} END AS kwh
+        FROM {{sites}} JOIN (SELECT asset_id, total_assessed_mins FROM {{profile}}) USING (asset_id)
+          JOIN (SELECT *, rule AS scenario FROM {{runs}}) USING (asset_id)
+        """,
+        sites=metered(registry), profile=asset_profile(enriched, p), runs=runs,
     )
-    events = drop_exempt(runs.join(sites, "asset_id"), exemptions)
-    minutes, rows = F.col("n_rows") * p.slot_minutes, F.col("n_rows")
-    leak = F.col("scenario") == "S04"
-    kwh, extras = F.lit(None).cast("double"), {}
+    extras = {}
     if "S04" in scenarios:
-        kwh = F.when(leak, F.col("gap_kw") / rows * (minutes / F.lit(60.0)))
-        extras["avg_diff_ratio"] = F.when(leak, half_even(F.col("gap_ratio") / rows, 4))
+        extras["avg_diff_ratio"] = f"CASE scenario WHEN 'S04' THEN {half_even('gap_ratio / n_rows', 4)} END"
     if "S05" in scenarios:
-        kwh = F.coalesce(kwh, F.col("excess_kw") * 0.25)
-        extras["peak_hvac_kw"] = F.when(~leak, half_even(F.col("hvac_max"), 2))
-    return _event(
-        events,
-        timestamp=F.col("start_time"),
-        status=F.when(leak, STATUS["S04"]).otherwise(STATUS["S05"]),
-        anomaly_duration_mins=minutes,
-        emit_entity=F.col("asset_ord"),
-        **_priced(kwh, p), **extras,
+        extras["peak_hvac_kw"] = f"CASE scenario WHEN 'S05' THEN {half_even('hvac_max', 2)} END"
+    log = _log(
+        p, timestamp="start_time", anomaly_duration_mins=minutes,
+        status=f"CASE scenario WHEN 'S04' THEN {STATUS['S04']} ELSE {STATUS['S05']} END", **extras,
     )
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions))
 
 
 def asset_verdicts(enriched: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
@@ -125,47 +125,38 @@ def asset_verdicts(enriched: DataFrame, registry: DataFrame, p: AuditParams) ->
 
     Both rules read the same daily rollup, so readings are aggregated once.
     """
-    days = cusum(daily_rollup(enriched), p)
-    dirty = ~F.col("clean_day")
-    per_asset = days.groupBy("asset_id").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-        F.sum("total_kwh").alias("total_kwh"),
-        F.sum("cdd_hours").alias("cdd_hours"),
-        F.max("mu").alias("mu"),
-        F.max("threshold").alias("threshold"),
-        F.max("clean_days").alias("clean_days"),
-        F.min(F.when(F.col("alarm"), F.col("date"))).alias("alarm_date"),
-        F.count(F.when(dirty, True)).alias("dirty_days"),
-        F.coalesce(
-            F.sum(F.when(dirty, F.greatest(F.col("hvac_kwh") - F.col("mu"), F.lit(0.0)))), F.lit(0.0)
-        ).alias("excess_kwh"),
-        F.min("dirty_from").alias("dirty_from"),
-        F.max("dirty_to").alias("dirty_to"),
+    per_asset = sql(
+        """
+        SELECT asset_id, sum(n_rows) AS n_rows, min(first_ts) AS first_ts, max(last_ts) AS last_ts,
+               sum(total_kwh) AS total_kwh, sum(cdd_hours) AS cdd_hours, max(mu) AS mu,
+               max(threshold) AS threshold, max(clean_days) AS clean_days,
+               min(date) FILTER (WHERE alarm) AS alarm_date,
+               count_if(NOT clean_day) AS dirty_days,
+               coalesce(sum(greatest(hvac_kwh - mu, 0D)) FILTER (WHERE NOT clean_day), 0D) AS excess_kwh,
+               min(dirty_from) AS dirty_from, max(dirty_to) AS dirty_to
+        FROM {days} GROUP BY asset_id
+        """,
+        days=cusum(daily_rollup(enriched), p),
     )
-    actual_mj = F.col("total_kwh") * p.mj_per_kwh
-    budget_mj = (F.lit(p.base_mj_sqm) + F.lit(p.mj_per_cdd) * F.col("cdd_hours")) * F.col("area_sqm")
-    span = whole_minutes(F.col("first_ts"), F.col("last_ts"))
-    complete = F.col("n_rows") / F.lit(float(p.expected_rows)) >= p.completeness
-    return (
-        metered(registry).join(per_asset, "asset_id")
-        .withColumns({
-            "complete": complete,
-            "total_assessed_mins": assessed_minutes(floor=p.slot_minutes),
-            "days_elapsed": F.greatest(F.floor(span / 1440), F.lit(1).cast("bigint")),
-            "actual_mj": actual_mj,
-            "budget_mj": budget_mj,
-        })
-        .withColumns({
-            "assessed": F.col("complete") & (F.col("budget_mj") > 0),
-            "ratio": F.when(F.col("budget_mj") > 0, F.col("actual_mj") / F.col("budget_mj")),
-            "baselined": F.col("complete") & (F.col("clean_days") >= p.min_clean_days),
-        })
-        .withColumns({
-            "breach": holds(F.col("assessed") & (F.col("ratio") > p.overrun_ratio)),
-            "degraded": holds(F.col("baselined") & F.col("alarm_date").isNotNull()),
-        })
+    return sql(
+        f"""
+        WITH measured AS (
+          SELECT *, n_rows / {{expected_rows}} >= {{completeness}} AS complete,
+                 {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
+                 greatest({whole_minutes('first_ts', 'last_ts')} DIV 1440, 1L) AS days_elapsed,
+                 total_kwh * {{mj_per_kwh}} AS actual_mj,
+                 ({{base_mj_sqm}} + {{mj_per_cdd}} * cdd_hours) * area_sqm AS budget_mj
+          FROM {{sites}} JOIN {{per_asset}} USING (asset_id)
+        ), rated AS (
+          SELECT *, {holds('complete AND budget_mj > 0')} AS assessed, complete AND clean_days >= {{min_clean_days}} AS baselined,
+                 CASE WHEN budget_mj > 0 THEN actual_mj / budget_mj END AS ratio
+          FROM measured
+        )
+        SELECT *, {holds('assessed AND ratio > {overrun_ratio}')} AS breach,
+               baselined AND alarm_date IS NOT NULL AS degraded
+        FROM rated
+        """,
+        p, sites=metered(registry), per_asset=per_asset,
     )
 
 
@@ -175,38 +166,40 @@ def verdict_events(
 ) -> DataFrame:
     """S07 and S10 events of the per-asset verdicts; S07 exemptions are tested on the alarm date."""
     held = {"S07": "degraded", "S10": "breach"}
-    rows = F.array(*[F.when(F.col(held[s]), F.lit(s)) for s in scenarios])
-    found = verdicts.withColumn("scenario", F.explode(F.array_compact(rows))).withColumn(
-        "tested_at", F.when(F.col("scenario") == "S07", F.col("alarm_date").cast("timestamp_ntz"))
+    fired = ", ".join(f"CASE WHEN {held[s]} THEN '{s}' END" for s in scenarios)
+    found = sql(
+        f"""
+        SELECT *, CASE scenario WHEN 'S07' THEN CAST(alarm_date AS TIMESTAMP_NTZ) END AS tested_at,
+               CASE scenario WHEN 'S07' THEN excess_kwh ELSE (actual_mj - budget_mj) / {{mj_per_kwh}} END AS kwh
+        FROM (SELECT *, explode(array_compact(array({fired}))) AS scenario FROM {{verdicts}})
+        """,
+        p, verdicts=verdicts,
     )
-    drift = F.col("scenario") == "S07"
-    overrun = (F.col("actual_mj") - F.col("budget_mj")) / p.mj_per_kwh
-    kwh = F.when(drift, F.col("excess_kwh")).otherwise(overrun)
-    bench = lambda c: F.when(~drift, c)
-    return _event(
-        drop_exempt(found, exemptions, at="tested_at"),
-        timestamp=F.when(drift, F.col("dirty_from")).otherwise(F.col("first_ts")),
-        end_time=F.when(drift, F.col("dirty_to")).otherwise(F.col("last_ts")),
-        status=F.when(drift, STATUS["S07"]).otherwise(STATUS["S10"]),
-        anomaly_duration_mins=F.when(drift, F.col("dirty_days")).otherwise(F.col("days_elapsed")) * 1440,
-        emit_entity=F.col("asset_ord"),
-        nabersnz_ratio=bench(half_even(F.col("ratio"), 3)),
-        ytd_actual_mj_sqm=bench(half_even(F.col("actual_mj") / F.col("area_sqm"), 1)),
-        nabersnz_budget_mj=bench(half_even(F.col("budget_mj"), 1)),
-        days_elapsed=bench(F.col("days_elapsed")),
-        cusum_trigger_date=F.when(drift, F.date_format("alarm_date", "yyyy-MM-dd")),
-        baseline_daily_kwh=F.when(drift, half_even(F.col("mu"), 1)),
-        cusum_threshold=F.when(drift, half_even(F.col("threshold"), 1)),
-        **_priced(kwh, p),
+    drift = lambda x: f"CASE scenario WHEN 'S07' THEN {x} END"
+    bench = lambda x: f"CASE scenario WHEN 'S10' THEN {x} END"
+    either = lambda s07, s10: f"CASE scenario WHEN 'S07' THEN {s07} ELSE {s10} END"
+    log = _log(
+        p,
+        timestamp=either("dirty_from", "first_ts"), end_time=either("dirty_to", "last_ts"),
+        status=either(STATUS["S07"], STATUS["S10"]),
+        anomaly_duration_mins=either("dirty_days", "days_elapsed") + " * 1440",
+        nabersnz_ratio=bench(half_even("ratio", 3)),
+        ytd_actual_mj_sqm=bench(half_even("actual_mj / area_sqm", 1)),
+        nabersnz_budget_mj=bench(half_even("budget_mj", 1)),
+        days_elapsed=bench("days_elapsed"),
+        cusum_trigger_date=drift("date_format(alarm_date, 'yyyy-MM-dd')"),
+        baseline_daily_kwh=drift(half_even("mu", 1)),
+        cusum_threshold=drift(half_even("threshold", 1)),
     )
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions, at="tested_at"))
 
 
 def benchmark_summary(verdicts: DataFrame) -> DataFrame:
     """Intensity against budget of every assessed asset, breaching or not (SUM-NZ)."""
-    return verdicts.where("assessed").select(
+    return verdicts.where("assessed").selectExpr(
         "asset_id",
-        half_even(F.col("ratio"), 3).alias("nabersnz_ratio"),
-        half_even(F.col("actual_mj") / F.col("area_sqm"), 1).alias("ytd_actual_mj_sqm"),
-        half_even(F.col("budget_mj") / F.col("area_sqm"), 1).alias("budget_mj_sqm"),
+        f"{half_even('ratio', 3)} AS nabersnz_ratio",
+        f"{half_even('actual_mj / area_sqm', 1)} AS ytd_actual_mj_sqm",
+        f"{half_even('budget_mj / area_sqm', 1)} AS budget_mj_sqm",
         "breach",
     )

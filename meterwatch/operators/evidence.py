@@ -5,65 +5,55 @@ Inputs carry `row_ord`, their row position, which orders the events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch.config import GUARD, AuditParams
-from meterwatch.functions.columns import fixed, half_even, holds, is_blank
+from meterwatch.functions.text import columns, fixed, half_even, holds, sql
 from meterwatch.schemas import COMPLIANCE_LOG, EMIT
 
 TYPES = {
-    "financial_exposure": "double", "carbon_kg": "double", "billing_month": "date", "route": "string",
-    "booked_class": "string", "flight_hours": "double", "ticket_price_aud": "double",
-    "employee_id": "string", "waste_type": "string", "disposal_date": "string",
-    "quantity_kg": "double", "actual_billed_kwh": "double", "inferred_kwh": "double",
-    "variance_pct": "double",
+    "billing_month": "DATE", "route": "STRING", "booked_class": "STRING", "flight_hours": "DOUBLE",
+    "ticket_price_aud": "DOUBLE", "employee_id": "STRING", "waste_type": "STRING",
+    "disposal_date": "STRING", "quantity_kg": "DOUBLE", "actual_billed_kwh": "DOUBLE",
+    "inferred_kwh": "DOUBLE", "variance_pct": "DOUBLE",
 }
 HASH_MISSING = "Invoice hash field is null — evidence chain cannot be established"
 SUSPENDED = (
     "S09 analysis suspended — upstream S02 hash breach unresolved. "
     "Billing data cannot be relied upon until invoice integrity is confirmed."
 )
+# L1_HASH_MISSING, L1_HASH_MISMATCH, or null for a verified invoice
+HASH_OUTCOME = """CASE WHEN uploaded_pdf_hash IS NULL OR original_crypto_signature IS NULL THEN 'L1_HASH_MISSING'
+     WHEN uploaded_pdf_hash <> original_crypto_signature THEN 'L1_HASH_MISMATCH' END"""
+UNMETERED_AU = "region = 'AU' AND NOT coalesce(has_iot, false)"
 
 
-def _event(df: DataFrame, group: int, **values: Column) -> DataFrame:
-    given = {c: F.lit(None).cast(t) for c, t in TYPES.items()}
-    given |= {
-        "financial_exposure": F.lit(0.0), "carbon_kg": F.lit(0.0),
-        "emit_group": F.lit(group), "emit_entity": F.col("row_ord"),
-    } | values
-    return df.select(*[given[c].alias(c) if c in given else F.col(c) for c in [*COMPLIANCE_LOG, *EMIT]])
-
-
-def hash_outcome() -> Column:
-    """L1_HASH_MISSING, L1_HASH_MISMATCH, or null for a verified invoice."""
-    uploaded, original = F.col("uploaded_pdf_hash"), F.col("original_crypto_signature")
-    return F.when(uploaded.isNull() | original.isNull(), "L1_HASH_MISSING").when(
-        uploaded != original, "L1_HASH_MISMATCH"
-    )
+def _log(scenario: str, **values: str) -> str:
+    given = {c: f"CAST(NULL AS {t})" for c, t in TYPES.items()}
+    given |= {"financial_exposure": "0D", "carbon_kg": "0D", "scenario": f"'{scenario}'"}
+    given |= {"emit_group": str(int(scenario[1:])), "emit_entity": "row_ord"}
+    return columns([*COMPLIANCE_LOG, *EMIT], **{**given, **values})
 
 
 def hash_integrity(invoices: DataFrame) -> DataFrame:
     """Invoices whose hash is missing or differs from the signature."""
-    mismatch = F.format_string(
-        "PDF hash [%s] does not match original signature [%s] — tampered or corrupted invoice",
-        F.col("uploaded_pdf_hash"), F.col("original_crypto_signature"),
+    mismatch = (
+        "format_string('PDF hash [%s] does not match original signature [%s] — tampered or corrupted invoice', "
+        "uploaded_pdf_hash, original_crypto_signature)"
     )
-    flagged = invoices.withColumn("status", hash_outcome()).where(F.col("status").isNotNull())
-    return _event(
-        flagged, 2,
-        ref_id=F.col("asset_id"), scenario=F.lit("S02"), billing_month=F.col("billing_month"),
-        detail=F.when(F.col("status") == "L1_HASH_MISSING", HASH_MISSING).otherwise(mismatch),
+    log = _log(
+        "S02", ref_id="asset_id", billing_month="billing_month",
+        detail=f"CASE status WHEN 'L1_HASH_MISSING' THEN '{HASH_MISSING}' ELSE {mismatch} END",
+    )
+    return sql(
+        f"SELECT {log} FROM (SELECT *, {HASH_OUTCOME} AS status FROM {{invoices}}) WHERE status IS NOT NULL",
+        invoices=invoices,
     )
 
 
 def untrusted_assets(invoices: DataFrame) -> DataFrame:
     """Assets with any S02 finding, in any month."""
-    return invoices.where(hash_outcome().isNotNull()).select("asset_id").distinct()
-
-
-def unmetered_au(registry: DataFrame) -> DataFrame:
-    return registry.where((F.col("region") == "AU") & ~F.coalesce("has_iot", F.lit(False)))
+    return sql(f"SELECT DISTINCT asset_id FROM {{invoices}} WHERE {HASH_OUTCOME} IS NOT NULL", invoices=invoices)
 
 
 def billing_checks(invoices: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
@@ -72,88 +62,79 @@ def billing_checks(invoices: DataFrame, registry: DataFrame, p: AuditParams) ->
     The cascade mark is settled per asset first, so that invoices join once, against one row per
     asset; adaptive execution can split an asset with very many invoices.
     """
-    marks = untrusted_assets(invoices).withColumn("untrusted", F.lit(True))
-    sites = unmetered_au(registry).select("asset_id", "area_sqm").join(marks, "asset_id", "left")
-    inferred = F.col("area_sqm") * p.au_median_mj_sqm / p.mj_per_kwh / 12
-    gap = F.abs(F.col("actual_billed_kwh") - F.col("inferred"))
-    return (
-        invoices.join(sites, "asset_id")
-        .withColumn("inferred", inferred)
-        .withColumns({"gap": gap, "variance": gap / (F.col("inferred") + F.lit(GUARD))})
-        .withColumn(
-            "status",
-            F.when(F.col("untrusted"), "SUSPENDED_PENDING_S02").when(
-                holds(F.col("variance") > p.billing_variance), "L4_BILLING_VARIANCE"
-            ),
+    return sql(
+        f"""
+        WITH sites AS (
+          SELECT r.asset_id, area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 AS inferred,
+                 u.asset_id IS NOT NULL AS untrusted
+          FROM {{registry}} r LEFT JOIN {{untrusted}} u ON r.asset_id = u.asset_id
+          WHERE {UNMETERED_AU}
+        ), compared AS (
+          SELECT *, abs(actual_billed_kwh - inferred) AS gap,
+                 abs(actual_billed_kwh - inferred) / (inferred + {GUARD}D) AS variance
+          FROM {{invoices}} JOIN sites USING (asset_id)
         )
+        SELECT *, CASE WHEN untrusted THEN 'SUSPENDED_PENDING_S02'
+                       WHEN variance > {{billing_variance}} THEN 'L4_BILLING_VARIANCE' END AS status
+        FROM compared
+        """,
+        p, registry=registry, untrusted=untrusted_assets(invoices), invoices=invoices,
     )
 
 
 def billing_variance(invoices: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
     """Billed energy against the benchmark, suspended where S02 fired for the asset."""
-    found = billing_checks(invoices, registry, p).where(F.col("status").isNotNull())
-    off = F.col("status") == "L4_BILLING_VARIANCE"
-    text = F.concat(
-        F.lit("Billed "), fixed(F.col("actual_billed_kwh"), 0),
-        F.lit(" kWh vs NABERS-inferred "), fixed(F.col("inferred"), 0),
-        F.lit(" kWh — variance "), fixed(F.col("variance") * 100, 1), F.lit("% exceeds 15% threshold"),
+    text = (
+        f"concat('Billed ', {fixed('actual_billed_kwh', 0)}, ' kWh vs NABERS-inferred ', {fixed('inferred', 0)}, "
+        f"' kWh — variance ', {fixed('variance * 100', 1)}, '% exceeds 15% threshold')"
     )
-    return _event(
-        found, 9,
-        ref_id=F.col("asset_id"), scenario=F.lit("S09"), billing_month=F.col("billing_month"),
-        detail=F.when(off, text).otherwise(SUSPENDED),
-        financial_exposure=F.when(off, half_even(F.col("gap") * p.aud_per_kwh, 2)).otherwise(0.0),
-        carbon_kg=F.when(off, half_even(F.col("gap") * p.au_kg_per_kwh, 3)).otherwise(0.0),
-        actual_billed_kwh=F.when(off, F.col("actual_billed_kwh")),
-        inferred_kwh=F.when(off, half_even(F.col("inferred"), 1)),
-        variance_pct=F.when(off, half_even(F.col("variance") * 100, 1)),
+    off = lambda x: f"CASE status WHEN 'L4_BILLING_VARIANCE' THEN {x} END"
+    log = _log(
+        "S09", ref_id="asset_id", billing_month="billing_month",
+        detail=f"coalesce({off(text)}, '{SUSPENDED}')",
+        financial_exposure=f"coalesce({off(half_even(f'gap * {p.aud_per_kwh}D', 2))}, 0D)",
+        carbon_kg=f"coalesce({off(half_even(f'gap * {p.au_kg_per_kwh}D', 3))}, 0D)",
+        actual_billed_kwh=off("actual_billed_kwh"), inferred_kwh=off(half_even("inferred", 1)),
+        variance_pct=off(half_even("variance * 100", 1)),
+    )
+    return sql(
+        f"SELECT {log} FROM {{checks}} WHERE status IS NOT NULL", checks=billing_checks(invoices, registry, p)
     )
 
 
-def short_haul_business(p: AuditParams) -> Column:
-    hours = F.col("flight_hours").try_cast("double")
-    return holds((F.trim("booked_class") == "Business") & (hours < p.short_haul_hours))
+def short_haul_business(p: AuditParams) -> str:
+    return holds(f"trim(booked_class) = 'Business' AND try_cast(flight_hours AS DOUBLE) < {p.short_haul_hours}D")
 
 
 def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
     """Business class below six hours."""
-    hours, price = F.col("flight_hours").try_cast("double"), F.col("ticket_price_aud").try_cast("double")
-    text = F.concat(
-        F.lit("Business class on short-haul route "), F.col("route"), F.lit(" ("), fixed(hours, 1),
-        F.lit(" hrs) — exceeds 6-hour short-haul threshold"),
-    )
-    return _event(
-        travel.where(short_haul_business(p)), 11,
-        ref_id=F.col("ticket_id").cast("string"), asset_id=F.col("employee_id"),
-        scenario=F.lit("S11"), status=F.lit("L3_TRAVEL_CLASS_AUDIT"), detail=text,
-        financial_exposure=half_even(price, 2), route=F.col("route"),
-        booked_class=F.trim("booked_class"), flight_hours=hours, ticket_price_aud=price,
-        employee_id=F.col("employee_id"),
+    hours, price = "try_cast(flight_hours AS DOUBLE)", "try_cast(ticket_price_aud AS DOUBLE)"
+    log = _log(
+        "S11", ref_id="CAST(ticket_id AS STRING)", asset_id="employee_id", status="'L3_TRAVEL_CLASS_AUDIT'",
+        detail=f"concat('Business class on short-haul route ', route, ' (', {fixed(hours, 1)}, "
+               "' hrs) — exceeds 6-hour short-haul threshold')",
+        financial_exposure=half_even(price, 2), route="route", booked_class="trim(booked_class)",
+        flight_hours=hours, ticket_price_aud=price, employee_id="employee_id",
     )
+    return sql(f"SELECT {log} FROM {{travel}} WHERE {short_haul_business(p)}", travel=travel)
 
 
-def waste_outcome(p: AuditParams) -> Column:
-    hazardous = holds(F.trim("waste_type").isin(*p.hazardous))
-    return (
-        F.when(~hazardous, "non_hazardous")
-        .when(is_blank(F.col("disposal_cert_url")), "certificate_missing")
-        .otherwise("certified")
-    )
+def waste_outcome(p: AuditParams) -> str:
+    kinds = ", ".join(f"'{k}'" for k in p.hazardous)
+    return f"""CASE WHEN NOT {holds(f'trim(waste_type) IN ({kinds})')} THEN 'non_hazardous'
+        WHEN trim(coalesce(disposal_cert_url, '')) = '' THEN 'certificate_missing' ELSE 'certified' END"""
 
 
 def hazardous_waste(waste: DataFrame, p: AuditParams) -> DataFrame:
     """Hazardous or electronic waste without a certificate."""
-    kind = F.trim("waste_type")
-    text = F.concat(
-        kind, F.lit(" disposal record has no certificate URL — compliance with HSNO Act 1996 "),
-        F.lit("and Basel Convention cannot be verified"),
-    )
-    return _event(
-        waste.where(waste_outcome(p) == "certificate_missing"), 12,
-        ref_id=F.col("manifest_id"), asset_id=F.col("asset_id"), scenario=F.lit("S12"),
-        status=F.lit("L3_WASTE_CERT_MISSING"), detail=text, waste_type=kind,
-        disposal_date=F.col("disposal_date"), quantity_kg=F.col("quantity_kg").try_cast("double"),
+    log = _log(
+        "S12", ref_id="manifest_id", status="'L3_WASTE_CERT_MISSING'",
+        detail="concat(trim(waste_type), ' disposal record has no certificate URL — compliance with "
+               "HSNO Act 1996 and Basel Convention cannot be verified')",
+        waste_type="trim(waste_type)", disposal_date="disposal_date",
+        quantity_kg="try_cast(quantity_kg AS DOUBLE)",
     )
+    return sql(f"SELECT {log} FROM {{waste}} WHERE {waste_outcome(p)} = 'certificate_missing'", waste=waste)
 
 
 def au_benchmark_summary(invoices: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
@@ -161,22 +142,24 @@ def au_benchmark_summary(invoices: DataFrame, registry: DataFrame, p: AuditParam
 
     An untrusted asset gets the benchmark median as placeholder; one without invoices gets no row.
     """
-    per_asset = invoices.groupBy("asset_id").agg(
-        F.avg("actual_billed_kwh").alias("billed"),
-        F.bool_or(hash_outcome().isNotNull()).alias("suspended"),
-    )
-    area, hold = F.col("area_sqm"), F.col("suspended")
-    inferred = area * p.au_median_mj_sqm / p.mj_per_kwh / 12
-    month_kwh = F.when(hold, inferred).otherwise(F.col("billed"))
-    sites = unmetered_au(registry).join(per_asset, "asset_id").withColumn("month_kwh", month_kwh)
-    rated = sites.withColumn("mj_sqm", F.col("month_kwh") * 12 * p.mj_per_kwh / area)
-    return rated.select(
-        "asset_id", "area_sqm",
-        half_even(F.col("month_kwh"), 1).alias("inferred_kwh_month"),
-        half_even(F.col("mj_sqm"), 1).alias("ytd_actual_mj_sqm"),
-        F.lit(p.au_budget_mj_sqm).alias("budget_mj_sqm"),
-        half_even(F.col("mj_sqm") / p.au_budget_mj_sqm, 3).alias("nabers_ratio"),
-        holds(F.col("mj_sqm") > p.au_budget_mj_sqm * p.overrun_ratio).alias("breach"),
-        "suspended",
-        F.when(hold, "S02_HASH_BREACH").otherwise("").alias("suspension_reason"),
+    return sql(
+        f"""
+        WITH billed AS (
+          SELECT asset_id, avg(actual_billed_kwh) AS billed, bool_or({HASH_OUTCOME} IS NOT NULL) AS suspended
+          FROM {{invoices}} GROUP BY asset_id
+        ), monthly AS (
+          SELECT asset_id, area_sqm, suspended, CASE WHEN suspended
+                   THEN area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 ELSE billed END AS month_kwh
+          FROM {{registry}} JOIN billed USING (asset_id) WHERE {UNMETERED_AU}
+        ), rated AS (
+          SELECT *, month_kwh * 12 * {{mj_per_kwh}} / area_sqm AS mj_sqm FROM monthly
+        )
+        SELECT asset_id, area_sqm, {half_even('month_kwh', 1)} AS inferred_kwh_month,
+               {half_even('mj_sqm', 1)} AS ytd_actual_mj_sqm, {p.au_budget_mj_sqm}D AS budget_mj_sqm,
+               {half_even(f'mj_sqm / {p.au_budget_mj_sqm}D', 3)} AS nabers_ratio,
+               {holds(f'mj_sqm > {p.au_budget_mj_sqm}D * {p.overrun_ratio}D')} AS breach, suspended,
+               CASE WHEN suspended THEN 'S02_HASH_BREACH' ELSE '' END AS suspension_reason
+        FROM rated
+        """,
+        p, registry=registry, invoices=invoices,
     )

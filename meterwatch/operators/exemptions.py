@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from meterwatch.config import EXEMPTABLE
-from meterwatch.functions.columns import day_chunk
+from meterwatch.functions.text import day_chunk, sql
 
 
 def exempt_slices(exemptions: DataFrame, chunk_days: int = 30) -> DataFrame:
@@ -15,19 +14,16 @@ def exempt_slices(exemptions: DataFrame, chunk_days: int = 30) -> DataFrame:
     Overlapping approvals that cover a chunk's beginning fall together, so a group that holds many
     approvals stays small and events meet only those of their own chunk.
     """
-    begin, end = F.col("start_time"), F.col("end_time")
-    spans = (
-        exemptions.where(F.col("scenario_id").isin(*EXEMPTABLE) & (begin <= end))
-        .withColumn("ex_chunk", F.explode(F.sequence(day_chunk(begin, chunk_days), day_chunk(end, chunk_days))))
-    )
-    chunk_start = F.date_from_unix_date(F.col("ex_chunk") * chunk_days).cast("timestamp_ntz")
-    return (
-        spans.select(
-            F.col("asset_id").alias("ex_asset"), F.col("scenario_id").alias("ex_scenario"), "ex_chunk",
-            F.greatest(begin, chunk_start).alias("ex_start"), end.alias("ex_end"),
-        )
-        .groupBy("ex_asset", "ex_scenario", "ex_chunk", "ex_start")
-        .agg(F.max("ex_end").alias("ex_end"))
+    return sql(
+        f"""
+        SELECT asset_id AS ex_asset, scenario_id AS ex_scenario, ex_chunk,
+               greatest(start_time, CAST(date_from_unix_date(ex_chunk * {chunk_days}) AS TIMESTAMP_NTZ)) AS ex_start,
+               max(end_time) AS ex_end
+        FROM (SELECT *, explode(sequence({day_chunk('start_time', chunk_days)}, {day_chunk('end_time', chunk_days)})) AS ex_chunk
+              FROM {{exemptions}} WHERE scenario_id IN {EXEMPTABLE} AND start_time <= end_time)
+        GROUP BY 1, 2, 3, 4
+        """,
+        exemptions=exemptions,
     )
 
 
@@ -35,13 +31,11 @@ def drop_exempt(
     events: DataFrame, exemptions: DataFrame, at: str = "start_time", chunk_days: int = 30
 ) -> DataFrame:
     """Events whose time lies in no approved interval (closed) of their asset and scenario."""
-    ex = exempt_slices(exemptions, chunk_days)
-    when = F.col(at)
-    covered = (
-        (F.col("asset_id") == F.col("ex_asset"))
-        & (F.col("scenario") == F.col("ex_scenario"))
-        & (day_chunk(when, chunk_days) == F.col("ex_chunk"))
-        & (F.col("ex_start") <= when)
-        & (F.col("ex_end") >= when)
+    return sql(
+        f"""
+        SELECT e.* FROM {{events}} e LEFT ANTI JOIN {{slices}} x
+        ON e.asset_id = x.ex_asset AND e.scenario = x.ex_scenario
+           AND {day_chunk(f'e.{at}', chunk_days)} = x.ex_chunk AND e.{at} BETWEEN x.ex_start AND x.ex_end
+        """,
+        events=events, slices=exempt_slices(exemptions, chunk_days),
     )
-    return events.join(ex, covered, "left_anti")

@@ -5,84 +5,87 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from meterwatch.config import AuditParams
-from meterwatch.functions.columns import half_even, holds
+from meterwatch.functions.text import columns, half_even, holds, sql
 from meterwatch.operators.exemptions import drop_exempt
 from meterwatch.operators.prep import metered
 from meterwatch.operators.profile import asset_profile, slot_profile
 from meterwatch.operators.runs import RunRule, sustained_events
 from meterwatch.schemas import EMIT, FACILITY_LOG
 
-ADVICE = "Monitor and increase fresh air supply"
+ADVICE = "'Monitor and increase fresh air supply'"
 STATUS = {
-    "S01": "L0_UNAUTHORIZED_ASSET",
-    "S03": "L1_TIMESERIES_GAP",
-    "S06": "L1_IEQ_GREENWASHING",
-    "S08": "L2_HIGH_DEMAND_IEQ_GAP",
+    "S01": "'L0_UNAUTHORIZED_ASSET'",
+    "S03": "'L1_TIMESERIES_GAP'",
+    "S06": "'L1_IEQ_GREENWASHING'",
+    "S08": "'L2_HIGH_DEMAND_IEQ_GAP'",
 }
 READING_ORDER = ("indoor_co2_ppm", "indoor_temp_c")
 
+# Columns a rule does not set: no energy, and no air quality figures.
+DEFAULTS = {
+    "waste_kwh": "0D", "financial_cost": "0D", "carbon_kg": "0D",
+    "recommendation": "CAST(NULL AS STRING)", "cognitive_loss_nzd": "CAST(NULL AS DOUBLE)",
+    "avg_co2_ppm": "CAST(NULL AS DOUBLE)", "peak_co2_ppm": "CAST(NULL AS BIGINT)",
+    "occupants": "CAST(NULL AS BIGINT)", "emit_group": "1", "emit_entity": "asset_ord",
+}
 
-def _event(df: DataFrame, **values) -> DataFrame:
-    """Project to the facility log; columns a rule does not set are zero (energy) or null."""
-    zero, null = F.lit(0.0), F.lit(None)
-    default = {
-        "waste_kwh": zero, "financial_cost": zero, "carbon_kg": zero,
-        "recommendation": null.cast("string"), "cognitive_loss_nzd": null.cast("double"),
-        "avg_co2_ppm": null.cast("double"), "peak_co2_ppm": null.cast("bigint"),
-        "occupants": null.cast("bigint"),
-    }
-    given = {**default, **values}
-    columns = [given[c].alias(c) if c in given else F.col(c) for c in [*FACILITY_LOG, *EMIT]]
-    return df.select(*columns)
+
+def _log(**values: str) -> str:
+    return columns([*FACILITY_LOG, *EMIT], **{**DEFAULTS, **values})
 
 
 def unauthorised_totals(telemetry: DataFrame, registry: DataFrame) -> DataFrame:
-    """Readings of unregistered devices, with their unverified energy (kept out of all KPIs)."""
-    seen = telemetry.groupBy("asset_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("timestamp").alias("start_time"),
-        F.max("timestamp").alias("end_time"),
-        (F.coalesce(F.sum("total_power_kw"), F.lit(0.0)) * 0.25).alias("kwh_unverified"),
+    """Readings of unregistered devices, with their unverified energy (kept out of all KPIs).
+
+    Readings reduce to one row per device before the registry is consulted.
+    """
+    return sql(
+        """
+        SELECT t.* FROM (
+          SELECT asset_id, count(*) AS n_rows, min(timestamp) AS start_time, max(timestamp) AS end_time,
+                 coalesce(sum(total_power_kw), 0D) * 0.25D AS kwh_unverified
+          FROM {telemetry} GROUP BY asset_id) t
+        LEFT ANTI JOIN {registry} r ON t.asset_id = r.asset_id
+        """,
+        telemetry=telemetry, registry=registry,
     )
-    return seen.join(registry.select("asset_id"), "asset_id", "left_anti")
 
 
 def unauthorised(telemetry: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
     """One event per device that is not registered."""
-    minutes = F.col("n_rows") * p.slot_minutes
-    return _event(
-        unauthorised_totals(telemetry, registry),
-        scenario=F.lit("S01"), status=F.lit(STATUS["S01"]), area_sqm=F.lit(0.0),
-        anomaly_duration_mins=minutes, total_assessed_mins=minutes,
-        emit_group=F.lit(0), emit_entity=F.lit(0).cast("bigint"),
+    minutes = f"n_rows * {p.slot_minutes}"
+    log = _log(
+        scenario="'S01'", status=STATUS["S01"], area_sqm="0D", anomaly_duration_mins=minutes,
+        total_assessed_mins=minutes, emit_group="0", emit_entity="0L",
     )
+    return sql(f"SELECT {log} FROM {{devices}}", devices=unauthorised_totals(telemetry, registry))
 
 
 def telemetry_gaps(telemetry: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
     """One event per metered asset whose month is less than 95 % complete."""
-    gaps = slot_profile(telemetry, p).where(F.col("completeness") < p.completeness)
-    return _event(
-        gaps.join(metered(registry), "asset_id"),
-        start_time=F.col("first_ts"), end_time=F.col("last_ts"),
-        scenario=F.lit("S03"), status=F.lit(STATUS["S03"]),
-        anomaly_duration_mins=F.col("missing_mins"),
-        emit_group=F.lit(1), emit_entity=F.col("asset_ord"),
+    log = _log(
+        start_time="first_ts", end_time="last_ts", scenario="'S03'", status=STATUS["S03"],
+        anomaly_duration_mins="missing_mins",
+    )
+    return sql(
+        f"SELECT {log} FROM {{gaps}} JOIN {{sites}} USING (asset_id) WHERE completeness < {{completeness}}",
+        p, gaps=slot_profile(telemetry, p), sites=metered(registry),
     )
 
 
 def air_quality_rules(p: AuditParams, scenarios: Sequence[str]) -> list[RunRule]:
-    co2, temp = F.col("indoor_co2_ppm"), F.col("indoor_temp_c")
     uncomfortable = (
-        holds(co2 > p.zone_co2_ppm) | holds(temp < p.zone_temp_low) | holds(temp > p.zone_temp_high)
+        f"{holds(f'indoor_co2_ppm > {p.zone_co2_ppm}')} OR {holds(f'indoor_temp_c < {p.zone_temp_low}D')} "
+        f"OR {holds(f'indoor_temp_c > {p.zone_temp_high}D')}"
     )
+    peak = {"co2_max": "indoor_co2_ppm"}
     rules = {
-        "S06": RunRule("S06", co2 > p.co2_ppm, p.co2_rows, peaks={"co2_max": co2}),
+        "S06": RunRule("S06", f"indoor_co2_ppm > {p.co2_ppm}", p.co2_rows, peaks=peak),
         "S08": RunRule(
-            "S08", uncomfortable, p.zone_rows,
-            sums={"co2_sum": co2, "co2_n": co2.isNotNull().cast("int")}, peaks={"co2_max": co2},
+            "S08", uncomfortable, p.zone_rows, peaks=peak,
+            sums={"co2_sum": "indoor_co2_ppm", "co2_n": "CAST(indoor_co2_ppm IS NOT NULL AS INT)"},
         ),
     }
     return [rules[s] for s in scenarios]
@@ -98,29 +101,28 @@ def air_quality(
     """
     runs = sustained_events(
         telemetry, air_quality_rules(p, scenarios), tiebreak=READING_ORDER, chunk_days=p.chunk_days
-    ).withColumnRenamed("rule", "scenario")
-    sites = metered(registry).join(
-        asset_profile(telemetry, p).select("asset_id", "total_assessed_mins"), "asset_id"
     )
-    in_zone = (F.col("scenario") == "S06") | (F.col("space_designation") == "HIGH_DEMAND")
-    events = drop_exempt(runs.join(sites, "asset_id").where(in_zone), exemptions)
-    minutes = F.col("n_rows") * p.slot_minutes
-    if "S08" not in scenarios:
-        return _event(
-            events, status=F.lit(STATUS["S06"]), anomaly_duration_mins=minutes,
-            recommendation=F.lit(ADVICE), emit_group=F.lit(1), emit_entity=F.col("asset_ord"),
-        )
-    zone = F.col("scenario") == "S08"
-    staff = F.coalesce("occupant_count", F.lit(0).cast("bigint"))
-    loss = staff * F.lit(p.salary_nzd) * F.lit(p.impairment) * (minutes / F.lit(p.work_minutes))
-    return _event(
-        events,
-        status=F.when(zone, STATUS["S08"]).otherwise(STATUS["S06"]),
-        anomaly_duration_mins=minutes,
-        recommendation=F.lit(ADVICE),
-        cognitive_loss_nzd=F.when(zone, half_even(loss, 2)),
-        avg_co2_ppm=F.when(zone & (F.col("co2_n") > 0), half_even(F.col("co2_sum") / F.col("co2_n"), 0)),
-        peak_co2_ppm=F.when(zone, F.col("co2_max").cast("bigint")),
-        occupants=F.when(zone, staff),
-        emit_group=F.lit(1), emit_entity=F.col("asset_ord"),
+    found = sql(
+        """
+        SELECT * FROM {sites} JOIN (SELECT asset_id, total_assessed_mins FROM {profile}) USING (asset_id)
+          JOIN (SELECT *, rule AS scenario FROM {runs}) USING (asset_id)
+        WHERE scenario = 'S06' OR space_designation = 'HIGH_DEMAND'
+        """,
+        sites=metered(registry), profile=asset_profile(telemetry, p), runs=runs,
+    )
+    zone = lambda x: f"CASE WHEN scenario = 'S08' THEN {x} END"
+    figures = {}
+    if "S08" in scenarios:
+        staff = "coalesce(occupant_count, 0L)"
+        loss = f"{staff} * {p.salary_nzd}D * {p.impairment}D * (n_rows * {p.slot_minutes} / {p.work_minutes}D)"
+        figures = {
+            "cognitive_loss_nzd": zone(half_even(loss, 2)),
+            "avg_co2_ppm": zone(half_even("try_divide(co2_sum, co2_n)", 0)),
+            "peak_co2_ppm": zone("CAST(co2_max AS BIGINT)"),
+            "occupants": zone(staff),
+        }
+    log = _log(
+        status=f"CASE scenario WHEN 'S08' THEN {STATUS['S08']} ELSE {STATUS['S06']} END",
+        anomaly_duration_mins=f"n_rows * {p.slot_minutes}", recommendation=ADVICE, **figures,
     )
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions))

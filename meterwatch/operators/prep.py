@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from meterwatch.config import AuditParams
-from meterwatch.functions.columns import cooling_degrees
 from meterwatch.functions.sizing import broadcast_if_small
+from meterwatch.functions.text import cooling_degrees
 
 
 def weather_enrich(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
@@ -22,27 +21,22 @@ def weather_enrich(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
 
 def time_features(df: DataFrame) -> DataFrame:
     """Hour of day and weekday flag; an unknown day class counts as no weekday (PRE6)."""
-    return df.withColumns({
-        "hour": F.hour("timestamp"),
-        "is_weekday": F.coalesce((F.col("day_type") == "WEEKDAY").cast("int"), F.lit(0)),
-    })
-
-
-def with_cooling(df: DataFrame, p: AuditParams) -> DataFrame:
-    """Cooling degrees above the base temperature (PRE7)."""
-    return df.withColumn("cdd", cooling_degrees(F.col("outdoor_temp_c"), p.cooling_base_c))
+    return df.selectExpr(
+        "*", "hour(timestamp) AS hour", "coalesce(CAST(day_type = 'WEEKDAY' AS INT), 0) AS is_weekday"
+    )
 
 
 def enrich(telemetry: DataFrame, weather: DataFrame, p: AuditParams) -> DataFrame:
-    return with_cooling(time_features(weather_enrich(telemetry, weather)), p)
+    """Telemetry with weather, hour, weekday flag and cooling degrees."""
+    featured = time_features(weather_enrich(telemetry, weather))
+    return featured.selectExpr("*", f"{cooling_degrees('outdoor_temp_c', p.cooling_base_c)} AS cdd")
 
 
 def site_label(telemetry: DataFrame, registry: DataFrame) -> DataFrame:
     """Site name per reading, null for unknown devices (PRE8)."""
-    names = registry.select("asset_id", F.col("display_name").alias("location"))
-    return telemetry.join(names, "asset_id", "left")
+    return telemetry.join(registry.selectExpr("asset_id", "display_name AS location"), "asset_id", "left")
 
 
 def metered(registry: DataFrame) -> DataFrame:
     """Registered assets that send telemetry (PRE14)."""
-    return registry.where(F.coalesce("has_iot", F.lit(False)))
+    return registry.where("coalesce(has_iot, false)")

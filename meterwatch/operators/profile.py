@@ -2,29 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch.config import CLEAN, AuditParams
-from meterwatch.functions.columns import holds, slot_offset, whole_minutes
-
-
-def assessed_minutes(first: str = "first_ts", last: str = "last_ts", floor: int = 15):
-    """Minutes under assessment, at least one slot (BLK5)."""
-    return F.greatest(whole_minutes(F.col(first), F.col(last)), F.lit(floor).cast("bigint"))
+from meterwatch.functions.text import assessed_minutes, slot_offset, sql, whole_minutes
 
 
 def asset_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     """Rows, first and last reading, completeness and assessed minutes per asset (BLK4, BLK5)."""
-    spans = telemetry.groupBy("asset_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("timestamp").alias("first_ts"),
-        F.max("timestamp").alias("last_ts"),
+    return sql(
+        f"""
+        SELECT asset_id, count(*) AS n_rows, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
+               count(*) / {{expected_rows}} AS completeness,
+               {assessed_minutes('min(timestamp)', 'max(timestamp)', p.slot_minutes)} AS total_assessed_mins
+        FROM {{telemetry}} GROUP BY asset_id
+        """,
+        p, telemetry=telemetry,
     )
-    return spans.withColumns({
-        "completeness": F.col("n_rows") / F.lit(float(p.expected_rows)),
-        "total_assessed_mins": assessed_minutes(floor=p.slot_minutes),
-    })
 
 
 def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
@@ -33,38 +27,41 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     Distinct times are reduced first; then times with the same offset within a slot are counted
     together, and the class of the first reading is the grid. No grid is generated.
     """
-    times = telemetry.groupBy("asset_id", "timestamp").agg(F.count(F.lit(1)).alias("n"))
-    classes = times.groupBy(
-        "asset_id", slot_offset(F.col("timestamp"), p.slot_minutes).alias("offset")
-    ).agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("n_times"),
-        F.min("timestamp").alias("first_ts"),
-        F.max("timestamp").alias("last_ts"),
+    return sql(
+        f"""
+        WITH times AS (
+          SELECT asset_id, timestamp, count(*) AS n FROM {{telemetry}} GROUP BY 1, 2
+        ), classes AS (
+          SELECT asset_id, {slot_offset('timestamp', p.slot_minutes)} AS offset, sum(n) AS n, count(*) AS n_times,
+                 min(timestamp) AS first_ts, max(timestamp) AS last_ts
+          FROM times GROUP BY 1, 2
+        ), spans AS (
+          SELECT asset_id, sum(n) AS n_rows, min_by(n_times, first_ts) AS on_grid,
+                 min(first_ts) AS first_ts, max(last_ts) AS last_ts
+          FROM classes GROUP BY asset_id
+        ), counted AS (
+          SELECT *, {whole_minutes('first_ts', 'last_ts')} DIV {{slot_minutes}} + 1 - on_grid AS missing_slots FROM spans
+        )
+        SELECT asset_id, n_rows, first_ts, last_ts, n_rows / {{expected_rows}} AS completeness,
+               {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
+               missing_slots, missing_slots * {{slot_minutes}} AS missing_mins
+        FROM counted
+        """,
+        p, telemetry=telemetry,
     )
-    spans = classes.groupBy("asset_id").agg(
-        F.sum("n").alias("n_rows"),
-        F.min_by("n_times", "first_ts").alias("on_grid"),
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-    )
-    slots = F.floor(whole_minutes(F.col("first_ts"), F.col("last_ts")) / p.slot_minutes) + 1
-    missing = (slots - F.col("on_grid")).cast("bigint")
-    return spans.withColumns({
-        "completeness": F.col("n_rows") / F.lit(float(p.expected_rows)),
-        "total_assessed_mins": assessed_minutes(floor=p.slot_minutes),
-        "missing_slots": missing,
-        "missing_mins": missing * p.slot_minutes,
-    })
 
 
 def hourly_baseline(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     """HVAC mean, sample deviation and limit per asset and hour, over clean rows (BLK7)."""
-    clean = telemetry.where(F.col("audit_trait") == CLEAN)
-    stats = clean.groupBy("asset_id", F.hour("timestamp").alias("hour")).agg(
-        F.avg("hvac_power_kw").alias("mean_kw"), F.stddev_samp("hvac_power_kw").alias("std_kw")
+    return sql(
+        f"""
+        SELECT *, mean_kw + {{idle_sigma}} * std_kw AS limit_kw
+        FROM (SELECT asset_id, hour(timestamp) AS hour, avg(hvac_power_kw) AS mean_kw,
+                     stddev_samp(hvac_power_kw) AS std_kw
+              FROM {{telemetry}} WHERE audit_trait = '{CLEAN}' GROUP BY 1, 2)
+        """,
+        p, telemetry=telemetry,
     )
-    return stats.withColumn("limit_kw", F.col("mean_kw") + F.lit(p.idle_sigma) * F.col("std_kw"))
 
 
 def daily_rollup(telemetry: DataFrame) -> DataFrame:
@@ -73,29 +70,24 @@ def daily_rollup(telemetry: DataFrame) -> DataFrame:
     Counting per trait first lets every step hash-aggregate with a bounded state; the mode is then
     the most frequent trait, the smallest one on a tie.
     """
-    dirty = holds(~F.col("audit_trait").eqNullSafe(F.lit(CLEAN)))
-    cooling = F.sum("cdd") if "cdd" in telemetry.columns else F.lit(None).cast("double")
-    per_trait = telemetry.groupBy(
-        "asset_id", F.to_date("timestamp").alias("date"), "audit_trait"
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("hvac_power_kw").alias("hvac"),
-        F.sum("total_power_kw").alias("total"),
-        cooling.alias("cdd"),
-        F.min("timestamp").alias("lo"),
-        F.max("timestamp").alias("hi"),
-    )
-    vote = F.when(F.col("audit_trait").isNotNull(), F.struct((-F.col("n")).alias("votes"), "audit_trait"))
-    return per_trait.groupBy("asset_id", "date").agg(
-        F.sum("n").alias("n_rows"),
-        (F.coalesce(F.sum("hvac"), F.lit(0.0)) * 0.25).alias("hvac_kwh"),
-        (F.coalesce(F.sum("total"), F.lit(0.0)) * 0.25).alias("total_kwh"),
-        (F.coalesce(F.sum("cdd"), F.lit(0.0)) * 0.25).alias("cdd_hours"),
-        F.min(vote)["audit_trait"].alias("day_trait"),
-        F.min("lo").alias("first_ts"),
-        F.max("hi").alias("last_ts"),
-        F.min(F.when(dirty, F.col("lo"))).alias("dirty_from"),
-        F.max(F.when(dirty, F.col("hi"))).alias("dirty_to"),
+    cooling = "sum(cdd)" if "cdd" in telemetry.columns else "CAST(NULL AS DOUBLE)"
+    dirty = f"NOT (audit_trait <=> '{CLEAN}')"
+    return sql(
+        f"""
+        WITH per_trait AS (
+          SELECT asset_id, to_date(timestamp) AS date, audit_trait, count(*) AS n, sum(hvac_power_kw) AS hvac,
+                 sum(total_power_kw) AS total, {cooling} AS cdd, min(timestamp) AS lo, max(timestamp) AS hi
+          FROM {{telemetry}} GROUP BY 1, 2, 3
+        )
+        SELECT asset_id, date, sum(n) AS n_rows,
+               coalesce(sum(hvac), 0D) * 0.25D AS hvac_kwh, coalesce(sum(total), 0D) * 0.25D AS total_kwh,
+               coalesce(sum(cdd), 0D) * 0.25D AS cdd_hours,
+               min(CASE WHEN audit_trait IS NOT NULL THEN struct(-n AS votes, audit_trait) END).audit_trait AS day_trait,
+               min(lo) AS first_ts, max(hi) AS last_ts,
+               min(lo) FILTER (WHERE {dirty}) AS dirty_from, max(hi) FILTER (WHERE {dirty}) AS dirty_to
+        FROM per_trait GROUP BY asset_id, date
+        """,
+        telemetry=telemetry,
     )
 
 
@@ -105,21 +97,23 @@ def cusum(daily: DataFrame, p: AuditParams) -> DataFrame:
     c(t) = max(0, c(t-1) + x - mu - K) equals S(t) - min(0, min S(1..t)) for the running sum S of
     the increments. A window holds one row per calendar day of an asset.
     """
-    per_asset = Window.partitionBy("asset_id")
-    so_far = per_asset.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    clean = holds(F.col("day_trait") == CLEAN)
-    kwh = F.col("hvac_kwh")
-    based = daily.withColumns({
-        "clean_day": clean,
-        "mu": F.avg(F.when(clean, kwh)).over(per_asset),
-        "sigma": F.stddev_samp(F.when(clean, kwh)).over(per_asset),
-        "clean_days": F.count(F.when(clean, True)).over(per_asset),
-    }).withColumn("threshold", F.col("sigma") * p.alarm_sigma)
-    drift = F.sum(kwh - F.col("mu") - F.col("mu") * p.slack_share).over(so_far)
-    low = F.min("_drift").over(so_far)
-    return (
-        based.withColumn("_drift", drift)
-        .withColumn("cusum", F.col("_drift") - F.least(F.lit(0.0), low))
-        .withColumn("alarm", holds(F.col("cusum") > F.col("threshold")))
-        .drop("_drift")
+    so_far = "PARTITION BY asset_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    clean_kwh = "CASE WHEN clean_day THEN hvac_kwh END"
+    return sql(
+        f"""
+        WITH days AS (
+          SELECT *, coalesce(day_trait = '{CLEAN}', false) AS clean_day FROM {{daily}}
+        ), based AS (
+          SELECT *, avg({clean_kwh}) OVER (PARTITION BY asset_id) AS mu,
+                 stddev_samp({clean_kwh}) OVER (PARTITION BY asset_id) * {{alarm_sigma}} AS threshold,
+                 count({clean_kwh}) OVER (PARTITION BY asset_id) AS clean_days
+          FROM days
+        ), drifted AS (
+          SELECT *, sum(hvac_kwh - mu - mu * {{slack_share}}) OVER ({so_far}) AS drift FROM based
+        ), charted AS (
+          SELECT * EXCEPT (drift), drift - least(0D, min(drift) OVER ({so_far})) AS cusum FROM drifted
+        )
+        SELECT *, coalesce(cusum > threshold, false) AS alarm FROM charted
+        """,
+        p, daily=daily,
     )

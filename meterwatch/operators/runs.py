@@ -14,26 +14,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from meterwatch.functions.columns import day_chunk, holds
+from meterwatch.functions.text import day_chunk, holds, sql
 
 
 @dataclass(frozen=True)
 class RunRule:
-    """One breach condition. `scope` limits the sequence to the rows where it holds."""
+    """One breach condition, as SQL. `scope` limits the sequence to the rows where it holds."""
 
     name: str
-    breach: Column
+    breach: str
     min_rows: int
-    scope: Column | None = None
-    sums: Mapping[str, Column] = field(default_factory=dict)
-    peaks: Mapping[str, Column] = field(default_factory=dict)
+    scope: str | None = None
+    sums: Mapping[str, str] = field(default_factory=dict)
+    peaks: Mapping[str, str] = field(default_factory=dict)
 
 
 def with_chunk(df: DataFrame, days: int, ts: str = "timestamp") -> DataFrame:
-    return df.withColumn("chunk", day_chunk(F.col(ts), days))
+    return df.selectExpr("*", f"{day_chunk(ts, days)} AS chunk")
 
 
 def sustained_events(
@@ -43,86 +42,73 @@ def sustained_events(
     """Runs of at least `min_rows` breaching rows per asset and rule.
 
     Returns key, rule, start_time, end_time, n_rows and one column per measure named by any rule.
+    A column `chunk` of the input is used as it is.
     """
-    if "chunk" not in df.columns:
-        df = with_chunk(df, chunk_days, ts)
+    readings = df if "chunk" in df.columns else with_chunk(df, chunk_days, ts)
     sums = sorted({m for r in rules for m in r.sums})
     peaks = sorted({m for r in rules for m in r.peaks})
-    in_order = Window.partitionBy(key, "chunk").orderBy(ts, *tiebreak)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    flags, steps, numbers = {}, {}, {}
+    order = ", ".join([ts, *tiebreak])
+    in_order = f"PARTITION BY {key}, chunk ORDER BY {order}"
+    flags, previous, members = [], [], []
     for n, r in enumerate(rules):
-        flag = F.col(f"_on{n}")
         if r.scope is None:
-            flags[f"_on{n}"] = holds(r.breach)
-            previous = F.lag(flag).over(in_order)
+            flags.append(f"{holds(r.breach)} AS on{n}")
+            previous.append(f"lag(on{n}) OVER ({in_order}) AS prev{n}")
         else:
-            flags[f"_on{n}"] = F.when(holds(r.scope), holds(r.breach))
-            previous = F.last(flag, ignorenulls=True).over(before)
-        changed = flag.isNotNull() & ~flag.eqNullSafe(previous)
-        steps[f"_step{n}"] = F.when(changed, 1).otherwise(0)
-        numbers[f"_run{n}"] = F.sum(f"_step{n}").over(so_far)
-    measures = {f"_{r.name}_{m}": c for r in rules for m, c in {**r.sums, **r.peaks}.items()}
-    marked = (
-        df.select(key, "chunk", ts, *tiebreak, *[c.alias(a) for a, c in {**flags, **measures}.items()])
-        .withColumns(steps)
-        .withColumns(numbers)
-    )
-
-    def member(n: int, r: RunRule) -> Column:
-        values = [
-            (F.col(f"_{r.name}_{m}") if m in r.sums or m in r.peaks else F.lit(None)).cast("double").alias(m)
-            for m in [*sums, *peaks]
-        ]
-        row = F.struct(
-            F.lit(r.name).alias("rule"), F.col(f"_on{n}").alias("breach"),
-            F.col(f"_run{n}").alias("run"), *values,
+            flags.append(f"CASE WHEN {holds(r.scope)} THEN {holds(r.breach)} END AS on{n}")
+            previous.append(
+                f"last(on{n}, true) OVER ({in_order} "
+                f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev{n}"
+            )
+        own = {**r.sums, **r.peaks}
+        flags += [f"CAST({c} AS DOUBLE) AS {m}_{n}" for m, c in own.items()]
+        values = "".join(
+            f", '{m}', {f'{m}_{n}' if m in own else 'CAST(NULL AS DOUBLE)'}" for m in [*sums, *peaks]
         )
-        return F.when(F.col(f"_on{n}").isNotNull(), row)
-
-    members = marked.select(
-        key, "chunk", F.col(ts).alias("_ts"), F.explode(F.array(*[member(n, r) for n, r in enumerate(rules)])).alias("m")
-    ).where("m is not null").select(key, "chunk", "_ts", "m.*")
-    runs = members.groupBy(key, "chunk", "rule", "run").agg(
-        F.max("breach").alias("breach"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("_ts").alias("start_time"),
-        F.max("_ts").alias("end_time"),
-        *[F.sum(m).alias(m) for m in sums],
-        *[F.max(m).alias(m) for m in peaks],
-    )
-    return _stitch(runs, rules, key, sums, peaks)
-
-
-def _stitch(
-    runs: DataFrame, rules: Sequence[RunRule], key: str, sums: Sequence[str], peaks: Sequence[str]
-) -> DataFrame:
-    """Join runs that meet at a chunk border; inner runs stay within their chunk."""
-    in_chunk = Window.partitionBy(key, "chunk", "rule").orderBy("run")
-    is_first = F.col("run") == 1
-    is_last = F.lead("run").over(in_chunk).isNull()
-    placed = runs.withColumn("_border", is_first | is_last).where("breach or _border").withColumn(
-        "_part", F.when(~F.col("_border"), F.col("chunk"))
+        members.append(f"named_struct('rule', '{r.name}', 'breach', on{n}, 'run', run{n}{values})")
+    runs_so_far = ", ".join(
+        f"sum(CASE WHEN on{n} IS NULL OR on{n} <=> prev{n} THEN 0 ELSE 1 END) OVER "
+        f"({in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run{n}"
+        for n in range(len(rules))
     )
-    along = Window.partitionBy(key, "rule", "_part").orderBy("chunk", "run")
-    continues = is_first & F.col("breach") & F.coalesce(F.lag("breach").over(along), F.lit(False))
-    block = F.sum("_fresh").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    blocks = placed.withColumn("_fresh", F.when(continues, 0).otherwise(1)).withColumn("_block", block)
-    enough = F.lit(False)
-    for r in rules:
-        enough = enough | ((F.col("rule") == r.name) & (F.col("n_rows") >= r.min_rows))
-    return (
-        blocks.where("breach")
-        .groupBy(key, "rule", "_part", "_block")
-        .agg(
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.sum("n_rows").alias("n_rows"),
-            *[F.sum(m).alias(m) for m in sums],
-            *[F.max(m).alias(m) for m in peaks],
+    folded = "".join([f", sum({m}) AS {m}" for m in sums] + [f", max({m}) AS {m}" for m in peaks])
+    enough = " ".join(f"WHEN '{r.name}' THEN {r.min_rows}" for r in rules)
+    along = f"PARTITION BY {key}, rule, part ORDER BY chunk, run"
+    return sql(
+        f"""
+        WITH flagged AS (
+          SELECT {key}, chunk, {order}, {', '.join(flags)} FROM {{readings}}
+        ), compared AS (
+          SELECT *, {', '.join(previous)} FROM flagged
+        ), numbered AS (
+          SELECT *, {runs_so_far} FROM compared
+        ), members AS (
+          SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)})) FROM numbered
+        ), runs AS (
+          SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, count(*) AS n_rows,
+                 min(ts) AS start_time, max(ts) AS end_time{folded}
+          FROM members WHERE breach IS NOT NULL
+          GROUP BY {key}, chunk, rule, run
+        ), placed AS (
+          SELECT *, run = 1 AS is_first,
+                 lead(run) OVER (PARTITION BY {key}, chunk, rule ORDER BY run) IS NULL AS is_last
+          FROM runs
+        ), kept AS (
+          SELECT *, CASE WHEN NOT (is_first OR is_last) THEN chunk END AS part
+          FROM placed WHERE breach OR is_first OR is_last
+        ), joined AS (
+          SELECT *, CASE WHEN is_first AND breach AND coalesce(lag(breach) OVER ({along}), false)
+                         THEN 0 ELSE 1 END AS fresh
+          FROM kept
+        ), blocks AS (
+          SELECT *, sum(fresh) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
+          FROM joined
         )
-        .where(enough)
-        .drop("_part", "_block")
+        SELECT {key}, rule, min(start_time) AS start_time, max(end_time) AS end_time,
+               sum(n_rows) AS n_rows{folded}
+        FROM blocks WHERE breach
+        GROUP BY {key}, rule, part, block
+        HAVING sum(n_rows) >= CASE rule {enough} END
+        """,
+        readings=readings,
     )

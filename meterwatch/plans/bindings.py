@@ -1,21 +1,21 @@
 """Audit inputs read from the generic test tables.
 
 Users stand for metered assets, customers for the registry, orders for invoices and exemptions,
-line items for travel tickets and documents for waste manifests.
+line items for travel tickets and documents for waste manifests. The telemetry ledger, the landed
+weather and the event fact are tables: they are written once per session to the shared folder.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meterwatch import schemas
 from meterwatch.config import CLEAN, AuditParams
-from meterwatch.functions.sizing import stored
+from meterwatch.functions.sizing import stored_table
+from meterwatch.functions.text import sql
 from meterwatch.plans import star
-from meterwatch.plans.logs import AuditInputs
 from meterwatch.sources import weather as wx
 
 # The test month is sparse: about 67 readings per asset instead of 2,880.
@@ -24,171 +24,189 @@ PARAMS = AuditParams(
     default_event_time="2024-01-01 00:00:00",
 )
 START = "2024-01-01"
+AU, NZ = "'_AU_Sydney'", "'_NZ_Boundary'"
+
+# Declared so that opening a table starts no job.
+COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _asset_id(key, region=None):
-    suffix = F.lit("_NZ_Boundary") if region is None else F.when(region == "AU", "_AU_Sydney").otherwise("_NZ_Boundary")
-    return F.concat(F.lit("Asset_"), key.cast("string"), suffix)
-
-
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    joined = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.withColumn("region", F.when(F.col("n_regionkey") == 0, "AU").otherwise("NZ"))
-
-
-def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in good standing; Australian ones have no meters."""
-    known = customers(spark, sf_dir).where(F.col("c_acctbal") >= 0)
-    return known.select(
-        F.col("c_custkey").alias("asset_ord"),
-        _asset_id(F.col("c_custkey"), F.col("region")).alias("asset_id"),
-        (20 + F.abs("c_acctbal") / 10).alias("area_sqm"),
-        (10 + F.col("n_nationkey")).cast("bigint").alias("occupant_count"),
-        "region", F.col("n_name").alias("location"),
-        (F.col("region") == "NZ").alias("has_iot"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "HIGH_DEMAND").otherwise("STANDARD").alias("space_designation"),
-        F.col("c_name").alias("display_name"),
-    )
-
-
-def _k():
-    return F.get_json_object("props", "$.k").cast("bigint")
-
-
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events summed per user and 15-minute slot."""
-    value = F.col("value")
-    of = lambda *kinds: F.coalesce(F.sum(F.when(F.col("event_type").isin(*kinds), value)), F.lit(0.0))
-    slots = (
-        table(spark, sf_dir, "events")
-        .select("user_id", "event_type", "value", _k().alias("k"), F.window("ts", "15 minutes").alias("w"))
-        .groupBy("user_id", F.col("w.start").alias("timestamp"))
-        .agg(
-            F.sum("value").alias("total_power_kw"),
-            of("click", "view").alias("hvac_power_kw"),
-            of("signup").alias("lighting_power_kw"),
-            of("purchase").alias("it_load_power_kw"),
-            of("error").alias("unmetered"),
-            F.sum("k").alias("k_sum"), F.count("k").alias("k_n"),
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+class TestTables:
+    """The audit inputs of one test data folder, each defined on first use."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: AuditParams = PARAMS):
+        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+
+    def source(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return sql(
+            f"""
+            SELECT *, CASE n_regionkey WHEN 0 THEN 'AU' ELSE 'NZ' END AS region,
+                   concat('Asset_', c_custkey, CASE n_regionkey WHEN 0 THEN {AU} ELSE {NZ} END) AS asset_id
+            FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
+            """,
+            customer=self.source("customer"), nation=self.source("nation"),
         )
-    )
-    trait = (
-        F.when(F.col("unmetered") > F.col("total_power_kw") / 2, "L1_METER_FAULT")
-        .when(F.dayofmonth("timestamp") >= 24, "L2_LATE_DRIFT")
-        .otherwise(CLEAN)
-    )
-    return slots.select(
-        "timestamp", _asset_id(F.col("user_id")).alias("asset_id"),
-        F.expr("400 + (10 * k_sum) div k_n").alias("indoor_co2_ppm"),
-        (18 + F.col("k_sum") / F.col("k_n") / 12).alias("indoor_temp_c"),
-        "total_power_kw", "hvac_power_kw", "lighting_power_kw", "it_load_power_kw",
-        trait.alias("audit_trait"),
-    )
-
-
-def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = table(spark, sf_dir, "events").select(_k().alias("k"), F.window("ts", "1 hour").alias("w"))
-    return hours.groupBy(F.col("w.start").alias("timestamp")).agg(
-        (10 + F.sum("k") / F.count("k") / 5).alias("outdoor_temp_c")
-    )
-
-
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weather(spark.sparkContext.applicationId, sf_dir)
-
-
-@lru_cache(maxsize=8)
-def _weather(app: str, sf_dir: str) -> DataFrame:
-    """Landed once per session, as the weather table is in production."""
-    return stored(wx.landed(hourly_weather(SparkSession.active(), sf_dir)))
-
-
-def exemptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a 36-hour approval, moved into the test month."""
-    shift = F.date_diff("o_orderdate", F.lit("1995-01-01").cast("date")) % 30
-    start = F.date_add(F.lit(START).cast("date"), shift).cast("timestamp_ntz")
-    codes = {"1-URGENT": "S04", "2-HIGH": "S05", "3-MEDIUM": "S06", "4-NOT SPECIFIED": "S07"}
-    scenario = F.lit("S08")
-    for priority, code in codes.items():
-        scenario = F.when(F.col("o_orderpriority") == priority, code).otherwise(scenario)
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("EX_"), F.col("o_orderkey").cast("string")).alias("exemption_id"),
-        _asset_id(F.col("o_custkey")).alias("asset_id"), scenario.alias("scenario_id"),
-        start.alias("start_time"), (start + F.make_dt_interval(hours=F.lit(36))).alias("end_time"),
-        F.col("o_orderstatus").alias("application_type"),
-    )
-
-
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as invoices; some hashes are missing, some are of another text."""
-    regions = customers(spark, sf_dir).select("c_custkey", "region")
-    orders = table(spark, sf_dir, "orders").join(regions, F.col("o_custkey") == F.col("c_custkey"))
-    text = F.concat(
-        F.col("o_orderkey").cast("string"), F.lit("|"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    )
-    day = F.dayofmonth("o_orderdate")
-    missing = (F.col("o_orderstatus") == "P") & (day == 7)
-    altered = (F.col("o_orderpriority") == "1-URGENT") & (day == 13)
-    return orders.select(
-        F.col("o_orderkey").alias("row_ord"),
-        _asset_id(F.col("o_custkey"), F.col("region")).alias("asset_id"),
-        F.trunc("o_orderdate", "month").alias("billing_month"),
-        (F.col("o_totalprice") / 100).alias("actual_billed_kwh"),
-        F.when(~missing, F.sha2(F.when(altered, F.concat(text, F.lit("|altered"))).otherwise(text), 256))
-        .alias("uploaded_pdf_hash"),
-        F.sha2(text, 256).alias("original_crypto_signature"),
-    )
-
-
-def travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as tickets, their order's customer as traveller."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    ticket = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    cabin = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", " Business ")
-        .when(F.col("o_orderpriority") == "2-HIGH", "business")
-        .otherwise("Economy")
-    )
-    return lines.select(
-        ticket.alias("row_ord"), ticket.alias("ticket_id"),
-        F.concat(F.lit("EMP_"), F.col("o_custkey").cast("string")).alias("employee_id"),
-        F.concat(
-            F.lit("S"), F.col("l_suppkey").cast("string"), F.lit("-P"), F.col("l_partkey").cast("string")
-        ).alias("route"),
-        cabin.alias("booked_class"),
-        F.col("l_extendedprice").alias("ticket_price_aud"),
-        F.col("l_quantity").cast("double").alias("flight_hours"),
-    )
-
-
-def waste(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as manifests, their labels as certificates."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    day = F.date_add(F.lit(START).cast("date"), (F.col("n_chars") % 30).cast("int"))
-    date = (
-        F.when(F.col("source") == "src0", "not a date")
-        .when(F.col("lang") == "fr", F.date_format(day, "M/d/yyyy"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
-    )
-    doc = F.col("doc_id").cast("string")
-    return docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("row_ord"),
-        F.concat(F.lit("WM_"), doc).alias("manifest_id"),
-        _asset_id(F.col("doc_id")).alias("asset_id"),
-        F.when(F.col("lang") == "fr", "Hazardous").when(F.col("lang") == "de", " E-Waste ")
-        .otherwise("General").alias("waste_type"),
-        date.alias("disposal_date"),
-        (F.col("n_chars") / 10).alias("quantity_kg"),
-        F.when(F.col("quality") == 1, F.concat(F.lit("cert/"), doc)).when(F.col("quality") == 0, "  ")
-        .alias("disposal_cert_url"),
-    )
+
+    @cached_property
+    def registry(self) -> DataFrame:
+        """Customers in good standing; Australian ones have no meters."""
+        return sql(
+            """
+            SELECT c_custkey AS asset_ord, asset_id, 20 + abs(c_acctbal) / 10 AS area_sqm,
+                   CAST(10 + n_nationkey AS BIGINT) AS occupant_count, region, n_name AS location,
+                   region = 'NZ' AS has_iot,
+                   CASE c_mktsegment WHEN 'BUILDING' THEN 'HIGH_DEMAND' ELSE 'STANDARD' END AS space_designation,
+                   c_name AS display_name
+            FROM {customers} WHERE c_acctbal >= 0
+            """,
+            customers=self.customers,
+        )
+
+    @cached_property
+    def telemetry_view(self) -> DataFrame:
+        """Events summed per user and 15-minute slot."""
+        of = lambda *kinds: (
+            "coalesce(sum(value) FILTER (WHERE event_type IN (" + ", ".join(f"'{k}'" for k in kinds) + ")), 0D)"
+        )
+        return sql(
+            f"""
+            WITH slots AS (
+              SELECT user_id, window.start AS timestamp, sum(value) AS total_power_kw,
+                     {of('click', 'view')} AS hvac_power_kw, {of('signup')} AS lighting_power_kw,
+                     {of('purchase')} AS it_load_power_kw, {of('error')} AS unmetered, sum(k) AS k_sum, count(k) AS k_n
+              FROM (SELECT *, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {{events}})
+              GROUP BY user_id, window(ts, '15 minutes')
+            )
+            SELECT timestamp, concat('Asset_', user_id, {NZ}) AS asset_id,
+                   400 + (10 * k_sum) DIV k_n AS indoor_co2_ppm, 18 + k_sum / k_n / 12 AS indoor_temp_c,
+                   total_power_kw, hvac_power_kw, lighting_power_kw, it_load_power_kw,
+                   CASE WHEN unmetered > total_power_kw / 2 THEN 'L1_METER_FAULT'
+                        WHEN day(timestamp) >= 24 THEN 'L2_LATE_DRIFT' ELSE '{CLEAN}' END AS audit_trait
+            FROM slots
+            """,
+            events=self.source("events"),
+        )
+
+    @cached_property
+    def telemetry(self) -> DataFrame:
+        return stored_table(self.telemetry_view, f"telemetry_{self._folder}")
+
+    @cached_property
+    def hourly_weather(self) -> DataFrame:
+        return sql(
+            """
+            SELECT window.start AS timestamp, 10 + sum(k) / count(k) / 5 AS outdoor_temp_c
+            FROM (SELECT ts, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {events})
+            GROUP BY window(ts, '1 hour')
+            """,
+            events=self.source("events"),
+        )
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return stored_table(wx.landed(self.hourly_weather), f"weather_{self._folder}")
+
+    @cached_property
+    def exemptions(self) -> DataFrame:
+        """Every order as a 36-hour approval, moved into the test month."""
+        return sql(
+            f"""
+            SELECT concat('EX_', o_orderkey) AS exemption_id, concat('Asset_', o_custkey, {NZ}) AS asset_id,
+                   CASE o_orderpriority WHEN '1-URGENT' THEN 'S04' WHEN '2-HIGH' THEN 'S05' WHEN '3-MEDIUM' THEN 'S06'
+                     WHEN '4-NOT SPECIFIED' THEN 'S07' ELSE 'S08' END AS scenario_id,
+                   start_time, start_time + INTERVAL '36' HOUR AS end_time, o_orderstatus AS application_type
+            FROM (SELECT *, CAST(date_add(DATE'{START}', date_diff(o_orderdate, DATE'1995-01-01') % 30)
+                                 AS TIMESTAMP_NTZ) AS start_time FROM {{orders}})
+            """,
+            orders=self.source("orders"),
+        )
+
+    @cached_property
+    def invoices(self) -> DataFrame:
+        """Orders as invoices; some hashes are missing, some are of another text."""
+        return sql(
+            """
+            SELECT o_orderkey AS row_ord, asset_id, trunc(o_orderdate, 'MM') AS billing_month,
+                   o_totalprice / 100 AS actual_billed_kwh,
+                   CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 7 THEN NULL
+                        WHEN o_orderpriority = '1-URGENT' AND day(o_orderdate) = 13 THEN sha2(concat(text, '|altered'), 256)
+                        ELSE sha2(text, 256) END AS uploaded_pdf_hash,
+                   sha2(text, 256) AS original_crypto_signature
+            FROM (SELECT *, concat(o_orderkey, '|', CAST(o_totalprice AS DECIMAL(18, 2))) AS text FROM {orders})
+            JOIN {customers} ON o_custkey = c_custkey
+            """,
+            orders=self.source("orders"), customers=self.customers,
+        )
+
+    @cached_property
+    def travel(self) -> DataFrame:
+        """Line items as tickets, their order's customer as traveller."""
+        return sql(
+            """
+            SELECT l_orderkey * 10 + l_linenumber AS row_ord, l_orderkey * 10 + l_linenumber AS ticket_id,
+                   concat('EMP_', o_custkey) AS employee_id, concat('S', l_suppkey, '-P', l_partkey) AS route,
+                   CASE o_orderpriority WHEN '1-URGENT' THEN ' Business ' WHEN '2-HIGH' THEN 'business'
+                     ELSE 'Economy' END AS booked_class,
+                   l_extendedprice AS ticket_price_aud, CAST(l_quantity AS DOUBLE) AS flight_hours
+            FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+            """,
+            lineitem=self.source("lineitem"), orders=self.source("orders"),
+        )
+
+    @cached_property
+    def waste(self) -> DataFrame:
+        """Documents as manifests, their labels as certificates."""
+        return sql(
+            f"""
+            SELECT doc_id AS row_ord, concat('WM_', doc_id) AS manifest_id, concat('Asset_', doc_id, {NZ}) AS asset_id,
+                   CASE lang WHEN 'fr' THEN 'Hazardous' WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
+                   CASE WHEN source = 'src0' THEN 'not a date' WHEN lang = 'fr' THEN date_format(day, 'M/d/yyyy')
+                        ELSE date_format(day, 'yyyy-MM-dd') END AS disposal_date,
+                   n_chars / 10 AS quantity_kg,
+                   CASE quality WHEN 1 THEN concat('cert/', doc_id) WHEN 0 THEN '  ' END AS disposal_cert_url
+            FROM (SELECT *, date_add(DATE'{START}', CAST(n_chars % 30 AS INT)) AS day FROM {{documents}})
+            LEFT JOIN {{labels}} USING (doc_id)
+            """,
+            documents=self.source("documents"), labels=self.source("labels"),
+        )
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        """The stored event fact that all reports read."""
+        return stored_table(star.fact_audit_events(self), f"fact_{self._folder}")
+
+    @property
+    def _folder(self) -> str:
+        return self.sf_dir.strip("/").replace("/", "_")
+
+
+@lru_cache(maxsize=4)
+def _tables(app: str, sf_dir: str) -> TestTables:
+    return TestTables(SparkSession.active(), sf_dir)
+
+
+def tables(spark: SparkSession, sf_dir: str) -> TestTables:
+    """The inputs of a folder, shared by all queries of a session."""
+    return _tables(spark.sparkContext.applicationId, sf_dir)
 
 
 def prior_month(spark: SparkSession) -> DataFrame:
@@ -198,22 +216,3 @@ def prior_month(spark: SparkSession) -> DataFrame:
         ("avoidable_carbon_nz", 0.0, ""), ("s08_productivity_loss", 31200.0, ""),
     ]
     return spark.createDataFrame(rows, schemas.PRIOR)
-
-
-def inputs(spark: SparkSession, sf_dir: str, params: AuditParams = PARAMS) -> AuditInputs:
-    return AuditInputs(
-        telemetry=telemetry(spark, sf_dir), weather=weather(spark, sf_dir),
-        registry=registry(spark, sf_dir), exemptions=exemptions(spark, sf_dir),
-        invoices=invoices(spark, sf_dir), travel=travel(spark, sf_dir), waste=waste(spark, sf_dir),
-        params=params,
-    )
-
-
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored event fact that all reports read; built once per session."""
-    return _fact(spark.sparkContext.applicationId, sf_dir)
-
-
-@lru_cache(maxsize=8)
-def _fact(app: str, sf_dir: str) -> DataFrame:
-    return star.fact_audit_events(inputs(SparkSession.active(), sf_dir))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch.config import CLEAN, AuditParams
-from meterwatch.functions.columns import half_even
+from meterwatch.functions.text import half_even, sql
 from meterwatch.operators import energy, evidence, facility
 from meterwatch.operators.prep import enrich
 from meterwatch.schemas import COMPLIANCE_LOG, ENERGY_LOG, FACILITY_LOG
@@ -70,13 +70,12 @@ def compliance_log(a: AuditInputs) -> DataFrame:
 
 def scenario_totals(energy_log: DataFrame, compliance_log: DataFrame) -> DataFrame:
     """Energy, money and carbon per scenario, two decimals (RPT1)."""
-    columns = ("waste_kwh", "financial_cost", "financial_exposure", "carbon_kg")
-    per_event = energy_log.select("scenario", *[c for c in columns if c in energy_log.columns]).unionByName(
+    measures = ("waste_kwh", "financial_cost", "financial_exposure", "carbon_kg")
+    per_event = energy_log.select("scenario", "waste_kwh", "financial_cost", "carbon_kg").unionByName(
         compliance_log.select("scenario", "financial_exposure", "carbon_kg"), allowMissingColumns=True
     )
-    return per_event.groupBy("scenario").agg(
-        *[half_even(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(c) for c in columns]
-    )
+    totals = ", ".join(f"{half_even(f'coalesce(sum({m}), 0D)', 2)} AS {m}" for m in measures)
+    return sql(f"SELECT scenario, {totals} FROM {{events}} GROUP BY scenario", events=per_event)
 
 
 def outcome_counts(a: AuditInputs) -> DataFrame:
@@ -85,42 +84,28 @@ def outcome_counts(a: AuditInputs) -> DataFrame:
     `amount` is the unverified energy for S01 and the row count otherwise.
     """
     p = a.params
-    rows = F.count(F.lit(1))
 
-    def counted(df: DataFrame, scenario: str, outcome: Column) -> DataFrame:
-        return df.groupBy(F.lit(scenario).alias("scenario"), outcome.alias("outcome")).agg(
-            rows.alias("n"), rows.cast("double").alias("amount")
+    def counted(scenario: str, outcome: str, df: DataFrame, amount: str = "CAST(count(*) AS DOUBLE)") -> DataFrame:
+        return sql(
+            f"SELECT '{scenario}' AS scenario, {outcome} AS outcome, count(*) AS n, {amount} AS amount "
+            "FROM {df} GROUP BY 1, 2",
+            df=df,
         )
 
+    devices = facility.unauthorised_totals(a.telemetry, a.registry)
     verdicts = energy.asset_verdicts(enrich(a.telemetry, a.weather, p), a.registry, p)
-    s07 = (
-        F.when(~F.col("complete"), "skipped_incomplete")
-        .when(~F.col("baselined"), "skipped_no_baseline")
-        .when(F.col("degraded"), "alarm")
-        .otherwise("no_degradation")
-    )
-    s10 = (
-        F.when(~F.col("complete"), "skipped_incomplete")
-        .when(F.col("breach"), "breach")
-        .otherwise("on_track")
-    )
-    rogue = facility.unauthorised_totals(a.telemetry, a.registry).groupBy(
-        F.lit("S01").alias("scenario"), F.lit("unverified").alias("outcome")
-    ).agg(rows.alias("n"), half_even(F.sum("kwh_unverified"), 2).alias("amount"))
-    trait = F.when(F.col("audit_trait") == CLEAN, "baseline_row").otherwise("excluded_row")
+    skipped = "CASE WHEN NOT complete THEN 'skipped_incomplete'"
     parts = [
-        counted(a.invoices, "S02", F.coalesce(evidence.hash_outcome(), F.lit("verified"))),
-        counted(a.telemetry, "S05", trait),
-        counted(verdicts, "S07", s07),
+        counted("S01", "'unverified'", devices, half_even("sum(kwh_unverified)", 2)),
+        counted("S02", f"coalesce({evidence.HASH_OUTCOME}, 'verified')", a.invoices),
+        counted("S05", f"CASE audit_trait WHEN '{CLEAN}' THEN 'baseline_row' ELSE 'excluded_row' END", a.telemetry),
         counted(
-            evidence.billing_checks(a.invoices, a.registry, p), "S09",
-            F.coalesce("status", F.lit("within_threshold")),
+            "S07", f"{skipped} WHEN NOT baselined THEN 'skipped_no_baseline' "
+            "WHEN degraded THEN 'alarm' ELSE 'no_degradation' END", verdicts,
         ),
-        counted(verdicts, "S10", s10),
-        counted(a.travel, "S11", F.when(evidence.short_haul_business(p), "flagged").otherwise("compliant")),
-        counted(a.waste, "S12", evidence.waste_outcome(p)),
+        counted("S09", "coalesce(status, 'within_threshold')", evidence.billing_checks(a.invoices, a.registry, p)),
+        counted("S10", f"{skipped} WHEN breach THEN 'breach' ELSE 'on_track' END", verdicts),
+        counted("S11", f"CASE WHEN {evidence.short_haul_business(p)} THEN 'flagged' ELSE 'compliant' END", a.travel),
+        counted("S12", evidence.waste_outcome(p), a.waste),
     ]
-    report = rogue
-    for part in parts:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)

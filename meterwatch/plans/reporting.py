@@ -2,54 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch.config import DEPARTMENTS, UNMETERED_DEPARTMENTS, AuditParams
-from meterwatch.functions.columns import fixed, half_even, holds
+from meterwatch.functions.text import fixed, half_even, sql
 
+AU_METRICS = ("avoidable_cost_au", "avoidable_carbon_au")
 
-def _site_names(df: DataFrame, assets: DataFrame) -> DataFrame:
+
+def with_site(df: DataFrame, assets: DataFrame) -> DataFrame:
     """Add `site`, the display name, falling back to the id."""
-    names = assets.select("asset_id", "display_name")
-    return (
-        df.join(names, "asset_id", "left")
-        .withColumn("site", F.coalesce("display_name", "asset_id"))
-        .drop("display_name")
+    return sql(
+        """
+        SELECT f.*, coalesce(a.display_name, f.asset_id) AS site
+        FROM {df} f LEFT JOIN {assets} a ON f.asset_id = a.asset_id
+        """,
+        df=df, assets=assets,
     )
 
 
-def _check_names(df: DataFrame, scenarios: DataFrame) -> DataFrame:
+def with_check(fact: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Add `audit_check`, the scenario name, falling back to the code, and the standard."""
-    named = scenarios.select("scenario", "scenario_name", "standard")
-    return (
-        df.join(named, "scenario", "left")
-        .withColumn("audit_check", F.coalesce("scenario_name", "scenario"))
-        .drop("scenario_name")
+    return sql(
+        """
+        SELECT f.*, coalesce(s.scenario_name, f.scenario) AS audit_check, s.standard
+        FROM {fact} f LEFT JOIN {scenarios} s ON f.scenario = s.scenario
+        """,
+        fact=fact, scenarios=scenarios,
     )
 
 
+def named_events(fact: DataFrame, assets: DataFrame, scenarios: DataFrame, where: str) -> DataFrame:
+    return with_check(with_site(fact.where(where), assets), scenarios)
+
+
 def kpi_delta(kpi: DataFrame, prior: DataFrame) -> DataFrame:
     """KPIs against the prior month; lower is better (M1)."""
-    australian = F.col("metric").isin("avoidable_cost_au", "avoidable_carbon_au")
-    value = F.when(australian, F.col("value_aud")).otherwise(F.col("value_nzd"))
-    noted = F.coalesce(F.col("note"), F.lit("")) != ""
-    under_review = noted & australian
-    before = prior.groupBy("metric").agg(F.first("prior_value").alias("prior_value"))
-    joined = kpi.join(before, "metric", "left").withColumn("value", value)
-    change = (F.col("value") - F.col("prior_value")) / F.col("prior_value") * 100
-    known = ~under_review & F.col("prior_value").isNotNull() & (F.col("prior_value") != 0)
-    rated = joined.withColumn("change", F.when(known, change))
-    return rated.select(
-        "metric", "label", "unit",
-        F.when(~under_review, F.col("value")).alias("value"),
-        "prior_value",
-        half_even(F.col("change"), 1).alias("delta_pct"),
-        F.when(under_review, "Under Review")
-        .when(F.col("change").isNull(), "No prior-month comparison")
-        .when(F.col("change") > 0, "worse")
-        .when(F.col("change") < 0, "better")
-        .otherwise("unchanged").alias("direction"),
+    return sql(
+        f"""
+        WITH joined AS (
+          SELECT k.*, p.prior_value, metric IN {AU_METRICS} AND coalesce(note, '') <> '' AS held,
+                 CASE WHEN metric IN {AU_METRICS} THEN value_aud ELSE value_nzd END AS value
+          FROM {{kpi}} k LEFT JOIN (SELECT metric, first(prior_value) AS prior_value FROM {{prior}} GROUP BY metric) p
+            USING (metric)
+        ), rated AS (
+          SELECT *, CASE WHEN NOT held AND prior_value <> 0 THEN (value - prior_value) / prior_value * 100 END AS change
+          FROM joined
+        )
+        SELECT metric, label, unit, CASE WHEN NOT held THEN value END AS value, prior_value,
+               {half_even('change', 1)} AS delta_pct,
+               CASE WHEN held THEN 'Under Review' WHEN change IS NULL THEN 'No prior-month comparison'
+                    WHEN change > 0 THEN 'worse' WHEN change < 0 THEN 'better' ELSE 'unchanged' END AS direction
+        FROM rated
+        """,
+        kpi=kpi, prior=prior,
     )
 
 
@@ -59,35 +65,33 @@ def compliance_matrix(fact: DataFrame, assets: DataFrame) -> DataFrame:
     Departments are a fixed short list per region, laid out beside each asset. Australian assets
     show three departments, of which energy compliance always awaits verification.
     """
-    array_of = lambda names: F.array(*[F.lit(n) for n in names])
-    au = F.col("region") == "AU"
-    cells = assets.where(F.col("region").isin("NZ", "AU")).select(
-        "asset_id", "region", "display_name",
-        F.explode(
-            F.when(au, array_of(UNMETERED_DEPARTMENTS)).otherwise(array_of(DEPARTMENTS))
-        ).alias("department"),
-    )
-    found = fact.groupBy("asset_id", "department").agg(F.count(F.lit(1)).alias("findings"))
-    n = F.coalesce("findings", F.lit(0).cast("bigint"))
-    open_check = au & (F.col("department") == "Energy Compliance")
-    return cells.join(found, ["asset_id", "department"], "left").select(
-        "asset_id", "display_name", "region", "department", n.alias("findings"),
-        F.when(open_check, "To Verify").when(n > 0, "Finding").otherwise("Clear").alias("state"),
+    return sql(
+        f"""
+        WITH cells AS (
+          SELECT asset_id, display_name, region,
+                 explode(CASE region WHEN 'AU' THEN array{UNMETERED_DEPARTMENTS} ELSE array{DEPARTMENTS} END) AS department
+          FROM {{assets}} WHERE region IN ('NZ', 'AU')
+        ), found AS (
+          SELECT asset_id, department, count(*) AS findings FROM {{fact}} GROUP BY 1, 2
+        )
+        SELECT asset_id, display_name, region, department, coalesce(findings, 0) AS findings,
+               CASE WHEN region = 'AU' AND department = 'Energy Compliance' THEN 'To Verify'
+                    WHEN findings > 0 THEN 'Finding' ELSE 'Clear' END AS state
+        FROM cells LEFT JOIN found USING (asset_id, department)
+        """,
+        assets=assets, fact=fact,
     )
 
 
 def compliance_matrix_wide(matrix: DataFrame) -> DataFrame:
     """The matrix with one column per department."""
-    return matrix.groupBy("asset_id", "display_name", "region").pivot(
-        "department", list(DEPARTMENTS)
-    ).agg(F.first("state"))
+    keyed = matrix.groupBy("asset_id", "display_name", "region")
+    return keyed.pivot("department", list(DEPARTMENTS)).agg({"state": "max"})
 
 
-def short_label(asset_id: Column) -> Column:
+def short_label(asset_id: str) -> str:
     """Compact asset label (M3)."""
-    label = F.replace(asset_id, F.lit("Asset_"), F.lit("A"))
-    label = F.replace(label, F.lit("_NZ_Boundary"), F.lit(""))
-    return F.replace(label, F.lit("_AU_Sydney"), F.lit(" SYD"))
+    return f"replace(replace(replace({asset_id}, 'Asset_', 'A'), '_NZ_Boundary', ''), '_AU_Sydney', ' SYD')"
 
 
 def drill_down(
@@ -96,158 +100,154 @@ def drill_down(
     """Events of a department and an asset in time order; None selects all (M4)."""
     picked = fact
     if department is not None:
-        picked = picked.where(F.col("department") == department)
+        picked = picked.where(picked.department == department)
     if asset_id is not None:
-        picked = picked.where(F.col("asset_id") == asset_id)
-    return _check_names(picked, scenarios).orderBy("event_time", "event_seq").select(
-        "asset_id", "department", "event_id", "audit_check", "event_time", "anomaly_duration_mins",
-        "financial_cost", "financial_exposure", "carbon_kg", "detail",
+        picked = picked.where(picked.asset_id == asset_id)
+    return sql(
+        """
+        SELECT asset_id, department, event_id, audit_check, event_time, anomaly_duration_mins, financial_cost,
+               financial_exposure, carbon_kg, detail
+        FROM {events} ORDER BY event_time, event_seq
+        """,
+        events=with_check(picked, scenarios),
     )
 
 
 def ieq_exceedance(fact: DataFrame, assets: DataFrame, p: AuditParams, scenario: str = "S06") -> DataFrame:
     """Hours in breach and within limits of the working month per asset (M5 for S06, M6 for S08)."""
-    per_asset = fact.where(F.col("scenario") == scenario).groupBy("asset_id").agg(
-        (F.sum("anomaly_duration_mins") / 60).alias("hours"), F.count(F.lit(1)).alias("events")
-    )
-    hours = F.col("hours")
-    return _site_names(per_asset, assets).select(
+    per_asset = sql(
+        f"""
+        SELECT asset_id, sum(anomaly_duration_mins) / 60 AS hours, count(*) AS events
+        FROM {{fact}} WHERE scenario = '{scenario}' GROUP BY asset_id
+        """,
+        fact=fact,
+    )
+    return with_site(per_asset, assets).selectExpr(
         "asset_id", "site",
-        half_even(hours, 2).alias("exceedance_hours"),
-        half_even(F.lit(p.working_hours) - hours, 2).alias("compliant_hours"),
-        half_even(hours / p.working_hours * 100, 1).alias("breach_pct"),
+        f"{half_even('hours', 2)} AS exceedance_hours",
+        f"{half_even(f'{p.working_hours}D - hours', 2)} AS compliant_hours",
+        f"{half_even(f'hours / {p.working_hours}D * 100', 1)} AS breach_pct",
         "events",
     )
 
 
 def ieq_daily(fact: DataFrame) -> DataFrame:
     """S08 per day: hours, peak CO2, events (M7)."""
-    return (
-        fact.where(F.col("scenario") == "S08")
-        .groupBy(F.to_date("event_time").alias("date"))
-        .agg(
-            half_even(F.sum("anomaly_duration_mins") / 60, 2).alias("exceedance_hours"),
-            F.max("peak_co2_ppm").cast("bigint").alias("peak_co2"),
-            F.count(F.lit(1)).alias("events"),
-        )
+    return sql(
+        f"""
+        SELECT to_date(event_time) AS date, {half_even('sum(anomaly_duration_mins) / 60', 2)} AS exceedance_hours,
+               CAST(max(peak_co2_ppm) AS BIGINT) AS peak_co2, count(*) AS events
+        FROM {{fact}} WHERE scenario = 'S08' GROUP BY 1
+        """,
+        fact=fact,
     )
 
 
 def ieq_daily_total(daily: DataFrame, p: AuditParams) -> DataFrame:
     """Totals over the daily table: rounded hours added up, highest peak (M7)."""
-    return daily.agg(
-        F.sum("exceedance_hours").alias("hours"), F.max("peak_co2").alias("peak_co2")
-    ).select(
-        half_even(F.col("hours"), 1).alias("exceedance_hours"),
-        half_even(F.col("hours") / p.working_hours * 100, 1).alias("breach_pct"),
-        "peak_co2",
-    )
-
-
-def _event_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame, codes: tuple[str, ...], *columns: str):
-    events = fact.where(F.col("scenario").isin(*codes))
-    return (
-        _check_names(_site_names(events, assets), scenarios)
-        .orderBy("event_time", "event_seq")
-        .select("event_id", "site", "audit_check", "event_time", *columns)
+    hours = "sum(exceedance_hours)"
+    return sql(
+        f"""
+        SELECT {half_even(hours, 1)} AS exceedance_hours,
+               {half_even(f'{hours} / {p.working_hours}D * 100', 1)} AS breach_pct, max(peak_co2) AS peak_co2
+        FROM {{daily}}
+        """,
+        daily=daily,
     )
 
 
 def ieq_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Indoor environment events in time order (M8)."""
-    return _event_log(
-        fact, assets, scenarios, ("S06", "S08"), "peak_co2_ppm", "anomaly_duration_mins", "detail"
+    return sql(
+        """
+        SELECT event_id, site, audit_check, event_time, peak_co2_ppm, anomaly_duration_mins, detail
+        FROM {events} ORDER BY event_time, event_seq
+        """,
+        events=named_events(fact, assets, scenarios, "scenario IN ('S06', 'S08')"),
     )
 
 
 def energy_event_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Energy events in time order with their quantities."""
-    return _event_log(
-        fact, assets, scenarios, ("S04", "S05", "S07", "S10"),
-        "anomaly_duration_mins", "waste_kwh", "financial_cost", "carbon_kg",
+    return sql(
+        """
+        SELECT event_id, site, audit_check, event_time, anomaly_duration_mins, waste_kwh, financial_cost, carbon_kg
+        FROM {events} ORDER BY event_time, event_seq
+        """,
+        events=named_events(fact, assets, scenarios, "scenario IN ('S04', 'S05', 'S07', 'S10')"),
     )
 
 
 def benchmark_rank(summary: DataFrame, assets: DataFrame, p: AuditParams) -> DataFrame:
     """NZ benchmark position by rising intensity; high-demand zones get a raised budget (M9)."""
-    zones = assets.select("asset_id", "space_designation")
-    raised = F.when(
-        F.col("space_designation") == "HIGH_DEMAND",
-        half_even(F.col("budget_mj_sqm") * p.zone_budget_factor, 1),
-    )
-    return (
-        _site_names(summary.join(zones, "asset_id", "left"), assets)
-        .select(
-            "asset_id", "site", "nabersnz_ratio", "ytd_actual_mj_sqm", "budget_mj_sqm",
-            F.when(F.col("breach"), "Above Budget").otherwise("Within Budget").alias("benchmark_status"),
-            raised.alias("authorised_budget_mj_sqm"),
-        )
-        .orderBy("ytd_actual_mj_sqm", "asset_id")
+    raised = half_even("budget_mj_sqm * {zone_budget_factor}", 1)
+    return sql(
+        f"""
+        SELECT asset_id, coalesce(display_name, asset_id) AS site, nabersnz_ratio, ytd_actual_mj_sqm, budget_mj_sqm,
+               CASE WHEN breach THEN 'Above Budget' ELSE 'Within Budget' END AS benchmark_status,
+               CASE space_designation WHEN 'HIGH_DEMAND' THEN {raised} END AS authorised_budget_mj_sqm
+        FROM {{summary}} LEFT JOIN (SELECT asset_id, display_name, space_designation FROM {{assets}}) USING (asset_id)
+        ORDER BY ytd_actual_mj_sqm, asset_id
+        """,
+        p, summary=summary, assets=assets,
     )
 
 
 def benchmark_au_status(summary: DataFrame, assets: DataFrame) -> DataFrame:
     """Australian benchmark position, under review while suspended."""
-    return _site_names(summary, assets).select(
+    return with_site(summary, assets).selectExpr(
         "asset_id", "site", "ytd_actual_mj_sqm", "budget_mj_sqm",
-        F.when(F.coalesce("suspended", F.lit(True)), "Under Review")
-        .when(holds(F.col("breach")), "Above Budget")
-        .otherwise("Within Budget").alias("benchmark_status"),
+        "CASE WHEN coalesce(suspended, true) THEN 'Under Review' WHEN breach THEN 'Above Budget' "
+        "ELSE 'Within Budget' END AS benchmark_status",
     )
 
 
 def energy_timeline(fact: DataFrame, assets: DataFrame) -> DataFrame:
     """Energy events with computed end, label and mark: points, or a span for S07."""
-    seconds = (F.col("anomaly_duration_mins") * 60).cast("bigint")
-    labels = {"S04": "Sub-Meter Drift", "S05": "After-Hours Waste", "S07": "Efficiency Degradation"}
-    label = F.lit(None)
-    for code, text in labels.items():
-        label = F.when(F.col("scenario") == code, text).otherwise(label)
-    events = fact.where(F.col("scenario").isin(*labels))
-    return _site_names(events, assets).select(
-        "asset_id", "site", label.alias("label"), "event_time",
-        (F.col("event_time") + F.make_dt_interval(secs=seconds)).alias("end_time"),
-        F.when(F.col("scenario") == "S07", "span").otherwise("point").alias("mark"),
-        "anomaly_duration_mins", "waste_kwh", "financial_cost",
+    return sql(
+        """
+        SELECT asset_id, site, CASE scenario WHEN 'S04' THEN 'Sub-Meter Drift' WHEN 'S05' THEN 'After-Hours Waste'
+                 ELSE 'Efficiency Degradation' END AS label, event_time,
+               event_time + make_dt_interval(0, 0, 0, CAST(anomaly_duration_mins * 60 AS BIGINT)) AS end_time,
+               CASE scenario WHEN 'S07' THEN 'span' ELSE 'point' END AS mark,
+               anomaly_duration_mins, waste_kwh, financial_cost
+        FROM {events}
+        """,
+        events=with_site(fact.where("scenario IN ('S04', 'S05', 'S07')"), assets),
     )
 
 
 def evidence_findings(fact: DataFrame, assets: DataFrame) -> DataFrame:
-    """Flagged invoices, billing reconciliation, travel and waste findings."""
-    s = F.col("scenario")
-    held = F.col("status").contains("SUSPENDED")
-    state = (
-        F.when(s == "S02", "Flagged invoice")
-        .when((s == "S09") & held, "Under Review")
-        .when(s == "S09", "Variance")
-        .when(s == "S11", "Flagged travel")
-        .otherwise("Uncertified waste")
-    )
-    price = F.when(s == "S11", F.concat(F.lit("AUD "), fixed(F.col("financial_exposure"), 0, grouped=True)))
-    exposure = F.when(
-        (s == "S09") & ~held, F.concat(F.lit("AUD "), fixed(F.col("financial_exposure"), 2, grouped=True))
-    )
-    review = F.lit("Invoice authenticity under review. Billing variance analysis will resume once "
-                   "document integrity is confirmed.")
-    events = fact.where(s.isin("S02", "S09", "S11", "S12"))
-    # travel findings name an employee, who is shown by id
-    return _site_names(events, assets).select(
-        "scenario", F.when(s == "S11", F.col("asset_id")).otherwise(F.col("site")).alias("site"),
-        state.alias("state"), F.coalesce(price, exposure).alias("amount"),
-        F.when((s == "S09") & held, review).otherwise(F.col("detail")).alias("finding"),
+    """Flagged invoices, billing reconciliation, travel and waste findings.
+
+    Travel findings name an employee, who is shown by id.
+    """
+    held = "contains(status, 'SUSPENDED')"
+    price = f"concat('AUD ', {fixed('financial_exposure', 0, grouped=True)})"
+    exposure = f"concat('AUD ', {fixed('financial_exposure', 2, grouped=True)})"
+    return sql(
+        f"""
+        SELECT scenario, CASE scenario WHEN 'S11' THEN asset_id ELSE site END AS site,
+               CASE WHEN scenario = 'S02' THEN 'Flagged invoice' WHEN scenario = 'S11' THEN 'Flagged travel'
+                    WHEN scenario = 'S12' THEN 'Uncertified waste' WHEN {held} THEN 'Under Review' ELSE 'Variance' END AS state,
+               CASE WHEN scenario = 'S11' THEN {price} WHEN scenario = 'S09' AND NOT {held} THEN {exposure} END AS amount,
+               CASE WHEN scenario = 'S09' AND {held} THEN 'Invoice authenticity under review. Billing variance analysis will resume once document integrity is confirmed.'
+                    ELSE detail END AS finding
+        FROM {{events}}
+        """,
+        events=with_site(fact.where("scenario IN ('S02', 'S09', 'S11', 'S12')"), assets),
     )
 
 
 def evidence_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Compliance events with names, breached standard and reader-facing text."""
-    events = fact.where(F.col("category") == "Compliance")
-    site = F.when(F.col("asset_id").contains("Asset"), F.col("site")).otherwise(F.col("asset_id"))
-    finding = F.replace(
-        F.col("detail"),
-        F.lit("S09 analysis suspended — upstream S02 hash breach unresolved."),
-        F.lit("Analysis suspended — invoice authenticity under review."),
-    )
-    return _check_names(_site_names(events, assets), scenarios).select(
-        "event_id", site.alias("site"), "audit_check",
-        F.col("standard").alias("standard_breached"), finding.alias("finding"),
+    return sql(
+        """
+        SELECT event_id, CASE WHEN contains(asset_id, 'Asset') THEN site ELSE asset_id END AS site, audit_check,
+               standard AS standard_breached,
+               replace(detail, 'S09 analysis suspended — upstream S02 hash breach unresolved.',
+                       'Analysis suspended — invoice authenticity under review.') AS finding
+        FROM {events}
+        """,
+        events=named_events(fact, assets, scenarios, "category = 'Compliance'"),
     )

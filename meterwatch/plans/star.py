@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from meterwatch import config
-from meterwatch.functions.columns import fixed, half_even, lenient_time
 from meterwatch.functions.sizing import ensure_checkpoint_dir
+from meterwatch.functions.text import columns, fixed, half_even, lenient_time, sql
 from meterwatch.plans import logs
 from meterwatch.schemas import DIM_ASSETS, FACT
 
@@ -31,47 +30,42 @@ RISKS = [
 ]
 
 
-def department_of(scenario: Column) -> Column:
+def department_of(scenario: str) -> str:
     """Responsible department, 'Unknown' for an unlisted scenario (FCT6)."""
-    known = F.create_map(*[F.lit(v) for row in config.SCENARIOS for v in (row[0], row[2])])
-    return F.coalesce(F.try_element_at(known, scenario), F.lit("Unknown"))
+    branches = " ".join(f"WHEN '{row[0]}' THEN '{row[2]}'" for row in config.SCENARIOS)
+    return f"CASE {scenario} {branches} ELSE 'Unknown' END"
 
 
-def region_of(asset_id: Column) -> Column:
+def region_of(asset_id: str) -> str:
     """AU for Sydney or _AU_ ids, else NZ (FCT5)."""
-    au = asset_id.contains("Sydney") | asset_id.contains("_AU_")
-    return F.when(au, "AU").otherwise("NZ")
+    return f"CASE WHEN contains({asset_id}, 'Sydney') OR contains({asset_id}, '_AU_') THEN 'AU' ELSE 'NZ' END"
 
 
-def normalise(log: DataFrame, category: str, event_time: Column, detail: Column) -> DataFrame:
+def normalise(log: DataFrame, category: str, event_time: str, detail: str) -> DataFrame:
     """A log as fact rows (FCT1, FCT2).
 
     A measure that belongs to the log's schema keeps its nulls; one that does not is zero.
     """
     order = {"Facility": 1, "Energy": 2, "Compliance": 3}[category]
-    measure = lambda m: F.col(m).cast("double") if m in log.columns else F.lit(0.0)
-    return log.select(
-        F.lit(order).alias("category_ord"), "emit_group", "emit_entity",
-        "asset_id", "scenario", "status", F.lit(category).alias("category"),
-        department_of(F.col("scenario")).alias("department"),
-        event_time.alias("event_time"),
-        *[measure(m).alias(m) for m in MEASURES],
-        detail.alias("detail"),
-        region_of(F.col("asset_id")).alias("region"),
+    present = set(log.columns)
+    return log.selectExpr(
+        f"{order} AS category_ord", "emit_group", "emit_entity", "asset_id", "scenario", "status",
+        f"'{category}' AS category", f"{department_of('scenario')} AS department", f"{event_time} AS event_time",
+        *[f"CAST({m} AS DOUBLE) AS {m}" if m in present else f"0D AS {m}" for m in MEASURES],
+        f"{detail} AS detail", f"{region_of('asset_id')} AS region",
     )
 
 
 def facility_facts(log: DataFrame) -> DataFrame:
-    return normalise(log, "Facility", F.col("start_time"), F.col("recommendation"))
+    return normalise(log, "Facility", "start_time", "recommendation")
 
 
 def energy_facts(log: DataFrame) -> DataFrame:
-    return normalise(log, "Energy", F.col("timestamp"), F.lit(""))
+    return normalise(log, "Energy", "timestamp", "''")
 
 
 def compliance_facts(log: DataFrame, default_time: str) -> DataFrame:
-    when = lenient_time(F.col("disposal_date"), default_time)
-    return normalise(log, "Compliance", when, F.col("detail"))
+    return normalise(log, "Compliance", lenient_time("disposal_date", default_time), "detail")
 
 
 def unnumbered_facts(a: logs.AuditInputs) -> DataFrame:
@@ -88,30 +82,25 @@ def with_event_ids(facts: DataFrame) -> DataFrame:
 
     Events are range-partitioned and sorted, written to the checkpoint folder, and numbered from
     their place in the stored partition plus the sizes of the partitions before it. Only the sizes,
-    one row per partition, are ordered in a single task.
+    one row per partition, are ordered in a single task and broadcast.
     """
     ensure_checkpoint_dir(facts.sparkSession)
-    placed = (
-        facts.repartitionByRange(*EMIT_ORDER)
-        .sortWithinPartitions(*EMIT_ORDER)
-        .checkpoint()
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumns({
-            "_part": F.shiftright("_place", 33),
-            "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
-        })
-    )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    seq = (F.col("_offset") + F.col("_row") + 1).alias("event_seq")
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .select("*", seq)
-        .withColumn("event_id", F.format_string("EVT_%04d", "event_seq"))
-        .drop("_part", "_row", "_place", "_offset")
+    stored = facts.repartitionByRange(*EMIT_ORDER).sortWithinPartitions(*EMIT_ORDER).checkpoint()
+    placed = stored.selectExpr("*", "monotonically_increasing_id() AS place")
+    return sql(
+        f"""
+        WITH sizes AS (
+          SELECT shiftright(place, 33) AS part, count(*) AS n FROM {{placed}} GROUP BY 1
+        ), offsets AS (
+          SELECT part, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS skip
+          FROM sizes
+        ), numbered AS (
+          SELECT /*+ BROADCAST(o) */ p.*, o.skip + (p.place & {(1 << 33) - 1}L) + 1 AS event_seq
+          FROM {{placed}} p JOIN offsets o ON shiftright(p.place, 33) = o.part
+        )
+        SELECT * EXCEPT (place), format_string('EVT_%04d', event_seq) AS event_id FROM numbered
+        """,
+        placed=placed,
     )
 
 
@@ -122,18 +111,12 @@ def fact_audit_events(a: logs.AuditInputs) -> DataFrame:
 
 def dim_assets(registry: DataFrame) -> DataFrame:
     """Asset dimension with defaults for absent attributes (SRC5)."""
-    default = {
-        "region": F.lit("NZ"), "location": F.lit(""), "area_sqm": F.lit(0.0),
-        "occupant_count": F.lit(0).cast("bigint"), "space_designation": F.lit("STANDARD"),
-        "display_name": F.col("asset_id"), "has_iot": F.lit(False),
+    defaults = {
+        "region": "'NZ'", "location": "''", "area_sqm": "0D", "occupant_count": "0L",
+        "space_designation": "'STANDARD'", "display_name": "asset_id", "has_iot": "false",
     }
-    return registry.select(
-        *[F.coalesce(F.col(c), default[c]).alias(c) if c in default else F.col(c) for c in DIM_ASSETS]
-    )
-
-
-def _total(column: str, where: Column) -> Column:
-    return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0.0))
+    filled = columns(DIM_ASSETS, **{c: f"coalesce({c}, {d})" for c, d in defaults.items()})
+    return sql(f"SELECT {filled} FROM {{registry}}", registry=registry)
 
 
 def net_avoidable(fact: DataFrame) -> DataFrame:
@@ -142,39 +125,33 @@ def net_avoidable(fact: DataFrame) -> DataFrame:
     Energy already explained by S04, S05 and S07 on an asset is taken off the S10 overrun of the
     same asset. The explained side holds one row per asset.
     """
-    nz = fact.where(F.col("region") == "NZ")
-    direct = nz.where(F.col("scenario").isin(*ATTRIBUTED))
-    explained = direct.groupBy("asset_id").agg(F.sum("waste_kwh").alias("explained_kwh"))
-    overruns = nz.where(F.col("scenario") == "S10").join(explained, "asset_id", "left")
-    kwh = F.col("waste_kwh")
-    open_kwh = F.greatest(kwh - F.coalesce("explained_kwh", F.lit(0.0)), F.lit(0.0))
-    layers = direct.select(
-        F.col("financial_cost").alias("attributable_cost"), F.col("carbon_kg").alias("attributable_carbon")
-    ).unionByName(
-        overruns.where(kwh > 0).select(
-            (F.col("financial_cost") * open_kwh / kwh).alias("net_overrun_cost"),
-            (F.col("carbon_kg") * open_kwh / kwh).alias("net_overrun_carbon"),
-        ),
-        allowMissingColumns=True,
-    )
-    return layers.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in layers.columns])
-
-
-def scenario_sums(fact: DataFrame) -> DataFrame:
-    """Count and sums per scenario: at most one row per scenario code."""
-    zero = lambda c: F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
-    return fact.groupBy("scenario").agg(
-        F.count(F.lit(1)).alias("events"),
-        zero("financial_exposure"), zero("carbon_kg"), zero("cognitive_loss_nzd"),
-        zero("anomaly_duration_mins"),
+    return sql(
+        f"""
+        WITH direct AS (
+          SELECT asset_id, waste_kwh, financial_cost, carbon_kg FROM {{fact}}
+          WHERE region = 'NZ' AND scenario IN {ATTRIBUTED}
+        ), explained AS (
+          SELECT asset_id, sum(waste_kwh) AS kwh FROM direct GROUP BY asset_id
+        ), overruns AS (
+          SELECT financial_cost, carbon_kg, greatest(waste_kwh - coalesce(kwh, 0D), 0D) / waste_kwh AS share
+          FROM {{fact}} LEFT JOIN explained USING (asset_id)
+          WHERE region = 'NZ' AND scenario = 'S10' AND waste_kwh > 0
+        ), layers AS (
+          SELECT financial_cost AS cost, carbon_kg AS carbon, 0D AS net_cost, 0D AS net_carbon FROM direct
+          UNION ALL
+          SELECT 0D, 0D, financial_cost * share, carbon_kg * share FROM overruns
+        )
+        SELECT coalesce(sum(cost), 0D) AS attributable_cost, coalesce(sum(carbon), 0D) AS attributable_carbon,
+               coalesce(sum(net_cost), 0D) AS net_overrun_cost, coalesce(sum(net_carbon), 0D) AS net_overrun_carbon
+        FROM layers
+        """,
+        fact=fact,
     )
 
 
 def violations(fact: DataFrame) -> DataFrame:
     """Events of the evidence-chain scenarios (KPI1)."""
-    return fact.agg(
-        F.count(F.when(F.col("scenario").isin(*VIOLATIONS), True)).alias("total_violations")
-    )
+    return sql(f"SELECT count_if(scenario IN {VIOLATIONS}) AS total_violations FROM {{fact}}", fact=fact)
 
 
 def kpi_summary(fact: DataFrame) -> DataFrame:
@@ -182,40 +159,41 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
 
     Two aggregates of one row each are added up into one, and the rows are laid out from it.
     """
-    scenario = F.col("scenario")
-    plain = fact.agg(
-        F.count(F.when(scenario.isin(*VIOLATIONS), True)).cast("double").alias("violations"),
-        _total("financial_exposure", scenario == "S09").alias("au_cost"),
-        _total("carbon_kg", scenario == "S09").alias("au_carbon"),
-        _total("cognitive_loss_nzd", scenario == "S08").alias("loss"),
-    )
-    net = net_avoidable(fact).select(
-        (F.col("attributable_cost") + F.col("net_overrun_cost")).alias("nz_cost"),
-        (F.col("attributable_carbon") + F.col("net_overrun_carbon")).alias("nz_carbon"),
-    )
-    both = plain.unionByName(net, allowMissingColumns=True)
-    one = both.agg(*[F.sum(c).alias(c) for c in both.columns])
-    nil, none = F.lit(0.0), F.lit("")
-    au_note = F.when(F.col("au_cost") == 0, AU_NOTE).otherwise("")
+    au_note = f"CASE WHEN au_cost = 0 THEN '{AU_NOTE}' ELSE '' END"
     metrics = [
-        ("total_violations", F.col("violations"), nil, "Data & Compliance Violations", "count", none),
-        ("avoidable_cost_nz", half_even(F.col("nz_cost"), 2), nil, "Avoidable Energy Cost (NZ)", "NZD", none),
-        ("avoidable_cost_au", nil, half_even(F.col("au_cost"), 2), "Avoidable Energy Cost (AU)", "AUD", au_note),
-        ("avoidable_carbon_nz", half_even(F.col("nz_carbon"), 1), nil,
-         "Avoidable Carbon Emissions (NZ)", "kgCO2e", none),
-        ("avoidable_carbon_au", nil, half_even(F.col("au_carbon"), 1),
-         "Avoidable Carbon Emissions (AU)", "kgCO2e", au_note),
-        ("s08_productivity_loss", half_even(F.col("loss"), 2), nil,
-         "HIGH-DEMAND Zone Staff Productivity Loss", "NZD", F.lit("Zero-cost remedy available")),
+        ("total_violations", "violations", "0D", "Data & Compliance Violations", "count", "''"),
+        ("avoidable_cost_nz", half_even("nz_cost", 2), "0D", "Avoidable Energy Cost (NZ)", "NZD", "''"),
+        ("avoidable_cost_au", "0D", half_even("au_cost", 2), "Avoidable Energy Cost (AU)", "AUD", au_note),
+        ("avoidable_carbon_nz", half_even("nz_carbon", 1), "0D", "Avoidable Carbon Emissions (NZ)", "kgCO2e", "''"),
+        ("avoidable_carbon_au", "0D", half_even("au_carbon", 1), "Avoidable Carbon Emissions (AU)", "kgCO2e", au_note),
+        ("s08_productivity_loss", half_even("loss", 2), "0D", "HIGH-DEMAND Zone Staff Productivity Loss", "NZD",
+         "'Zero-cost remedy available'"),
     ]
-    rows = [
-        F.struct(
-            F.lit(m).alias("metric"), nzd.alias("value_nzd"), aud.alias("value_aud"),
-            F.lit(label).alias("label"), F.lit(unit).alias("unit"), note.alias("note"),
-        )
+    rows = ", ".join(
+        f"named_struct('metric', '{m}', 'value_nzd', {nzd}, 'value_aud', {aud}, 'label', '{label}', "
+        f"'unit', '{unit}', 'note', {note})"
         for m, nzd, aud, label, unit, note in metrics
-    ]
-    return one.select(F.inline(F.array(*rows)))
+    )
+    return sql(
+        f"""
+        WITH parts AS (
+          SELECT CAST(count_if(scenario IN {VIOLATIONS}) AS DOUBLE) AS violations,
+                 coalesce(sum(financial_exposure) FILTER (WHERE scenario = 'S09'), 0D) AS au_cost,
+                 coalesce(sum(carbon_kg) FILTER (WHERE scenario = 'S09'), 0D) AS au_carbon,
+                 coalesce(sum(cognitive_loss_nzd) FILTER (WHERE scenario = 'S08'), 0D) AS loss,
+                 0D AS nz_cost, 0D AS nz_carbon
+          FROM {{fact}}
+          UNION ALL
+          SELECT 0D, 0D, 0D, 0D, attributable_cost + net_overrun_cost, attributable_carbon + net_overrun_carbon FROM {{net}}
+        ), one AS (
+          SELECT sum(violations) AS violations, sum(au_cost) AS au_cost, sum(au_carbon) AS au_carbon,
+                 sum(loss) AS loss, sum(nz_cost) AS nz_cost, sum(nz_carbon) AS nz_carbon
+          FROM parts
+        )
+        SELECT inline(array({rows})) FROM one
+        """,
+        fact=fact, net=net_avoidable(fact),
+    )
 
 
 def priority_top1(fact: DataFrame) -> DataFrame:
@@ -223,65 +201,69 @@ def priority_top1(fact: DataFrame) -> DataFrame:
 
     Spark limits each task's candidates to one per dimension before they shuffle.
     """
-    rank = measure = F.lit(None)
-    for n, _, codes, column in reversed(RISKS):
-        rank = F.when(F.col("scenario").isin(*codes), n).otherwise(rank)
-        measure = F.when(F.col("scenario").isin(*codes), F.col(column)).otherwise(measure)
-    ranked = fact.withColumns({"priority": rank, "measure": measure}).where("priority is not null")
-    leading = Window.partitionBy("priority").orderBy(F.desc_nulls_last("measure"), "event_seq")
-    return ranked.withColumn("_n", F.row_number().over(leading)).where("_n = 1").drop("_n")
+    rank = " ".join(f"WHEN scenario IN {codes} THEN {n}" for n, _, codes, _ in RISKS)
+    measure = " ".join(f"WHEN scenario IN {codes} THEN {m}" for _, _, codes, m in RISKS)
+    return sql(
+        f"""
+        SELECT * EXCEPT (place) FROM (
+          SELECT *, row_number() OVER (PARTITION BY priority ORDER BY measure DESC NULLS LAST, event_seq) AS place
+          FROM (SELECT *, CASE {rank} END AS priority, CASE {measure} END AS measure FROM {{fact}})
+          WHERE priority IS NOT NULL)
+        WHERE place = 1
+        """,
+        fact=fact,
+    )
 
 
 def priority_detail(top: DataFrame, fact: DataFrame) -> DataFrame:
     """Finding text per leading event; templates quote scenario-wide totals (PRI2)."""
-    sums = scenario_sums(fact.where(F.col("scenario").isin("S06", "S08"))).select(
-        "scenario", "events", F.col("cognitive_loss_nzd").alias("loss"),
-        F.col("anomaly_duration_mins").alias("minutes"),
-    )
-    s, asset, ratio = F.col("scenario"), F.col("asset_id"), F.col("nabersnz_ratio")
-    benchmark = F.concat(
-        asset, F.lit(" YTD energy intensity is "), fixed((ratio - 1) * 100, 1),
-        F.lit("% above its climate-adjusted NABERSNZ budget (ratio "), fixed(ratio, 3),
-        F.lit("). Current rating at risk of downgrade at next annual assessment. Primary driver: "
-              "sustained high IT load. Recommended: workload migration assessment or data centre "
-              "exclusion application to NZGBC."),
+    benchmark = (
+        f"concat(asset_id, ' YTD energy intensity is ', {fixed('(nabersnz_ratio - 1) * 100', 1)}, "
+        f"'% above its climate-adjusted NABERSNZ budget (ratio ', {fixed('nabersnz_ratio', 3)}, "
+        "'). Current rating at risk of downgrade at next annual assessment. Primary driver: sustained high "
+        "IT load. Recommended: workload migration assessment or data centre exclusion application to NZGBC.')"
     )
-    ventilation = F.concat(
-        asset, F.lit(" recorded "), F.col("events").cast("string"),
-        F.lit(" sustained CO2 exceedance events above 1,000 ppm during November workdays (total "),
-        fixed(F.col("minutes"), 0),
-        F.lit(" minutes), breaching NZS 4303:1990 ventilation requirements."),
+    ventilation = (
+        "concat(asset_id, ' recorded ', events, ' sustained CO2 exceedance events above 1,000 ppm during "
+        f"November workdays (total ', {fixed('minutes', 0)}, ' minutes), breaching NZS 4303:1990 "
+        "ventilation requirements.')"
     )
-    zone = F.concat(
-        asset, F.lit(" HIGH-DEMAND zone recorded "), F.col("events").cast("string"),
-        F.lit(" IEQ gap events in November. Estimated staff productivity loss: NZD "),
-        fixed(F.col("loss"), 0, grouped=True),
-        F.lit(". Recoverable through HVAC fresh air recalibration within authorised +20% energy budget."),
+    zone = (
+        "concat(asset_id, ' HIGH-DEMAND zone recorded ', events, ' IEQ gap events in November. Estimated staff "
+        f"productivity loss: NZD ', {fixed('loss', 0, grouped=True)}, '. Recoverable through HVAC fresh air "
+        "recalibration within authorised +20% energy budget.')"
     )
-    given = F.trim(F.coalesce("detail", F.lit("")))
-    text = (
-        F.when(s == "S10", benchmark)
-        .when(s == "S06", ventilation)
-        .when(s == "S08", zone)
-        .when((given != "") & (F.lower(given) != "nan"), given)
-        .otherwise(F.concat(F.col("status"), F.lit(" detected at "), asset))
+    given = "trim(coalesce(detail, ''))"
+    return sql(
+        f"""
+        WITH totals AS (
+          SELECT scenario, count(*) AS events, coalesce(sum(cognitive_loss_nzd), 0D) AS loss,
+                 coalesce(sum(anomaly_duration_mins), 0D) AS minutes
+          FROM {{fact}} WHERE scenario IN ('S06', 'S08') GROUP BY scenario
+        )
+        SELECT t.* EXCEPT (detail), CASE scenario WHEN 'S10' THEN {benchmark} WHEN 'S06' THEN {ventilation}
+                 WHEN 'S08' THEN {zone}
+                 ELSE CASE WHEN {given} <> '' AND lower({given}) <> 'nan' THEN {given}
+                           ELSE concat(status, ' detected at ', asset_id) END END AS detail
+        FROM {{top}} t LEFT JOIN totals USING (scenario)
+        """,
+        top=top, fact=fact,
     )
-    return top.join(sums, "scenario", "left").withColumn("detail", text)
 
 
 def priority_actions(fact: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Top finding per risk dimension with its text and an empty recommendation (PRI3)."""
-    labels = F.create_map(*[F.lit(v) for n, label, _, _ in RISKS for v in (n, label)])
-    named = priority_detail(priority_top1(fact), fact).join(
-        scenarios.select("scenario", "scenario_name"), "scenario", "left"
-    )
-    return named.select(
-        "priority", F.element_at(labels, F.col("priority")).alias("dimension"), "scenario", "asset_id",
-        F.concat(F.coalesce("scenario_name", F.lit("")), F.lit(" — "), F.col("status")).alias("finding"),
-        "detail", F.lit("").alias("editable_recommendation"),
+    labels = " ".join(f"WHEN {n} THEN '{label}'" for n, label, _, _ in RISKS)
+    return sql(
+        f"""
+        SELECT priority, CASE priority {labels} END AS dimension, scenario, asset_id,
+               concat(coalesce(scenario_name, ''), ' — ', status) AS finding, detail, '' AS editable_recommendation
+        FROM {{findings}} LEFT JOIN (SELECT scenario, scenario_name FROM {{scenarios}}) USING (scenario)
+        """,
+        findings=priority_detail(priority_top1(fact), fact), scenarios=scenarios,
     )
 
 
 def events_by_category(fact: DataFrame) -> DataFrame:
     """Event count per category and scenario (RPT3)."""
-    return fact.groupBy("category", "scenario").agg(F.count(F.lit(1)).alias("events"))
+    return sql("SELECT category, scenario, count(*) AS events FROM {fact} GROUP BY 1, 2", fact=fact)

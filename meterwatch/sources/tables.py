@@ -8,8 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwatch.functions.columns import nan_to_null
-
 # Accepted header names per telemetry column, best first.
 TELEMETRY_ALIASES: Mapping[str, Sequence[str]] = {
     "asset_id": ("asset_id", "mac_address"),
@@ -61,6 +59,12 @@ def resolve_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> Data
     return df.withColumnsRenamed(renames)
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN readings become null: Spark sorts NaN above every number."""
+    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    return df.selectExpr(*[f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" if c in floats else c for c in df.columns])
+
+
 def clean_telemetry(df: DataFrame) -> DataFrame:
     """Canonical names, NaN as null, rows without a time dropped."""
     named = resolve_columns(strip_headers(df), TELEMETRY_ALIASES)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from meterwatch import schemas
-from meterwatch.functions.columns import half_even
+from meterwatch.functions.text import half_even, sql
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
@@ -15,12 +14,12 @@ def read_payload(spark: SparkSession, path: str) -> DataFrame:
 
 def explode_payload(payload: DataFrame) -> DataFrame:
     """Two parallel arrays to one row per hour (SRC4)."""
-    pairs = payload.select(
-        F.inline(F.arrays_zip(F.col("hourly.time").alias("time"), F.col("hourly.temperature_2m").alias("temp")))
-    )
-    return pairs.select(
-        F.to_timestamp_ntz("time", F.lit("yyyy-MM-dd'T'HH:mm")).alias("timestamp"),
-        F.col("temp").alias("outdoor_temp_c"),
+    return sql(
+        """
+        SELECT to_timestamp_ntz(time, "yyyy-MM-dd'T'HH:mm") AS timestamp, temperature_2m AS outdoor_temp_c
+        FROM (SELECT inline(arrays_zip(hourly.time, hourly.temperature_2m)) FROM {payload})
+        """,
+        payload=payload,
     )
 
 
@@ -30,55 +29,58 @@ def resample_linear(hourly: DataFrame, minutes: int = 15) -> DataFrame:
     The look-ahead runs within a month. Its last reading finds its neighbour in the month heads,
     of which there is one per month, so that no task orders the whole history.
     """
-    month = F.date_format("timestamp", "yyyy-MM")
-    known = hourly.where(F.col("outdoor_temp_c").isNotNull()).withColumn("month", month)
-    heads = known.groupBy("month").agg(
-        F.min(F.struct("timestamp", "outdoor_temp_c")).alias("head")
+    seconds = lambda a, b: f"CAST(CAST({b} - {a} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
+    return sql(
+        f"""
+        WITH known AS (
+          SELECT timestamp AS t0, outdoor_temp_c AS v0, trunc(to_date(timestamp), 'MM') AS month
+          FROM {{hourly}} WHERE outdoor_temp_c IS NOT NULL
+        ), heads AS (
+          SELECT month, lead(head) OVER (ORDER BY month) AS next_head
+          FROM (SELECT month, min(struct(t0, v0)) AS head FROM known GROUP BY month)
+        ), paired AS (
+          SELECT /*+ BROADCAST(h) */ t0, v0, coalesce(ahead, next_head).t0 AS t1, coalesce(ahead, next_head).v0 AS v1
+          FROM (SELECT *, lead(struct(t0, v0)) OVER (PARTITION BY month ORDER BY t0) AS ahead FROM known) k
+          JOIN heads h ON k.month = h.month
+        ), grid AS (
+          SELECT *, explode(CASE WHEN t1 IS NULL THEN array(t0)
+                            ELSE sequence(t0, t1, INTERVAL '{minutes}' MINUTE) END) AS timestamp
+          FROM paired
+        )
+        SELECT timestamp, CASE WHEN t1 IS NULL THEN v0
+                 ELSE v0 + (v1 - v0) * (CAST({seconds('t0', 'timestamp')} AS DOUBLE) / {seconds('t0', 't1')}) END AS outdoor_temp_c
+        FROM grid WHERE t1 IS NULL OR timestamp < t1
+        """,
+        hourly=hourly,
     )
-    by_month = Window.orderBy("month")
-    heads = heads.select("month", F.lead("head").over(by_month).alias("next_head"))
-    in_month = Window.partitionBy("month").orderBy("timestamp")
-    following = known.withColumn(
-        "ahead", F.lead(F.struct("timestamp", "outdoor_temp_c")).over(in_month)
-    ).join(F.broadcast(heads), "month", "left")
-    ahead = F.coalesce("ahead", "next_head")
-    t0, v0 = F.col("timestamp"), F.col("outdoor_temp_c")
-    t1, v1 = ahead["timestamp"], ahead["outdoor_temp_c"]
-    step = F.make_dt_interval(mins=F.lit(minutes))
-    grid = following.select(
-        t0.alias("t0"), v0.alias("v0"), t1.alias("t1"), v1.alias("v1"),
-        F.explode(
-            F.when(t1.isNull(), F.array(t0)).otherwise(F.sequence(t0, t1, step))
-        ).alias("timestamp"),
-    ).where(F.col("t1").isNull() | (F.col("timestamp") < F.col("t1")))
-    seconds = lambda a, b: (b - a).cast("interval second").cast("decimal(18,6)").cast("double")
-    share = seconds(F.col("t0"), F.col("timestamp")) / seconds(F.col("t0"), F.col("t1"))
-    value = F.col("v0") + (F.col("v1") - F.col("v0")) * F.coalesce(share, F.lit(0.0))
-    return grid.select("timestamp", F.when(F.col("t1").isNull(), F.col("v0")).otherwise(value).alias("outdoor_temp_c"))
 
 
 def with_day_type(df: DataFrame) -> DataFrame:
     """WEEKEND from Saturday on, else WEEKDAY (PRE10)."""
-    return df.withColumn(
-        "day_type", F.when(F.weekday("timestamp") >= 5, "WEEKEND").otherwise("WEEKDAY")
-    )
+    return df.selectExpr("*", "CASE WHEN weekday(timestamp) >= 5 THEN 'WEEKEND' ELSE 'WEEKDAY' END AS day_type")
 
 
 def overlay(df: DataFrame, column: str, start: str, end: str, value: float) -> DataFrame:
     """Overwrite a column within a closed time interval (PRE11)."""
-    inside = F.col("timestamp").between(F.to_timestamp_ntz(F.lit(start)), F.to_timestamp_ntz(F.lit(end)))
-    return df.withColumn(column, F.when(inside, F.lit(value)).otherwise(F.col(column)))
+    inside = f"timestamp BETWEEN TIMESTAMP_NTZ'{start}' AND TIMESTAMP_NTZ'{end}'"
+    return df.selectExpr(*[
+        f"CASE WHEN {inside} THEN {value}D ELSE {c} END AS {c}" if c == column else c for c in df.columns
+    ])
+
+
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    return df.selectExpr(*[
+        f"{half_even(c, digits)} AS {c}" if c == "outdoor_temp_c" else c for c in df.columns
+    ])
 
 
 def as_text(df: DataFrame) -> DataFrame:
     """Interchange form: time as text, temperature with two decimals (PRE12)."""
-    return df.withColumns({
-        "timestamp": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"),
-        "outdoor_temp_c": half_even(F.col("outdoor_temp_c"), 2),
-    })
+    return rounded(df, 2).selectExpr(
+        *["date_format(timestamp, 'yyyy-MM-dd HH:mm:ss') AS timestamp" if c == "timestamp" else c for c in df.columns]
+    )
 
 
 def landed(hourly: DataFrame) -> DataFrame:
     """The weather table: 15-minute grid with day class, two decimals."""
-    grid = with_day_type(resample_linear(hourly))
-    return grid.withColumn("outdoor_temp_c", half_even(F.col("outdoor_temp_c"), 2))
+    return rounded(with_day_type(resample_linear(hourly)), 2)
