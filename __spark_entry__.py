@@ -127,7 +127,7 @@ def _air_quality(t: b.TestTables, *codes: str) -> DataFrame:
 
 def _power(t: b.TestTables, *codes: str) -> DataFrame:
     readings = _enriched(t) if "S05" in codes else t.telemetry
-    return energy.power_events(readings, t.registry, t.exemptions, P, codes).select(*schemas.ENERGY_LOG)
+    return energy.power_events(t.telemetry, readings, t.registry, t.exemptions, P, codes).select(*schemas.ENERGY_LOG)
 
 
 def _verdicts(t: b.TestTables) -> DataFrame:

@@ -130,13 +130,28 @@ DEPARTMENTS = ("Facilities", "Energy Compliance", "IT / Data", "Finance / Legal"
 UNMETERED_DEPARTMENTS = ("Energy Compliance", "Finance / Legal", "ESG / Compliance")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small configured table as a local relation, whose size the optimizer knows."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value).lower() if isinstance(value, bool) else repr(value)
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({', '.join(name for name, _ in fields)})")
+
+
 def registry(spark: SparkSession) -> DataFrame:
     """The configured sites; `asset_ord` keeps their registration order."""
-    rows = [(n, *site) for n, site in enumerate(SITES, 1)]
-    return spark.createDataFrame(rows, schemas.REGISTRY)
+    return literal_table(spark, [(n, *site) for n, site in enumerate(SITES, 1)], schemas.REGISTRY)
 
 
 def scenarios(spark: SparkSession) -> DataFrame:
     """Scenario dimension (SRC6)."""
-    known = spark.createDataFrame(SCENARIOS, schemas.SCENARIO)
+    known = literal_table(spark, SCENARIOS, schemas.SCENARIO)
     return known.selectExpr("*", f"scenario NOT IN {DETAIL_ONLY} AS ceo_visible")

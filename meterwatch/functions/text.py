@@ -55,7 +55,8 @@ def slot_offset(ts: str, minutes: int) -> str:
 
 def day_chunk(ts: str, days: int) -> str:
     """Number of the `days`-long calendar chunk that holds a timestamp."""
-    return f"CAST(floor(unix_date(to_date({ts})) / {days}) AS INT)"
+    day = f"unix_date(to_date({ts}))"
+    return day if days == 1 else f"CAST(floor({day} / {days}) AS INT)"
 
 
 def cooling_degrees(temp: str, base: float) -> str:

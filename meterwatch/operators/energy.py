@@ -89,13 +89,16 @@ def power_rules(p: AuditParams, scenarios: Sequence[str]) -> list[RunRule]:
 
 
 def power_events(
-    enriched: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams,
+    telemetry: DataFrame, enriched: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams,
     scenarios: Sequence[str] = ("S04", "S05"),
 ) -> DataFrame:
-    """S04 and S05 from one ordered pass over the readings."""
+    """S04 and S05 from one ordered pass over the enriched readings.
+
+    Baselines and the asset profile need no weather and read plain telemetry.
+    """
     readings = with_chunk(enriched, p.chunk_days)
     if "S05" in scenarios:
-        readings = with_hour_limit(readings, hourly_baseline(enriched, p))
+        readings = with_hour_limit(readings, hourly_baseline(telemetry, p))
     runs = sustained_events(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)
     minutes = f"n_rows * {p.slot_minutes}"
     leak_kwh = f"gap_kw / n_rows * ({minutes} / 60D)" if "S04" in scenarios else "0D"
@@ -106,7 +109,7 @@ def power_events(
         FROM {{sites}} JOIN (SELECT asset_id, total_assessed_mins FROM {{profile}}) USING (asset_id)
           JOIN (SELECT *, rule AS scenario FROM {{runs}}) USING (asset_id)
         """,
-        sites=metered(registry), profile=asset_profile(enriched, p), runs=runs,
+        sites=metered(registry), profile=asset_profile(telemetry, p), runs=runs,
     )
     extras = {}
     if "S04" in scenarios:

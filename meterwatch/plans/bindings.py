@@ -12,7 +12,7 @@ from functools import cached_property, lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from meterwatch import schemas
-from meterwatch.config import CLEAN, AuditParams
+from meterwatch.config import CLEAN, AuditParams, literal_table
 from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import sql
 from meterwatch.plans import star
@@ -215,4 +215,4 @@ def prior_month(spark: SparkSession) -> DataFrame:
         ("total_violations", 100.0, ""), ("avoidable_cost_nz", 5000.0, ""), ("avoidable_cost_au", 10.0, ""),
         ("avoidable_carbon_nz", 0.0, ""), ("s08_productivity_loss", 31200.0, ""),
     ]
-    return spark.createDataFrame(rows, schemas.PRIOR)
+    return literal_table(spark, rows, schemas.PRIOR)

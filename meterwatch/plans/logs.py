@@ -41,7 +41,7 @@ def energy_events(a: AuditInputs) -> DataFrame:
     p = a.params
     readings = enrich(a.telemetry, a.weather, p)
     verdicts = energy.asset_verdicts(readings, a.registry, p)
-    return energy.power_events(readings, a.registry, a.exemptions, p).unionByName(
+    return energy.power_events(a.telemetry, readings, a.registry, a.exemptions, p).unionByName(
         energy.verdict_events(verdicts, a.exemptions, p)
     )
 
