@@ -1,0 +1,74 @@
+"""Per-asset and per-day summaries."""
+
+from __future__ import annotations
+
+import random
+import statistics
+from datetime import date, timedelta
+
+import pytest
+
+from helpers import reading, rows, slot, telemetry
+from meterwatch.config import CLEAN, AuditParams
+from meterwatch.operators import profile
+
+P = AuditParams()
+
+
+def test_missing_slots_on_the_grid_of_the_first_reading(spark):
+    times = [slot(0), slot(1), slot(4), slot(4), slot(9)]
+    off_grid = slot(5) + timedelta(minutes=3)
+    frame = telemetry(spark, [reading(t) for t in [*times, off_grid]])
+    got = profile.slot_profile(frame, P).collect()[0]
+    # ten slots, four of them seen; a reading between slots fills none; duplicates count as rows
+    assert (got.missing_slots, got.missing_mins, got.n_rows) == (6, 90, 6)
+    assert got.total_assessed_mins == 135
+
+
+def test_single_reading_is_assessed_for_one_slot(spark):
+    got = profile.asset_profile(telemetry(spark, [reading(slot(3))]), P).collect()[0]
+    assert (got.total_assessed_mins, got.n_rows, got.completeness) == (15, 1, 1 / 2880)
+
+
+def test_baseline_uses_clean_rows_and_needs_two(spark):
+    data = [
+        reading(slot(0), hvac=4.0), reading(slot(1), hvac=6.0), reading(slot(2), hvac=99.0, trait="L2_IDLE"),
+        reading(slot(4), hvac=5.0),
+    ]
+    got = {r.hour: r for r in profile.hourly_baseline(telemetry(spark, data), P).collect()}
+    assert got[0].mean_kw == 5.0 and got[0].limit_kw == pytest.approx(5 + 3 * 2**0.5)
+    assert got[1].std_kw is None and got[1].limit_kw is None
+
+
+def test_day_trait_is_the_mode_and_the_smallest_on_a_tie(spark):
+    day = lambda d, traits: [reading(slot(96 * d + i), trait=t) for i, t in enumerate(traits)]
+    data = [*day(0, ["B", "A", "B"]), *day(1, ["B", "A"]), *day(2, [None, None, "A"]), *day(3, [None])]
+    assert [t for _, t in rows(profile.daily_rollup(telemetry(spark, data)).na.fill("-", ["day_trait"]), "date", "day_trait")] == [
+        "B", "A", "A", "-"
+    ]
+
+
+def test_daily_energy_counts_missing_power_as_zero(spark):
+    data = [reading(slot(0), hvac=None), reading(slot(96), hvac=2.0), reading(slot(97), hvac=4.0, trait="X")]
+    got = profile.daily_rollup(telemetry(spark, data)).orderBy("date").collect()
+    assert [r.hvac_kwh for r in got] == [0.0, 1.5]
+    assert [r.dirty_from for r in got] == [None, slot(97)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cusum_matches_the_recurrence(spark, seed):
+    rng = random.Random(seed)
+    days, expected = [], {}
+    for a in range(4):
+        series = [(date(2025, 11, 1) + timedelta(days=i), max(0.0, rng.gauss(100 + 4 * i * (a % 2), 20))) for i in range(40)]
+        clean = [rng.random() < 0.5 for _ in series]
+        days += [(f"a{a}", d, x, CLEAN if c else "X") for (d, x), c in zip(series, clean)]
+        base = [x for (_, x), c in zip(series, clean) if c]
+        mu, h, c = statistics.mean(base), 5 * statistics.stdev(base), 0.0
+        for d, x in series:
+            c = max(0.0, c + x - mu - 0.1 * mu)
+            expected[f"a{a}", d] = (c, c > h)
+    frame = spark.createDataFrame(days, "asset_id string, date date, hvac_kwh double, day_trait string")
+    for r in profile.cusum(frame, P).collect():
+        want, alarm = expected[r.asset_id, r.date]
+        assert r.cusum == pytest.approx(want, abs=1e-8) and r.alarm == alarm
