@@ -141,23 +141,23 @@ def asset_verdicts(enriched: DataFrame, registry: DataFrame, p: AuditParams) ->
         """,
         days=cusum(daily_rollup(enriched), p),
     )
+    measured = f"""
+        SELECT *, n_rows / {{expected_rows}} >= {{completeness}} AS complete,
+               {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
+               greatest({whole_minutes('first_ts', 'last_ts')} DIV 1440, 1L) AS days_elapsed,
+               total_kwh * {{mj_per_kwh}} AS actual_mj,
+               ({{base_mj_sqm}} + {{mj_per_cdd}} * cdd_hours) * area_sqm AS budget_mj
+        FROM {{sites}} JOIN {{per_asset}} USING (asset_id)"""
+    rated = f"""
+        SELECT *, {holds('complete AND budget_mj > 0')} AS assessed,
+               complete AND clean_days >= {{min_clean_days}} AS baselined,
+               CASE WHEN budget_mj > 0 THEN actual_mj / budget_mj END AS ratio
+        FROM ({measured})"""
     return sql(
         f"""
-        WITH measured AS (
-          SELECT *, n_rows / {{expected_rows}} >= {{completeness}} AS complete,
-                 {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
-                 greatest({whole_minutes('first_ts', 'last_ts')} DIV 1440, 1L) AS days_elapsed,
-                 total_kwh * {{mj_per_kwh}} AS actual_mj,
-                 ({{base_mj_sqm}} + {{mj_per_cdd}} * cdd_hours) * area_sqm AS budget_mj
-          FROM {{sites}} JOIN {{per_asset}} USING (asset_id)
-        ), rated AS (
-          SELECT *, {holds('complete AND budget_mj > 0')} AS assessed, complete AND clean_days >= {{min_clean_days}} AS baselined,
-                 CASE WHEN budget_mj > 0 THEN actual_mj / budget_mj END AS ratio
-          FROM measured
-        )
         SELECT *, {holds('assessed AND ratio > {overrun_ratio}')} AS breach,
                baselined AND alarm_date IS NOT NULL AS degraded
-        FROM rated
+        FROM ({rated})
         """,
         p, sites=metered(registry), per_asset=per_asset,
     )

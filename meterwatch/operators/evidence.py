@@ -62,21 +62,20 @@ def billing_checks(invoices: DataFrame, registry: DataFrame, p: AuditParams) ->
     The cascade mark is settled per asset first, so that invoices join once, against one row per
     asset; adaptive execution can split an asset with very many invoices.
     """
+    sites = f"""
+        SELECT r.asset_id, area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 AS inferred,
+               u.asset_id IS NOT NULL AS untrusted
+        FROM {{registry}} r LEFT JOIN {{untrusted}} u ON r.asset_id = u.asset_id
+        WHERE {UNMETERED_AU}"""
+    compared = f"""
+        SELECT *, abs(actual_billed_kwh - inferred) AS gap,
+               abs(actual_billed_kwh - inferred) / (inferred + {GUARD}D) AS variance
+        FROM {{invoices}} JOIN ({sites}) USING (asset_id)"""
     return sql(
         f"""
-        WITH sites AS (
-          SELECT r.asset_id, area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 AS inferred,
-                 u.asset_id IS NOT NULL AS untrusted
-          FROM {{registry}} r LEFT JOIN {{untrusted}} u ON r.asset_id = u.asset_id
-          WHERE {UNMETERED_AU}
-        ), compared AS (
-          SELECT *, abs(actual_billed_kwh - inferred) AS gap,
-                 abs(actual_billed_kwh - inferred) / (inferred + {GUARD}D) AS variance
-          FROM {{invoices}} JOIN sites USING (asset_id)
-        )
         SELECT *, CASE WHEN untrusted THEN 'SUSPENDED_PENDING_S02'
                        WHEN variance > {{billing_variance}} THEN 'L4_BILLING_VARIANCE' END AS status
-        FROM compared
+        FROM ({compared})
         """,
         p, registry=registry, untrusted=untrusted_assets(invoices), invoices=invoices,
     )
@@ -142,24 +141,22 @@ def au_benchmark_summary(invoices: DataFrame, registry: DataFrame, p: AuditParam
 
     An untrusted asset gets the benchmark median as placeholder; one without invoices gets no row.
     """
+    billed = f"""
+        SELECT asset_id, avg(actual_billed_kwh) AS billed, bool_or({HASH_OUTCOME} IS NOT NULL) AS suspended
+        FROM {{invoices}} GROUP BY asset_id"""
+    monthly = f"""
+        SELECT asset_id, area_sqm, suspended, CASE WHEN suspended
+                 THEN area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 ELSE billed END AS month_kwh
+        FROM {{registry}} JOIN ({billed}) USING (asset_id) WHERE {UNMETERED_AU}"""
+    rated = f"SELECT *, month_kwh * 12 * {{mj_per_kwh}} / area_sqm AS mj_sqm FROM ({monthly})"
     return sql(
         f"""
-        WITH billed AS (
-          SELECT asset_id, avg(actual_billed_kwh) AS billed, bool_or({HASH_OUTCOME} IS NOT NULL) AS suspended
-          FROM {{invoices}} GROUP BY asset_id
-        ), monthly AS (
-          SELECT asset_id, area_sqm, suspended, CASE WHEN suspended
-                   THEN area_sqm * {{au_median_mj_sqm}} / {{mj_per_kwh}} / 12 ELSE billed END AS month_kwh
-          FROM {{registry}} JOIN billed USING (asset_id) WHERE {UNMETERED_AU}
-        ), rated AS (
-          SELECT *, month_kwh * 12 * {{mj_per_kwh}} / area_sqm AS mj_sqm FROM monthly
-        )
         SELECT asset_id, area_sqm, {half_even('month_kwh', 1)} AS inferred_kwh_month,
                {half_even('mj_sqm', 1)} AS ytd_actual_mj_sqm, {p.au_budget_mj_sqm}D AS budget_mj_sqm,
                {half_even(f'mj_sqm / {p.au_budget_mj_sqm}D', 3)} AS nabers_ratio,
                {holds(f'mj_sqm > {p.au_budget_mj_sqm}D * {p.overrun_ratio}D')} AS breach, suspended,
                CASE WHEN suspended THEN 'S02_HASH_BREACH' ELSE '' END AS suspension_reason
-        FROM rated
+        FROM ({rated})
         """,
         p, registry=registry, invoices=invoices,
     )

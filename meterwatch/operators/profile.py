@@ -27,25 +27,24 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     Distinct times are reduced first; then times with the same offset within a slot are counted
     together, and the class of the first reading is the grid. No grid is generated.
     """
+    times = "SELECT asset_id, timestamp, count(*) AS n FROM {telemetry} GROUP BY 1, 2"
+    classes = f"""
+        SELECT asset_id, {slot_offset('timestamp', p.slot_minutes)} AS offset, sum(n) AS n, count(*) AS n_times,
+               min(timestamp) AS first_ts, max(timestamp) AS last_ts
+        FROM ({times}) GROUP BY 1, 2"""
+    spans = f"""
+        SELECT asset_id, sum(n) AS n_rows, min_by(n_times, first_ts) AS on_grid,
+               min(first_ts) AS first_ts, max(last_ts) AS last_ts
+        FROM ({classes}) GROUP BY asset_id"""
+    counted = f"""
+        SELECT *, {whole_minutes('first_ts', 'last_ts')} DIV {{slot_minutes}} + 1 - on_grid AS missing_slots
+        FROM ({spans})"""
     return sql(
         f"""
-        WITH times AS (
-          SELECT asset_id, timestamp, count(*) AS n FROM {{telemetry}} GROUP BY 1, 2
-        ), classes AS (
-          SELECT asset_id, {slot_offset('timestamp', p.slot_minutes)} AS offset, sum(n) AS n, count(*) AS n_times,
-                 min(timestamp) AS first_ts, max(timestamp) AS last_ts
-          FROM times GROUP BY 1, 2
-        ), spans AS (
-          SELECT asset_id, sum(n) AS n_rows, min_by(n_times, first_ts) AS on_grid,
-                 min(first_ts) AS first_ts, max(last_ts) AS last_ts
-          FROM classes GROUP BY asset_id
-        ), counted AS (
-          SELECT *, {whole_minutes('first_ts', 'last_ts')} DIV {{slot_minutes}} + 1 - on_grid AS missing_slots FROM spans
-        )
         SELECT asset_id, n_rows, first_ts, last_ts, n_rows / {{expected_rows}} AS completeness,
                {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
                missing_slots, missing_slots * {{slot_minutes}} AS missing_mins
-        FROM counted
+        FROM ({counted})
         """,
         p, telemetry=telemetry,
     )
@@ -72,20 +71,19 @@ def daily_rollup(telemetry: DataFrame) -> DataFrame:
     """
     cooling = "sum(cdd)" if "cdd" in telemetry.columns else "CAST(NULL AS DOUBLE)"
     dirty = f"NOT (audit_trait <=> '{CLEAN}')"
+    per_trait = f"""
+        SELECT asset_id, to_date(timestamp) AS date, audit_trait, count(*) AS n, sum(hvac_power_kw) AS hvac,
+               sum(total_power_kw) AS total, {cooling} AS cdd, min(timestamp) AS lo, max(timestamp) AS hi
+        FROM {{telemetry}} GROUP BY 1, 2, 3"""
     return sql(
         f"""
-        WITH per_trait AS (
-          SELECT asset_id, to_date(timestamp) AS date, audit_trait, count(*) AS n, sum(hvac_power_kw) AS hvac,
-                 sum(total_power_kw) AS total, {cooling} AS cdd, min(timestamp) AS lo, max(timestamp) AS hi
-          FROM {{telemetry}} GROUP BY 1, 2, 3
-        )
         SELECT asset_id, date, sum(n) AS n_rows,
                coalesce(sum(hvac), 0D) * 0.25D AS hvac_kwh, coalesce(sum(total), 0D) * 0.25D AS total_kwh,
                coalesce(sum(cdd), 0D) * 0.25D AS cdd_hours,
                min(CASE WHEN audit_trait IS NOT NULL THEN struct(-n AS votes, audit_trait) END).audit_trait AS day_trait,
                min(lo) AS first_ts, max(hi) AS last_ts,
                min(lo) FILTER (WHERE {dirty}) AS dirty_from, max(hi) FILTER (WHERE {dirty}) AS dirty_to
-        FROM per_trait GROUP BY asset_id, date
+        FROM ({per_trait}) GROUP BY asset_id, date
         """,
         telemetry=telemetry,
     )
@@ -99,21 +97,16 @@ def cusum(daily: DataFrame, p: AuditParams) -> DataFrame:
     """
     so_far = "PARTITION BY asset_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     clean_kwh = "CASE WHEN clean_day THEN hvac_kwh END"
+    days = f"SELECT *, coalesce(day_trait = '{CLEAN}', false) AS clean_day FROM {{daily}}"
+    based = f"""
+        SELECT *, avg({clean_kwh}) OVER (PARTITION BY asset_id) AS mu,
+               stddev_samp({clean_kwh}) OVER (PARTITION BY asset_id) * {{alarm_sigma}} AS threshold,
+               count({clean_kwh}) OVER (PARTITION BY asset_id) AS clean_days
+        FROM ({days})"""
+    drifted = f"SELECT *, sum(hvac_kwh - mu - mu * {{slack_share}}) OVER ({so_far}) AS drift FROM ({based})"
+    charted = f"""
+        SELECT * EXCEPT (drift), drift - least(0D, min(drift) OVER ({so_far})) AS cusum
+        FROM ({drifted})"""
     return sql(
-        f"""
-        WITH days AS (
-          SELECT *, coalesce(day_trait = '{CLEAN}', false) AS clean_day FROM {{daily}}
-        ), based AS (
-          SELECT *, avg({clean_kwh}) OVER (PARTITION BY asset_id) AS mu,
-                 stddev_samp({clean_kwh}) OVER (PARTITION BY asset_id) * {{alarm_sigma}} AS threshold,
-                 count({clean_kwh}) OVER (PARTITION BY asset_id) AS clean_days
-          FROM days
-        ), drifted AS (
-          SELECT *, sum(hvac_kwh - mu - mu * {{slack_share}}) OVER ({so_far}) AS drift FROM based
-        ), charted AS (
-          SELECT * EXCEPT (drift), drift - least(0D, min(drift) OVER ({so_far})) AS cusum FROM drifted
-        )
-        SELECT *, coalesce(cusum > threshold, false) AS alarm FROM charted
-        """,
-        p, daily=daily,
+        f"SELECT *, coalesce(cusum > threshold, false) AS alarm FROM ({charted})", p, daily=daily
     )

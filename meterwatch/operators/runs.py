@@ -74,39 +74,35 @@ def sustained_events(
     folded = "".join([f", sum({m}) AS {m}" for m in sums] + [f", max({m}) AS {m}" for m in peaks])
     enough = " ".join(f"WHEN '{r.name}' THEN {r.min_rows}" for r in rules)
     along = f"PARTITION BY {key}, rule, part ORDER BY chunk, run"
+    flagged = f"SELECT {key}, chunk, {order}, {', '.join(flags)} FROM {{readings}}"
+    compared = f"SELECT *, {', '.join(previous)} FROM ({flagged})"
+    numbered = f"SELECT *, {runs_so_far} FROM ({compared})"
+    members = f"SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)})) FROM ({numbered})"
+    runs = f"""
+        SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, count(*) AS n_rows,
+               min(ts) AS start_time, max(ts) AS end_time{folded}
+        FROM ({members}) WHERE breach IS NOT NULL
+        GROUP BY {key}, chunk, rule, run"""
+    placed = f"""
+        SELECT *, run = 1 AS is_first,
+               lead(run) OVER (PARTITION BY {key}, chunk, rule ORDER BY run) IS NULL AS is_last
+        FROM ({runs})"""
+    # a border run waits for its neighbours in the asset's part, an inner run stays in its chunk
+    kept = f"""
+        SELECT *, CASE WHEN NOT (is_first OR is_last) THEN chunk END AS part
+        FROM ({placed}) WHERE breach OR is_first OR is_last"""
+    joined = f"""
+        SELECT *, CASE WHEN is_first AND breach AND coalesce(lag(breach) OVER ({along}), false)
+                       THEN 0 ELSE 1 END AS fresh
+        FROM ({kept})"""
+    blocks = f"""
+        SELECT *, sum(fresh) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
+        FROM ({joined})"""
     return sql(
         f"""
-        WITH flagged AS (
-          SELECT {key}, chunk, {order}, {', '.join(flags)} FROM {{readings}}
-        ), compared AS (
-          SELECT *, {', '.join(previous)} FROM flagged
-        ), numbered AS (
-          SELECT *, {runs_so_far} FROM compared
-        ), members AS (
-          SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)})) FROM numbered
-        ), runs AS (
-          SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, count(*) AS n_rows,
-                 min(ts) AS start_time, max(ts) AS end_time{folded}
-          FROM members WHERE breach IS NOT NULL
-          GROUP BY {key}, chunk, rule, run
-        ), placed AS (
-          SELECT *, run = 1 AS is_first,
-                 lead(run) OVER (PARTITION BY {key}, chunk, rule ORDER BY run) IS NULL AS is_last
-          FROM runs
-        ), kept AS (
-          SELECT *, CASE WHEN NOT (is_first OR is_last) THEN chunk END AS part
-          FROM placed WHERE breach OR is_first OR is_last
-        ), joined AS (
-          SELECT *, CASE WHEN is_first AND breach AND coalesce(lag(breach) OVER ({along}), false)
-                         THEN 0 ELSE 1 END AS fresh
-          FROM kept
-        ), blocks AS (
-          SELECT *, sum(fresh) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
-          FROM joined
-        )
         SELECT {key}, rule, min(start_time) AS start_time, max(end_time) AS end_time,
                sum(n_rows) AS n_rows{folded}
-        FROM blocks WHERE breach
+        FROM ({blocks}) WHERE breach
         GROUP BY {key}, rule, part, block
         HAVING sum(n_rows) >= CASE rule {enough} END
         """,

@@ -87,21 +87,20 @@ class TestTables:
         of = lambda *kinds: (
             "coalesce(sum(value) FILTER (WHERE event_type IN (" + ", ".join(f"'{k}'" for k in kinds) + ")), 0D)"
         )
+        slots = f"""
+            SELECT user_id, window.start AS timestamp, sum(value) AS total_power_kw,
+                   {of('click', 'view')} AS hvac_power_kw, {of('signup')} AS lighting_power_kw,
+                   {of('purchase')} AS it_load_power_kw, {of('error')} AS unmetered, sum(k) AS k_sum, count(k) AS k_n
+            FROM (SELECT *, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {{events}})
+            GROUP BY user_id, window(ts, '15 minutes')"""
         return sql(
             f"""
-            WITH slots AS (
-              SELECT user_id, window.start AS timestamp, sum(value) AS total_power_kw,
-                     {of('click', 'view')} AS hvac_power_kw, {of('signup')} AS lighting_power_kw,
-                     {of('purchase')} AS it_load_power_kw, {of('error')} AS unmetered, sum(k) AS k_sum, count(k) AS k_n
-              FROM (SELECT *, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {{events}})
-              GROUP BY user_id, window(ts, '15 minutes')
-            )
             SELECT timestamp, concat('Asset_', user_id, {NZ}) AS asset_id,
                    400 + (10 * k_sum) DIV k_n AS indoor_co2_ppm, 18 + k_sum / k_n / 12 AS indoor_temp_c,
                    total_power_kw, hvac_power_kw, lighting_power_kw, it_load_power_kw,
                    CASE WHEN unmetered > total_power_kw / 2 THEN 'L1_METER_FAULT'
                         WHEN day(timestamp) >= 24 THEN 'L2_LATE_DRIFT' ELSE '{CLEAN}' END AS audit_trait
-            FROM slots
+            FROM ({slots})
             """,
             events=self.source("events"),
         )

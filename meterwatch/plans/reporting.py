@@ -38,22 +38,21 @@ def named_events(fact: DataFrame, assets: DataFrame, scenarios: DataFrame, where
 
 def kpi_delta(kpi: DataFrame, prior: DataFrame) -> DataFrame:
     """KPIs against the prior month; lower is better (M1)."""
+    joined = f"""
+        SELECT k.*, p.prior_value, metric IN {AU_METRICS} AND coalesce(note, '') <> '' AS held,
+               CASE WHEN metric IN {AU_METRICS} THEN value_aud ELSE value_nzd END AS value
+        FROM {{kpi}} k LEFT JOIN (SELECT metric, first(prior_value) AS prior_value FROM {{prior}} GROUP BY metric) p
+          USING (metric)"""
+    rated = f"""
+        SELECT *, CASE WHEN NOT held AND prior_value <> 0 THEN (value - prior_value) / prior_value * 100 END AS change
+        FROM ({joined})"""
     return sql(
         f"""
-        WITH joined AS (
-          SELECT k.*, p.prior_value, metric IN {AU_METRICS} AND coalesce(note, '') <> '' AS held,
-                 CASE WHEN metric IN {AU_METRICS} THEN value_aud ELSE value_nzd END AS value
-          FROM {{kpi}} k LEFT JOIN (SELECT metric, first(prior_value) AS prior_value FROM {{prior}} GROUP BY metric) p
-            USING (metric)
-        ), rated AS (
-          SELECT *, CASE WHEN NOT held AND prior_value <> 0 THEN (value - prior_value) / prior_value * 100 END AS change
-          FROM joined
-        )
         SELECT metric, label, unit, CASE WHEN NOT held THEN value END AS value, prior_value,
                {half_even('change', 1)} AS delta_pct,
                CASE WHEN held THEN 'Under Review' WHEN change IS NULL THEN 'No prior-month comparison'
                     WHEN change > 0 THEN 'worse' WHEN change < 0 THEN 'better' ELSE 'unchanged' END AS direction
-        FROM rated
+        FROM ({rated})
         """,
         kpi=kpi, prior=prior,
     )
@@ -65,19 +64,17 @@ def compliance_matrix(fact: DataFrame, assets: DataFrame) -> DataFrame:
     Departments are a fixed short list per region, laid out beside each asset. Australian assets
     show three departments, of which energy compliance always awaits verification.
     """
+    cells = f"""
+        SELECT asset_id, display_name, region,
+               explode(CASE region WHEN 'AU' THEN array{UNMETERED_DEPARTMENTS} ELSE array{DEPARTMENTS} END) AS department
+        FROM {{assets}} WHERE region IN ('NZ', 'AU')"""
+    found = "SELECT asset_id, department, count(*) AS findings FROM {fact} GROUP BY 1, 2"
     return sql(
         f"""
-        WITH cells AS (
-          SELECT asset_id, display_name, region,
-                 explode(CASE region WHEN 'AU' THEN array{UNMETERED_DEPARTMENTS} ELSE array{DEPARTMENTS} END) AS department
-          FROM {{assets}} WHERE region IN ('NZ', 'AU')
-        ), found AS (
-          SELECT asset_id, department, count(*) AS findings FROM {{fact}} GROUP BY 1, 2
-        )
         SELECT asset_id, display_name, region, department, coalesce(findings, 0) AS findings,
                CASE WHEN region = 'AU' AND department = 'Energy Compliance' THEN 'To Verify'
                     WHEN findings > 0 THEN 'Finding' ELSE 'Clear' END AS state
-        FROM cells LEFT JOIN found USING (asset_id, department)
+        FROM ({cells}) LEFT JOIN ({found}) USING (asset_id, department)
         """,
         assets=assets, fact=fact,
     )

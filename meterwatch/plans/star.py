@@ -87,19 +87,15 @@ def with_event_ids(facts: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(facts.sparkSession)
     stored = facts.repartitionByRange(*EMIT_ORDER).sortWithinPartitions(*EMIT_ORDER).checkpoint()
     placed = stored.selectExpr("*", "monotonically_increasing_id() AS place")
+    sizes = "SELECT shiftright(place, 33) AS part, count(*) AS n FROM {placed} GROUP BY 1"
+    offsets = f"""
+        SELECT part, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS skip
+        FROM ({sizes})"""
+    numbered = f"""
+        SELECT /*+ BROADCAST(o) */ p.*, o.skip + (p.place & {(1 << 33) - 1}L) + 1 AS event_seq
+        FROM {{placed}} p JOIN ({offsets}) o ON shiftright(p.place, 33) = o.part"""
     return sql(
-        f"""
-        WITH sizes AS (
-          SELECT shiftright(place, 33) AS part, count(*) AS n FROM {{placed}} GROUP BY 1
-        ), offsets AS (
-          SELECT part, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS skip
-          FROM sizes
-        ), numbered AS (
-          SELECT /*+ BROADCAST(o) */ p.*, o.skip + (p.place & {(1 << 33) - 1}L) + 1 AS event_seq
-          FROM {{placed}} p JOIN offsets o ON shiftright(p.place, 33) = o.part
-        )
-        SELECT * EXCEPT (place), format_string('EVT_%04d', event_seq) AS event_id FROM numbered
-        """,
+        f"SELECT * EXCEPT (place), format_string('EVT_%04d', event_seq) AS event_id FROM ({numbered})",
         placed=placed,
     )
 
@@ -125,25 +121,20 @@ def net_avoidable(fact: DataFrame) -> DataFrame:
     Energy already explained by S04, S05 and S07 on an asset is taken off the S10 overrun of the
     same asset. The explained side holds one row per asset.
     """
+    direct = f"SELECT * FROM {{fact}} WHERE region = 'NZ' AND scenario IN {ATTRIBUTED}"
+    overruns = f"""
+        SELECT financial_cost, carbon_kg, greatest(waste_kwh - coalesce(kwh, 0D), 0D) / waste_kwh AS share
+        FROM {{fact}} LEFT JOIN (SELECT asset_id, sum(waste_kwh) AS kwh FROM ({direct}) GROUP BY asset_id) USING (asset_id)
+        WHERE region = 'NZ' AND scenario = 'S10' AND waste_kwh > 0"""
+    layers = f"""
+        SELECT financial_cost AS cost, carbon_kg AS carbon, 0D AS net_cost, 0D AS net_carbon FROM ({direct})
+        UNION ALL
+        SELECT 0D, 0D, financial_cost * share, carbon_kg * share FROM ({overruns})"""
     return sql(
         f"""
-        WITH direct AS (
-          SELECT asset_id, waste_kwh, financial_cost, carbon_kg FROM {{fact}}
-          WHERE region = 'NZ' AND scenario IN {ATTRIBUTED}
-        ), explained AS (
-          SELECT asset_id, sum(waste_kwh) AS kwh FROM direct GROUP BY asset_id
-        ), overruns AS (
-          SELECT financial_cost, carbon_kg, greatest(waste_kwh - coalesce(kwh, 0D), 0D) / waste_kwh AS share
-          FROM {{fact}} LEFT JOIN explained USING (asset_id)
-          WHERE region = 'NZ' AND scenario = 'S10' AND waste_kwh > 0
-        ), layers AS (
-          SELECT financial_cost AS cost, carbon_kg AS carbon, 0D AS net_cost, 0D AS net_carbon FROM direct
-          UNION ALL
-          SELECT 0D, 0D, financial_cost * share, carbon_kg * share FROM overruns
-        )
         SELECT coalesce(sum(cost), 0D) AS attributable_cost, coalesce(sum(carbon), 0D) AS attributable_carbon,
                coalesce(sum(net_cost), 0D) AS net_overrun_cost, coalesce(sum(net_carbon), 0D) AS net_overrun_carbon
-        FROM layers
+        FROM ({layers})
         """,
         fact=fact,
     )
@@ -174,26 +165,21 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
         f"'unit', '{unit}', 'note', {note})"
         for m, nzd, aud, label, unit, note in metrics
     )
-    return sql(
-        f"""
-        WITH parts AS (
-          SELECT CAST(count_if(scenario IN {VIOLATIONS}) AS DOUBLE) AS violations,
-                 coalesce(sum(financial_exposure) FILTER (WHERE scenario = 'S09'), 0D) AS au_cost,
-                 coalesce(sum(carbon_kg) FILTER (WHERE scenario = 'S09'), 0D) AS au_carbon,
-                 coalesce(sum(cognitive_loss_nzd) FILTER (WHERE scenario = 'S08'), 0D) AS loss,
-                 0D AS nz_cost, 0D AS nz_carbon
-          FROM {{fact}}
-          UNION ALL
-          SELECT 0D, 0D, 0D, 0D, attributable_cost + net_overrun_cost, attributable_carbon + net_overrun_carbon FROM {{net}}
-        ), one AS (
-          SELECT sum(violations) AS violations, sum(au_cost) AS au_cost, sum(au_carbon) AS au_carbon,
-                 sum(loss) AS loss, sum(nz_cost) AS nz_cost, sum(nz_carbon) AS nz_carbon
-          FROM parts
-        )
-        SELECT inline(array({rows})) FROM one
-        """,
-        fact=fact, net=net_avoidable(fact),
-    )
+    parts = f"""
+        SELECT CAST(count_if(scenario IN {VIOLATIONS}) AS DOUBLE) AS violations,
+               coalesce(sum(financial_exposure) FILTER (WHERE scenario = 'S09'), 0D) AS au_cost,
+               coalesce(sum(carbon_kg) FILTER (WHERE scenario = 'S09'), 0D) AS au_carbon,
+               coalesce(sum(cognitive_loss_nzd) FILTER (WHERE scenario = 'S08'), 0D) AS loss,
+               0D AS nz_cost, 0D AS nz_carbon
+        FROM {{fact}}
+        UNION ALL
+        SELECT 0D, 0D, 0D, 0D, attributable_cost + net_overrun_cost, attributable_carbon + net_overrun_carbon
+        FROM {{net}}"""
+    one = f"""
+        SELECT sum(violations) AS violations, sum(au_cost) AS au_cost, sum(au_carbon) AS au_carbon,
+               sum(loss) AS loss, sum(nz_cost) AS nz_cost, sum(nz_carbon) AS nz_carbon
+        FROM ({parts})"""
+    return sql(f"SELECT inline(array({rows})) FROM ({one})", fact=fact, net=net_avoidable(fact))
 
 
 def priority_top1(fact: DataFrame) -> DataFrame:
@@ -234,18 +220,17 @@ def priority_detail(top: DataFrame, fact: DataFrame) -> DataFrame:
         "recalibration within authorised +20% energy budget.')"
     )
     given = "trim(coalesce(detail, ''))"
+    totals = """
+        SELECT scenario, count(*) AS events, coalesce(sum(cognitive_loss_nzd), 0D) AS loss,
+               coalesce(sum(anomaly_duration_mins), 0D) AS minutes
+        FROM {fact} WHERE scenario IN ('S06', 'S08') GROUP BY scenario"""
     return sql(
         f"""
-        WITH totals AS (
-          SELECT scenario, count(*) AS events, coalesce(sum(cognitive_loss_nzd), 0D) AS loss,
-                 coalesce(sum(anomaly_duration_mins), 0D) AS minutes
-          FROM {{fact}} WHERE scenario IN ('S06', 'S08') GROUP BY scenario
-        )
         SELECT t.* EXCEPT (detail), CASE scenario WHEN 'S10' THEN {benchmark} WHEN 'S06' THEN {ventilation}
                  WHEN 'S08' THEN {zone}
                  ELSE CASE WHEN {given} <> '' AND lower({given}) <> 'nan' THEN {given}
                            ELSE concat(status, ' detected at ', asset_id) END END AS detail
-        FROM {{top}} t LEFT JOIN totals USING (scenario)
+        FROM {{top}} t LEFT JOIN ({totals}) USING (scenario)
         """,
         top=top, fact=fact,
     )

@@ -30,26 +30,25 @@ def resample_linear(hourly: DataFrame, minutes: int = 15) -> DataFrame:
     of which there is one per month, so that no task orders the whole history.
     """
     seconds = lambda a, b: f"CAST(CAST({b} - {a} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
+    known = """
+        SELECT timestamp AS t0, outdoor_temp_c AS v0, trunc(to_date(timestamp), 'MM') AS month
+        FROM {hourly} WHERE outdoor_temp_c IS NOT NULL"""
+    heads = f"""
+        SELECT month, lead(head) OVER (ORDER BY month) AS next_head
+        FROM (SELECT month, min(struct(t0, v0)) AS head FROM ({known}) GROUP BY month)"""
+    paired = f"""
+        SELECT /*+ BROADCAST(h) */ t0, v0, coalesce(ahead, next_head).t0 AS t1, coalesce(ahead, next_head).v0 AS v1
+        FROM (SELECT *, lead(struct(t0, v0)) OVER (PARTITION BY month ORDER BY t0) AS ahead FROM ({known})) k
+        JOIN ({heads}) h ON k.month = h.month"""
+    grid = f"""
+        SELECT *, explode(CASE WHEN t1 IS NULL THEN array(t0)
+                          ELSE sequence(t0, t1, INTERVAL '{minutes}' MINUTE) END) AS timestamp
+        FROM ({paired})"""
     return sql(
         f"""
-        WITH known AS (
-          SELECT timestamp AS t0, outdoor_temp_c AS v0, trunc(to_date(timestamp), 'MM') AS month
-          FROM {{hourly}} WHERE outdoor_temp_c IS NOT NULL
-        ), heads AS (
-          SELECT month, lead(head) OVER (ORDER BY month) AS next_head
-          FROM (SELECT month, min(struct(t0, v0)) AS head FROM known GROUP BY month)
-        ), paired AS (
-          SELECT /*+ BROADCAST(h) */ t0, v0, coalesce(ahead, next_head).t0 AS t1, coalesce(ahead, next_head).v0 AS v1
-          FROM (SELECT *, lead(struct(t0, v0)) OVER (PARTITION BY month ORDER BY t0) AS ahead FROM known) k
-          JOIN heads h ON k.month = h.month
-        ), grid AS (
-          SELECT *, explode(CASE WHEN t1 IS NULL THEN array(t0)
-                            ELSE sequence(t0, t1, INTERVAL '{minutes}' MINUTE) END) AS timestamp
-          FROM paired
-        )
         SELECT timestamp, CASE WHEN t1 IS NULL THEN v0
                  ELSE v0 + (v1 - v0) * (CAST({seconds('t0', 'timestamp')} AS DOUBLE) / {seconds('t0', 't1')}) END AS outdoor_temp_c
-        FROM grid WHERE t1 IS NULL OR timestamp < t1
+        FROM ({grid}) WHERE t1 IS NULL OR timestamp < t1
         """,
         hourly=hourly,
     )
