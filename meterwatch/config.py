@@ -73,8 +73,9 @@ class AuditParams:
     working_hours: float = 286.0
     zone_budget_factor: float = 1.2
 
-    # how many calendar days one ordered window spans before its runs are stitched
-    chunk_days: int = 1
+    # how many hours one ordered window spans before its runs are stitched; shorten it where a
+    # single asset sends more readings a day than one task should sort
+    chunk_hours: int = 24
 
 
 CLEAN = "L0_CLEAN_COMPLIANT"

@@ -55,8 +55,13 @@ def slot_offset(ts: str, minutes: int) -> str:
 
 def day_chunk(ts: str, days: int) -> str:
     """Number of the `days`-long calendar chunk that holds a timestamp."""
+    return f"CAST(floor(unix_date(to_date({ts})) / {days}) AS INT)"
+
+
+def hour_chunk(ts: str, hours: int) -> str:
+    """Number of the `hours`-long chunk that holds a timestamp, days being the default."""
     day = f"unix_date(to_date({ts}))"
-    return day if days == 1 else f"CAST(floor({day} / {days}) AS INT)"
+    return day if hours == 24 else f"CAST(floor(({day} * 24 + hour({ts})) / {hours}) AS INT)"
 
 
 def cooling_degrees(temp: str, base: float) -> str:

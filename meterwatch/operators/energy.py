@@ -96,7 +96,7 @@ def power_events(
 
     Baselines and the asset profile need no weather and read plain telemetry.
     """
-    readings = with_chunk(enriched, p.chunk_days)
+    readings = with_chunk(enriched, p.chunk_hours)
     if "S05" in scenarios:
         readings = with_hour_limit(readings, hourly_baseline(telemetry, p))
     runs = sustained_events(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)

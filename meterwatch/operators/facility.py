@@ -100,7 +100,7 @@ def air_quality(
     The registry is joined to the finished events and to the per-asset profile, not to readings.
     """
     runs = sustained_events(
-        telemetry, air_quality_rules(p, scenarios), tiebreak=READING_ORDER, chunk_days=p.chunk_days
+        telemetry, air_quality_rules(p, scenarios), tiebreak=READING_ORDER, chunk_hours=p.chunk_hours
     )
     found = sql(
         """

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from meterwatch.functions.text import day_chunk, holds, sql
+from meterwatch.functions.text import holds, hour_chunk, sql
 
 
 @dataclass(frozen=True)
@@ -31,20 +31,20 @@ class RunRule:
     peaks: Mapping[str, str] = field(default_factory=dict)
 
 
-def with_chunk(df: DataFrame, days: int, ts: str = "timestamp") -> DataFrame:
-    return df.selectExpr("*", f"{day_chunk(ts, days)} AS chunk")
+def with_chunk(df: DataFrame, hours: int, ts: str = "timestamp") -> DataFrame:
+    return df.selectExpr("*", f"{hour_chunk(ts, hours)} AS chunk")
 
 
 def sustained_events(
     df: DataFrame, rules: Sequence[RunRule], key: str = "asset_id", ts: str = "timestamp",
-    tiebreak: Sequence[str] = (), chunk_days: int = 1,
+    tiebreak: Sequence[str] = (), chunk_hours: int = 24,
 ) -> DataFrame:
     """Runs of at least `min_rows` breaching rows per asset and rule.
 
     Returns key, rule, start_time, end_time, n_rows and one column per measure named by any rule.
     A column `chunk` of the input is used as it is.
     """
-    readings = df if "chunk" in df.columns else with_chunk(df, chunk_days, ts)
+    readings = df if "chunk" in df.columns else with_chunk(df, chunk_hours, ts)
     sums = sorted({m for r in rules for m in r.sums})
     peaks = sorted({m for r in rules for m in r.peaks})
     order = ", ".join([ts, *tiebreak])

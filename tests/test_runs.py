@@ -52,16 +52,16 @@ def random_series(seed):
     return series
 
 
-@pytest.mark.parametrize("chunk_days", [1, 7, 100])
-def test_matches_the_loop_for_several_rules_at_once(spark, chunk_days):
-    series = random_series(chunk_days)
+@pytest.mark.parametrize("chunk_hours", [1, 24, 7 * 24, 2400])
+def test_matches_the_loop_for_several_rules_at_once(spark, chunk_hours):
+    series = random_series(chunk_hours)
     measures = {"sums": {"total": "v"}, "peaks": {"top": "v"}}
     rules = [
         RunRule("high", "v > 4", 2, **measures),
         RunRule("any", "v > 0", 4, **measures),
         RunRule("night", "v > 4", 2, scope="hour(timestamp) >= 20 OR hour(timestamp) < 7", **measures),
     ]
-    out = sustained_events(frame(spark, series), rules, tiebreak=("v",), chunk_days=chunk_days).cache()
+    out = sustained_events(frame(spark, series), rules, tiebreak=("v",), chunk_hours=chunk_hours).cache()
     everywhere = lambda ts, v: True
     assert result(out, "high") == by_loop(series, lambda v: v > 4, everywhere, 2)
     assert result(out, "any") == by_loop(series, lambda v: v > 0, everywhere, 4)
