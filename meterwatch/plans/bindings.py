@@ -15,7 +15,7 @@ from meterwatch import schemas
 from meterwatch.config import CLEAN, AuditParams, literal_table
 from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import sql
-from meterwatch.plans import star
+from meterwatch.plans import logs, star
 from meterwatch.sources import weather as wx
 
 # The test month is sparse: about 67 readings per asset instead of 2,880.
@@ -191,7 +191,8 @@ class TestTables:
     @cached_property
     def fact(self) -> DataFrame:
         """The stored event fact that all reports read."""
-        return stored_table(star.fact_audit_events(self), f"fact_{self._folder}")
+        events = (logs.facility_events(self), logs.energy_events(self), logs.compliance_events(self))
+        return stored_table(star.fact_audit_events(*events, self.params), f"fact_{self._folder}")
 
     @property
     def _folder(self) -> str:

@@ -37,10 +37,15 @@ def facility_events(a: AuditInputs) -> DataFrame:
     )
 
 
-def energy_events(a: AuditInputs) -> DataFrame:
+def energy_verdicts(a: AuditInputs) -> DataFrame:
+    return energy.asset_verdicts(enrich(a.telemetry, a.weather, a.params), a.registry, a.params)
+
+
+def energy_events(a: AuditInputs, verdicts: DataFrame | None = None) -> DataFrame:
+    """S04, S05, S07 and S10; verdicts that are already stored need not be computed again."""
     p = a.params
     readings = enrich(a.telemetry, a.weather, p)
-    verdicts = energy.asset_verdicts(readings, a.registry, p)
+    verdicts = verdicts or energy.asset_verdicts(readings, a.registry, p)
     return energy.power_events(a.telemetry, readings, a.registry, a.exemptions, p).unionByName(
         energy.verdict_events(verdicts, a.exemptions, p)
     )
@@ -93,7 +98,7 @@ def outcome_counts(a: AuditInputs) -> DataFrame:
         )
 
     devices = facility.unauthorised_totals(a.telemetry, a.registry)
-    verdicts = energy.asset_verdicts(enrich(a.telemetry, a.weather, p), a.registry, p)
+    verdicts = energy_verdicts(a)
     skipped = "CASE WHEN NOT complete THEN 'skipped_incomplete'"
     parts = [
         counted("S01", "'unverified'", devices, half_even("sum(kwh_unverified)", 2)),

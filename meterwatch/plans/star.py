@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from meterwatch import config
 from meterwatch.functions.sizing import ensure_checkpoint_dir
 from meterwatch.functions.text import columns, fixed, half_even, lenient_time, sql
-from meterwatch.plans import logs
 from meterwatch.schemas import DIM_ASSETS, FACT
 
 MEASURES = (
@@ -68,12 +67,14 @@ def compliance_facts(log: DataFrame, default_time: str) -> DataFrame:
     return normalise(log, "Compliance", lenient_time("disposal_date", default_time), "detail")
 
 
-def unnumbered_facts(a: logs.AuditInputs) -> DataFrame:
+def unnumbered_facts(
+    facility: DataFrame, energy: DataFrame, compliance: DataFrame, p: config.AuditParams
+) -> DataFrame:
     """All events of the three logs, with their emit position (FCT3)."""
     return (
-        facility_facts(logs.facility_events(a))
-        .unionByName(energy_facts(logs.energy_events(a)))
-        .unionByName(compliance_facts(logs.compliance_events(a), a.params.default_event_time))
+        facility_facts(facility)
+        .unionByName(energy_facts(energy))
+        .unionByName(compliance_facts(compliance, p.default_event_time))
     )
 
 
@@ -100,9 +101,11 @@ def with_event_ids(facts: DataFrame) -> DataFrame:
     )
 
 
-def fact_audit_events(a: logs.AuditInputs) -> DataFrame:
+def fact_audit_events(
+    facility: DataFrame, energy: DataFrame, compliance: DataFrame, p: config.AuditParams
+) -> DataFrame:
     """The published fact table plus `event_seq`, the numeric id."""
-    return with_event_ids(unnumbered_facts(a)).select(*FACT, "event_seq")
+    return with_event_ids(unnumbered_facts(facility, energy, compliance, p)).select(*FACT, "event_seq")
 
 
 def dim_assets(registry: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meterwatch import schemas
 
 # Accepted header names per telemetry column, best first.
 TELEMETRY_ALIASES: Mapping[str, Sequence[str]] = {
@@ -22,6 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # header names must match, not only positions
         .option("mode", "FAILFAST")
         .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
         .csv(path)
@@ -65,10 +69,31 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" if c in floats else c for c in df.columns])
 
 
+def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFrame:
+    """Cast columns by name to a fixed schema: strict on values, free in column order.
+
+    Missing optional columns become null; whole numbers may be written with a decimal point.
+    """
+    exprs = []
+    for f in T.StructType.fromDDL(schema):
+        kind = f.dataType.simpleString()
+        if f.name not in df.columns and f.name in optional:
+            value = "NULL"
+        else:
+            value = f"CAST({f.name} AS DOUBLE)" if kind in ("bigint", "int") else f.name
+        exprs.append(f"CAST({value} AS {kind}) AS {f.name}")
+    return nan_to_null(df.selectExpr(*exprs))
+
+
 def clean_telemetry(df: DataFrame) -> DataFrame:
-    """Canonical names, NaN as null, rows without a time dropped."""
+    """Canonical names and types, NaN as null, rows without a time dropped.
+
+    Sub-meters and the trait may be absent; the rules that need them then find nothing.
+    """
     named = resolve_columns(strip_headers(df), TELEMETRY_ALIASES)
-    return nan_to_null(named).where(F.col("timestamp").isNotNull())
+    unused = ("emissions_co2_kg", "crypto_signature")
+    optional = ("hvac_power_kw", "lighting_power_kw", "it_load_power_kw", "audit_trait", *unused)
+    return conform(named, schemas.TELEMETRY, optional).drop(*unused).where("timestamp IS NOT NULL")
 
 
 def with_row_ord(df: DataFrame) -> DataFrame:

@@ -38,8 +38,8 @@ def test_optional_table(spark, tmp_path):
 def test_header_names_and_aliases(spark, tmp_path):
     (tmp_path / "t.csv").write_text("timestamp, MAC_Address ,total_power,CO2,in_temp\n2025-11-01 00:00:00,a,1,2,3\n")
     frame = tables.read_csv_text(spark, str(tmp_path / "t.csv"))
-    assert tables.clean_telemetry(frame).columns == [
-        "timestamp", "asset_id", "total_power_kw", "indoor_co2_ppm", "indoor_temp_c"]
+    got = tables.clean_telemetry(frame).first()
+    assert (got.asset_id, got.total_power_kw, got.indoor_co2_ppm, got.indoor_temp_c, got.hvac_power_kw) == ("a", 1.0, 2, 3.0, None)
     with pytest.raises(ValueError, match="total_power_kw"):
         tables.resolve_columns(frame.drop("total_power"), tables.TELEMETRY_ALIASES)
 
