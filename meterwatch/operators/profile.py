@@ -24,13 +24,24 @@ def asset_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
 def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     """The asset profile plus missing slots of the grid that starts at the first reading (BLK6).
 
-    Distinct times are reduced first; then times with the same offset within a slot are counted
-    together, and the class of the first reading is the grid. No grid is generated.
+    A day's slots are marked as bits, so that a day of readings leaves a map task as one row and no
+    single time is shuffled. Times with the same offset within a slot belong together, and the
+    class of the first reading is the grid. No grid is generated.
     """
-    times = "SELECT asset_id, timestamp, count(*) AS n FROM {telemetry} GROUP BY 1, 2"
+    minutes = p.slot_minutes
+    words = range(-(-1440 // minutes // 60))
+    slot = f"((hour(timestamp) * 60 + minute(timestamp)) DIV {minutes})"
+    marks = ", ".join(
+        f"bit_or(CASE WHEN {slot} DIV 60 = {w} THEN shiftleft(1L, CAST({slot} % 60 AS INT)) ELSE 0L END) AS w{w}"
+        for w in words
+    )
+    times = f"""
+        SELECT asset_id, to_date(timestamp) AS day, {slot_offset('timestamp', minutes)} AS offset, count(*) AS n,
+               min(timestamp) AS first_ts, max(timestamp) AS last_ts, {marks}
+        FROM {{telemetry}} GROUP BY 1, 2, 3"""
     classes = f"""
-        SELECT asset_id, {slot_offset('timestamp', p.slot_minutes)} AS offset, sum(n) AS n, count(*) AS n_times,
-               min(timestamp) AS first_ts, max(timestamp) AS last_ts
+        SELECT asset_id, offset, sum(n) AS n, sum({' + '.join(f'bit_count(w{w})' for w in words)}) AS n_times,
+               min(first_ts) AS first_ts, max(last_ts) AS last_ts
         FROM ({times}) GROUP BY 1, 2"""
     spans = f"""
         SELECT asset_id, sum(n) AS n_rows, min_by(n_times, first_ts) AS on_grid,

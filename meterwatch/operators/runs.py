@@ -4,9 +4,10 @@ Adjacency is by row position in time order, not by clock time: missing slots and
 rule's scope do not split a run.
 
 One asset may hold a large share of all rows, so no task orders a whole series. Rows are ordered
-within (asset, calendar chunk); every chunk reduces to runs; only the first and the last run of a
-chunk can continue elsewhere, and these, at most two per chunk and rule, are stitched per asset.
-All rules of a call share one exchange and one sort of the readings.
+within (asset, chunk of hours); a chunk reduces to its breaching runs and a mark of its first row.
+Only the first run of a chunk and a run that lasts to its end can continue elsewhere, and these, at
+most two per chunk and rule, are stitched per asset. All rules of a call share one exchange and one
+sort of the readings.
 """
 
 from __future__ import annotations
@@ -49,52 +50,53 @@ def sustained_events(
     peaks = sorted({m for r in rules for m in r.peaks})
     order = ", ".join([ts, *tiebreak])
     in_order = f"PARTITION BY {key}, chunk ORDER BY {order}"
-    flags, previous, members = [], [], []
+    so_far = f"{in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    flags, around, marks, members = [], [], [], []
     for n, r in enumerate(rules):
+        on, prev = f"on{n}", f"prev{n}"
         if r.scope is None:
-            flags.append(f"{holds(r.breach)} AS on{n}")
-            previous.append(f"lag(on{n}) OVER ({in_order}) AS prev{n}")
+            flags.append(f"{holds(r.breach)} AS {on}")
+            around += [f"lag({on}) OVER ({in_order}) AS {prev}", f"lead({on}) OVER ({in_order}) IS NULL AS end{n}"]
         else:
-            flags.append(f"CASE WHEN {holds(r.scope)} THEN {holds(r.breach)} END AS on{n}")
-            previous.append(
-                f"last(on{n}, true) OVER ({in_order} "
-                f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev{n}"
-            )
+            flags.append(f"CASE WHEN {holds(r.scope)} THEN {holds(r.breach)} END AS {on}")
+            around += [
+                f"last({on}, true) OVER ({so_far} 1 PRECEDING) AS {prev}",
+                f"count({on}) OVER ({so_far} CURRENT ROW) = count({on}) OVER (PARTITION BY {key}, chunk) AS end{n}",
+            ]
+        marks += [
+            f"sum(CASE WHEN {on} IS NULL OR {on} <=> {prev} THEN 0 ELSE 1 END) OVER ({so_far} CURRENT ROW) AS run{n}",
+            f"{on} IS NOT NULL AND ({on} OR {prev} IS NULL) AS keep{n}",
+        ]
+        # measures are computed after the exchange: only the columns they read travel through it
         own = {**r.sums, **r.peaks}
-        flags += [f"CAST({c} AS DOUBLE) AS {m}_{n}" for m, c in own.items()]
-        values = "".join(
-            f", '{m}', {f'{m}_{n}' if m in own else 'CAST(NULL AS DOUBLE)'}" for m in [*sums, *peaks]
+        values = "".join(f", '{m}', CAST({own.get(m, 'NULL')} AS DOUBLE)" for m in [*sums, *peaks])
+        members.append(
+            f"CASE WHEN keep{n} THEN named_struct('rule', '{r.name}', 'breach', {on}, 'run', run{n}, "
+            f"'at_end', end{n}{values}) END"
         )
-        members.append(f"named_struct('rule', '{r.name}', 'breach', on{n}, 'run', run{n}{values})")
-    runs_so_far = ", ".join(
-        f"sum(CASE WHEN on{n} IS NULL OR on{n} <=> prev{n} THEN 0 ELSE 1 END) OVER "
-        f"({in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run{n}"
-        for n in range(len(rules))
-    )
     folded = "".join([f", sum({m}) AS {m}" for m in sums] + [f", max({m}) AS {m}" for m in peaks])
     enough = " ".join(f"WHEN '{r.name}' THEN {r.min_rows}" for r in rules)
+    kept = " OR ".join(f"keep{n}" for n in range(len(rules)))
     along = f"PARTITION BY {key}, rule, part ORDER BY chunk, run"
-    flagged = f"SELECT {key}, chunk, {order}, {', '.join(flags)} FROM {{readings}}"
-    compared = f"SELECT *, {', '.join(previous)} FROM ({flagged})"
-    numbered = f"SELECT *, {runs_so_far} FROM ({compared})"
-    members = f"SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)})) FROM ({numbered})"
+
+    flagged = f"SELECT *, {', '.join(flags)} FROM {{readings}}"
+    compared = f"SELECT *, {', '.join(around)} FROM ({flagged})"
+    numbered = f"SELECT *, {', '.join(marks)} FROM ({compared})"
+    # breaching rows go on, and of every chunk its first row, which shows that the chunk exists
+    candidates = f"""
+        SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)}))
+        FROM ({numbered}) WHERE {kept}"""
     runs = f"""
-        SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, count(*) AS n_rows,
-               min(ts) AS start_time, max(ts) AS end_time{folded}
-        FROM ({members}) WHERE breach IS NOT NULL
+        SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, bool_or(breach AND at_end) AS open_end,
+               count(*) AS n_rows, min(ts) AS start_time, max(ts) AS end_time{folded}
+        FROM ({candidates}) WHERE breach IS NOT NULL
         GROUP BY {key}, chunk, rule, run"""
-    placed = f"""
-        SELECT *, run = 1 AS is_first,
-               lead(run) OVER (PARTITION BY {key}, chunk, rule ORDER BY run) IS NULL AS is_last
-        FROM ({runs})"""
     # a border run waits for its neighbours in the asset's part, an inner run stays in its chunk
-    kept = f"""
-        SELECT *, CASE WHEN NOT (is_first OR is_last) THEN chunk END AS part
-        FROM ({placed}) WHERE breach OR is_first OR is_last"""
+    placed = f"SELECT *, CASE WHEN run > 1 AND NOT open_end THEN chunk END AS part FROM ({runs})"
     joined = f"""
-        SELECT *, CASE WHEN is_first AND breach AND coalesce(lag(breach) OVER ({along}), false)
+        SELECT *, CASE WHEN run = 1 AND breach AND coalesce(lag(open_end) OVER ({along}), false)
                        THEN 0 ELSE 1 END AS fresh
-        FROM ({kept})"""
+        FROM ({placed})"""
     blocks = f"""
         SELECT *, sum(fresh) OVER ({along} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
         FROM ({joined})"""
