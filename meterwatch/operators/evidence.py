@@ -102,7 +102,8 @@ def billing_variance(invoices: DataFrame, registry: DataFrame, p: AuditParams) -
 
 
 def short_haul_business(p: AuditParams) -> str:
-    return holds(f"trim(booked_class) = 'Business' AND try_cast(flight_hours AS DOUBLE) < {p.short_haul_hours}D")
+    """Unknown on missing hours, which a filter and a CASE treat as no finding; stays pushable."""
+    return f"trim(booked_class) = 'Business' AND try_cast(flight_hours AS DOUBLE) < {p.short_haul_hours}D"
 
 
 def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
@@ -118,10 +119,16 @@ def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
     return sql(f"SELECT {log} FROM {{travel}} WHERE {short_haul_business(p)}", travel=travel)
 
 
+NO_CERTIFICATE = "trim(coalesce(disposal_cert_url, '')) = ''"
+
+
+def is_hazardous(p: AuditParams) -> str:
+    return "trim(waste_type) IN (" + ", ".join(f"'{k}'" for k in p.hazardous) + ")"
+
+
 def waste_outcome(p: AuditParams) -> str:
-    kinds = ", ".join(f"'{k}'" for k in p.hazardous)
-    return f"""CASE WHEN NOT {holds(f'trim(waste_type) IN ({kinds})')} THEN 'non_hazardous'
-        WHEN trim(coalesce(disposal_cert_url, '')) = '' THEN 'certificate_missing' ELSE 'certified' END"""
+    return f"""CASE WHEN NOT {holds(is_hazardous(p))} THEN 'non_hazardous'
+        WHEN {NO_CERTIFICATE} THEN 'certificate_missing' ELSE 'certified' END"""
 
 
 def hazardous_waste(waste: DataFrame, p: AuditParams) -> DataFrame:
@@ -133,7 +140,7 @@ def hazardous_waste(waste: DataFrame, p: AuditParams) -> DataFrame:
         waste_type="trim(waste_type)", disposal_date="disposal_date",
         quantity_kg="try_cast(quantity_kg AS DOUBLE)",
     )
-    return sql(f"SELECT {log} FROM {{waste}} WHERE {waste_outcome(p)} = 'certificate_missing'", waste=waste)
+    return sql(f"SELECT {log} FROM {{waste}} WHERE {is_hazardous(p)} AND {NO_CERTIFICATE}", waste=waste)
 
 
 def au_benchmark_summary(invoices: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:

@@ -39,4 +39,4 @@ def site_label(telemetry: DataFrame, registry: DataFrame) -> DataFrame:
 
 def metered(registry: DataFrame) -> DataFrame:
     """Registered assets that send telemetry (PRE14)."""
-    return registry.where("coalesce(has_iot, false)")
+    return registry.where("has_iot")
