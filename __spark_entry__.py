@@ -19,7 +19,7 @@ from meterwatch.operators.runs import RunRule, sustained_events  # noqa: E402
 from meterwatch.plans import bindings as b  # noqa: E402
 from meterwatch.plans import logs, reporting, star  # noqa: E402
 from meterwatch.sources import weather as wx  # noqa: E402
-from oracle_queries import grouped, minutes, rnd, runs, with_shared  # noqa: E402
+from oracle_queries import grouped, rnd, runs, with_shared  # noqa: E402
 
 P = b.PARAMS
 TESTDATA = "/root/testdata/sf0.001"

@@ -7,7 +7,7 @@ weather and the event fact are tables: they are written once per session to the
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -199,14 +199,15 @@ class TestTables:
         return self.sf_dir.strip("/").replace("/", "_")
 
 
-@lru_cache(maxsize=4)
-def _tables(app: str, sf_dir: str) -> TestTables:
-    return TestTables(SparkSession.active(), sf_dir)
+_OPEN: dict[tuple[str, str], TestTables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> TestTables:
-    """The inputs of a folder, shared by all queries of a session."""
-    return _tables(spark.sparkContext.applicationId, sf_dir)
+    """The inputs of a folder, shared by all queries of an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPEN:
+        _OPEN[key] = TestTables(spark, sf_dir)
+    return _OPEN[key]
 
 
 def prior_month(spark: SparkSession) -> DataFrame:
