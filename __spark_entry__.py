@@ -260,8 +260,21 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
 NET_COLUMNS = ("attributable_cost", "attributable_carbon", "net_overrun_cost", "net_overrun_carbon")
 
 
+try:  # the training-data operators can be taken out as a whole
+    from meterwatch.llm.queries import ORACLE_SQL as LLM_SQL
+    from meterwatch.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_QUERIES, LLM_SQL = {}, {}
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
+
 def queries() -> dict[str, Query]:
-    return {name: lambda spark, sf, run=run: run(b.tables(spark, sf)) for name, run in BY_TABLES.items()}
+    found = {name: lambda spark, sf, run=run: run(b.tables(spark, sf)) for name, run in BY_TABLES.items()}
+    found |= LLM_QUERIES
+    return found if corpus_pipeline is None else found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -424,4 +437,7 @@ def oracle_sql() -> dict[str, str]:
                 'Analysis suspended — invoice authenticity under review.') AS finding
             FROM named WHERE category = 'Compliance'""",
     }
-    return {name: with_shared(query) for name, query in oracles.items()}
+    found = {name: with_shared(query) for name, query in oracles.items()} | LLM_SQL
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
