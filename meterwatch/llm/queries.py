@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontam, pii, quality, simhash
+from meterwatch.llm import bpe, decontam, langid, pii, quality, secrets, simhash
 from meterwatch.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -26,8 +26,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": _on("documents")(pii.digest),
     "op2_byte_bpe": _on("documents")(lambda d: bpe.digest(d, pieces(), public_tokenizers.PATTERN)),
     "op3_decontamination": _on("documents", "benchmark")(decontam.digest),
+    "op6_secrets": _on("documents")(secrets.digest),
     "op8_simhash": _on("documents")(simhash.digest),
     "op9_quality": _on("documents", "labels")(quality.judge),
+    "op10_language": _on("documents")(langid.digest),
 }
 
 #: DuckDB has no function for most digests and models; those queries are tested against brute force.
