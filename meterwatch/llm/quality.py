@@ -20,7 +20,7 @@ BUCKETS = 1 << 14
 #: Trusted documents that define the target, taken in the order of their ids' hashes.
 TRUSTED = 20_000
 #: Natural log units a word pair or word, as a mean over the document.
-THRESHOLD = -0.35
+THRESHOLD = -0.09
 WORDS = f"regexp_extract_all(coalesce(text, ''), r'{WORD}', 0)"
 _FIRST, _PAIR = f"pmod(hash(ws[i]), {BUCKETS})", f"pmod(hash(ws[i], ws[i + 1]), {BUCKETS})"
 
