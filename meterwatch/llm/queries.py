@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontam, langid, pii, quality, secrets, simhash
+from meterwatch.llm import bpe, decontam, langid, lm, pii, quality, secrets, simhash, toxicity, warc
 from meterwatch.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -26,7 +26,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": _on("documents")(pii.digest),
     "op2_byte_bpe": _on("documents")(lambda d: bpe.digest(d, pieces(), public_tokenizers.PATTERN)),
     "op3_decontamination": _on("documents", "benchmark")(decontam.digest),
+    "op4_hmm": _on("documents")(lm.digest),
+    "op5_toxicity": _on("documents", "labels")(toxicity.digest),
     "op6_secrets": _on("documents")(secrets.digest),
+    "op7_revisits": _on("pages")(warc.digest),
     "op8_simhash": _on("documents")(simhash.digest),
     "op9_quality": _on("documents", "labels")(quality.judge),
     "op10_language": _on("documents")(langid.digest),
@@ -34,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB has no function for most digests and models; those queries are tested against brute force.
 ORACLE_SQL = {
+    "op7_revisits": warc.ORACLE,
     "op3_decontamination": r"""
         WITH docs AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -41,11 +45,11 @@ ORACLE_SQL = {
         items AS (
           SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
-        spread AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS at FROM items WHERE len(ws) > 0),
-        grams AS (SELECT DISTINCT item_id, n, list_slice(ws, at, at + n - 1) AS w FROM spread),
-        places AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS at FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n),
-        hits AS (SELECT doc_id, at, n, item_id FROM (SELECT doc_id, at, n, list_slice(ws, at, at + n - 1) AS w FROM places) JOIN grams USING (n, w)),
-        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + n)) AS p FROM hits) GROUP BY doc_id),
+        spread AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS pos FROM items WHERE len(ws) > 0),
+        grams AS (SELECT DISTINCT item_id, n, list_slice(ws, pos, pos + n - 1) AS w FROM spread),
+        places AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n),
+        hits AS (SELECT doc_id, pos, n, item_id FROM (SELECT doc_id, pos, n, list_slice(ws, pos, pos + n - 1) AS w FROM places) JOIN grams USING (n, w)),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hits) GROUP BY doc_id),
         named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
                   FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
         SELECT d.doc_id, len(ws) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
