@@ -108,5 +108,6 @@ def measures(docs: DataFrame, lr: DataFrame, keep: tuple[str, ...] = ("doc_id",)
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The counts, the score and the verdict `kept` of every document."""
-    lr = stored(ratios(gram_counts(docs, labels)), "gram-ratios")
+    counts = stored(gram_counts(docs, labels), "gram-counts")  # the ratios read them more than once
+    lr = stored(ratios(counts), "gram-ratios")
     return measures(docs, lr, keep).withColumn("kept", F.expr(f"NOT base_failed AND score >= {threshold}D"))
