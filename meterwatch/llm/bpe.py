@@ -19,7 +19,7 @@ import base64
 import hashlib
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from meterwatch.llm.common import let
 
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 20 << 20
 FOLD_BYTES = 200
 #: Places in a word that goes through the fold; a power of two over FOLD_BYTES.
 PLACES = 256
@@ -136,8 +136,17 @@ def _one(values: pa.Array | pa.ChunkedArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def encode(docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns `keep` and ids (array of int) of every document; a column called ids must not be among them."""
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def encode(
+    docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
+    then: tuple[Step, T.StructType] | None = None,
+) -> DataFrame:
+    """The columns `keep` and ids (array of int) of every document; a column called ids must not be among them.
+
+    `then` is a step over batches of these columns and the schema it returns; it runs in the workers that made them.
+    """
     spark, of = docs.sparkSession, {piece: rank for rank, piece in enumerate(pieces)}
     byte_ids = np.array([of[bytes([b])] for b in range(256)], np.int32)
     kept = [f"k{i}" for i in range(len(keep))]
@@ -155,8 +164,9 @@ def encode(docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str,
                 words = part.column("words")
                 size += int(pc.sum(pc.binary_length(words.flatten())).as_py() or 0)
                 if size >= BATCH_BYTES:
-                    yield packed(held)
-                    held, size = [], 0
+                    row, held, size = packed(held), [], 0
+                    pa.default_memory_pool().release_unused()
+                    yield row
         if held:
             yield packed(held)
 
@@ -169,7 +179,7 @@ def encode(docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str,
         long = np.flatnonzero(lengths > FOLD_BYTES)
         if len(long):  # they don't go through the fold
             words = pa.array([b"" if n > FOLD_BYTES else w for w, n in zip(words.to_pylist(), lengths, strict=True)], pa.binary())
-        joined = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+        joined = np.frombuffer(words.buffers()[2], np.uint8)[: int(lengths.sum())] if not len(long) else np.frombuffer(b"".join(words.to_pylist()), np.uint8)
         starts = np.concatenate([[0], np.cumsum(np.where(lengths > FOLD_BYTES, 0, lengths))])
         byte_lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(byte_ids[joined], pa.int32()))
         merged = pa.array([_heap_merge(coded.dictionary[int(i)].as_py().encode(), of) for i in long], pa.list_(pa.int32()))
@@ -210,21 +220,19 @@ def encode(docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str,
                     stop = min(start + 512, len(counts))
                     ids = words.take(pa.array(places[docs_words[start] : docs_words[stop]])).flatten()
                     listed = pa.ListArray.from_arrays(pa.array(docs_upto[start : stop + 1] - docs_upto[start], pa.int32()), ids)
-                    yield pa.RecordBatch.from_arrays([*[row[k].slice(start, stop - start) for k in kept], listed], names=[*kept, "ids"])
+                    yield pa.RecordBatch.from_arrays([*[row[k].slice(start, stop - start) for k in kept], listed], names=[*keep, "ids"])
 
-    out = T.StructType([*[T.StructField(k, f.dataType) for k, f in zip(kept, fields, strict=True)], T.StructField("ids", ints)])
-    return folded.mapInArrow(spread, out).toDF(*keep, "ids")
+    if then:
+        return folded.mapInArrow(lambda rows: then[0](spread(rows)), then[1])
+    return folded.mapInArrow(spread, T.StructType([*fields, T.StructField("ids", ints)]))
 
 
 
-def decode(tokens: DataFrame, pieces: list[bytes], ids: str = "ids", output: str = "decoded") -> DataFrame:
-    """Add the bytes that the ids stand for: their pieces, concatenated. Null ids give the empty text."""
-    kept = [c for c in tokens.columns if c.lower() != output.lower()]
-
+def _decoder(pieces: list[bytes], ids: str, output: str) -> Step:
     def joined(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.array(pieces, pa.large_binary())
         for batch in rows:
-            lists = batch.column(kept.index(ids))
+            lists = batch.column(ids)
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
             taken = held.take(lists.flatten())  # its bytes lie one after another, document by document
             ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
@@ -232,25 +240,33 @@ def decode(tokens: DataFrame, pieces: list[bytes], ids: str = "ids", output: str
             texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(upto.copy()), taken.buffers()[2]])
             yield pa.RecordBatch.from_arrays([*batch.columns, texts.cast(pa.binary())], names=[*batch.schema.names, output])
 
+    return joined
+
+
+def decode(tokens: DataFrame, pieces: list[bytes], ids: str = "ids", output: str = "decoded") -> DataFrame:
+    """Add the bytes that the ids stand for: their pieces, concatenated. Null ids give the empty text."""
+    kept = [c for c in tokens.columns if c.lower() != output.lower()]
     shape = T.StructType([*[tokens.schema[c] for c in kept], T.StructField(output, T.BinaryType())])
-    return tokens.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(joined, shape)
+    return tokens.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(_decoder(pieces, ids, output), shape)
 
 
-def digest(docs: DataFrame, pieces: list[bytes], pattern: str) -> DataFrame:
-    """The registered query: number and digest of the ids, digest of the decoded bytes."""
-    tokens = decode(encode(docs, pieces, pattern), pieces)
+def digest(docs: DataFrame, pieces: list[bytes], pattern: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+    """The columns `keep` with number and digest of the ids and digest of the decoded bytes; on demand the ids as well."""
+    decoder = _decoder(pieces, "ids", "decoded")
 
     def digests(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in decoder(rows):
             ids, texts = batch.column("ids"), batch.column("decoded")
             flat, upto = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
             hashed = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(upto[:-1], upto[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), pa.array(hashed, pa.string()),
-                 pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in texts], pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [
+                *batch.columns[: len(keep)], pc.list_value_length(ids).cast(pa.int64()), pa.array(hashed, pa.string()),
+                pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in texts], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays([*columns, ids] if with_ids else columns, names=shape.names)
 
-    shape = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+    shape = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()),
                           T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-    return tokens.mapInArrow(digests, shape)
+    if with_ids:
+        shape = shape.add("ids", T.ArrayType(T.IntegerType()))
+    return encode(docs, pieces, pattern, keep, then=(digests, shape))
