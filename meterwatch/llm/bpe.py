@@ -3,8 +3,8 @@
 A batch of documents is reduced to its distinct words (matches of the split pattern) and the documents' word numbers.
 Spark's higher-order functions then fold the ranked merges over each word's byte array: a step merges the leftmost pair
 of lowest rank, looked up in a literal rank map. The documents' ids are a take over the words' ids; decoding concatenates
-the pieces of the ids. All of it is narrow: nothing shuffles, and a lost task repeats alone. A batch holds at most
-`BATCH_BYTES` of text beyond its last document.
+the pieces of the ids. All of it is narrow: nothing shuffles, and a lost task repeats alone. A batch holds about
+`BATCH_BYTES` of text, and at least a document.
 
 The rank map is held as three arrays: rows of a table with one row for each left piece are laid over each other, so that
 `shift[left] + right` is the slot of a pair, and `owner` tells whether the slot is that pair's.
@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwatch.llm.common import let
+from meterwatch.llm.common import lean, let
 
-BATCH_BYTES = 20 << 20
+BATCH_BYTES = 14 << 20
 FOLD_BYTES = 200
 #: Places in a word that goes through the fold; a power of two over FOLD_BYTES.
 PLACES = 256
-NONE = (1 << 31) - 1
 #: White space as Unicode has it; Java's \s has ASCII alone.
 _WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 
@@ -97,12 +96,12 @@ def _fold(word: str) -> str:
     A pair's rank and place share one number, so that the least of them is the leftmost pair of lowest rank.
     """
     slot = "shift[a] + get(acc, i + 1)"  # null after the last
-    pairs = f"transform(acc, (a, i) -> if(owner[{slot}] = a, merged[{slot}] * {PLACES} + i, {NONE}))"
+    pairs = f"transform(acc, (a, i) -> if(owner[{slot}] = a, merged[{slot}] * {PLACES} + i, NULL))"
     joined = let(
         f"best & {PLACES - 1}", "at",
-        f"filter(transform(acc, (a, i) -> if(i = at, shiftright(best, {PLACES.bit_length() - 1}), a)), (a, i) -> i - 1 <> at)",
+        f"array_remove(transform(acc, (a, i) -> if(i = at, shiftright(best, {PLACES.bit_length() - 1}), if(i - 1 = at, -1, a))), -1)",
     )
-    step = let(f"array_min({pairs})", "best", f"if(best = {NONE}, acc, {joined})")
+    step = let(f"array_min({pairs})", "best", f"if(best IS NULL, acc, {joined})")
     return f"aggregate(sequence(2, size({word})), {word}, (acc, s) -> {step})"
 
 
@@ -130,9 +129,8 @@ def _heap_merge(word: bytes, of: dict[bytes, int]) -> list[int]:
     return [of[p] for p in parts if p]
 
 
-def _one(values: pa.Array | pa.ChunkedArray) -> pa.ListArray:
+def _one(values: pa.Array) -> pa.ListArray:
     """A column of one row that holds all values."""
-    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
@@ -157,23 +155,20 @@ def encode(
     )
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in rows:
-            for at in range(0, batch.num_rows, 256):  # a batch of Spark may hold much more than BATCH_BYTES
-                held.append(part := batch.slice(at, 256))
-                words = part.column("words")
-                size += int(pc.sum(pc.binary_length(words.flatten())).as_py() or 0)
-                if size >= BATCH_BYTES:
-                    row, held, size = packed(held), [], 0
-                    pa.default_memory_pool().release_unused()
-                    yield row
-        if held:
-            yield packed(held)
-
-    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held)
-        coded = pa.chunked_array([c.flatten() for c in whole.column("words").chunks], pa.string()).dictionary_encode().unify_dictionaries().combine_chunks()
-        coded = coded if isinstance(coded, pa.DictionaryArray) else coded.chunk(0)
+        lean()
+        for batch in rows:  # a batch of Spark may hold much more than BATCH_BYTES: cut it into even parts
+            upto = batch.column("words").offsets.to_numpy()
+            words = batch.column("words").values
+            places = np.frombuffer(words.buffers()[1], np.int32)[upto + words.offset].astype(np.int64) if len(words) else np.zeros(len(upto), np.int64)
+            parts = max(1, -(-int(places[-1] - places[0]) // BATCH_BYTES))
+            cuts = np.unique(np.searchsorted(places, places[0] + (places[-1] - places[0]) * np.arange(1, parts) // parts))
+            cuts = [0, *[int(c) for c in cuts if 0 < c < batch.num_rows], batch.num_rows]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if stop > start:
+                    yield packed(batch.slice(start, stop - start))
+
+    def packed(whole: pa.RecordBatch) -> pa.RecordBatch:
+        coded = whole.column("words").flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.binary())
         lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         long = np.flatnonzero(lengths > FOLD_BYTES)
@@ -203,6 +198,7 @@ def encode(
     )
 
     def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in rows:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at].values for n in batch.schema.names}

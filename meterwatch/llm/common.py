@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean() -> None:
+    """In a worker: give buffers back to the system as soon as they are free, as several workers share an executor."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def lower_ascii(column: str) -> str:
     """SQL: lower-case A to Z alone. Pure ASCII text takes the fast native path."""
     return (
