@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwatch.llm.common import row_key, stored
+from meterwatch.llm.common import lean, row_key, stored
 
 SHINGLE, MAX_BITS, HOT = 3, 2, 64
 SEED = 42
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     """The columns `keep` and fp (signed 64-bit) of every document."""
 
     def of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in rows:
             values = [fingerprint(t.as_py(), shingle) for t in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.int64())], names=names)
@@ -132,7 +133,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(marked: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     """fp, root: the component of every distinct fingerprint of a stored frame."""
-    fps = stored(marked.select("fp").distinct(), "simhash-classes")
+    parts = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # every fingerprint becomes 64 variants, so small files would make large tasks
+    fps = stored(marked.select("fp").distinct().repartition(parts, "fp"), "simhash-classes")
     found = components(links(fps, max_bits, hot))
     return fps.join(found, F.expr("fp = node"), "left").selectExpr("fp", "coalesce(root, fp) AS root")
 

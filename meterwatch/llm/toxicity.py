@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwatch.llm.common import WORD, id_rest, stored
+from meterwatch.llm.common import WORD, id_rest, lean, stored
 
 #: Labelled documents to learn from, at most: toxic ones and others.
 TOXIC, OTHERS = 6_000, 12_000
@@ -133,42 +133,46 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon(frozenset(bytes(r["unit"]) for r in best.collect()))
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """Replace the text by f, the array of features."""
-    kept = [c for c in docs.columns if c != text]
+def with_features(docs: DataFrame, lexicon: Lexicon, kept: list[str], text: str = "text") -> DataFrame:
+    """The columns `kept` and f, the array of features."""
+    every = [*kept, *[c for c in (text,) if c not in kept]]
+    at = every.index(text)
 
     def compute(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in rows:
-            made = [features(t.as_py(), lexicon) for t in batch.column(len(kept))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(made, pa.list_(pa.float64()))], names=[*kept, "f"])
+            made = [features(t.as_py(), lexicon) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(made, pa.list_(pa.float64()))], names=[*kept, "_llm_f"])
 
-    shape = T.StructType([*[docs.schema[c] for c in kept], T.StructField("f", T.ArrayType(T.DoubleType()))])
-    return docs.select(*[F.col(f"`{c}`") for c in [*kept, text]]).mapInArrow(compute, shape)
+    shape = T.StructType([*[docs.schema[c] for c in kept], T.StructField("_llm_f", T.ArrayType(T.DoubleType()))])
+    return docs.select(*[F.col(f"`{c}`") for c in every]).mapInArrow(compute, shape)
 
 
 def score(docs: DataFrame, training: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep`, score and predicted of every document."""
     rows = sample(training, labels)
     lexicon = learn_lexicon(rows)
-    vectors = with_features(rows, lexicon).coalesce(4).select(F.col("label").cast("double"), "part", array_to_vector("f").alias("features"))
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_llm_text"))
-    made = with_features(picked, lexicon, "_llm_text")
+    vectors = with_features(rows, lexicon, ["label", "part"]).coalesce(4).select(
+        F.col("label").cast("double"), "part", array_to_vector("_llm_f").alias("_llm_features"))
+    made = with_features(docs, lexicon, list(keep))
     verdict = f"cast(score >= {THRESHOLD}D AS int) AS predicted"
     if not lexicon.entries and rows.select("label").distinct().count() < 2:
-        return made.drop("f").selectExpr(*[f"`{c}`" for c in keep], "0D AS score").selectExpr("*", verdict)
+        return made.drop("_llm_f").selectExpr(*[f"`{c}`" for c in keep], "0D AS score").selectExpr("*", verdict)
     vectors = stored(vectors, "toxicity-vectors").coalesce(4)
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=24, maxDepth=4, stepSize=0.2, seed=7, minInstancesPerNode=5)
+    trees = GBTClassifier(
+        featuresCol="_llm_features", labelCol="label", predictionCol="_llm_p", maxIter=24, maxDepth=4, stepSize=0.2, seed=7, minInstancesPerNode=5,
+    ).setRawPredictionCol("_llm_r").setProbabilityCol("_llm_q")
     model = trees.fit(vectors.where("part < 7"))
-    margin = F.element_at(vector_to_array("rawPrediction"), 2)
-    apart = model.transform(vectors.where("part >= 7")).select("label", margin.alias("margin"))
+    margin = F.element_at(vector_to_array("_llm_r"), 2)
+    apart = model.transform(vectors.where("part >= 7")).select("label", margin.alias("_llm_margin"))
     if apart.groupBy("label").count().count() < 2:
-        apart = model.transform(vectors).select("label", margin.alias("margin"))  # too few rows to keep some apart
-    steps = IsotonicRegression(featuresCol="margin", labelCol="label").fit(apart)
-    scored = model.transform(made.withColumn("features", array_to_vector("f"))).withColumn("margin", margin)
+        apart = model.transform(vectors).select("label", margin.alias("_llm_margin"))  # too few rows to keep some apart
+    steps = IsotonicRegression(featuresCol="_llm_margin", labelCol="label").fit(apart)
+    scored = model.transform(made.withColumn("_llm_features", array_to_vector("_llm_f"))).withColumn("_llm_margin", margin)
     kept = [f"`{c}`" for c in keep]
     # the calibrated share, and for order within a step a thousandth of the plain probability
-    return steps.setPredictionCol("share").transform(scored).selectExpr(
-        *kept, "least(greatest(0.999D * share + 0.001D / (1D + exp(-2D * margin)), 0D), 1D) AS score"
+    return steps.setPredictionCol("_llm_share").transform(scored).selectExpr(
+        *kept, "least(greatest(0.999D * _llm_share + 0.001D / (1D + exp(-2D * _llm_margin)), 0D), 1D) AS score"
     ).selectExpr("*", verdict)
 
 
@@ -179,9 +183,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Keep the documents that are not predicted toxic, with their columns."""
-    training = docs.where(id_rest(4) != 2)
     kept = tuple(docs.columns)
-    renamed = docs.withColumn("_llm_copy", F.col("text"))
-    return score(renamed, training, labels, tuple("_llm_copy" if c == "text" else c for c in kept)).where("predicted = 0").select(
-        *[F.col("_llm_copy").alias("text") if c == "text" else F.col(f"`{c}`") for c in kept]
-    )
+    return score(docs, docs.where(id_rest(4) != 2), labels, kept).where("predicted = 0").select(*[F.col(f"`{c}`") for c in kept])
