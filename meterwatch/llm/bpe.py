@@ -171,13 +171,13 @@ def encode(
         coded = whole.column("words").flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.binary())
         lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        long = np.flatnonzero(lengths > FOLD_BYTES)
-        if len(long):  # they don't go through the fold
-            words = pa.array([b"" if n > FOLD_BYTES else w for w, n in zip(words.to_pylist(), lengths, strict=True)], pa.binary())
-        joined = np.frombuffer(words.buffers()[2], np.uint8)[: int(lengths.sum())] if not len(long) else np.frombuffer(b"".join(words.to_pylist()), np.uint8)
-        starts = np.concatenate([[0], np.cumsum(np.where(lengths > FOLD_BYTES, 0, lengths))])
+        listed = words.to_pylist()
+        apart = (lengths > FOLD_BYTES) | np.array([w in of for w in listed], bool)  # very long, or a piece as it is: no fold
+        long = np.flatnonzero(apart)
+        joined = np.frombuffer(b"".join([w for w, a in zip(listed, apart.tolist(), strict=True) if not a]), np.uint8)
+        starts = np.concatenate([[0], np.cumsum(np.where(apart, 0, lengths))])
         byte_lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(byte_ids[joined], pa.int32()))
-        merged = pa.array([_heap_merge(coded.dictionary[int(i)].as_py().encode(), of) for i in long], pa.list_(pa.int32()))
+        merged = pa.array([[of[w]] if (w := listed[i]) in of else _heap_merge(w, of) for i in long.tolist()], pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays(
             [*[_one(whole.column(k)) for k in kept], _one(pc.list_value_length(whole.column("words"))), _one(coded.indices),
              _one(byte_lists), _one(pa.array(long, pa.int32())), _one(merged)],

@@ -75,7 +75,7 @@ def code_table(counts: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
             here = np.where(counted > 0, counted, kinds * p) / np.maximum(whole + kinds, 1)
             p = np.where(whole > 0, here, np.broadcast_to(p, counted.shape))
         table[..., i] = -np.log2(p)
-    return langs, classes, table.reshape(-1, len(langs))
+    return langs, classes, table.reshape(size**3, len(langs))
 
 
 def predict(docs: DataFrame, training: DataFrame, keep: tuple[str, ...] = ("doc_id",), sample: int = SAMPLE) -> DataFrame:

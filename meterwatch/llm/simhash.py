@@ -86,7 +86,7 @@ def _first_common(max_bits: int) -> str:
     cases = []
     for first, width in _segments(max_bits):
         part = f"(shiftrightunsigned(x, {first}) & {(1 << width) - 1 if width < 64 else -1}L)"
-        cases.append(f"WHEN bit_count({part}) = 0 THEN {first} WHEN bit_count({part}) = 1 THEN {first} + bit_count({part} - 1)")
+        cases.append(f"WHEN bit_count({part}) = 0 THEN {first} WHEN bit_count({part}) = 1 THEN {first} + coalesce(bit_count(try_subtract({part}, 1L)), 63)")
     return f"CASE {' '.join(cases)} END"
 
 
