@@ -1,20 +1,10 @@
-"""Size-checked broadcast and the shared folder for materialised steps."""
+"""The shared folder for materialised steps."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side holds at most `max_rows` rows.
-
-    The count stops at the bound. A larger side is returned unhinted, so that Spark shuffles it
-    and adaptive execution may split skewed keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

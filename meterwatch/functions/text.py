@@ -28,6 +28,11 @@ def half_even(x: str, digits: int) -> str:
     return f"(rint(rint(({x}) * {fine}D) / {fine}D * {coarse}D) / {coarse}D)"
 
 
+def strip(x: str) -> str:
+    """Text without white space at either end: tabs, line ends and no-break spaces as well as blanks."""
+    return rf"regexp_replace({x}, r'^[\s\u00A0]+|[\s\u00A0]+$', '')"
+
+
 def fixed(x: str, digits: int, grouped: bool = False) -> str:
     """Text with a fixed number of decimals, half-even, optionally with thousands commas."""
     return f"format_string('%{',' if grouped else ''}.{digits}f', {half_even(x, digits)})"

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meterwatch.config import GUARD, AuditParams
-from meterwatch.functions.text import columns, fixed, half_even, holds, sql
+from meterwatch.functions.text import columns, fixed, half_even, holds, sql, strip
 from meterwatch.schemas import COMPLIANCE_LOG, EMIT
 
 TYPES = {
@@ -103,7 +103,7 @@ def billing_variance(invoices: DataFrame, registry: DataFrame, p: AuditParams) -
 
 def short_haul_business(p: AuditParams) -> str:
     """Unknown on missing hours, which a filter and a CASE treat as no finding; stays pushable."""
-    return f"trim(booked_class) = 'Business' AND try_cast(flight_hours AS DOUBLE) < {p.short_haul_hours}D"
+    return f"{strip('booked_class')} = 'Business' AND try_cast(flight_hours AS DOUBLE) < {p.short_haul_hours}D"
 
 
 def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
@@ -113,17 +113,17 @@ def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
         "S11", ref_id="CAST(ticket_id AS STRING)", asset_id="employee_id", status="'L3_TRAVEL_CLASS_AUDIT'",
         detail=f"concat('Business class on short-haul route ', route, ' (', {fixed(hours, 1)}, "
                "' hrs) — exceeds 6-hour short-haul threshold')",
-        financial_exposure=half_even(price, 2), route="route", booked_class="trim(booked_class)",
+        financial_exposure=half_even(price, 2), route="route", booked_class=strip("booked_class"),
         flight_hours=hours, ticket_price_aud=price, employee_id="employee_id",
     )
     return sql(f"SELECT {log} FROM {{travel}} WHERE {short_haul_business(p)}", travel=travel)
 
 
-NO_CERTIFICATE = "trim(coalesce(disposal_cert_url, '')) = ''"
+NO_CERTIFICATE = strip("coalesce(disposal_cert_url, '')") + " = ''"
 
 
 def is_hazardous(p: AuditParams) -> str:
-    return "trim(waste_type) IN (" + ", ".join(f"'{k}'" for k in p.hazardous) + ")"
+    return strip("waste_type") + " IN (" + ", ".join(f"'{k}'" for k in p.hazardous) + ")"
 
 
 def waste_outcome(p: AuditParams) -> str:
@@ -135,9 +135,9 @@ def hazardous_waste(waste: DataFrame, p: AuditParams) -> DataFrame:
     """Hazardous or electronic waste without a certificate."""
     log = _log(
         "S12", ref_id="manifest_id", status="'L3_WASTE_CERT_MISSING'",
-        detail="concat(trim(waste_type), ' disposal record has no certificate URL — compliance with "
+        detail=f"concat({strip('waste_type')}, ' disposal record has no certificate URL — compliance with "
                "HSNO Act 1996 and Basel Convention cannot be verified')",
-        waste_type="trim(waste_type)", disposal_date="disposal_date",
+        waste_type=strip("waste_type"), disposal_date="disposal_date",
         quantity_kg="try_cast(quantity_kg AS DOUBLE)",
     )
     return sql(f"SELECT {log} FROM {{waste}} WHERE {is_hazardous(p)} AND {NO_CERTIFICATE}", waste=waste)

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meterwatch.config import AuditParams
-from meterwatch.functions.sizing import broadcast_if_small
 from meterwatch.functions.text import cooling_degrees
 
 
 def weather_enrich(telemetry: DataFrame, weather: DataFrame) -> DataFrame:
     """Left join of outdoor temperature and day class on the timestamp (PRE5).
 
-    Weather holds one row per 15-minute slot of the calendar, whatever the number of assets, and
-    is counted before it is broadcast. Beyond the bound the join shuffles by timestamp.
+    Weather holds one row per 15-minute slot of the calendar, whatever the number of assets. Spark
+    broadcasts it below its own bound of bytes; beyond it the join shuffles by timestamp.
     """
     columns = weather.select("timestamp", "outdoor_temp_c", "day_type")
-    return telemetry.join(broadcast_if_small(columns), "timestamp", "left")
+    return telemetry.join(columns, "timestamp", "left")
 
 
 def time_features(df: DataFrame) -> DataFrame:

@@ -37,11 +37,11 @@ def named_events(fact: DataFrame, assets: DataFrame, scenarios: DataFrame, where
 
 
 def kpi_delta(kpi: DataFrame, prior: DataFrame) -> DataFrame:
-    """KPIs against the prior month; lower is better (M1)."""
+    """KPIs against the prior month; lower is better (M1). Of several prior values of a metric the greatest counts."""
     joined = f"""
         SELECT k.*, p.prior_value, metric IN {AU_METRICS} AND coalesce(note, '') <> '' AS held,
                CASE WHEN metric IN {AU_METRICS} THEN value_aud ELSE value_nzd END AS value
-        FROM {{kpi}} k LEFT JOIN (SELECT metric, first(prior_value) AS prior_value FROM {{prior}} GROUP BY metric) p
+        FROM {{kpi}} k LEFT JOIN (SELECT metric, max(prior_value) AS prior_value FROM {{prior}} GROUP BY metric) p
           USING (metric)"""
     rated = f"""
         SELECT *, CASE WHEN NOT held AND prior_value <> 0 THEN (value - prior_value) / prior_value * 100 END AS change
@@ -104,7 +104,7 @@ def drill_down(
         """
         SELECT asset_id, department, event_id, audit_check, event_time, anomaly_duration_mins, financial_cost,
                financial_exposure, carbon_kg, detail
-        FROM {events} ORDER BY event_time, event_seq
+        FROM {events} ORDER BY event_time NULLS LAST, event_seq
         """,
         events=with_check(picked, scenarios),
     )
@@ -158,7 +158,7 @@ def ieq_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame) -> DataFra
     return sql(
         """
         SELECT event_id, site, audit_check, event_time, peak_co2_ppm, anomaly_duration_mins, detail
-        FROM {events} ORDER BY event_time, event_seq
+        FROM {events} ORDER BY event_time NULLS LAST, event_seq
         """,
         events=named_events(fact, assets, scenarios, "scenario IN ('S06', 'S08')"),
     )
@@ -169,7 +169,7 @@ def energy_event_log(fact: DataFrame, assets: DataFrame, scenarios: DataFrame) -
     return sql(
         """
         SELECT event_id, site, audit_check, event_time, anomaly_duration_mins, waste_kwh, financial_cost, carbon_kg
-        FROM {events} ORDER BY event_time, event_seq
+        FROM {events} ORDER BY event_time NULLS LAST, event_seq
         """,
         events=named_events(fact, assets, scenarios, "scenario IN ('S04', 'S05', 'S07', 'S10')"),
     )

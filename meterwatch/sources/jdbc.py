@@ -37,7 +37,7 @@ def write_options(
     return options
 
 
-WEATHER_COLUMN_TYPES = "timestamp TIMESTAMP, outdoor_temp_c NUMERIC, day_type TEXT"
+WEATHER_COLUMN_TYPES = "timestamp TIMESTAMP, outdoor_temp_c NUMERIC, day_type STRING"
 
 
 def read_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:

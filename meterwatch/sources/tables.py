@@ -20,6 +20,13 @@ TELEMETRY_ALIASES: Mapping[str, Sequence[str]] = {
 }
 
 
+#: Text that stands for a missing value in the input files.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Strictly typed CSV scan: a malformed value fails the job (SRC1, PRE1)."""
     return (
@@ -28,13 +35,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("enforceSchema", False)  # header names must match, not only positions
         .option("mode", "FAILFAST")
         .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
+        .option("escape", '"')
         .csv(path)
     )
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header, every column as text, header names stripped (PRE3)."""
-    return strip_headers(spark.read.option("header", True).csv(path))
+    return strip_headers(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
 def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -72,15 +80,19 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFrame:
     """Cast columns by name to a fixed schema: strict on values, free in column order.
 
-    Missing optional columns become null; whole numbers may be written with a decimal point.
+    Missing optional columns become null, and so does text that stands for a missing value, also in numbers; whole
+    numbers may be written with a decimal point.
     """
+    missing = ", ".join(f"'{m}'" for m in MISSING)
+    kinds = dict(df.dtypes)
     exprs = []
     for f in T.StructType.fromDDL(schema):
         kind = f.dataType.simpleString()
         if f.name not in df.columns and f.name in optional:
             value = "NULL"
         else:
-            value = f"CAST({f.name} AS DOUBLE)" if kind in ("bigint", "int") else f.name
+            given = f"CASE WHEN {f.name} NOT IN ({missing}) THEN {f.name} END" if kinds.get(f.name) == "string" else f.name
+            value = f"nanvl(CAST({given} AS DOUBLE), NULL)" if kind in ("bigint", "int") else given
         exprs.append(f"CAST({value} AS {kind}) AS {f.name}")
     return nan_to_null(df.selectExpr(*exprs))
 
@@ -103,7 +115,8 @@ def with_row_ord(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a table as CSV, also when it is empty (SNK1)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -94,3 +94,14 @@ def test_hazardous_waste(spark):
     assert got.where("ref_id = 'WM_1'").collect()[0].detail == (
         "E-Waste disposal record has no certificate URL — compliance with HSNO Act 1996 and Basel Convention "
         "cannot be verified")
+
+
+def test_all_white_space_is_stripped(spark):
+    from meterwatch.config import AuditParams
+    from meterwatch.operators import evidence
+
+    p = AuditParams()
+    travel = spark.createDataFrame([(1, "e", "\tBusiness ", "2.0", "100", "A-B")], "ticket_id long, employee_id string, booked_class string, flight_hours string, ticket_price_aud string, route string")
+    assert travel.where(evidence.short_haul_business(p)).count() == 1
+    waste = spark.createDataFrame([("\t",), (" \n",), ("http://x",)], "disposal_cert_url string")
+    assert waste.where(evidence.NO_CERTIFICATE).count() == 2

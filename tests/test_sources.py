@@ -87,3 +87,29 @@ def test_database_options():
     assert jdbc.write_options(url, "t")["batchsize"] == "1000"
     made = jdbc.write_options(url, "w", column_types=jdbc.WEATHER_COLUMN_TYPES, truncate=True)
     assert made["createTableColumnTypes"].startswith("timestamp TIMESTAMP") and made["truncate"] == "true"
+
+
+def test_missing_value_text_and_nan_become_null(spark):
+    rows = [("2025-11-02 10:00:00", "NA", "NaN"), ("2025-11-02 10:15:00", "A", "400.0"), ("2025-11-02 10:30:00", "null", "n/a")]
+    frame = spark.createDataFrame(rows, "timestamp string, asset_id string, indoor_co2_ppm string")
+    out = tables.conform(frame, "timestamp timestamp_ntz, asset_id string, indoor_co2_ppm bigint").collect()
+    assert [(r.asset_id, r.indoor_co2_ppm) for r in out] == [(None, None), ("A", 400), (None, None)]
+    numbers = spark.createDataFrame([(float("nan"),), (2.0,)], "n double")
+    assert [r.n for r in tables.conform(numbers, "n bigint").collect()] == [None, 2]
+
+
+def test_csv_quotes_and_times_round_trip(spark, tmp_path):
+    path = str(tmp_path / "quoted")
+    frame = spark.sql("SELECT TIMESTAMP_NTZ '2025-11-02 10:00:00' AS t, 'say \"hi\", all' AS s")
+    tables.write_csv(frame, path)
+    text = "".join(p.read_text() for p in (tmp_path / "quoted").glob("part-*"))
+    assert '2025-11-02 10:00:00,"say ""hi"", all"' in text
+    assert tables.read_csv_text(spark, path).first().s == 'say "hi", all'
+
+
+def test_created_column_types_are_spark_types():
+    from pyspark.sql.types import StructType
+
+    from meterwatch.sources import jdbc
+
+    assert StructType.fromDDL(jdbc.WEATHER_COLUMN_TYPES).names == ["timestamp", "outdoor_temp_c", "day_type"]
