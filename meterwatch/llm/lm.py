@@ -211,12 +211,12 @@ def train(rows: DataFrame, uni: Unigrams, states: int = STATES, passes: int = PA
     model = _first_model(column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.int16())), uni.share, states, START_ROUNDS)
     names = [f"s{i}" for i in range(states)]
     for _ in range(passes):
-        held = spark.sparkContext.broadcast(model)
+        held = spark.sparkContext.broadcast((model.start, model.move, model.emit))
 
         def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            sums = [0.0, 0.0, 0.0]
+            model, sums = Model(*held.value), [0.0, 0.0, 0.0]
             for batch in batches:
-                sums = [a + b for a, b in zip(sums, expected_counts(held.value, batch.column(0)), strict=True)]
+                sums = [a + b for a, b in zip(sums, expected_counts(model, batch.column(0)), strict=True)]
             if isinstance(sums[0], np.ndarray):
                 table = np.concatenate([sums[0][None], sums[1], sums[2]])
                 some = np.flatnonzero(table.any(axis=1))
@@ -237,10 +237,11 @@ def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     uni = unigrams(counts)
     rows = coded(docs, uni)
     model = train(rows.where("NOT held_out"), uni)
-    held = docs.sparkSession.sparkContext.broadcast((model, np.log10(np.maximum(uni.share, 1e-300))))
+    held = docs.sparkSession.sparkContext.broadcast((model.start, model.move, model.emit, np.log10(np.maximum(uni.share, 1e-300))))
 
     def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, share = held.value
+        *model, share = held.value
+        model = Model(*model)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             gain = np.zeros(batch.num_rows)
