@@ -18,6 +18,7 @@ from meterwatch.operators.exemptions import drop_exempt  # noqa: E402
 from meterwatch.operators.runs import RunRule, sustained_events  # noqa: E402
 from meterwatch.plans import bindings as b  # noqa: E402
 from meterwatch.plans import logs, reporting, star  # noqa: E402
+from meterwatch.sources import tables  # noqa: E402
 from meterwatch.sources import weather as wx  # noqa: E402
 from oracle_queries import grouped, rnd, runs, with_shared  # noqa: E402
 
@@ -62,7 +63,24 @@ def _dim_scenarios(t: b.TestTables) -> DataFrame:
 
 def _parse_strict(t: b.TestTables) -> DataFrame:
     texts = t.source("orders").selectExpr("o_orderkey", "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS text")
-    return texts.selectExpr("o_orderkey", "to_timestamp_ntz(text, 'yyyy-MM-dd HH:mm:ss') AS event_time")
+    return tables.conform(texts.withColumnRenamed("text", "event_time"), "o_orderkey bigint, event_time timestamp_ntz")
+
+
+def _scan_projection(t: b.TestTables) -> DataFrame:
+    high = t.source("events").where("value > 100")
+    return tables.conform(high, "event_id bigint, user_id bigint, value double").where("value IS NOT NULL")
+
+
+def _prior_optional(t: b.TestTables) -> DataFrame:
+    # no prior month was ever delivered
+    absent = tables.read_optional(t.spark, f"{t.sf_dir}/dim_baseline_prior_month.csv", schemas.PRIOR)
+    return reporting.kpi_delta(star.kpi_summary(t.fact), absent)
+
+
+def _picked(t: b.TestTables) -> DataFrame:
+    # the asset with the most events, the smallest id on a tie
+    busiest = t.fact.groupBy("asset_id").count().orderBy("count", "asset_id", ascending=[False, True]).first()
+    return reporting.drill_down(t.fact, config.scenarios(t.spark), "Facilities", busiest.asset_id if busiest else "")
 
 
 def _enriched(t: b.TestTables) -> DataFrame:
@@ -94,11 +112,11 @@ def _sustained(t: b.TestTables) -> DataFrame:
 def _exemption_anti_join(t: b.TestTables) -> DataFrame:
     # every reading, tested as if it were an S04 event
     readings = t.telemetry.selectExpr("asset_id", "'S04' AS scenario", "timestamp")
-    return drop_exempt(readings, t.exemptions, at="timestamp")
+    return drop_exempt(readings, t.exemptions, t.audit.profile, at="timestamp")
 
 
 def _cost_carbon(t: b.TestTables) -> DataFrame:
-    kwh = "total_power_kw * 0.25D"
+    kwh = f"total_power_kw * {P.slot_hours}D"
     return t.telemetry.selectExpr(
         "asset_id", "timestamp", f"{half_even(kwh, 4)} AS kwh",
         f"{cost_nzd(kwh, P)} AS financial_cost", f"{carbon_nz(kwh, P)} AS carbon_kg",
@@ -110,11 +128,11 @@ def _six(*names: str) -> list[str]:
 
 
 def _daily(t: b.TestTables) -> DataFrame:
-    return profile.daily_rollup(_enriched(t)).selectExpr("asset_id", "date", "n_rows", *_six("hvac_kwh"), "day_trait")
+    return profile.daily_rollup(_enriched(t), P).selectExpr("asset_id", "date", "n_rows", *_six("hvac_kwh"), "day_trait")
 
 
 def _cusum(t: b.TestTables) -> DataFrame:
-    chart = profile.cusum(profile.daily_rollup(t.telemetry), P)
+    chart = profile.cusum(profile.daily_rollup(t.telemetry, P), P)
     return chart.selectExpr("asset_id", "date", *_six("mu", "threshold", "cusum"), "alarm")
 
 
@@ -122,16 +140,20 @@ def _cusum(t: b.TestTables) -> DataFrame:
 
 
 def _air_quality(t: b.TestTables, *codes: str) -> DataFrame:
-    return facility.air_quality(t.telemetry, t.registry, t.exemptions, P, codes).select(*schemas.FACILITY_LOG)
+    found = facility.air_quality(t.telemetry, t.registry, t.exemptions, P, codes, profile=t.audit.profile)
+    return found.select(*schemas.FACILITY_LOG)
 
 
 def _power(t: b.TestTables, *codes: str) -> DataFrame:
     readings = _enriched(t) if "S05" in codes else t.telemetry
-    return energy.power_events(t.telemetry, readings, t.registry, t.exemptions, P, codes).select(*schemas.ENERGY_LOG)
+    found = energy.power_events(
+        t.telemetry, readings, t.registry, t.exemptions, P, codes, profile=t.audit.profile, days=t.audit.days
+    )
+    return found.select(*schemas.ENERGY_LOG)
 
 
 def _verdicts(t: b.TestTables) -> DataFrame:
-    return energy.asset_verdicts(_enriched(t), t.registry, P)
+    return energy.asset_verdicts(t.audit.days, t.registry, P)
 
 
 def _verdict_events(t: b.TestTables, code: str) -> DataFrame:
@@ -159,7 +181,8 @@ def _matrix(t: b.TestTables) -> DataFrame:
 
 BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     # sources
-    "scan_projection": lambda t: t.source("events").where("value > 100").select("event_id", "user_id", "value"),
+    "scan_projection": _scan_projection,
+    "prior_optional": _prior_optional,
     "weather_explode": _weather_explode,
     "dim_assets": _assets,
     "dim_scenarios": _dim_scenarios,
@@ -197,14 +220,16 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     ),
     "daily_rollup_mode": _daily,
     "cusum": _cusum,
-    "facility_log": logs.facility_log,
-    "energy_log": logs.energy_log,
-    "compliance_log": logs.compliance_log,
+    "facility_log": lambda t: t.audit.facility.select(*schemas.FACILITY_LOG),
+    "energy_log": lambda t: t.audit.energy.select(*schemas.ENERGY_LOG),
+    "compliance_log": lambda t: t.audit.compliance.select(*schemas.COMPLIANCE_LOG),
     # rules
-    "s01_unauthorised": lambda t: facility.unauthorised(t.telemetry, t.registry, P).select(*schemas.FACILITY_LOG),
+    "s01_unauthorised": lambda t: facility.unauthorised(t.audit.profile, t.registry, P).select(
+        *schemas.FACILITY_LOG
+    ),
     "s02_invoice_hash": lambda t: _evidence(evidence.hash_integrity(t.invoices)),
     "s02_cascade": lambda t: evidence.untrusted_assets(t.invoices),
-    "s03_gap": lambda t: facility.telemetry_gaps(t.telemetry, t.registry, P).select(*schemas.FACILITY_LOG),
+    "s03_gap": lambda t: facility.telemetry_gaps(t.audit.profile, t.registry, P).select(*schemas.FACILITY_LOG),
     "s04_submeter": lambda t: _power(t, "S04"),
     "s05_after_hours": lambda t: _power(t, "S05"),
     "s06_co2": lambda t: _air_quality(t, "S06"),
@@ -216,10 +241,10 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     "s12_waste": lambda t: _evidence(evidence.hazardous_waste(t.waste, P)),
     "benchmark_summary_nz": lambda t: energy.benchmark_summary(_verdicts(t)),
     "benchmark_summary_au": _summary_au,
-    "scenario_totals": lambda t: logs.scenario_totals(logs.energy_log(t), logs.compliance_log(t)),
-    "outcome_counts": logs.outcome_counts,
+    "scenario_totals": lambda t: logs.scenario_totals(t.audit.energy, t.audit.compliance),
+    "outcome_counts": lambda t: t.audit.outcome_counts(),
     # star schema
-    "fact_normalise": lambda t: star.energy_facts(logs.energy_events(t)).select(
+    "fact_normalise": lambda t: star.energy_facts(t.audit.energy).select(
         "category", "scenario", "asset_id", "event_time", *star.MEASURES, "detail"
     ),
     "fact_events": lambda t: t.fact.select(*schemas.FACT),
@@ -245,6 +270,7 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     ),
     "short_label": lambda t: t.registry.selectExpr("asset_id", f"{reporting.short_label('asset_id')} AS label"),
     "drill_down": lambda t: reporting.drill_down(t.fact, config.scenarios(t.spark)),
+    "drill_down_picked": _picked,
     "ieq_exceedance": lambda t: reporting.ieq_exceedance(t.fact, _assets(t), P),
     "ieq_high_demand": lambda t: reporting.ieq_exceedance(t.fact, _assets(t), P, "S08"),
     "ieq_daily": lambda t: reporting.ieq_daily(t.fact),
@@ -400,6 +426,15 @@ def oracle_sql() -> dict[str, str]:
             FROM matrix GROUP BY ALL""",
         "short_label": """SELECT asset_id, replace(replace(replace(asset_id, 'Asset_', 'A'), '_NZ_Boundary', ''),
             '_AU_Sydney', ' SYD') AS label FROM registry""",
+        "prior_optional": """
+            SELECT metric, label, unit, CASE WHEN NOT held THEN value END AS value, NULL::DOUBLE AS prior_value,
+              NULL::DOUBLE AS delta_pct, CASE WHEN held THEN 'Under Review' ELSE 'No prior-month comparison' END AS direction
+            FROM (SELECT *, metric IN ('avoidable_cost_au', 'avoidable_carbon_au') AND note <> '' AS held,
+                CASE WHEN metric IN ('avoidable_cost_au', 'avoidable_carbon_au') THEN value_aud ELSE value_nzd END AS value
+              FROM kpi)""",
+        "drill_down_picked": """SELECT asset_id, department, event_id, audit_check, event_time, anomaly_duration_mins,
+            financial_cost, financial_exposure, carbon_kg, detail FROM named WHERE department = 'Facilities' AND asset_id =
+            (SELECT asset_id FROM named GROUP BY asset_id ORDER BY count(*) DESC, asset_id LIMIT 1)""",
         "drill_down": """SELECT asset_id, department, event_id, audit_check, event_time, anomaly_duration_mins,
             financial_cost, financial_exposure, carbon_kg, detail FROM named""",
         "ieq_exceedance": exceedance("S06"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +78,30 @@ class AuditParams:
     # single asset sends more readings a day than one task should sort
     chunk_hours: int = 24
 
+    # first and first excluded time of the audit; None takes all readings as one month
+    period: tuple[str, str] | None = None
+
+    def __post_init__(self) -> None:
+        if self.slot_minutes <= 0 or 60 % self.slot_minutes:
+            raise ValueError(f"slot_minutes must divide an hour, got {self.slot_minutes}")
+
+    @property
+    def slot_hours(self) -> float:
+        return self.slot_minutes / 60
+
+    def for_period(self, start: str, end: str) -> AuditParams:
+        """The same policy for the readings of [start, end), with the rows and working hours that it should hold."""
+        first, last = datetime.fromisoformat(start), datetime.fromisoformat(end)
+        if first >= last:
+            raise ValueError(f"empty period {start} to {end}")
+        days = [first + timedelta(days=n) for n in range(-(-(last - first) // timedelta(days=1)))]
+        workdays = sum(day.weekday() < 5 for day in days)
+        return replace(
+            self, period=(str(first), str(last)), default_event_time=str(first),
+            expected_rows=int((last - first) / timedelta(minutes=self.slot_minutes)),
+            working_hours=float(workdays * (self.close_hour - self.open_hour)),
+        )
+
 
 CLEAN = "L0_CLEAN_COMPLIANT"
 EXEMPTABLE = ("S04", "S05", "S07", "S08")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +23,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored_table(df: DataFrame, name: str) -> DataFrame:
+def stored_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame as Parquet to the shared folder and scan it from there.
 
-    Unlike a checkpoint, readers still prune columns and push filters down.
+    Unlike a checkpoint, readers still prune columns and push filters down. Every call has a path of its own, so that
+    runs in one application do not disturb each other.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,8 +12,8 @@ from meterwatch.functions.text import (
 )
 from meterwatch.operators.exemptions import drop_exempt
 from meterwatch.operators.prep import metered
-from meterwatch.operators.profile import asset_profile, cusum, daily_rollup, hourly_baseline
-from meterwatch.operators.runs import RunRule, sustained_events, with_chunk
+from meterwatch.operators.profile import asset_profile, cusum, hourly_baseline
+from meterwatch.operators.runs import CHUNK, RunRule, chunks_of_days, sustained_events, with_chunk
 from meterwatch.schemas import EMIT, ENERGY_LOG
 
 STATUS = {
@@ -48,26 +48,26 @@ def after_hours(p: AuditParams) -> str:
     return f"day_type = 'WEEKEND' OR (day_type = 'WEEKDAY' AND {closed})"
 
 
-def with_hour_limit(chunked: DataFrame, baseline: DataFrame) -> DataFrame:
+def with_hour_limit(chunked: DataFrame, baseline: DataFrame, chunks: DataFrame) -> DataFrame:
     """Attach each row's (asset, hour) limit.
 
-    The up to 24 limits of an asset are packed into one map and repeated per (asset, chunk), so
+    The up to 24 limits of an asset are packed into one map and repeated per (asset, chunk) of `chunks`, so
     that the join uses the key by which the rows are ordered afterwards: readings shuffle once,
     and an asset with very many readings is spread over its chunks.
     """
     limits = sql(
-        """
-        SELECT asset_id, chunk, limits
-        FROM (SELECT DISTINCT asset_id, chunk FROM {readings})
+        f"""
+        SELECT asset_id, {CHUNK}, limits
+        FROM {{chunks}}
         JOIN (SELECT asset_id, map_from_entries(collect_list(struct(hour, limit_kw))) AS limits
-              FROM {baseline} WHERE limit_kw IS NOT NULL GROUP BY asset_id) USING (asset_id)
+              FROM {{baseline}} WHERE limit_kw IS NOT NULL GROUP BY asset_id) USING (asset_id)
         """,
-        readings=chunked, baseline=baseline,
+        chunks=chunks, baseline=baseline,
     )
     return sql(
-        """
+        f"""
         SELECT r.*, try_element_at(l.limits, hour(r.timestamp)) AS limit_kw
-        FROM {readings} r LEFT JOIN {limits} l ON r.asset_id = l.asset_id AND r.chunk = l.chunk
+        FROM {{readings}} r LEFT JOIN {{limits}} l ON r.asset_id = l.asset_id AND r.{CHUNK} = l.{CHUNK}
         """,
         readings=chunked, limits=limits,
     )
@@ -90,26 +90,29 @@ def power_rules(p: AuditParams, scenarios: Sequence[str]) -> list[RunRule]:
 
 def power_events(
     telemetry: DataFrame, enriched: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams,
-    scenarios: Sequence[str] = ("S04", "S05"),
+    scenarios: Sequence[str] = ("S04", "S05"), profile: DataFrame | None = None, days: DataFrame | None = None,
 ) -> DataFrame:
     """S04 and S05 from one ordered pass over the enriched readings.
 
-    Baselines and the asset profile need no weather and read plain telemetry.
+    Baselines and the asset profile need no weather and read plain telemetry. A profile and a daily
+    rollup that are already stored save a pass over the readings each.
     """
+    profile = profile or asset_profile(telemetry, p)
     readings = with_chunk(enriched, p.chunk_hours)
     if "S05" in scenarios:
-        readings = with_hour_limit(readings, hourly_baseline(telemetry, p))
+        seen = chunks_of_days(days, p.chunk_hours) if days else readings.select("asset_id", CHUNK).distinct()
+        readings = with_hour_limit(readings, hourly_baseline(telemetry, p), seen)
     runs = sustained_events(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)
     minutes = f"n_rows * {p.slot_minutes}"
     leak_kwh = f"gap_kw / n_rows * ({minutes} / 60D)" if "S04" in scenarios else "0D"
-    idle_kwh = "excess_kw * 0.25D" if "S05" in scenarios else "0D"
+    idle_kwh = f"excess_kw * {p.slot_hours}D" if "S05" in scenarios else "0D"
     found = sql(
         f"""
         SELECT *, CASE scenario WHEN 'S04' THEN {leak_kwh} ELSE {idle_kwh} END AS kwh
         FROM {{sites}} JOIN (SELECT asset_id, total_assessed_mins FROM {{profile}}) USING (asset_id)
           JOIN (SELECT *, rule AS scenario FROM {{runs}}) USING (asset_id)
         """,
-        sites=metered(registry), profile=asset_profile(telemetry, p), runs=runs,
+        sites=metered(registry), profile=profile, runs=runs,
     )
     extras = {}
     if "S04" in scenarios:
@@ -120,13 +123,13 @@ def power_events(
         p, timestamp="start_time", anomaly_duration_mins=minutes,
         status=f"CASE scenario WHEN 'S04' THEN {STATUS['S04']} ELSE {STATUS['S05']} END", **extras,
     )
-    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions))
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions, profile))
 
 
-def asset_verdicts(enriched: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
+def asset_verdicts(days: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
     """One row per metered asset with all inputs of S07, S10 and the benchmark summary.
 
-    Both rules read the same daily rollup, so readings are aggregated once.
+    Both rules read the same daily rollup of the enriched readings.
     """
     per_asset = sql(
         """
@@ -139,7 +142,7 @@ def asset_verdicts(enriched: DataFrame, registry: DataFrame, p: AuditParams) ->
                min(dirty_from) AS dirty_from, max(dirty_to) AS dirty_to
         FROM {days} GROUP BY asset_id
         """,
-        days=cusum(daily_rollup(enriched), p),
+        days=cusum(days, p),
     )
     measured = f"""
         SELECT *, n_rows / {{expected_rows}} >= {{completeness}} AS complete,
@@ -194,7 +197,7 @@ def verdict_events(
         baseline_daily_kwh=drift(half_even("mu", 1)),
         cusum_threshold=drift(half_even("threshold", 1)),
     )
-    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions, at="tested_at"))
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions, verdicts, at="tested_at"))
 
 
 def benchmark_summary(verdicts: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Evidence rules: invoice hashes (S02), billing variance (S09), travel class (S11), waste.
 
-Inputs carry `row_ord`, their row position, which orders the events.
+Inputs carry `row_ord`, a number that orders the events before their time and asset do.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ TYPES = {
     "disposal_date": "STRING", "quantity_kg": "DOUBLE", "actual_billed_kwh": "DOUBLE",
     "inferred_kwh": "DOUBLE", "variance_pct": "DOUBLE",
 }
+# The finding texts here and in the rules below.
 HASH_MISSING = "Invoice hash field is null — evidence chain cannot be established"
 SUSPENDED = (
     "S09 analysis suspended — upstream S02 hash breach unresolved. "
@@ -85,7 +86,7 @@ def billing_variance(invoices: DataFrame, registry: DataFrame, p: AuditParams) -
     """Billed energy against the benchmark, suspended where S02 fired for the asset."""
     text = (
         f"concat('Billed ', {fixed('actual_billed_kwh', 0)}, ' kWh vs NABERS-inferred ', {fixed('inferred', 0)}, "
-        f"' kWh — variance ', {fixed('variance * 100', 1)}, '% exceeds 15% threshold')"
+        f"' kWh — variance ', {fixed('variance * 100', 1)}, '% exceeds {p.billing_variance * 100:g}% threshold')"
     )
     off = lambda x: f"CASE status WHEN 'L4_BILLING_VARIANCE' THEN {x} END"
     log = _log(
@@ -112,7 +113,7 @@ def travel_class(travel: DataFrame, p: AuditParams) -> DataFrame:
     log = _log(
         "S11", ref_id="CAST(ticket_id AS STRING)", asset_id="employee_id", status="'L3_TRAVEL_CLASS_AUDIT'",
         detail=f"concat('Business class on short-haul route ', route, ' (', {fixed(hours, 1)}, "
-               "' hrs) — exceeds 6-hour short-haul threshold')",
+               f"' hrs) — exceeds {p.short_haul_hours:g}-hour short-haul threshold')",
         financial_exposure=half_even(price, 2), route="route", booked_class=strip("booked_class"),
         flight_hours=hours, ticket_price_aud=price, employee_id="employee_id",
     )

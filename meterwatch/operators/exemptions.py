@@ -8,9 +8,12 @@ from meterwatch.config import EXEMPTABLE
 from meterwatch.functions.text import day_chunk, sql
 
 
-def exempt_slices(exemptions: DataFrame, chunk_days: int = 30) -> DataFrame:
+def exempt_slices(exemptions: DataFrame, spans: DataFrame, chunk_days: int = 30) -> DataFrame:
     """Exemptions cut at calendar chunks, one row per distinct start within a chunk.
 
+    An approval only counts from the day of its asset's first reading to the last one (`first_ts` and `last_ts` of
+    `spans`, one row per asset), so that one without an end adds no more chunks than the asset has.
+
     Overlapping approvals that cover a chunk's beginning fall together, so a group that holds many
     approvals stays small and events meet only those of their own chunk.
     """
@@ -19,23 +22,29 @@ def exempt_slices(exemptions: DataFrame, chunk_days: int = 30) -> DataFrame:
         SELECT asset_id AS ex_asset, scenario_id AS ex_scenario, ex_chunk,
                greatest(start_time, CAST(date_from_unix_date(ex_chunk * {chunk_days}) AS TIMESTAMP_NTZ)) AS ex_start,
                max(end_time) AS ex_end
-        FROM (SELECT *, explode(sequence({day_chunk('start_time', chunk_days)}, {day_chunk('end_time', chunk_days)})) AS ex_chunk
-              FROM {{exemptions}} WHERE scenario_id IN {EXEMPTABLE} AND start_time <= end_time)
+        FROM (SELECT *, explode(sequence({day_chunk('greatest(start_time, lo)', chunk_days)},
+                                         {day_chunk('least(end_time, hi)', chunk_days)})) AS ex_chunk
+              FROM {{exemptions}}
+              JOIN (SELECT asset_id, CAST(to_date(first_ts) AS TIMESTAMP_NTZ) AS lo, last_ts AS hi FROM {{spans}}) USING (asset_id)
+              WHERE scenario_id IN {EXEMPTABLE} AND start_time <= end_time AND start_time <= hi AND end_time >= lo)
         GROUP BY 1, 2, 3, 4
         """,
-        exemptions=exemptions,
+        exemptions=exemptions, spans=spans,
     )
 
 
 def drop_exempt(
-    events: DataFrame, exemptions: DataFrame, at: str = "start_time", chunk_days: int = 30
+    events: DataFrame, exemptions: DataFrame, spans: DataFrame, at: str = "start_time", chunk_days: int = 30
 ) -> DataFrame:
-    """Events whose time lies in no approved interval (closed) of their asset and scenario."""
+    """Events whose time lies in no approved interval (closed) of their asset and scenario.
+
+    `spans` holds first_ts and last_ts of every asset, between which its events lie.
+    """
     return sql(
         f"""
         SELECT e.* FROM {{events}} e LEFT ANTI JOIN {{slices}} x
         ON e.asset_id = x.ex_asset AND e.scenario = x.ex_scenario
            AND {day_chunk(f'e.{at}', chunk_days)} = x.ex_chunk AND e.{at} BETWEEN x.ex_start AND x.ex_end
         """,
-        events=events, slices=exempt_slices(exemptions, chunk_days),
+        events=events, slices=exempt_slices(exemptions, spans, chunk_days),
     )

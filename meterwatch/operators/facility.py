@@ -10,7 +10,7 @@ from meterwatch.config import AuditParams
 from meterwatch.functions.text import columns, half_even, holds, sql
 from meterwatch.operators.exemptions import drop_exempt
 from meterwatch.operators.prep import metered
-from meterwatch.operators.profile import asset_profile, slot_profile
+from meterwatch.operators.profile import asset_profile
 from meterwatch.operators.runs import RunRule, sustained_events
 from meterwatch.schemas import EMIT, FACILITY_LOG
 
@@ -36,42 +36,39 @@ def _log(**values: str) -> str:
     return columns([*FACILITY_LOG, *EMIT], **{**DEFAULTS, **values})
 
 
-def unauthorised_totals(telemetry: DataFrame, registry: DataFrame) -> DataFrame:
+def unauthorised_totals(profile: DataFrame, registry: DataFrame) -> DataFrame:
     """Readings of unregistered devices, with their unverified energy (kept out of all KPIs).
 
-    Readings reduce to one row per device before the registry is consulted.
+    The profile has reduced readings to one row per device before the registry is consulted.
     """
     return sql(
         """
-        SELECT t.* FROM (
-          SELECT asset_id, count(*) AS n_rows, min(timestamp) AS start_time, max(timestamp) AS end_time,
-                 coalesce(sum(total_power_kw), 0D) * 0.25D AS kwh_unverified
-          FROM {telemetry} GROUP BY asset_id) t
-        LEFT ANTI JOIN {registry} r ON t.asset_id = r.asset_id
+        SELECT t.asset_id, n_rows, first_ts AS start_time, last_ts AS end_time, kwh AS kwh_unverified
+        FROM {profile} t LEFT ANTI JOIN {registry} r ON t.asset_id = r.asset_id
         """,
-        telemetry=telemetry, registry=registry,
+        profile=profile, registry=registry,
     )
 
 
-def unauthorised(telemetry: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
+def unauthorised(profile: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
     """One event per device that is not registered."""
     minutes = f"n_rows * {p.slot_minutes}"
     log = _log(
         scenario="'S01'", status=STATUS["S01"], area_sqm="0D", anomaly_duration_mins=minutes,
         total_assessed_mins=minutes, emit_group="0", emit_entity="0L",
     )
-    return sql(f"SELECT {log} FROM {{devices}}", devices=unauthorised_totals(telemetry, registry))
+    return sql(f"SELECT {log} FROM {{devices}}", devices=unauthorised_totals(profile, registry))
 
 
-def telemetry_gaps(telemetry: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
-    """One event per metered asset whose month is less than 95 % complete."""
+def telemetry_gaps(slots: DataFrame, registry: DataFrame, p: AuditParams) -> DataFrame:
+    """One event per metered asset whose month is less than 95 % complete, from the profile with missing slots."""
     log = _log(
         start_time="first_ts", end_time="last_ts", scenario="'S03'", status=STATUS["S03"],
         anomaly_duration_mins="missing_mins",
     )
     return sql(
         f"SELECT {log} FROM {{gaps}} JOIN {{sites}} USING (asset_id) WHERE completeness < {{completeness}}",
-        p, gaps=slot_profile(telemetry, p), sites=metered(registry),
+        p, gaps=slots, sites=metered(registry),
     )
 
 
@@ -93,12 +90,13 @@ def air_quality_rules(p: AuditParams, scenarios: Sequence[str]) -> list[RunRule]
 
 def air_quality(
     telemetry: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams,
-    scenarios: Sequence[str] = ("S06", "S08"),
+    scenarios: Sequence[str] = ("S06", "S08"), profile: DataFrame | None = None,
 ) -> DataFrame:
-    """S06 and S08 from one ordered pass over the readings.
+    """S06 and S08 from one ordered pass over the readings; a stored profile saves another one.
 
     The registry is joined to the finished events and to the per-asset profile, not to readings.
     """
+    profile = profile or asset_profile(telemetry, p)
     runs = sustained_events(
         telemetry, air_quality_rules(p, scenarios), tiebreak=READING_ORDER, chunk_hours=p.chunk_hours
     )
@@ -108,7 +106,7 @@ def air_quality(
           JOIN (SELECT *, rule AS scenario FROM {runs}) USING (asset_id)
         WHERE scenario = 'S06' OR space_designation = 'HIGH_DEMAND'
         """,
-        sites=metered(registry), profile=asset_profile(telemetry, p), runs=runs,
+        sites=metered(registry), profile=profile, runs=runs,
     )
     zone = lambda x: f"CASE WHEN scenario = 'S08' THEN {x} END"
     figures = {}
@@ -125,4 +123,4 @@ def air_quality(
         status=f"CASE scenario WHEN 'S08' THEN {STATUS['S08']} ELSE {STATUS['S06']} END",
         anomaly_duration_mins=f"n_rows * {p.slot_minutes}", recommendation=ADVICE, **figures,
     )
-    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions))
+    return sql(f"SELECT {log} FROM {{events}}", events=drop_exempt(found, exemptions, profile))

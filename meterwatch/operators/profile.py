@@ -9,11 +9,11 @@ from meterwatch.functions.text import assessed_minutes, slot_offset, sql, whole_
 
 
 def asset_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
-    """Rows, first and last reading, completeness and assessed minutes per asset (BLK4, BLK5)."""
+    """Rows, first and last reading, energy, completeness and assessed minutes per asset (BLK4, BLK5)."""
     return sql(
         f"""
         SELECT asset_id, count(*) AS n_rows, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
-               count(*) / {{expected_rows}} AS completeness,
+               coalesce(sum(total_power_kw), 0D) * {p.slot_hours}D AS kwh, count(*) / {{expected_rows}} AS completeness,
                {assessed_minutes('min(timestamp)', 'max(timestamp)', p.slot_minutes)} AS total_assessed_mins
         FROM {{telemetry}} GROUP BY asset_id
         """,
@@ -36,15 +36,15 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
         for w in words
     )
     times = f"""
-        SELECT asset_id, to_date(timestamp) AS day, {slot_offset('timestamp', minutes)} AS offset, count(*) AS n,
+        SELECT asset_id, to_date(timestamp) AS day, {slot_offset('timestamp', minutes)} AS offset, count(*) AS n, sum(total_power_kw) AS kw,
                min(timestamp) AS first_ts, max(timestamp) AS last_ts, {marks}
         FROM {{telemetry}} GROUP BY 1, 2, 3"""
     classes = f"""
-        SELECT asset_id, offset, sum(n) AS n, sum({' + '.join(f'bit_count(w{w})' for w in words)}) AS n_times,
+        SELECT asset_id, offset, sum(n) AS n, sum(kw) AS kw, sum({' + '.join(f'bit_count(w{w})' for w in words)}) AS n_times,
                min(first_ts) AS first_ts, max(last_ts) AS last_ts
         FROM ({times}) GROUP BY 1, 2"""
     spans = f"""
-        SELECT asset_id, sum(n) AS n_rows, min_by(n_times, first_ts) AS on_grid,
+        SELECT asset_id, sum(n) AS n_rows, coalesce(sum(kw), 0D) * {p.slot_hours}D AS kwh, min_by(n_times, first_ts) AS on_grid,
                min(first_ts) AS first_ts, max(last_ts) AS last_ts
         FROM ({classes}) GROUP BY asset_id"""
     counted = f"""
@@ -52,7 +52,7 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
         FROM ({spans})"""
     return sql(
         f"""
-        SELECT asset_id, n_rows, first_ts, last_ts, n_rows / {{expected_rows}} AS completeness,
+        SELECT asset_id, n_rows, first_ts, last_ts, kwh, n_rows / {{expected_rows}} AS completeness,
                {assessed_minutes('first_ts', 'last_ts', p.slot_minutes)} AS total_assessed_mins,
                missing_slots, missing_slots * {{slot_minutes}} AS missing_mins
         FROM ({counted})
@@ -74,8 +74,8 @@ def hourly_baseline(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     )
 
 
-def daily_rollup(telemetry: DataFrame) -> DataFrame:
-    """One row per asset and day: energy, modal trait, time bounds (BLK8).
+def daily_rollup(telemetry: DataFrame, p: AuditParams) -> DataFrame:
+    """One row per asset and day: rows, energy, modal trait, time bounds (BLK8).
 
     Counting per trait first lets every step hash-aggregate with a bounded state; the mode is then
     the most frequent trait, the smallest one on a tie.
@@ -88,9 +88,9 @@ def daily_rollup(telemetry: DataFrame) -> DataFrame:
         FROM {{telemetry}} GROUP BY 1, 2, 3"""
     return sql(
         f"""
-        SELECT asset_id, date, sum(n) AS n_rows,
-               coalesce(sum(hvac), 0D) * 0.25D AS hvac_kwh, coalesce(sum(total), 0D) * 0.25D AS total_kwh,
-               coalesce(sum(cdd), 0D) * 0.25D AS cdd_hours,
+        SELECT asset_id, date, sum(n) AS n_rows, sum(CASE WHEN {dirty} THEN 0L ELSE n END) AS clean_rows,
+               coalesce(sum(hvac), 0D) * {p.slot_hours}D AS hvac_kwh, coalesce(sum(total), 0D) * {p.slot_hours}D AS total_kwh,
+               coalesce(sum(cdd), 0D) * {p.slot_hours}D AS cdd_hours,
                min(CASE WHEN audit_trait IS NOT NULL THEN struct(-n AS votes, audit_trait) END).audit_trait AS day_trait,
                min(lo) AS first_ts, max(hi) AS last_ts,
                min(lo) FILTER (WHERE {dirty}) AS dirty_from, max(hi) FILTER (WHERE {dirty}) AS dirty_to

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 from meterwatch.functions.text import holds, hour_chunk, sql
 
 
+CHUNK = "_run_chunk"  # a name that inputs do not have
+
+
 @dataclass(frozen=True)
 class RunRule:
     """One breach condition, as SQL. `scope` limits the sequence to the rows where it holds."""
@@ -33,7 +36,15 @@ class RunRule:
 
 
 def with_chunk(df: DataFrame, hours: int, ts: str = "timestamp") -> DataFrame:
-    return df.selectExpr("*", f"{hour_chunk(ts, hours)} AS chunk")
+    return df.selectExpr("*", f"{hour_chunk(ts, hours)} AS {CHUNK}")
+
+
+def chunks_of_days(days: DataFrame, hours: int) -> DataFrame:
+    """The chunks that an asset's days reach into; `days` holds one row per asset and date."""
+    if hours == 24:
+        return days.selectExpr("asset_id", f"unix_date(date) AS {CHUNK}")
+    at = lambda hour: f"CAST(floor((unix_date(date) * 24 + {hour}) / {hours}) AS INT)"
+    return days.selectExpr("asset_id", f"explode(sequence({at(0)}, {at(23)})) AS {CHUNK}").distinct()
 
 
 def sustained_events(
@@ -43,13 +54,13 @@ def sustained_events(
     """Runs of at least `min_rows` breaching rows per asset and rule.
 
     Returns key, rule, start_time, end_time, n_rows and one column per measure named by any rule.
-    A column `chunk` of the input is used as it is.
+    Readings that `with_chunk` has already marked are used as they are.
     """
-    readings = df if "chunk" in df.columns else with_chunk(df, chunk_hours, ts)
+    readings = df if CHUNK in df.columns else with_chunk(df, chunk_hours, ts)
     sums = sorted({m for r in rules for m in r.sums})
     peaks = sorted({m for r in rules for m in r.peaks})
     order = ", ".join([ts, *tiebreak])
-    in_order = f"PARTITION BY {key}, chunk ORDER BY {order}"
+    in_order = f"PARTITION BY {key}, {CHUNK} ORDER BY {order}"
     so_far = f"{in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND"
     flags, around, marks, members = [], [], [], []
     for n, r in enumerate(rules):
@@ -61,7 +72,7 @@ def sustained_events(
             flags.append(f"CASE WHEN {holds(r.scope)} THEN {holds(r.breach)} END AS {on}")
             around += [
                 f"last({on}, true) OVER ({so_far} 1 PRECEDING) AS {prev}",
-                f"count({on}) OVER ({so_far} CURRENT ROW) = count({on}) OVER (PARTITION BY {key}, chunk) AS end{n}",
+                f"count({on}) OVER ({so_far} CURRENT ROW) = count({on}) OVER (PARTITION BY {key}, {CHUNK}) AS end{n}",
             ]
         marks += [
             f"sum(CASE WHEN {on} IS NULL OR {on} <=> {prev} THEN 0 ELSE 1 END) OVER ({so_far} CURRENT ROW) AS run{n}",
@@ -84,7 +95,7 @@ def sustained_events(
     numbered = f"SELECT *, {', '.join(marks)} FROM ({compared})"
     # breaching rows go on, and of every chunk its first row, which shows that the chunk exists
     candidates = f"""
-        SELECT {key}, chunk, {ts} AS ts, inline(array({', '.join(members)}))
+        SELECT {key}, {CHUNK} AS chunk, {ts} AS ts, inline(array({', '.join(members)}))
         FROM ({numbered}) WHERE {kept}"""
     runs = f"""
         SELECT {key}, chunk, rule, run, bool_or(breach) AS breach, bool_or(breach AND at_end) AS open_end,

@@ -15,7 +15,7 @@ from meterwatch import schemas
 from meterwatch.config import CLEAN, AuditParams, literal_table
 from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import sql
-from meterwatch.plans import logs, star
+from meterwatch.plans.audit import Audit
 from meterwatch.sources import weather as wx
 
 # The test month is sparse: about 67 readings per asset instead of 2,880.
@@ -68,7 +68,7 @@ class TestTables:
 
     @cached_property
     def registry(self) -> DataFrame:
-        """Customers in good standing; Australian ones have no meters."""
+        """Customers as sites; Australian ones have no meters."""
         return sql(
             """
             SELECT c_custkey AS asset_ord, asset_id, 20 + abs(c_acctbal) / 10 AS area_sqm,
@@ -76,7 +76,7 @@ class TestTables:
                    region = 'NZ' AS has_iot,
                    CASE c_mktsegment WHEN 'BUILDING' THEN 'HIGH_DEMAND' ELSE 'STANDARD' END AS space_designation,
                    c_name AS display_name
-            FROM {customers} WHERE c_acctbal >= 0
+            FROM {customers}
             """,
             customers=self.customers,
         )
@@ -189,10 +189,13 @@ class TestTables:
         )
 
     @cached_property
+    def audit(self) -> Audit:
+        """The stored tables that a run of the pipeline makes as well."""
+        return Audit(self)
+
+    @property
     def fact(self) -> DataFrame:
-        """The stored event fact that all reports read."""
-        events = (logs.facility_events(self), logs.energy_events(self), logs.compliance_events(self))
-        return stored_table(star.fact_audit_events(*events, self.params), f"fact_{self._folder}")
+        return self.audit.fact
 
     @property
     def _folder(self) -> str:

@@ -7,16 +7,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from meterwatch.config import CLEAN, AuditParams
+from meterwatch.config import AuditParams
 from meterwatch.functions.text import half_even, sql
 from meterwatch.operators import energy, evidence, facility
 from meterwatch.operators.prep import enrich
-from meterwatch.schemas import COMPLIANCE_LOG, ENERGY_LOG, FACILITY_LOG
+from meterwatch.operators.profile import daily_rollup, slot_profile
 
 
 @dataclass(frozen=True)
 class AuditInputs:
-    """The tables an audit reads. `invoices`, `travel` and `waste` carry `row_ord`."""
+    """The tables an audit reads. `invoices`, `travel` and `waste` carry `row_ord`.
+
+    `rejects` counts the readings left out, `prior` holds last month's KPIs; an audit works without both.
+    """
 
     telemetry: DataFrame
     weather: DataFrame
@@ -26,29 +29,41 @@ class AuditInputs:
     travel: DataFrame
     waste: DataFrame
     params: AuditParams = field(default_factory=AuditParams)
+    rejects: DataFrame | None = None
+    prior: DataFrame | None = None
+
+
+def enriched(a: AuditInputs) -> DataFrame:
+    return enrich(a.telemetry, a.weather, a.params)
+
 
+def asset_profile(a: AuditInputs) -> DataFrame:
+    """One row per asset for S01, S03 and the assessed time of all events."""
+    return slot_profile(a.telemetry, a.params)
 
-def facility_events(a: AuditInputs) -> DataFrame:
+
+def daily(a: AuditInputs) -> DataFrame:
+    """One row per asset and day for S07, S10 and the days that S05 looks at."""
+    return daily_rollup(enriched(a), a.params)
+
+
+def facility_events(a: AuditInputs, profile: DataFrame) -> DataFrame:
+    """One pass over the readings beside the profile."""
     p = a.params
     return (
-        facility.unauthorised(a.telemetry, a.registry, p)
-        .unionByName(facility.telemetry_gaps(a.telemetry, a.registry, p))
-        .unionByName(facility.air_quality(a.telemetry, a.registry, a.exemptions, p))
+        facility.unauthorised(profile, a.registry, p)
+        .unionByName(facility.telemetry_gaps(profile, a.registry, p))
+        .unionByName(facility.air_quality(a.telemetry, a.registry, a.exemptions, p, profile=profile))
     )
 
 
-def energy_verdicts(a: AuditInputs) -> DataFrame:
-    return energy.asset_verdicts(enrich(a.telemetry, a.weather, a.params), a.registry, a.params)
-
-
-def energy_events(a: AuditInputs, verdicts: DataFrame | None = None) -> DataFrame:
-    """S04, S05, S07 and S10; verdicts that are already stored need not be computed again."""
+def energy_events(a: AuditInputs, profile: DataFrame, days: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Two passes over the readings beside profile and daily rollup."""
     p = a.params
-    readings = enrich(a.telemetry, a.weather, p)
-    verdicts = verdicts or energy.asset_verdicts(readings, a.registry, p)
-    return energy.power_events(a.telemetry, readings, a.registry, a.exemptions, p).unionByName(
-        energy.verdict_events(verdicts, a.exemptions, p)
+    power = energy.power_events(
+        a.telemetry, enriched(a), a.registry, a.exemptions, p, profile=profile, days=days
     )
+    return power.unionByName(energy.verdict_events(verdicts, a.exemptions, p))
 
 
 def compliance_events(a: AuditInputs) -> DataFrame:
@@ -61,18 +76,6 @@ def compliance_events(a: AuditInputs) -> DataFrame:
     )
 
 
-def facility_log(a: AuditInputs) -> DataFrame:
-    return facility_events(a).select(*FACILITY_LOG)
-
-
-def energy_log(a: AuditInputs) -> DataFrame:
-    return energy_events(a).select(*ENERGY_LOG)
-
-
-def compliance_log(a: AuditInputs) -> DataFrame:
-    return compliance_events(a).select(*COMPLIANCE_LOG)
-
-
 def scenario_totals(energy_log: DataFrame, compliance_log: DataFrame) -> DataFrame:
     """Energy, money and carbon per scenario, two decimals (RPT1)."""
     measures = ("waste_kwh", "financial_cost", "financial_exposure", "carbon_kg")
@@ -83,9 +86,10 @@ def scenario_totals(energy_log: DataFrame, compliance_log: DataFrame) -> DataFra
     return sql(f"SELECT scenario, {totals} FROM {{events}} GROUP BY scenario", events=per_event)
 
 
-def outcome_counts(a: AuditInputs) -> DataFrame:
+def outcome_counts(a: AuditInputs, profile: DataFrame, days: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Checked records per scenario and outcome, compliant and skipped ones included (RPT2).
 
+    Readings are not read again: profile, daily rollup and verdicts hold their counts.
     `amount` is the unverified energy for S01 and the row count otherwise.
     """
     p = a.params
@@ -97,13 +101,21 @@ def outcome_counts(a: AuditInputs) -> DataFrame:
             df=df,
         )
 
-    devices = facility.unauthorised_totals(a.telemetry, a.registry)
-    verdicts = energy_verdicts(a)
+    devices = facility.unauthorised_totals(profile, a.registry)
+    baseline = sql(
+        """
+        SELECT 'S05' AS scenario, outcome, sum(n) AS n, CAST(sum(n) AS DOUBLE) AS amount
+        FROM (SELECT inline(array(struct('baseline_row' AS outcome, clean_rows AS n),
+                                  struct('excluded_row' AS outcome, n_rows - clean_rows AS n))) FROM {days})
+        WHERE n > 0 GROUP BY outcome
+        """,
+        days=days,
+    )
     skipped = "CASE WHEN NOT complete THEN 'skipped_incomplete'"
     parts = [
         counted("S01", "'unverified'", devices, half_even("sum(kwh_unverified)", 2)),
         counted("S02", f"coalesce({evidence.HASH_OUTCOME}, 'verified')", a.invoices),
-        counted("S05", f"CASE audit_trait WHEN '{CLEAN}' THEN 'baseline_row' ELSE 'excluded_row' END", a.telemetry),
+        baseline,
         counted(
             "S07", f"{skipped} WHEN NOT baselined THEN 'skipped_no_baseline' "
             "WHEN degraded THEN 'alarm' ELSE 'no_degradation' END", verdicts,

@@ -11,7 +11,8 @@ from meterwatch import config, schemas
 from meterwatch.config import AuditParams
 from meterwatch.functions.sizing import stored_table
 from meterwatch.operators import energy, evidence
-from meterwatch.plans import logs, star
+from meterwatch.plans import logs, reporting, star
+from meterwatch.plans.audit import Audit
 from meterwatch.plans.logs import AuditInputs
 from meterwatch.schemas import COMPLIANCE_LOG, ENERGY_LOG, FACILITY_LOG, FACT
 from meterwatch.sources import tables
@@ -26,12 +27,20 @@ INPUTS = {
     "waste": "fact_waste_manifest",
 }
 
+PRIOR = "dim_baseline_prior_month"
+INVOICE_ORDER = "year(billing_month) * 12 + month(billing_month)"
+
 
 def load(
     spark: SparkSession, folder: str, fmt: str = "csv", params: AuditParams | None = None,
     registry: DataFrame | None = None,
 ) -> AuditInputs:
-    """Inputs from `folder`, one CSV file or Parquet folder per table."""
+    """Inputs from `folder`, one CSV file or Parquet folder per table.
+
+    A CSV ledger is parsed once and landed as Parquet by month in the shared folder, where a period prunes it. With a
+    period, readings and weather outside it are left out; invoices, tickets and manifests are audited whole.
+    """
+    params = params or AuditParams()
 
     def table(name: str) -> DataFrame:
         path = f"{folder}/{INPUTS[name]}"
@@ -39,46 +48,77 @@ def load(
             return tables.read_csv_text(spark, f"{path}.csv")
         return tables.strip_headers(spark.read.parquet(path))
 
-    evidence_table = lambda name, schema, *optional: tables.with_row_ord(
-        tables.conform(table(name), schema, optional)
+    evidence_table = lambda name, schema, order, *optional: tables.with_row_ord(
+        tables.conform(table(name), schema, optional), order
     )
+    ledger = tables.ledger(table("telemetry"))
+    if fmt == "csv":
+        ledger = stored_table(ledger, "ledger", ("month",))
+    weather = tables.conform(table("weather"), schemas.WEATHER).selectExpr("*", f"{tables.MONTH} AS month")
     return AuditInputs(
-        telemetry=tables.clean_telemetry(table("telemetry")),
-        weather=tables.conform(table("weather"), schemas.WEATHER).where("timestamp IS NOT NULL"),
+        telemetry=tables.readings(ledger, params.period),
+        weather=tables.one_per_time(tables.readings(weather, params.period)),
         registry=registry or config.registry(spark),
         exemptions=tables.conform(table("exemptions"), schemas.EXEMPTIONS, ("application_type",)),
-        invoices=evidence_table("invoices", schemas.INVOICES, "inferred_kwh"),
-        travel=evidence_table("travel", schemas.TRAVEL),
-        waste=evidence_table("waste", schemas.WASTE),
-        params=params or AuditParams(),
+        invoices=evidence_table("invoices", schemas.INVOICES, INVOICE_ORDER, "inferred_kwh"),
+        travel=evidence_table("travel", schemas.TRAVEL, "ticket_id"),
+        # manifests have no number: their events go by date and asset
+        waste=evidence_table("waste", schemas.WASTE, "0"),
+        params=params,
+        rejects=tables.rejected(ledger),
+        prior=tables.read_optional(spark, f"{folder}/{PRIOR}.csv", schemas.PRIOR) if fmt == "csv" else None,
     )
 
 
 def publish(a: AuditInputs, write: Callable[[DataFrame, str], None]) -> None:
     """Compute every output table once and hand it to `write(table, name)`.
 
-    Verdicts, logs and fact are stored before they are read again, so that no rule runs twice.
-    Tables are written also when they are empty.
+    Profile, daily rollup, verdicts, logs and fact are stored before they are read again, so that no
+    rule runs twice. Tables are written also when they are empty.
     """
-    spark, p = a.telemetry.sparkSession, a.params
-    verdicts = stored_table(logs.energy_verdicts(a), "energy_verdicts")
-    facility = stored_table(logs.facility_events(a), "facility_events")
-    power = stored_table(logs.energy_events(a, verdicts), "energy_events")
-    compliance = stored_table(logs.compliance_events(a), "compliance_events")
-    fact = stored_table(star.fact_audit_events(facility, power, compliance, p), "audit_events")
-    scenarios = config.scenarios(spark)
-
-    write(facility.select(*FACILITY_LOG), "facility_audit_log")
-    write(power.select(*ENERGY_LOG), "energy_audit_log")
-    write(compliance.select(*COMPLIANCE_LOG), "esg_compliance_audit_log")
-    write(energy.benchmark_summary(verdicts), "nabersnz_summary")
-    write(evidence.au_benchmark_summary(a.invoices, a.registry, p), "nabers_au_summary")
+    p, audit = a.params, Audit(a)
+    fact, scenarios, assets = audit.fact, config.scenarios(a.telemetry.sparkSession), star.dim_assets(a.registry)
+    summary_nz = energy.benchmark_summary(audit.verdicts)
+    summary_au = evidence.au_benchmark_summary(a.invoices, a.registry, p)
+    kpi = star.kpi_summary(fact)
+
+    write(audit.facility.select(*FACILITY_LOG), "facility_audit_log")
+    write(audit.energy.select(*ENERGY_LOG), "energy_audit_log")
+    write(audit.compliance.select(*COMPLIANCE_LOG), "esg_compliance_audit_log")
+    write(summary_nz, "nabersnz_summary")
+    write(summary_au, "nabers_au_summary")
     write(fact.select(*FACT), "fact_audit_events")
-    write(star.dim_assets(a.registry), "dim_assets")
+    write(assets, "dim_assets")
     write(scenarios, "dim_scenarios")
-    write(star.kpi_summary(fact), "dim_kpi_summary")
+    write(kpi, "dim_kpi_summary")
     write(star.priority_actions(fact, scenarios), "dim_priority_actions")
 
+    if a.rejects is not None:
+        write(a.rejects, "rejected_readings")
+    if a.prior is not None:
+        write(reporting.kpi_delta(kpi, a.prior), "report_kpi_delta")
+    daily = reporting.ieq_daily(fact)
+    reports = {
+        "scenario_totals": logs.scenario_totals(audit.energy, audit.compliance),
+        "outcome_counts": audit.outcome_counts(),
+        "events_by_category": star.events_by_category(fact),
+        "compliance_matrix": reporting.compliance_matrix(fact, assets),
+        "drill_down": reporting.drill_down(fact, scenarios),
+        "co2_exceedance": reporting.ieq_exceedance(fact, assets, p),
+        "high_demand_exceedance": reporting.ieq_exceedance(fact, assets, p, "S08"),
+        "ieq_daily": daily,
+        "ieq_daily_total": reporting.ieq_daily_total(daily, p),
+        "ieq_log": reporting.ieq_log(fact, assets, scenarios),
+        "benchmark_rank": reporting.benchmark_rank(summary_nz, assets, p),
+        "benchmark_au_status": reporting.benchmark_au_status(summary_au, assets),
+        "energy_timeline": reporting.energy_timeline(fact, assets),
+        "energy_event_log": reporting.energy_event_log(fact, assets, scenarios),
+        "evidence_findings": reporting.evidence_findings(fact, assets),
+        "evidence_log": reporting.evidence_log(fact, assets, scenarios),
+    }
+    for name, table in reports.items():
+        write(table, f"report_{name}")
+
 
 def run(spark: SparkSession, folder: str, out: str, fmt: str = "csv", params: AuditParams | None = None) -> None:
     """Audit the tables of `folder` and write all outputs below `out` in the same format."""

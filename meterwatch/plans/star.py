@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meterwatch import config
-from meterwatch.functions.sizing import ensure_checkpoint_dir
+from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import columns, fixed, half_even, lenient_time, sql
 from meterwatch.schemas import DIM_ASSETS, FACT
 
@@ -81,23 +81,25 @@ def unnumbered_facts(
 def with_event_ids(facts: DataFrame) -> DataFrame:
     """Dense ids EVT_0001, EVT_0002, … in emit order (FCT4).
 
-    Events are range-partitioned and sorted, written to the checkpoint folder, and numbered from
-    their place in the stored partition plus the sizes of the partitions before it. Only the sizes,
-    one row per partition, are ordered in a single task and broadcast.
+    Events are range-partitioned, sorted and stored once as Parquet, each with its partition and its
+    place in it. The id is the place plus the sizes of the partitions before it. Only these sizes, one
+    row per partition, are ordered in a single task and kept as a small table.
     """
-    ensure_checkpoint_dir(facts.sparkSession)
-    stored = facts.repartitionByRange(*EMIT_ORDER).sortWithinPartitions(*EMIT_ORDER).checkpoint()
-    placed = stored.selectExpr("*", "monotonically_increasing_id() AS place")
-    sizes = "SELECT shiftright(place, 33) AS part, count(*) AS n FROM {placed} GROUP BY 1"
-    offsets = f"""
+    ordered = facts.repartitionByRange(*EMIT_ORDER).sortWithinPartitions(*EMIT_ORDER)
+    placed = stored_table(ordered.selectExpr("*", "monotonically_increasing_id() AS place"), "audit_events")
+    offsets = stored_table(sql(
+        """
         SELECT part, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS skip
-        FROM ({sizes})"""
+        FROM (SELECT shiftright(place, 33) AS part, count(*) AS n FROM {placed} GROUP BY 1)
+        """,
+        placed=placed,
+    ), "audit_event_offsets")
     numbered = f"""
         SELECT /*+ BROADCAST(o) */ p.*, o.skip + (p.place & {(1 << 33) - 1}L) + 1 AS event_seq
-        FROM {{placed}} p JOIN ({offsets}) o ON shiftright(p.place, 33) = o.part"""
+        FROM {{placed}} p JOIN {{offsets}} o ON shiftright(p.place, 33) = o.part"""
     return sql(
         f"SELECT * EXCEPT (place), format_string('EVT_%04d', event_seq) AS event_id FROM ({numbered})",
-        placed=placed,
+        placed=placed, offsets=offsets,
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwatch import schemas
+from meterwatch.functions.text import sql
 
 # Accepted header names per telemetry column, best first.
 TELEMETRY_ALIASES: Mapping[str, Sequence[str]] = {
@@ -27,6 +28,9 @@ MISSING = (
 )
 
 
+MONTH = "trunc(to_date(timestamp), 'MM')"
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Strictly typed CSV scan: a malformed value fails the job (SRC1, PRE1)."""
     return (
@@ -92,25 +96,62 @@ def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFra
             value = "NULL"
         else:
             given = f"CASE WHEN {f.name} NOT IN ({missing}) THEN {f.name} END" if kinds.get(f.name) == "string" else f.name
-            value = f"nanvl(CAST({given} AS DOUBLE), NULL)" if kind in ("bigint", "int") else given
+            value = given
+            if kind in ("bigint", "int") and kinds.get(f.name) not in ("bigint", "int"):
+                # long ids are not squeezed through a floating-point number
+                value = f"coalesce(try_cast({given} AS BIGINT), CAST(nanvl(CAST({given} AS DOUBLE), NULL) AS BIGINT))"
+                if kinds.get(f.name) != "string":
+                    value = f"nanvl(CAST({given} AS DOUBLE), NULL)"
         exprs.append(f"CAST({value} AS {kind}) AS {f.name}")
     return nan_to_null(df.selectExpr(*exprs))
 
 
-def clean_telemetry(df: DataFrame) -> DataFrame:
-    """Canonical names and types, NaN as null, rows without a time dropped.
+def ledger(df: DataFrame) -> DataFrame:
+    """Canonical names and types, NaN as null, and the calendar month by which the ledger is stored.
 
-    Sub-meters and the trait may be absent; the rules that need them then find nothing.
+    Sub-meters and the trait may be absent; the rules that need them then find nothing. Readings
+    without a time have no month.
     """
     named = resolve_columns(strip_headers(df), TELEMETRY_ALIASES)
     unused = ("emissions_co2_kg", "crypto_signature")
     optional = ("hvac_power_kw", "lighting_power_kw", "it_load_power_kw", "audit_trait", *unused)
-    return conform(named, schemas.TELEMETRY, optional).drop(*unused).where("timestamp IS NOT NULL")
+    return conform(named, schemas.TELEMETRY, optional).drop(*unused).selectExpr("*", f"{MONTH} AS month")
+
+
+def readings(ledger: DataFrame, period: tuple[str, str] | None = None) -> DataFrame:
+    """Readings with a time, those of the period if one is given; other months are not read."""
+    kept = ledger.where("month IS NOT NULL AND timestamp IS NOT NULL")
+    if period:
+        start, end = (f"TIMESTAMP_NTZ'{t}'" for t in period)
+        kept = kept.where(f"month BETWEEN trunc({start}, 'MM') AND to_date({end})")
+        kept = kept.where(f"timestamp >= {start} AND timestamp < {end}")
+    return kept.drop("month")
+
+
+def rejected(ledger: DataFrame) -> DataFrame:
+    """Number of readings without a time per asset: no rule can place them, so they are counted here."""
+    return ledger.where("month IS NULL").groupBy("asset_id").agg(F.count("*").alias("n_rows"))
+
+
+def clean_telemetry(df: DataFrame) -> DataFrame:
+    """The readings of a raw ledger."""
+    return readings(ledger(df))
+
+
+def one_per_time(weather: DataFrame) -> DataFrame:
+    """Weather without repeated rows; fails where one time has two different ones, which would double its readings."""
+    only = lambda c: (
+        f"CASE WHEN count(*) = 1 THEN any_value({c}) ELSE raise_error(concat('several weather rows for ', timestamp)) END AS {c}"
+    )
+    return sql(
+        f"SELECT timestamp, {only('outdoor_temp_c')}, {only('day_type')} FROM (SELECT DISTINCT * FROM {{weather}}) GROUP BY timestamp",
+        weather=weather,
+    )
 
 
-def with_row_ord(df: DataFrame) -> DataFrame:
-    """Number rows in scan order, with gaps; order is kept within and between file splits."""
-    return df.withColumn("row_ord", F.monotonically_increasing_id())
+def with_row_ord(df: DataFrame, order: str) -> DataFrame:
+    """Add the number by which events of the rows are ordered; it comes from their values, not from files or tasks."""
+    return df.selectExpr("*", f"CAST({order} AS BIGINT) AS row_ord")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -24,29 +24,34 @@ def explode_payload(payload: DataFrame) -> DataFrame:
 
 
 def resample_linear(hourly: DataFrame, minutes: int = 15) -> DataFrame:
-    """Linear interpolation between neighbouring readings, ending at the last one (PRE9).
+    """Linear interpolation between neighbouring readings (PRE9).
 
-    The look-ahead runs within a month. Its last reading finds its neighbour in the month heads,
-    of which there is one per month, so that no task orders the whole history.
+    The grid spans all rows: slots after the last known temperature hold it, slots before the first one
+    are null. The look-ahead runs within a month. Its last reading finds its neighbour in the month
+    heads, of which there is one per month, so that no task orders the whole history.
     """
     seconds = lambda a, b: f"CAST(CAST({b} - {a} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
     known = """
         SELECT timestamp AS t0, outdoor_temp_c AS v0, trunc(to_date(timestamp), 'MM') AS month
         FROM {hourly} WHERE outdoor_temp_c IS NOT NULL"""
+    later = "OVER (ORDER BY month ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
     heads = f"""
-        SELECT month, lead(head) OVER (ORDER BY month) AS next_head
-        FROM (SELECT month, min(struct(t0, v0)) AS head FROM ({known}) GROUP BY month)"""
+        SELECT month, first_value(head, true) {later} AS next_head, max(hi) OVER () AS last_time,
+               CASE WHEN head.t0 = min(head.t0) OVER () THEN head.t0 END AS first_known, min(lo) OVER () AS first_time
+        FROM (SELECT trunc(to_date(timestamp), 'MM') AS month, min(timestamp) AS lo, max(timestamp) AS hi,
+                     min(CASE WHEN outdoor_temp_c IS NOT NULL THEN struct(timestamp AS t0, outdoor_temp_c AS v0) END) AS head
+              FROM {{hourly}} WHERE timestamp IS NOT NULL GROUP BY 1)"""
     paired = f"""
-        SELECT /*+ BROADCAST(h) */ t0, v0, coalesce(ahead, next_head).t0 AS t1, coalesce(ahead, next_head).v0 AS v1
+        SELECT /*+ BROADCAST(h) */ t0, v0, coalesce(ahead, next_head).t0 AS t1, coalesce(ahead, next_head).v0 AS v1,
+               CASE WHEN t0 = first_known THEN first_time ELSE t0 END AS from_time, last_time
         FROM (SELECT *, lead(struct(t0, v0)) OVER (PARTITION BY month ORDER BY t0) AS ahead FROM ({known})) k
         JOIN ({heads}) h ON k.month = h.month"""
     grid = f"""
-        SELECT *, explode(CASE WHEN t1 IS NULL THEN array(t0)
-                          ELSE sequence(t0, t1, INTERVAL '{minutes}' MINUTE) END) AS timestamp
+        SELECT *, explode(sequence(from_time, coalesce(t1, last_time), INTERVAL '{minutes}' MINUTE)) AS timestamp
         FROM ({paired})"""
     return sql(
         f"""
-        SELECT timestamp, CASE WHEN t1 IS NULL THEN v0
+        SELECT timestamp, CASE WHEN timestamp < t0 THEN NULL WHEN t1 IS NULL THEN v0
                  ELSE v0 + (v1 - v0) * (CAST({seconds('t0', 'timestamp')} AS DOUBLE) / {seconds('t0', 't1')}) END AS outdoor_temp_c
         FROM ({grid}) WHERE t1 IS NULL OR timestamp < t1
         """,

@@ -59,7 +59,7 @@ SHARED = {
         n_regionkey <> 0 AS has_iot,
         CASE WHEN c_mktsegment = 'BUILDING' THEN 'HIGH_DEMAND' ELSE 'STANDARD' END AS space_designation,
         c_name AS display_name
-      FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
+      FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "telemetry": """
       SELECT timestamp, asset_id, CAST(400 + (10 * k_sum) // k_n AS BIGINT) AS indoor_co2_ppm,
         18 + k_sum / k_n / 12 AS indoor_temp_c, total_power_kw, hvac_power_kw, lighting_power_kw, it_load_power_kw,

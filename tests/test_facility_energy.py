@@ -10,7 +10,9 @@ from helpers import SITE, START, ZONE, exemptions, reading, rows, slot, telemetr
 from meterwatch import config
 from meterwatch.config import AuditParams
 from meterwatch.operators import energy, facility
+from meterwatch.operators.exemptions import exempt_slices
 from meterwatch.operators.prep import enrich
+from meterwatch.operators.profile import asset_profile, daily_rollup, slot_profile
 
 P = AuditParams()
 
@@ -23,23 +25,23 @@ def registry(spark):
 def test_unknown_device_is_one_event_without_energy(spark, registry):
     data = [reading(slot(50), asset="Asset_99_UNKNOWN_Boundary", total=400.0), reading(slot(0)),
             reading(slot(1), asset="Asset_11_AU_Sydney")]
-    got = facility.unauthorised(telemetry(spark, data), registry, P).collect()
+    got = facility.unauthorised(asset_profile(telemetry(spark, data), P), registry, P).collect()
     assert len(got) == 1  # a registered site without meters is known
     e = got[0]
     assert (e.asset_id, e.status, e.start_time, e.end_time) == (
         "Asset_99_UNKNOWN_Boundary", "L0_UNAUTHORIZED_ASSET", slot(50), slot(50))
     assert (e.anomaly_duration_mins, e.total_assessed_mins, e.waste_kwh, e.financial_cost) == (15, 15, 0.0, 0.0)
-    total = facility.unauthorised_totals(telemetry(spark, data), registry).collect()[0]
+    total = facility.unauthorised_totals(asset_profile(telemetry(spark, data), P), registry).collect()[0]
     assert total.kwh_unverified == 100.0
 
 
 def test_two_day_hole(spark, registry):
     hole = set(range(14 * 96, 16 * 96))
     data = [reading(slot(i)) for i in range(2877) if i not in hole]
-    e = facility.telemetry_gaps(telemetry(spark, data), registry, P).collect()[0]
+    e = facility.telemetry_gaps(slot_profile(telemetry(spark, data), P), registry, P).collect()[0]
     assert (e.scenario, e.anomaly_duration_mins, e.total_assessed_mins) == ("S03", 2880, 43140)
     full = [reading(slot(i)) for i in range(2877)]
-    assert facility.telemetry_gaps(telemetry(spark, full), registry, P).count() == 0
+    assert facility.telemetry_gaps(slot_profile(telemetry(spark, full), P), registry, P).count() == 0
 
 
 def test_co2_breach_is_strict_and_ignores_exemptions(spark, registry):
@@ -138,7 +140,7 @@ def drifting(days=30, dirty_from=11, creep=8.0, total=10.0, skip=()):
 
 def test_degradation_event(spark, registry):
     frame = telemetry(spark, drifting())
-    verdicts = energy.asset_verdicts(enrich(frame, weather(spark), P), registry, P)
+    verdicts = energy.asset_verdicts(daily_rollup(enrich(frame, weather(spark), P), P), registry, P)
     got = energy.verdict_events(verdicts, exemptions(spark), P, ("S07",)).collect()
     assert len(got) == 1
     e = got[0]
@@ -155,7 +157,7 @@ def test_degradation_event(spark, registry):
 
 def test_degradation_needs_a_complete_month_and_clean_days(spark, registry):
     for data in (drifting(skip=(14, 15)), drifting(dirty_from=2)):
-        verdicts = energy.asset_verdicts(enrich(telemetry(spark, data), weather(spark), P), registry, P)
+        verdicts = energy.asset_verdicts(daily_rollup(enrich(telemetry(spark, data), weather(spark), P), P), registry, P)
         assert energy.verdict_events(verdicts, exemptions(spark), P, ("S07",)).count() == 0
 
 
@@ -164,14 +166,14 @@ def test_benchmark(spark, registry):
     hot = weather(spark, temp=20.3)  # two cooling degrees in every slot
     for kw, wx, breach in ((40.0, weather(spark), False), (45.0, weather(spark), True), (45.0, hot, False)):
         frame = telemetry(spark, [reading(slot(i), total=kw, hvac=1.0) for i in range(2880)])
-        verdicts = energy.asset_verdicts(enrich(frame, wx, P), registry, P)
+        verdicts = energy.asset_verdicts(daily_rollup(enrich(frame, wx, P), P), registry, P)
         got = energy.verdict_events(verdicts, exemptions(spark), P, ("S10",)).collect()
         assert bool(got) == breach
         summary = energy.benchmark_summary(verdicts).collect()
         assert len(summary) == 1 and summary[0].breach == breach
     frame = telemetry(spark, [reading(slot(i), total=45.0, hvac=1.0) for i in range(2880)])
     e = energy.verdict_events(
-        energy.asset_verdicts(enrich(frame, weather(spark), P), registry, P), exemptions(spark), P, ("S10",)
+        energy.asset_verdicts(daily_rollup(enrich(frame, weather(spark), P), P), registry, P), exemptions(spark), P, ("S10",)
     ).collect()[0]
     assert (e.days_elapsed, e.anomaly_duration_mins, e.nabersnz_ratio) == (29, 29 * 1440, 1.111)
     assert e.waste_kwh == pytest.approx(45 * 720 - 105000 / 3.6, abs=1e-3)
@@ -181,10 +183,10 @@ def test_benchmark(spark, registry):
 def test_empty_telemetry(spark, registry):
     frame = telemetry(spark, [])
     assert facility.air_quality(frame, registry, exemptions(spark), P).count() == 0
-    assert facility.telemetry_gaps(frame, registry, P).count() == 0
+    assert facility.telemetry_gaps(slot_profile(frame, P), registry, P).count() == 0
     enriched = enrich(frame, weather(spark, n=4), P)
     assert energy.power_events(frame, enriched, registry, exemptions(spark), P).count() == 0
-    assert energy.asset_verdicts(enriched, registry, P).count() == 0
+    assert energy.asset_verdicts(daily_rollup(enriched, P), registry, P).count() == 0
 
 
 def test_cooling_degrees_keep_unknown_weather_unknown(spark):
@@ -192,3 +194,44 @@ def test_cooling_degrees_keep_unknown_weather_unknown(spark):
     got = enrich(frame, weather(spark, temp=20.3), P).orderBy("timestamp").collect()
     assert [None if r.cdd is None else round(r.cdd, 6) for r in got] == [2.0, None, 2.0]
     assert [r.is_weekday for r in got] == [0, 0, 0]  # 1 November 2025 is a Saturday
+
+
+def test_half_hour_slots(spark, registry):
+    p = AuditParams(slot_minutes=30)
+    data = [reading(START + timedelta(minutes=30 * i), total=2.0, hvac=2.0, light=0.0, it=0.0) for i in range(48)]
+    data.append(reading(START, asset="Asset_99", total=4.0))
+    frame = telemetry(spark, data)
+    days = daily_rollup(enrich(frame, weather(spark), p), p)
+    assert {(r.asset_id, r.n_rows, r.total_kwh, r.hvac_kwh) for r in days.collect()} == {
+        (SITE, 48, 48.0, 48.0), ("Asset_99", 1, 2.0, 2.5)}
+    slots = {r.asset_id: r for r in slot_profile(frame, p).collect()}
+    assert (slots[SITE].missing_slots, slots[SITE].kwh, slots[SITE].total_assessed_mins) == (0, 48.0, 23 * 60 + 30)
+    assert facility.unauthorised_totals(asset_profile(frame, p), registry).first().kwh_unverified == 2.0
+    with pytest.raises(ValueError, match="divide"):
+        AuditParams(slot_minutes=25)
+
+
+def test_stored_profile_and_days_change_nothing(spark, registry):
+    data = [reading(slot(i), hvac=9.0 if i % 50 in (1, 2, 3, 4, 5) and i > 400 else 2.0 + i % 2, total=60.0 if i % 97 < 6 else 10.0,
+                    co2=1200 if i % 31 < 3 else 500) for i in range(960)]
+    frame = telemetry(spark, data)
+    enriched, none = enrich(frame, weather(spark), P), exemptions(spark)
+    for hours in (24, 5, 48):
+        p = AuditParams(chunk_hours=hours, idle_sigma=0.5)
+        profile, days = slot_profile(frame, p), daily_rollup(enriched, p)
+        alone = energy.power_events(frame, enriched, registry, none, p).collect()
+        shared = energy.power_events(frame, enriched, registry, none, p, profile=profile, days=days).collect()
+        assert sorted(map(str, alone)) == sorted(map(str, shared)) and {r.scenario for r in alone} == {"S04", "S05"}
+        air = [facility.air_quality(frame, registry, none, p, profile=x).collect() for x in (None, profile)]
+        assert sorted(map(str, air[0])) == sorted(map(str, air[1])) and air[0]
+
+
+def test_open_ended_approval_adds_no_more_chunks_than_the_asset_has(spark, registry):
+    data = [reading(slot(i), co2=1200, asset=ZONE) for i in range(96 * 40)]
+    profile = slot_profile(telemetry(spark, data), P)
+    forever = exemptions(spark, [(ZONE, "S08", datetime(1990, 1, 1), datetime(9999, 12, 31)),
+                                 (ZONE, "S08", datetime(2030, 1, 1), datetime(9999, 12, 31)),
+                                 ("Asset_without_readings", "S08", START, datetime(9999, 12, 31))])
+    assert exempt_slices(forever, profile).count() <= 3
+    left = facility.air_quality(telemetry(spark, data), registry, forever, P, ("S08",))
+    assert left.count() == 0

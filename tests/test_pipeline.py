@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import csv
+from dataclasses import replace
+from datetime import datetime
 
-from helpers import SITE, slot
-from meterwatch.plans import pipeline
+from helpers import SITE, START, exemptions, reading, slot, telemetry, weather
+from meterwatch import config, schemas
+from meterwatch.config import AuditParams
+from meterwatch.functions.sizing import stored_table
+from meterwatch.plans import logs, pipeline
+from meterwatch.plans.audit import Audit
+from meterwatch.plans.logs import AuditInputs
+from meterwatch.sources import tables
 
 
 def put(folder, name, header, rows):
@@ -53,4 +61,74 @@ def test_csv_in_csv_out(spark, tmp_path):
     assert table("nabers_au_summary").first().suspension_reason == "S02_HASH_BREACH"
     assert table("dim_scenarios").count() == 12 and table("dim_assets").count() == 11
     assert table("nabersnz_summary").count() == 1
+    assert table("rejected_readings").count() == 0 and table("report_kpi_delta").count() == 6
+    totals = {r.scenario: float(r.waste_kwh) for r in table("report_scenario_totals").collect()}
+    assert totals["S04"] == 14.0 * 29 * 24
+    outcomes = {(r.scenario, r.outcome): int(r.n) for r in table("report_outcome_counts").collect()}
+    assert outcomes["S05", "baseline_row"] == 2880 and outcomes["S05", "excluded_row"] == 1
+    assert table("report_evidence_log").count() == 4 and table("report_benchmark_rank").count() == 1
     assert table("facility_audit_log").count() == 2 and table("esg_compliance_audit_log").count() == 4
+
+
+def month_of(spark, *assets, start=START, days=30, hole=()):
+    return [reading(slot(i, start), asset=a, co2=1250 if i % 96 in (40, 41) else 600) for a in assets
+            for i in range(96 * days) if i // 96 not in hole]
+
+
+def inputs(spark, readings, params=None):
+    empty = lambda schema: spark.createDataFrame([], "row_ord bigint, " + schema)
+    return AuditInputs(
+        telemetry=telemetry(spark, readings), weather=weather(spark, 2976), registry=config.registry(spark),
+        exemptions=exemptions(spark), invoices=empty(schemas.INVOICES), travel=empty(schemas.TRAVEL),
+        waste=empty(schemas.WASTE), params=params or AuditParams())
+
+
+def test_two_runs_in_one_application(spark):
+    first, second = Audit(inputs(spark, month_of(spark, SITE, days=2))), Audit(inputs(spark, month_of(spark, SITE, days=1)))
+    before = first.fact.count()
+    assert second.fact.count() < before
+    assert first.fact.count() == before and first.profile.first().n_rows == 192
+
+
+def test_the_ledger_is_read_five_times(spark, tmp_path):
+    telemetry(spark, month_of(spark, SITE, days=2)).write.parquet(str(tmp_path / "ledger"))
+    base = inputs(spark, month_of(spark, SITE, days=1))
+    a = replace(base, telemetry=spark.read.parquet(str(tmp_path / "ledger")))
+    audit = Audit(a)
+    plans = [logs.asset_profile(a), logs.daily(a), logs.facility_events(a, audit.profile),
+             logs.energy_events(a, audit.profile, audit.days, audit.verdicts),
+             audit.fact, audit.outcome_counts(), logs.scenario_totals(audit.energy, audit.compliance)]
+    scans = [p._jdf.queryExecution().optimizedPlan().toString().count("indoor_co2_ppm#") for p in plans]
+    reads = [p._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}") for p in plans]
+    assert reads == [1, 1, 1, 2, 0, 0, 0], scans
+
+
+def test_period(spark, tmp_path):
+    src = tmp_path / "in"
+    october = datetime(2025, 10, 1)
+    data = month_of(spark, SITE, start=october, days=31, hole=range(5)) + month_of(spark, SITE)
+    telemetry(spark, [*data, reading(None, asset="a")]).write.parquet(str(src / "fact_telemetry_ledger"))
+    weather(spark, 96 * 61, start=october).write.parquet(str(src / "external_auckland_weather"))
+    exemptions(spark).write.parquet(str(src / "fact_exemption_registry"))
+    for name, schema in (("dim_invoices_proxy", schemas.INVOICES), ("fact_travel_expense", schemas.TRAVEL),
+                         ("fact_waste_manifest", schemas.WASTE)):
+        spark.createDataFrame([], schema).write.parquet(str(src / name))
+    p = AuditParams().for_period("2025-10-01", "2025-11-01")
+    assert (p.expected_rows, p.working_hours) == (2976, 23 * 13.0)
+    months = {}
+    for start, end in (("2025-10-01", "2025-11-01"), ("2025-11-01", "2025-12-01")):
+        a = pipeline.load(spark, str(src), "parquet", AuditParams().for_period(start, end))
+        months[start] = {r.scenario for r in logs.facility_events(a, logs.asset_profile(a)).collect()}
+        assert "GreaterThanOrEqual(timestamp" in a.telemetry._jdf.queryExecution().executedPlan().toString()
+        assert a.weather.count() == a.params.expected_rows
+        assert [(r.asset_id, r.n_rows) for r in a.rejects.collect()] == [("a", 1)]
+    assert months == {"2025-10-01": {"S03", "S06"}, "2025-11-01": {"S06"}}
+
+
+def test_landed_ledger_is_pruned_by_month(spark):
+    frame = telemetry(spark, month_of(spark, SITE, start=datetime(2025, 10, 1), days=61))
+    landed = stored_table(tables.ledger(frame), "ledger", ("month",))
+    october = tables.readings(landed, ("2025-10-01 00:00:00", "2025-11-01 00:00:00"))
+    plan = october._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert october.count() == 31 * 96

@@ -43,14 +43,14 @@ def test_baseline_uses_clean_rows_and_needs_two(spark):
 def test_day_trait_is_the_mode_and_the_smallest_on_a_tie(spark):
     day = lambda d, traits: [reading(slot(96 * d + i), trait=t) for i, t in enumerate(traits)]
     data = [*day(0, ["B", "A", "B"]), *day(1, ["B", "A"]), *day(2, [None, None, "A"]), *day(3, [None])]
-    assert [t for _, t in rows(profile.daily_rollup(telemetry(spark, data)).na.fill("-", ["day_trait"]), "date", "day_trait")] == [
+    assert [t for _, t in rows(profile.daily_rollup(telemetry(spark, data), P).na.fill("-", ["day_trait"]), "date", "day_trait")] == [
         "B", "A", "A", "-"
     ]
 
 
 def test_daily_energy_counts_missing_power_as_zero(spark):
     data = [reading(slot(0), hvac=None), reading(slot(96), hvac=2.0), reading(slot(97), hvac=4.0, trait="X")]
-    got = profile.daily_rollup(telemetry(spark, data)).orderBy("date").collect()
+    got = profile.daily_rollup(telemetry(spark, data), P).orderBy("date").collect()
     assert [r.hvac_kwh for r in got] == [0.0, 1.5]
     assert [r.dirty_from for r in got] == [None, slot(97)]
 

@@ -19,7 +19,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.BY_TABLES) <= set(registered.oracle_sql()) <= set(registered.queries())
 
 
 @pytest.mark.parametrize("name", list(registered.BY_TABLES))

@@ -52,9 +52,47 @@ def test_nan_readings_become_null_and_rows_without_time_go(spark):
     assert len(got) == 1 and got[0].indoor_temp_c is None and got[0].total_power_kw == 2.0
 
 
-def test_row_order(spark):
-    got = tables.with_row_ord(spark.range(5, numPartitions=2)).orderBy("row_ord").collect()
-    assert [r.id for r in got] == list(range(5))
+def test_readings_without_time_are_counted(spark):
+    rows_in = [("NA", "a", 1), ("", "a", 2), ("2025-11-01 00:00:00", "b", 3), (None, None, 4)]
+    frame = spark.createDataFrame(rows_in, "timestamp string, asset_id string, indoor_co2_ppm bigint").selectExpr(
+        "*", "1D AS indoor_temp_c", "1D AS total_power_kw")
+    ledger = tables.ledger(frame)
+    assert {(r.asset_id, r.n_rows) for r in tables.rejected(ledger).collect()} == {("a", 2), (None, 1)}
+    assert [r.asset_id for r in tables.readings(ledger).collect()] == ["b"]
+
+
+def test_one_weather_row_per_time(spark):
+    row = (START, 10.0, "WEEKDAY")
+    frame = spark.createDataFrame([row, row], schemas.WEATHER)
+    assert [tuple(r) for r in tables.one_per_time(frame).collect()] == [row]
+    with pytest.raises(Exception, match="several weather rows"):
+        tables.one_per_time(frame.union(spark.createDataFrame([(START, 11.0, "WEEKDAY")], schemas.WEATHER))).collect()
+
+
+def test_long_ids_stay_exact(spark):
+    frame = spark.createDataFrame([("9007199254740993",), ("12.0",), ("NaN",)], "n string")
+    assert [r.n for r in tables.conform(frame, "n bigint").collect()] == [9007199254740993, 12, None]
+
+
+def test_missing_temperatures_at_both_ends(spark):
+    at = lambda h: START.replace(hour=h)
+    hourly = spark.createDataFrame(
+        [(at(0), None), (at(1), 4.0), (at(2), None), (at(3), 8.0), (at(4), None)], "timestamp timestamp_ntz, outdoor_temp_c double")
+    got = {r.timestamp: r.outdoor_temp_c for r in weather.resample_linear(hourly).collect()}
+    assert len(got) == 17 and max(got) == at(4)
+    assert [got[at(h)] for h in range(5)] == [None, 4.0, 6.0, 8.0, 8.0]
+    assert got[at(3).replace(minute=45)] == 8.0 and got[at(0).replace(minute=45)] is None
+
+
+def test_missing_temperatures_over_whole_months(spark):
+    month = lambda m: START.replace(month=m, hour=0)
+    hourly = spark.createDataFrame(
+        [(month(8), None), (month(9), 1.0), (month(10), None), (month(11), 3.0), (month(12), None)],
+        "timestamp timestamp_ntz, outdoor_temp_c double")
+    got = {r.timestamp: r.outdoor_temp_c for r in weather.resample_linear(hourly).collect()}
+    assert len(got) == 122 * 96 + 1
+    assert [got[month(m)] for m in (8, 9, 11, 12)] == [None, 1.0, 3.0, 3.0]
+    assert got[month(10)] == pytest.approx(1 + 2 * 30 / 61)
 
 
 def test_payload_to_grid(spark, tmp_path):
