@@ -20,7 +20,7 @@ from meterwatch.plans import bindings as b  # noqa: E402
 from meterwatch.plans import logs, reporting, star  # noqa: E402
 from meterwatch.sources import tables  # noqa: E402
 from meterwatch.sources import weather as wx  # noqa: E402
-from oracle_queries import grouped, rnd, runs, with_shared  # noqa: E402
+from oracle_queries import WHITE, grouped, rnd, runs, with_shared  # noqa: E402
 
 P = b.PARAMS
 TESTDATA = "/root/testdata/sf0.001"
@@ -386,10 +386,10 @@ def oracle_sql() -> dict[str, str]:
                   ELSE 'within_threshold' END FROM billing
               UNION ALL SELECT 'S10', CASE WHEN NOT complete THEN 'skipped_incomplete' WHEN ratio > 1.10 THEN 'breach'
                   ELSE 'on_track' END FROM verdicts
-              UNION ALL SELECT 'S11', CASE WHEN trim(booked_class) = 'Business' AND flight_hours < 6 THEN 'flagged'
+              UNION ALL SELECT 'S11', CASE WHEN trim(booked_class, {WHITE}) = 'Business' AND flight_hours < 6 THEN 'flagged'
                   ELSE 'compliant' END FROM travel
-              UNION ALL SELECT 'S12', CASE WHEN trim(waste_type) NOT IN ('Hazardous', 'E-Waste') THEN 'non_hazardous'
-                  WHEN trim(coalesce(disposal_cert_url, '')) = '' THEN 'certificate_missing' ELSE 'certified' END FROM waste)
+              UNION ALL SELECT 'S12', CASE WHEN trim(waste_type, {WHITE}) NOT IN ('Hazardous', 'E-Waste') THEN 'non_hazardous'
+                  WHEN trim(coalesce(disposal_cert_url, ''), {WHITE}) = '' THEN 'certificate_missing' ELSE 'certified' END FROM waste)
             GROUP BY ALL""",
         "fact_normalise": f"""SELECT category, scenario, asset_id, event_time, {', '.join(star.MEASURES)}, detail
             FROM fact_all WHERE category = 'Energy'""",

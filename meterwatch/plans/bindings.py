@@ -17,6 +17,7 @@ from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import sql
 from meterwatch.plans.audit import Audit
 from meterwatch.sources import weather as wx
+from meterwatch.sources.tables import conform
 
 # The test month is sparse: about 67 readings per asset instead of 2,880.
 PARAMS = AuditParams(
@@ -141,20 +142,23 @@ class TestTables:
 
     @cached_property
     def invoices(self) -> DataFrame:
-        """Orders as invoices; some hashes are missing, some are of another text."""
-        return sql(
+        """Orders as invoices; some hashes are missing, written as NA, or of another text."""
+        raw = sql(
             """
             SELECT o_orderkey AS row_ord, asset_id, trunc(o_orderdate, 'MM') AS billing_month,
                    o_totalprice / 100 AS actual_billed_kwh,
                    CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 7 THEN NULL
                         WHEN o_orderpriority = '1-URGENT' AND day(o_orderdate) = 13 THEN sha2(concat(text, '|altered'), 256)
+                        WHEN o_orderpriority = '2-HIGH' AND day(o_orderdate) = 17 THEN 'NA'
                         ELSE sha2(text, 256) END AS uploaded_pdf_hash,
-                   sha2(text, 256) AS original_crypto_signature
+                   CASE WHEN o_orderpriority = '2-HIGH' AND day(o_orderdate) = 17 THEN 'NA'
+                        ELSE sha2(text, 256) END AS original_crypto_signature
             FROM (SELECT *, concat(o_orderkey, '|', CAST(o_totalprice AS DECIMAL(18, 2))) AS text FROM {orders})
             JOIN {customers} ON o_custkey = c_custkey
             """,
             orders=self.source("orders"), customers=self.customers,
         )
+        return conform(raw, "row_ord bigint, " + schemas.INVOICES, ("inferred_kwh",))
 
     @cached_property
     def travel(self) -> DataFrame:
@@ -163,7 +167,8 @@ class TestTables:
             """
             SELECT l_orderkey * 10 + l_linenumber AS row_ord, l_orderkey * 10 + l_linenumber AS ticket_id,
                    concat('EMP_', o_custkey) AS employee_id, concat('S', l_suppkey, '-P', l_partkey) AS route,
-                   CASE o_orderpriority WHEN '1-URGENT' THEN ' Business ' WHEN '2-HIGH' THEN 'business'
+                   CASE o_orderpriority WHEN '1-URGENT' THEN ' Business ' WHEN '3-MEDIUM' THEN '\\tBusiness\\u00A0'
+                     WHEN '2-HIGH' THEN 'business'
                      ELSE 'Economy' END AS booked_class,
                    l_extendedprice AS ticket_price_aud, CAST(l_quantity AS DOUBLE) AS flight_hours
             FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
@@ -177,11 +182,12 @@ class TestTables:
         return sql(
             f"""
             SELECT doc_id AS row_ord, concat('WM_', doc_id) AS manifest_id, concat('Asset_', doc_id, {NZ}) AS asset_id,
-                   CASE lang WHEN 'fr' THEN 'Hazardous' WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
+                   CASE lang WHEN 'fr' THEN 'Hazardous\\n' WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
                    CASE WHEN source = 'src0' THEN 'not a date' WHEN lang = 'fr' THEN date_format(day, 'M/d/yyyy')
                         ELSE date_format(day, 'yyyy-MM-dd') END AS disposal_date,
                    n_chars / 10 AS quantity_kg,
-                   CASE quality WHEN 1 THEN concat('cert/', doc_id) WHEN 0 THEN '  ' END AS disposal_cert_url
+                   CASE WHEN quality = 1 THEN concat('cert/', doc_id) WHEN quality = 0 AND n_chars % 2 = 0 THEN '  '
+                        WHEN quality = 0 THEN '\\t\\u00A0' END AS disposal_cert_url
             FROM (SELECT *, date_add(DATE'{START}', CAST(n_chars % 30 AS INT)) AS day FROM {{documents}})
             LEFT JOIN {{labels}} USING (doc_id)
             """,

@@ -48,6 +48,8 @@ DEPARTMENTS = """CASE WHEN scenario IN ('S01','S03') THEN 'IT / Data' WHEN scena
     WHEN scenario = 'S10' THEN 'Energy Compliance' WHEN scenario IN ('S11','S12') THEN 'ESG / Compliance'
     ELSE 'Facilities' END"""
 
+# white space at either end does not count: blank, tab, line feed, no-break space
+WHITE = "' ' || chr(9) || chr(10) || chr(160)"
 ADVICE = "'Monitor and increase fresh air supply'"
 
 SHARED = {
@@ -106,23 +108,27 @@ SHARED = {
         CAST(date_trunc('month', o_orderdate) AS DATE) AS billing_month, o_totalprice / 100 AS actual_billed_kwh,
         CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 7 THEN NULL
              WHEN o_orderpriority = '1-URGENT' AND day(o_orderdate) = 13 THEN sha256(t || '|altered')
+             -- written as NA, which stands for no hash
+             WHEN o_orderpriority = '2-HIGH' AND day(o_orderdate) = 17 THEN NULL
              ELSE sha256(t) END AS uploaded_pdf_hash,
-        sha256(t) AS original_crypto_signature
+        CASE WHEN o_orderpriority <> '2-HIGH' OR day(o_orderdate) <> 17 THEN sha256(t) END AS original_crypto_signature
       FROM (SELECT *, o_orderkey || '|' || CAST(o_totalprice AS DECIMAL(18, 2)) AS t FROM orders)
       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "travel": """
       SELECT l_orderkey * 10 + l_linenumber AS row_ord, l_orderkey * 10 + l_linenumber AS ticket_id,
         'EMP_' || o_custkey AS employee_id, 'S' || l_suppkey || '-P' || l_partkey AS route,
-        CASE o_orderpriority WHEN '1-URGENT' THEN ' Business ' WHEN '2-HIGH' THEN 'business' ELSE 'Economy' END AS booked_class,
+        CASE o_orderpriority WHEN '1-URGENT' THEN ' Business ' WHEN '3-MEDIUM' THEN chr(9) || 'Business' || chr(160)
+          WHEN '2-HIGH' THEN 'business' ELSE 'Economy' END AS booked_class,
         l_extendedprice AS ticket_price_aud, CAST(l_quantity AS DOUBLE) AS flight_hours
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "waste": """
       SELECT d.doc_id AS row_ord, 'WM_' || d.doc_id AS manifest_id, 'Asset_' || d.doc_id || '_NZ_Boundary' AS asset_id,
-        CASE lang WHEN 'fr' THEN 'Hazardous' WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
+        CASE lang WHEN 'fr' THEN 'Hazardous' || chr(10) WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
         CASE WHEN source = 'src0' THEN 'not a date' WHEN lang = 'fr' THEN strftime(dd, '%-m/%-d/%Y')
              ELSE strftime(dd, '%Y-%m-%d') END AS disposal_date,
         dd AS disposal_day, n_chars / 10 AS quantity_kg,
-        CASE quality WHEN 1 THEN 'cert/' || d.doc_id WHEN 0 THEN '  ' END AS disposal_cert_url
+        CASE WHEN quality = 1 THEN 'cert/' || d.doc_id WHEN quality = 0 AND n_chars % 2 = 0 THEN '  '
+          WHEN quality = 0 THEN chr(9) || chr(160) END AS disposal_cert_url
       FROM (SELECT *, DATE '2024-01-01' + CAST(n_chars % 30 AS INTEGER) AS dd FROM documents) d
       LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "profile": f"""
@@ -279,16 +285,16 @@ SHARED = {
       SELECT CAST(ticket_id AS VARCHAR), employee_id, 'S11', 'L3_TRAVEL_CLASS_AUDIT',
         'Business class on short-haul route ' || route || ' (' || {text('flight_hours', 1)}
           || ' hrs) — exceeds 6-hour short-haul threshold',
-        {rnd('ticket_price_aud', 2)}, 0, NULL, route, trim(booked_class), flight_hours, ticket_price_aud, employee_id,
+        {rnd('ticket_price_aud', 2)}, 0, NULL, route, trim(booked_class, {WHITE}), flight_hours, ticket_price_aud, employee_id,
         NULL, NULL, NULL, NULL, NULL, NULL, 11, row_ord, NULL
-      FROM travel WHERE trim(booked_class) = 'Business' AND flight_hours < 6.0
+      FROM travel WHERE trim(booked_class, {WHITE}) = 'Business' AND flight_hours < 6.0
       UNION ALL
       SELECT manifest_id, asset_id, 'S12', 'L3_WASTE_CERT_MISSING',
-        trim(waste_type) || ' disposal record has no certificate URL — compliance with HSNO Act 1996 and Basel Convention cannot be verified',
-        0, 0, NULL, NULL, NULL, NULL, NULL, NULL, trim(waste_type), disposal_date, quantity_kg, NULL, NULL, NULL,
+        trim(waste_type, {WHITE}) || ' disposal record has no certificate URL — compliance with HSNO Act 1996 and Basel Convention cannot be verified',
+        0, 0, NULL, NULL, NULL, NULL, NULL, NULL, trim(waste_type, {WHITE}), disposal_date, quantity_kg, NULL, NULL, NULL,
         12, row_ord, disposal_day
-      FROM waste WHERE trim(waste_type) IN ('Hazardous', 'E-Waste')
-        AND (disposal_cert_url IS NULL OR trim(disposal_cert_url) = '')""",
+      FROM waste WHERE trim(waste_type, {WHITE}) IN ('Hazardous', 'E-Waste')
+        AND (disposal_cert_url IS NULL OR trim(disposal_cert_url, {WHITE}) = '')""",
     "fact_all": f"""
       SELECT *, {DEPARTMENTS} AS department,
         CASE WHEN contains(asset_id, 'Sydney') OR contains(asset_id, '_AU_') THEN 'AU' ELSE 'NZ' END AS region
