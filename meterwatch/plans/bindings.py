@@ -127,13 +127,14 @@ class TestTables:
 
     @cached_property
     def exemptions(self) -> DataFrame:
-        """Every order as a 36-hour approval, moved into the test month."""
+        """Every order as a 36-hour approval, moved into the test month; a few have no end."""
         return sql(
             f"""
             SELECT concat('EX_', o_orderkey) AS exemption_id, concat('Asset_', o_custkey, {NZ}) AS asset_id,
                    CASE o_orderpriority WHEN '1-URGENT' THEN 'S04' WHEN '2-HIGH' THEN 'S05' WHEN '3-MEDIUM' THEN 'S06'
                      WHEN '4-NOT SPECIFIED' THEN 'S07' ELSE 'S08' END AS scenario_id,
-                   start_time, start_time + INTERVAL '36' HOUR AS end_time, o_orderstatus AS application_type
+                   start_time, CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 28 THEN TIMESTAMP_NTZ'9999-12-31'
+                     ELSE start_time + INTERVAL '36' HOUR END AS end_time, o_orderstatus AS application_type
             FROM (SELECT *, CAST(date_add(DATE'{START}', date_diff(o_orderdate, DATE'1995-01-01') % 30)
                                  AS TIMESTAMP_NTZ) AS start_time FROM {{orders}})
             """,

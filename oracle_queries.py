@@ -99,7 +99,8 @@ SHARED = {
       SELECT 'EX_' || o_orderkey AS exemption_id, 'Asset_' || o_custkey || '_NZ_Boundary' AS asset_id,
         CASE o_orderpriority WHEN '1-URGENT' THEN 'S04' WHEN '2-HIGH' THEN 'S05' WHEN '3-MEDIUM' THEN 'S06'
           WHEN '4-NOT SPECIFIED' THEN 'S07' ELSE 'S08' END AS scenario_id,
-        s AS start_time, s + INTERVAL '36 hours' AS end_time
+        s AS start_time,
+        CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 28 THEN TIMESTAMP '9999-12-31' ELSE s + INTERVAL '36 hours' END AS end_time
       FROM (SELECT *, TIMESTAMP '2024-01-01' + (date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30)
                       * INTERVAL '1 day' AS s FROM orders)""",
     "invoices": """
