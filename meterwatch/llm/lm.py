@@ -5,9 +5,8 @@ each has an emission class (the first ones a class of their own), all other toke
 state emits a class, and the class a token by its smoothed unigram share in it, so the model's probabilities sum to one
 over the known tokens and one unknown token a class, while its tables stay bounded whatever the vocabulary.
 
-Baum-Welch starts from a few rounds on a bounded sample of documents; each of `PASSES` rounds then takes its expected
-counts from every training document, summed by partition in numpy and across partitions by Spark. The scaled forward
-recursion gives the exact likelihood of every whole text. Counts of tokens outside the dictionary join by token.
+Baum-Welch starts from rounds on a bounded sample of documents of any length. Rounds over every training document follow, their expected counts summed by partition in numpy and across partitions by Spark, until a round raises the summed
+log-likelihood by less than the share `SETTLED`. The scaled forward recursion gives the exact likelihood of every whole text. Counts of tokens outside the dictionary join by token.
 
 Defined cases: null and empty texts are a lone end; a missing id counts as the empty id; equal rows score equally;
 without training documents the unigram part has one unknown type and the model adds nothing.
@@ -31,7 +30,9 @@ SMOOTH = 0.1
 FREQUENT, LONGEST = 100_000, 64
 OWN, SHARED, ENDINGS = 4096, 2048, 512
 CLASSES = OWN + SHARED + ENDINGS
-STATES, START_DOCS, START_ROUNDS, PASSES = 8, 1_200, 8, 1
+STATES, START_DOCS = 8, 1_200
+#: A round that raises the log-likelihood of all training documents by less than this share is the last.
+SETTLED = 1e-4
 _BLOCK = 300_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -132,6 +133,7 @@ class Model:
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray
+    history: tuple[float, ...] = ()  # log10 likelihood of all training documents before each round over them
 
 
 def _blocks(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -148,11 +150,11 @@ def _blocks(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 def _forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keep: bool):
     """Log10 likelihoods by the scaled recursion; on demand every step's states, scales and emissions."""
     going = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lengths greater than t
-    logs, steps, state = np.zeros(len(starts)), [], None
+    logs, steps, state, ones = np.zeros(len(starts)), [], None, np.ones(len(model.start), model.emit.dtype)
     for t, n in enumerate(going):
         emitted = model.emit[flat[starts[:n] + t]]
         state = emitted * model.start if t == 0 else (state[:n] @ model.move) * emitted
-        scale = state.sum(axis=1)
+        scale = state @ ones  # faster than a sum over a short axis
         state /= scale[:, None]
         logs[:n] += np.log10(scale)
         if keep:
@@ -160,16 +162,18 @@ def _forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nda
     return logs, steps
 
 
-def expected_counts(model: Model, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums over sequences: starts, moves, emissions by class and state."""
-    k = len(model.start)
+def expected_counts(model: Model, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch sums over sequences: starts, moves, emissions by class and state, and the log10 likelihood."""
+    k, total = len(model.start), 0.0
     start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k))
     for flat, _, starts, lengths in _blocks(column):
-        _, steps = _forward(model, flat, starts, lengths, keep=True)
-        back, seen, shares = np.ones((0, k)), [], []
+        logs, steps = _forward(model, flat, starts, lengths, keep=True)
+        total += float(logs.sum())
+        back, seen, shares = np.ones((0, k), model.emit.dtype), [], []
         for t in range(len(steps) - 1, -1, -1):
             state, scale, emitted = steps[t]
-            back = np.concatenate([back, np.ones((len(state) - len(back), k))])  # sequences that end here
+            if len(state) > len(back):  # sequences that end here
+                back = np.concatenate([back, np.ones((len(state) - len(back), k), back.dtype)])
             seen.append(flat[starts[: len(state)] + t])
             shares.append(state * back)
             ahead = emitted * back / scale[:, None]
@@ -179,9 +183,10 @@ def expected_counts(model: Model, column: pa.ListArray) -> tuple[np.ndarray, np.
             else:
                 start += shares[-1].sum(axis=0)
         which, share = np.concatenate(seen), np.concatenate(shares)
-        for s in range(k):
-            emit[:, s] += np.bincount(which, share[:, s], len(emit))
-    return start, move * model.move, emit
+        order = np.argsort(which, kind="stable")
+        firsts = np.flatnonzero(np.diff(which[order], prepend=-1))
+        emit[which[order[firsts]]] += np.add.reduceat(share[order], firsts, axis=0, dtype=np.float64)
+    return start, move * model.move, emit, total
 
 
 def _updated(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.ndarray, weight: float = 500.0) -> Model:
@@ -190,43 +195,54 @@ def _updated(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.nd
     return Model((start + 1) / (start + 1).sum(), (move + 1) / (move + 1).sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def _first_model(sample: pa.ListArray, share: np.ndarray, states: int, rounds: int, seed: int = 11) -> Model:
-    """Sticky states from random documents, then Baum-Welch on the sample."""
+def _unsettled(history: list[float], settled: float) -> bool:
+    return len(history) < 2 or history[-1] - history[-2] > settled * abs(history[-1])
+
+
+def _first_model(sample: pa.ListArray, share: np.ndarray, states: int, settled: float, seed: int = 11) -> Model:
+    """Sticky states from random documents, then Baum-Welch on the sample until it settles."""
     rng = np.random.default_rng(seed)
     base = share / share.sum()
     emit = np.zeros((len(share), states))
     for i, doc in enumerate(sample):
         np.add.at(emit[:, i % states], doc.values.to_numpy(), rng.uniform(0.5, 1.5))
     model = _updated(np.ones(states), np.eye(states) * 50 * states + 1, emit, base)
-    for _ in range(rounds if len(sample) else 0):
-        model = _updated(*expected_counts(model, sample), base)
+    history: list[float] = []
+    while len(sample) and _unsettled(history, settled):
+        *sums, total = expected_counts(model, sample)
+        model = _updated(*sums, base)
+        history.append(total)
     return model
 
 
-def train(rows: DataFrame, uni: Unigrams, states: int = STATES, passes: int = PASSES) -> Model:
-    """Baum-Welch over the coded training documents."""
+def train(rows: DataFrame, uni: Unigrams, states: int = STATES, settled: float = SETTLED) -> Model:
+    """Baum-Welch over the coded training documents, round after round until the likelihood settles."""
     spark = rows.sparkSession
-    sample = rows.select("row", "classes").where("n_tokens <= 2000").orderBy(F.xxhash64("row"), "row").limit(START_DOCS).toArrow()
+    sample = rows.select("row", "classes").orderBy(F.xxhash64("row"), "row").limit(START_DOCS).toArrow()
     column = sample.column("classes").combine_chunks()
-    model = _first_model(column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.int16())), uni.share, states, START_ROUNDS)
+    model = _first_model(column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.int16())), uni.share, states, settled)
     names = [f"s{i}" for i in range(states)]
-    for _ in range(passes):
+    history: list[float] = []
+    while _unsettled(history, settled):
         held = spark.sparkContext.broadcast((model.start, model.move, model.emit))
 
         def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            model, sums = Model(*held.value), [0.0, 0.0, 0.0]
+            model, sums = Model(*[a.astype(np.float32) for a in held.value]), [0.0, 0.0, 0.0, 0.0]
             for batch in batches:
                 sums = [a + b for a, b in zip(sums, expected_counts(model, batch.column(0)), strict=True)]
             if isinstance(sums[0], np.ndarray):
-                table = np.concatenate([sums[0][None], sums[1], sums[2]])
+                table = np.concatenate([sums[0][None], sums[1], sums[2], np.eye(1, states) * sums[3]])
                 some = np.flatnonzero(table.any(axis=1))
                 yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(table[some, i]) for i in range(states)]], names=["slot", *names])
 
         shape = "slot bigint, " + ", ".join(f"{n} double" for n in names)
         summed = rows.select("classes").mapInArrow(count, shape).groupBy("slot").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-        table = np.zeros((1 + states + CLASSES, states))
+        table = np.zeros((2 + states + CLASSES, states))
         table[summed.column("slot").to_numpy()] = np.stack([summed.column(n).to_numpy() for n in names], axis=1)
-        model = _updated(table[0], table[1 : 1 + states], table[1 + states :], uni.share / uni.share.sum())
+        model = _updated(table[0], table[1 : 1 + states], table[1 + states : -1], uni.share / uni.share.sum())
+        history.append(float(table[-1, 0]))
+        held.unpersist()
+    model.history = tuple(history)
     return model
 
 

@@ -118,6 +118,19 @@ def test_language_model(spark):
     assert sum(r["score"] for r in apart) > sum(r["base_score"] for r in apart)
 
 
+def test_language_model_rounds_settle_on_long_documents(spark):
+    rng = random.Random(4)
+    pools = [[f"{p}{i}" for i in range(40)] for p in ("a", "b", "c")]
+    data = [(i, " ".join(rng.choice(pools[i % 3]) for _ in range(2200))) for i in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("held_out", lm.F.lit(False))
+    uni = lm.unigrams(lm.token_counts(docs))
+    model = lm.train(lm.coded(docs, uni), uni)
+    gains = np.diff(model.history)
+    assert len(gains) and gains[-1] <= lm.SETTLED * abs(model.history[-1]) and all(g > lm.SETTLED * abs(model.history[-1]) for g in gains[:-1])
+    # every document is longer than 2,000 words and draws from one pool of 40; base is log10(120) a word
+    assert model.history[-1] / (60 * 2201) > -math.log10(60)
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(0)
     model = lm.Model(rng.dirichlet([1, 1]), rng.dirichlet([1, 1], 2), rng.dirichlet([1, 1, 1], 2).T)
