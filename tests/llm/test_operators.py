@@ -169,6 +169,14 @@ def test_secrets(spark, docs):
     assert probe[0] > probe[1]
 
 
+def test_secrets_threshold_keeps_the_recall():
+    labels = np.array([float(i % 10 == 0) for i in range(300)])  # nothing tells them apart, so all score near one tenth
+    windows = [secrets.window("x abcdefghijklmnop1 y", (2, 19))] * 300
+    net = secrets.fit(windows, labels)
+    assert net.threshold < 0.5 and (net.probability(windows)[labels > 0] >= net.threshold).mean() >= secrets.RECALL
+    assert 0 < net.precision < 0.5
+
+
 def test_revisits(spark):
     shape = "record_id long, url string, ts long, full boolean, etag string, modified long, digest string, headers map<string,string>"
     data = [
