@@ -169,6 +169,13 @@ def test_secrets(spark, docs):
     assert probe[0] > probe[1]
 
 
+def test_secrets_sample_holds_no_copies(spark):
+    data = [(i, f"token = {i % 7}abcdefabcdefgh and {i % 7}internationalisierung") for i in range(70)]
+    found = rows(secrets.labelled_candidates(spark.createDataFrame(data, "doc_id long, text string"), sample=5))
+    assert collections.Counter(r["label"] for r in found) == {1: 5, 0: 5}
+    assert len({(r["label"], r["before"], r["value"], r["after"]) for r in found}) == 10
+
+
 def test_secrets_threshold_keeps_the_recall():
     labels = np.array([float(i % 10 == 0) for i in range(300)])  # nothing tells them apart, so all score near one tenth
     windows = [secrets.window("x abcdefghijklmnop1 y", (2, 19))] * 300
