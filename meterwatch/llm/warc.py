@@ -3,6 +3,8 @@
 Captures are ordered within (URL, time chunk), so that a URL with a great share of all captures is spread over many tasks.
 A revisit without a response in its chunk takes the last one before the chunk, which comes from one row for each URL and
 chunk. Only validators, digests and headers take part; bodies stay where they are.
+Bound: the captures of one URL within one chunk of `CHUNK` seconds, or of one time, sort in one task, however many they are.
+Results stay right; only that task takes longer.
 
 A revisit's entity tag must equal the response's (weak marks aside); without a tag its modification time must; without
 both it is accepted as unchecked. A resolved record has the response's digest and headers, where the headers that a 304
