@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontam, langid, lm, pii, quality, secrets, sharding, simhash, toxicity, warc
+from meterwatch.llm import bpe, decontam, langid, lm, phrases, pii, quality, secrets, sharding, simhash, toxicity, warc
 from meterwatch.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -34,12 +34,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": _on("documents", "labels")(quality.judge),
     "op10_language": _on("documents")(langid.digest),
     "op12_sharding": _on("documents")(sharding.digest),
+    "op13_phrases": _on("documents")(phrases.digest),
 }
 
 #: DuckDB has no function for most digests and models; those queries are tested against brute force.
 ORACLE_SQL = {
     "op7_revisits": warc.ORACLE,
     "op12_sharding": sharding.ORACLE,
+    "op13_phrases": phrases.ORACLE,
     "op3_decontamination": r"""
         WITH docs AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
