@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontam, langid, lm, phrases, pii, quality, secrets, sharding, simhash, toxicity, warc
+from meterwatch.llm import bpe, decontam, langid, lm, phrases, pii, quality, secrets, sharding, simhash, toxicity, trie, warc
 from meterwatch.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": _on("documents")(simhash.digest),
     "op9_quality": _on("documents", "labels")(quality.judge),
     "op10_language": _on("documents")(langid.digest),
+    "op11_trie": _on("conversations")(trie.digest),
     "op12_sharding": _on("documents")(sharding.digest),
     "op13_phrases": _on("documents")(phrases.digest),
 }
@@ -40,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB has no function for most digests and models; those queries are tested against brute force.
 ORACLE_SQL = {
     "op7_revisits": warc.ORACLE,
+    "op11_trie": trie.ORACLE,
     "op12_sharding": sharding.ORACLE,
     "op13_phrases": phrases.ORACLE,
     "op3_decontamination": r"""
