@@ -13,7 +13,7 @@ from meterwatch.functions.text import (
 from meterwatch.operators.exemptions import drop_exempt
 from meterwatch.operators.prep import metered
 from meterwatch.operators.profile import asset_profile, cusum, hourly_baseline
-from meterwatch.operators.runs import CHUNK, RunRule, chunks_of_days, sustained_events, with_chunk
+from meterwatch.operators.runs import CHUNK, RunRule, chunk_runs, chunks_of_days, run_events, with_chunk
 from meterwatch.schemas import EMIT, ENERGY_LOG
 
 STATUS = {
@@ -97,12 +97,28 @@ def power_events(
     Baselines and the asset profile need no weather and read plain telemetry. A profile and a daily
     rollup that are already stored save a pass over the readings each.
     """
-    profile = profile or asset_profile(telemetry, p)
+    baseline = hourly_baseline(telemetry, p) if "S05" in scenarios else None
+    runs = run_events(power_runs(enriched, p, scenarios, baseline, days), power_rules(p, scenarios))
+    return power_log(runs, registry, exemptions, p, profile or asset_profile(telemetry, p), scenarios)
+
+
+def power_runs(
+    enriched: DataFrame, p: AuditParams, scenarios: Sequence[str] = ("S04", "S05"), baseline: DataFrame | None = None,
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """Runs of S04 and S05 per chunk of the enriched readings, S05 against the limits of `baseline`."""
     readings = with_chunk(enriched, p.chunk_hours)
     if "S05" in scenarios:
         seen = chunks_of_days(days, p.chunk_hours) if days else readings.select("asset_id", CHUNK).distinct()
-        readings = with_hour_limit(readings, hourly_baseline(telemetry, p), seen)
-    runs = sustained_events(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)
+        readings = with_hour_limit(readings, baseline, seen)
+    return chunk_runs(readings, power_rules(p, scenarios), tiebreak=READING_ORDER)
+
+
+def power_log(
+    runs: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams, profile: DataFrame,
+    scenarios: Sequence[str] = ("S04", "S05"),
+) -> DataFrame:
+    """Log rows of finished runs."""
     minutes = f"n_rows * {p.slot_minutes}"
     leak_kwh = f"gap_kw / n_rows * ({minutes} / 60D)" if "S04" in scenarios else "0D"
     idle_kwh = f"excess_kw * {p.slot_hours}D" if "S05" in scenarios else "0D"

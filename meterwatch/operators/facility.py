@@ -96,10 +96,17 @@ def air_quality(
 
     The registry is joined to the finished events and to the per-asset profile, not to readings.
     """
-    profile = profile or asset_profile(telemetry, p)
     runs = sustained_events(
         telemetry, air_quality_rules(p, scenarios), tiebreak=READING_ORDER, chunk_hours=p.chunk_hours
     )
+    return air_quality_events(runs, registry, exemptions, p, profile or asset_profile(telemetry, p), scenarios)
+
+
+def air_quality_events(
+    runs: DataFrame, registry: DataFrame, exemptions: DataFrame, p: AuditParams, profile: DataFrame,
+    scenarios: Sequence[str] = ("S06", "S08"),
+) -> DataFrame:
+    """Log rows of finished runs."""
     found = sql(
         """
         SELECT * FROM {sites} JOIN (SELECT asset_id, total_assessed_mins FROM {profile}) USING (asset_id)

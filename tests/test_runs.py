@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from helpers import START, slot
-from meterwatch.operators.runs import RunRule, sustained_events
+from meterwatch.operators.runs import RunRule, advance_runs, chunk_runs, merge_runs, no_marks, sustained_events
 
 
 def by_loop(series, cond, scope, k):
@@ -100,3 +100,47 @@ def test_a_clean_chunk_between_breaching_chunks_splits(spark):
 
 def test_unknown_readings_do_not_breach(spark):
     assert simple(spark, [1, 1, None, 1, 1]) == [(slot(0), slot(1), 2), (slot(3), slot(4), 2)]
+
+
+def split_frame(spark, series, borders):
+    """The series cut at row numbers of its own order of times."""
+    times = sorted({ts for pts in series.values() for ts, _ in pts})
+    cuts = [times[0], *[times[int(len(times) * b)] for b in borders], times[-1] + timedelta(1)]
+    return [frame(spark, {a: [(t, v) for t, v in pts if lo <= t < hi] for a, pts in series.items()} | {"none": []})
+            for lo, hi in zip(cuts[:-1], cuts[1:])]
+
+
+MEASURES = {"sums": {"total": "v"}, "peaks": {"top": "v"}}
+TWO = [
+    RunRule("high", "v > 4", 2, **MEASURES),
+    RunRule("night", "v > 4", 3, scope="hour(timestamp) >= 20 OR hour(timestamp) < 7", **MEASURES),
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_periods_one_after_the_other_equal_one_run(spark, seed, tmp_path):
+    series = random_series(seed) | {"steady": [(slot(i), 9) for i in range(700)], "gone": [(slot(i), 9) for i in range(5)]}
+    whole = sustained_events(frame(spark, series), TWO, tiebreak=("v",))
+    marks, found = no_marks(spark, TWO), []
+    for n, part in enumerate(split_frame(spark, series, (0.1, 0.35, 0.36, 0.8))):
+        period = merge_runs(chunk_runs(part, TWO, tiebreak=("v",)), TWO, n)
+        advance_runs(marks, period, TWO).write.parquet(str(tmp_path / f"{n}"))
+        done = spark.read.parquet(str(tmp_path / f"{n}"))
+        marks = done.where("open_end")
+        assert marks.groupBy("asset_id", "rule").count().where("count > 1").count() == 0
+        found.append(done.where("NOT open_end"))
+    found.append(marks.where("n_rows >= CASE rule WHEN 'high' THEN 2 ELSE 3 END"))
+    rejoined = found[0]
+    for part in found[1:]:
+        rejoined = rejoined.unionByName(part)
+    for rule in ("high", "night"):
+        assert result(rejoined, rule) == result(whole, rule) != []
+
+
+def test_merging_is_associative(spark):
+    series = random_series(8)
+    a, b, c = (chunk_runs(part, TWO, tiebreak=("v",)) for part in split_frame(spark, series, (0.3, 0.6)))
+    one = lambda n, *parts: merge_runs(parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0], TWO, n)
+    left = one(0, one(0, one(0, a), one(1, b)), one(2, c))
+    right = one(0, one(0, a), one(1, one(1, b), one(2, c)))
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, right.collect()))
