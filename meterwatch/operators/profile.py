@@ -21,12 +21,11 @@ def asset_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     )
 
 
-def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
-    """The asset profile plus missing slots of the grid that starts at the first reading (BLK6).
+def slot_classes(telemetry: DataFrame, p: AuditParams) -> DataFrame:
+    """Rows, energy, first and last reading and distinct times per asset and offset within the slot.
 
     A day's slots are marked as bits, so that a day of readings leaves a map task as one row and no
-    single time is shuffled. Times with the same offset within a slot belong together, and the
-    class of the first reading is the grid. No grid is generated.
+    single time is shuffled. The classes of two periods are those of one when they are added up.
     """
     minutes = p.slot_minutes
     words = range(-(-1440 // minutes // 60))
@@ -39,14 +38,29 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
         SELECT asset_id, to_date(timestamp) AS day, {slot_offset('timestamp', minutes)} AS offset, count(*) AS n, sum(total_power_kw) AS kw,
                min(timestamp) AS first_ts, max(timestamp) AS last_ts, {marks}
         FROM {{telemetry}} GROUP BY 1, 2, 3"""
-    classes = f"""
+    return sql(
+        f"""
         SELECT asset_id, offset, sum(n) AS n, sum(kw) AS kw, sum({' + '.join(f'bit_count(w{w})' for w in words)}) AS n_times,
                min(first_ts) AS first_ts, max(last_ts) AS last_ts
-        FROM ({times}) GROUP BY 1, 2"""
+        FROM ({times}) GROUP BY 1, 2
+        """,
+        telemetry=telemetry,
+    )
+
+
+def slot_summary(classes: DataFrame, p: AuditParams) -> DataFrame:
+    """The asset profile plus missing slots of the grid that starts at the first reading (BLK6).
+
+    Times with the same offset within a slot belong together, and the class of the first reading is the
+    grid. No grid is generated. `classes` may hold the classes of several periods.
+    """
+    added = """
+        SELECT asset_id, offset, sum(n) AS n, sum(kw) AS kw, sum(n_times) AS n_times, min(first_ts) AS first_ts, max(last_ts) AS last_ts
+        FROM {classes} GROUP BY 1, 2"""
     spans = f"""
         SELECT asset_id, sum(n) AS n_rows, coalesce(sum(kw), 0D) * {p.slot_hours}D AS kwh, min_by(n_times, first_ts) AS on_grid,
                min(first_ts) AS first_ts, max(last_ts) AS last_ts
-        FROM ({classes}) GROUP BY asset_id"""
+        FROM ({added}) GROUP BY asset_id"""
     counted = f"""
         SELECT *, {whole_minutes('first_ts', 'last_ts')} DIV {{slot_minutes}} + 1 - on_grid AS missing_slots
         FROM ({spans})"""
@@ -57,7 +71,59 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
                missing_slots, missing_slots * {{slot_minutes}} AS missing_mins
         FROM ({counted})
         """,
-        p, telemetry=telemetry,
+        p, classes=classes,
+    )
+
+
+def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
+    """The asset profile with missing slots, from one pass over the readings."""
+    return slot_summary(slot_classes(telemetry, p), p)
+
+
+def hour_moments(telemetry: DataFrame) -> DataFrame:
+    """Number, mean and summed squared deviation of clean HVAC power per asset and hour: `merge_moments` adds them up."""
+    return sql(
+        f"""
+        SELECT asset_id, hour(timestamp) AS hour, count(hvac_power_kw) AS n, avg(hvac_power_kw) AS mean,
+               var_pop(hvac_power_kw) * count(hvac_power_kw) AS m2
+        FROM {{telemetry}} WHERE audit_trait = '{CLEAN}' GROUP BY 1, 2
+        """,
+        telemetry=telemetry,
+    )
+
+
+def day_moments(daily: DataFrame) -> DataFrame:
+    """The same of clean days' HVAC energy per asset."""
+    return sql(
+        f"""
+        SELECT asset_id, count(hvac_kwh) AS n, avg(hvac_kwh) AS mean, var_pop(hvac_kwh) * count(hvac_kwh) AS m2
+        FROM {{daily}} WHERE day_trait = '{CLEAN}' GROUP BY 1
+        """,
+        daily=daily,
+    )
+
+
+def merge_moments(parts: DataFrame, *keys: str) -> DataFrame:
+    """The moments of all parts of a key together. Deviations are taken from the common mean, not as a difference of squares."""
+    by = ", ".join(keys)
+    centred = f"SELECT *, sum(n * mean) OVER (PARTITION BY {by}) / sum(n) OVER (PARTITION BY {by}) AS centre FROM {{parts}} WHERE n > 0"
+    return sql(
+        f"""
+        SELECT {by}, sum(n) AS n, any_value(centre) AS mean, sum(m2 + n * (mean - centre) * (mean - centre)) AS m2
+        FROM ({centred}) GROUP BY {by}
+        """,
+        parts=parts,
+    )
+
+
+def baseline_of(moments: DataFrame, p: AuditParams) -> DataFrame:
+    """HVAC mean, sample deviation and limit of merged hour moments (BLK7)."""
+    return sql(
+        """
+        SELECT asset_id, hour, mean AS mean_kw, std_kw, mean + {idle_sigma} * std_kw AS limit_kw
+        FROM (SELECT *, CASE WHEN n > 1 THEN sqrt(m2 / (n - 1)) END AS std_kw FROM {moments})
+        """,
+        p, moments=moments,
     )
 
 
@@ -121,3 +187,71 @@ def cusum(daily: DataFrame, p: AuditParams) -> DataFrame:
     return sql(
         f"SELECT *, coalesce(cusum > threshold, false) AS alarm FROM ({charted})", p, daily=daily
     )
+
+
+def day_basis(moments: DataFrame, p: AuditParams) -> DataFrame:
+    """Mean, alarm threshold and number of clean days per asset, of merged day moments."""
+    return sql(
+        """
+        SELECT asset_id, mean AS mu, CASE WHEN n > 1 THEN sqrt(m2 / (n - 1)) * {alarm_sigma} END AS threshold, n AS clean_days
+        FROM {moments}
+        """,
+        p, moments=moments,
+    )
+
+
+def no_prefix(daily: DataFrame) -> DataFrame:
+    """The chart's state before the first period."""
+    return daily.selectExpr(
+        "asset_id", "0 AS t", "0D AS x", "CAST(array() AS ARRAY<STRUCT<t: INT, x: DOUBLE>>) AS hull"
+    ).where("false")
+
+
+def cusum_prefix(before: DataFrame, daily: DataFrame) -> DataFrame:
+    """The chart's state behind a period's days: number of days t, summed energy x, and the lower hull of all (t, x).
+
+    With the drift S(t) = x(t) - m t, the least S so far lies on the lower convex hull of the points (t, x), whatever
+    the allowance m. So the state serves a baseline that later periods move, and older days are not read again. A point
+    belongs to the hull if no slope to its left is steeper than one to its right.
+    """
+    points = """
+        SELECT asset_id, b.t AS t0, b.x AS x0, coalesce(hull, CAST(array() AS ARRAY<STRUCT<t: INT, x: DOUBLE>>)) AS hull,
+               transform(coalesce(days, array()), d -> d.hvac_kwh) AS steps
+        FROM {before} b FULL JOIN (SELECT asset_id, array_sort(collect_list(struct(date, hvac_kwh))) AS days FROM {daily} GROUP BY 1) USING (asset_id)"""
+    # bounded by the days of the period
+    summed = f"""
+        SELECT *, aggregate(steps, struct(coalesce(t0, 0) AS t, coalesce(x0, 0D) AS x, hull AS seen),
+                            (s, v) -> struct(s.t + 1 AS t, s.x + v AS x, concat(s.seen, array(struct(s.t + 1 AS t, s.x + v AS x))) AS seen)) AS s
+        FROM ({points})"""
+    steeper = "filter(s.seen, q -> q.t < p.t), q -> (p.x - q.x) / (p.t - q.t)"
+    flatter = "filter(s.seen, q -> q.t > p.t), q -> (q.x - p.x) / (q.t - p.t)"
+    return sql(
+        f"""
+        SELECT asset_id, s.t AS t, s.x AS x,
+               filter(s.seen, p -> coalesce(array_max(transform({steeper})) <= array_min(transform({flatter})), true)) AS hull
+        FROM ({summed})
+        """,
+        before=before, daily=daily,
+    )
+
+
+def cusum_resumed(before: DataFrame, daily: DataFrame, basis: DataFrame, p: AuditParams) -> DataFrame:
+    """The chart of a period's days behind the state of all earlier ones, against the clean-day mean of `basis`.
+
+    Equal to the last rows of `cusum` over all days, if `basis` holds the moments of all days.
+    """
+    in_order = "PARTITION BY asset_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    based = f"""
+        SELECT d.*, coalesce(day_trait = '{CLEAN}', false) AS clean_day, mu, threshold, coalesce(clean_days, 0) AS clean_days, t AS t0, x AS x0, hull,
+               mu + mu * {{slack_share}} AS allowance
+        FROM {{daily}} d LEFT JOIN {{basis}} USING (asset_id) LEFT JOIN {{before}} USING (asset_id)"""
+    drifted = f"""
+        SELECT *, coalesce(x0, 0D) + sum(hvac_kwh) OVER ({in_order}) - allowance * (coalesce(t0, 0) + count(*) OVER ({in_order})) AS drift,
+               least(0D, coalesce(array_min(transform(hull, h -> h.x - allowance * h.t)), 0D)) AS low
+        FROM ({based})"""
+    charted = f"""
+        SELECT * EXCEPT (drift, low, t0, x0, hull, allowance), drift - least(low, min(drift) OVER ({in_order})) AS cusum
+        FROM ({drifted})"""
+    return sql(
+        f"SELECT *, coalesce(cusum > threshold, false) AS alarm FROM ({charted})", p, daily=daily, basis=basis, before=before
+    )

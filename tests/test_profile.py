@@ -72,3 +72,58 @@ def test_cusum_matches_the_recurrence(spark, seed):
     for r in profile.cusum(frame, P).collect():
         want, alarm = expected[r.asset_id, r.date]
         assert r.cusum == pytest.approx(want, abs=1e-8) and r.alarm == alarm
+
+
+def random_days(seed, n=75, assets=4):
+    rng = random.Random(seed)
+    return [
+        (f"a{a}", date(2025, 11, 1) + timedelta(days=i), max(0.0, rng.gauss(100 + 2 * i * (a % 2), 25)), CLEAN if rng.random() < 0.6 else "X")
+        for a in range(assets) for i in range(n) if a != 3 or i > 40
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_chart_resumes_with_a_moving_baseline(spark, seed):
+    shape = "asset_id string, date date, hvac_kwh double, day_trait string"
+    days = random_days(seed)
+    cuts = [date(2025, 11, 1), date(2025, 11, 20), date(2025, 12, 1), date(2026, 1, 20)]
+    parts = [spark.createDataFrame([d for d in days if lo <= d[1] < hi], shape) for lo, hi in zip(cuts[:-1], cuts[1:])]
+    state, moments, seen = profile.no_prefix(parts[0]), [], []
+    for part in parts:
+        seen.append(part)
+        moments.append(profile.day_moments(part))
+        basis = profile.day_basis(profile.merge_moments(union(moments), "asset_id"), P)
+        got = {(r.asset_id, r.date): r for r in profile.cusum_resumed(state, part, basis, P).collect()}
+        want = {(r.asset_id, r.date): r for r in profile.cusum(union(seen), P).collect()}
+        assert got and got.keys() == {k for k in want if k[1] >= min(d for _, d in got)}
+        for key, r in got.items():
+            assert r.cusum == pytest.approx(want[key].cusum, abs=1e-6) and r.alarm == want[key].alarm
+            assert r.mu == pytest.approx(want[key].mu) and r.clean_days == want[key].clean_days
+        state = spark.createDataFrame(profile.cusum_prefix(state, part).collect(), profile.no_prefix(part).schema)
+    assert all(len(r.hull) < 30 for r in state.collect())
+
+
+def union(frames):
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.unionByName(f)
+    return whole
+
+
+def test_hour_moments_of_periods_add_up(spark):
+    rng = random.Random(4)
+    data = [reading(slot(i), hvac=1e6 + rng.random(), trait=CLEAN if rng.random() < 0.8 else "X") for i in range(600)]
+    parts = [profile.hour_moments(telemetry(spark, data[a:b])) for a, b in ((0, 90), (90, 100), (100, 600))]
+    merged = profile.baseline_of(profile.merge_moments(union(parts), "asset_id", "hour"), P)
+    want = {r.hour: r for r in profile.hourly_baseline(telemetry(spark, data), P).collect()}
+    got = merged.collect()
+    assert len(got) == 24
+    for r in got:
+        assert r.limit_kw == pytest.approx(want[r.hour].limit_kw, rel=1e-12) and r.std_kw == pytest.approx(want[r.hour].std_kw, rel=1e-6)
+
+
+def test_slot_classes_of_periods_add_up(spark):
+    times = [slot(i) for i in (0, 1, 4, 4, 9, 97, 98, 300)] + [slot(5) + timedelta(minutes=3), slot(200) + timedelta(minutes=3)]
+    frame = telemetry(spark, [reading(t) for t in times])
+    parts = [profile.slot_classes(frame.where(f"timestamp {side} '2025-11-02'"), P) for side in ("<", ">=")]
+    assert profile.slot_summary(union(parts), P).collect() == profile.slot_profile(frame, P).collect()
