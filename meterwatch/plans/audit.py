@@ -16,10 +16,13 @@ from meterwatch.plans.logs import AuditInputs
 
 
 class Audit:
-    """Stored intermediates, logs and event fact of one audit, each derived on first use."""
+    """Stored intermediates, logs and event fact of one audit, each derived on first use.
 
-    def __init__(self, inputs: AuditInputs):
-        self.inputs = inputs
+    `earlier` holds the events of former runs, whose ids go on.
+    """
+
+    def __init__(self, inputs: AuditInputs, earlier: DataFrame | None = None):
+        self.inputs, self.earlier = inputs, earlier
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -49,7 +52,7 @@ class Audit:
     @cached_property
     def fact(self) -> DataFrame:
         """The event fact, which its numbering stores."""
-        return star.fact_audit_events(self.facility, self.energy, self.compliance, self.inputs.params)
+        return star.fact_audit_events(self.facility, self.energy, self.compliance, self.inputs.params, self.earlier)
 
     def outcome_counts(self) -> DataFrame:
         return logs.outcome_counts(self.inputs, self.profile, self.days, self.verdicts)

@@ -47,22 +47,31 @@ def daily(a: AuditInputs) -> DataFrame:
     return daily_rollup(enriched(a), a.params)
 
 
-def facility_events(a: AuditInputs, profile: DataFrame) -> DataFrame:
-    """One pass over the readings beside the profile."""
+def facility_events(a: AuditInputs, profile: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """One pass over the readings beside the profile, none if the runs are known."""
     p = a.params
+    if runs is None:
+        air = facility.air_quality(a.telemetry, a.registry, a.exemptions, p, profile=profile)
+    else:
+        air = facility.air_quality_events(runs, a.registry, a.exemptions, p, profile)
     return (
         facility.unauthorised(profile, a.registry, p)
         .unionByName(facility.telemetry_gaps(profile, a.registry, p))
-        .unionByName(facility.air_quality(a.telemetry, a.registry, a.exemptions, p, profile=profile))
+        .unionByName(air)
     )
 
 
-def energy_events(a: AuditInputs, profile: DataFrame, days: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Two passes over the readings beside profile and daily rollup."""
+def energy_events(
+    a: AuditInputs, profile: DataFrame, days: DataFrame, verdicts: DataFrame, runs: DataFrame | None = None
+) -> DataFrame:
+    """Two passes over the readings beside profile and daily rollup, none if the runs are known."""
     p = a.params
-    power = energy.power_events(
-        a.telemetry, enriched(a), a.registry, a.exemptions, p, profile=profile, days=days
-    )
+    if runs is None:
+        power = energy.power_events(
+            a.telemetry, enriched(a), a.registry, a.exemptions, p, profile=profile, days=days
+        )
+    else:
+        power = energy.power_log(runs, a.registry, a.exemptions, p, profile)
     return power.unionByName(energy.verdict_events(verdicts, a.exemptions, p))
 
 

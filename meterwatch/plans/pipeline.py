@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from meterwatch.plans.audit import Audit
 from meterwatch.plans.logs import AuditInputs
 from meterwatch.schemas import COMPLIANCE_LOG, ENERGY_LOG, FACILITY_LOG, FACT
 from meterwatch.sources import tables
+from meterwatch.sources.store import Draft, Store
 
 # Names of the input tables.
 INPUTS = {
@@ -66,17 +68,17 @@ def load(
         waste=evidence_table("waste", schemas.WASTE, "0"),
         params=params,
         rejects=tables.rejected(ledger),
-        prior=tables.read_optional(spark, f"{folder}/{PRIOR}.csv", schemas.PRIOR) if fmt == "csv" else None,
+        prior=tables.read_optional(spark, f"{folder}/{PRIOR}{'.csv' if fmt == 'csv' else ''}", schemas.PRIOR, fmt),
     )
 
 
-def publish(a: AuditInputs, write: Callable[[DataFrame, str], None]) -> None:
+def publish(a: AuditInputs, write: Callable[[DataFrame, str], None], audit: Audit | None = None) -> None:
     """Compute every output table once and hand it to `write(table, name)`.
 
     Profile, daily rollup, verdicts, logs and fact are stored before they are read again, so that no
     rule runs twice. Tables are written also when they are empty.
     """
-    p, audit = a.params, Audit(a)
+    p, audit = a.params, audit or Audit(a)
     fact, scenarios, assets = audit.fact, config.scenarios(a.telemetry.sparkSession), star.dim_assets(a.registry)
     summary_nz = energy.benchmark_summary(audit.verdicts)
     summary_au = evidence.au_benchmark_summary(a.invoices, a.registry, p)
@@ -126,5 +128,33 @@ def run(spark: SparkSession, folder: str, out: str, fmt: str = "csv", params: Au
     publish(load(spark, folder, fmt, params), partial(_into, sink, out))
 
 
+def run_staged(
+    spark: SparkSession, folder: str, root: str, fmt: str = "csv", params: AuditParams | None = None, store_fmt: str = "parquet"
+) -> Store:
+    """Audit the tables of `folder` into the store at `root`, whose tables switch all at once when every one is written.
+
+    Event ids go on behind those of the store's periods. Without a table of prior KPIs, those of the latest
+    earlier period of the store count.
+    """
+    store, a = Store(spark, root, store_fmt), load(spark, folder, fmt, params)
+    draft = store.begin(period_of(a.params))
+    publish_staged(a, draft, Audit(a, store.read("fact_audit_events")))
+    return store
+
+
+def period_of(p: AuditParams) -> str:
+    return p.period[0] if p.period else p.default_event_time
+
+
+def publish_staged(a: AuditInputs, draft: Draft, audit: Audit) -> None:
+    """Write all output tables to the draft and commit it."""
+    prior = a.prior
+    if prior is None or prior.isEmpty():
+        kpi = draft.store.as_of("dim_kpi_summary", draft.period)
+        prior = prior if kpi is None else reporting.prior_of(kpi)
+    publish(replace(a, prior=prior), draft.write, audit)
+    draft.commit()
+
+
 def _into(sink: Callable[[DataFrame, str], None], out: str, table: DataFrame, name: str) -> None:
     sink(table, f"{out}/{name}")

@@ -58,6 +58,12 @@ def kpi_delta(kpi: DataFrame, prior: DataFrame) -> DataFrame:
     )
 
 
+def prior_of(kpi: DataFrame) -> DataFrame:
+    """A month's KPIs as the prior values of the next one (SRC2)."""
+    value = f"CASE WHEN metric IN {AU_METRICS} THEN value_aud ELSE value_nzd END"
+    return kpi.selectExpr("metric", f"CAST({value} AS DOUBLE) AS prior_value", "label")
+
+
 def compliance_matrix(fact: DataFrame, assets: DataFrame) -> DataFrame:
     """Every (asset, department) with its finding flag (M2).
 

@@ -78,11 +78,15 @@ def unnumbered_facts(
     )
 
 
-def with_event_ids(facts: DataFrame) -> DataFrame:
-    """Dense ids EVT_0001, EVT_0002, … in emit order (FCT4).
+#: What makes an event the same one in a later run; its figures may have grown.
+IDENTITY = ("category", "scenario", "asset_id", "event_time", "detail")
+
+
+def _numbered(facts: DataFrame, after: int = 0) -> DataFrame:
+    """Dense numbers in emit order, the first one behind `after`.
 
     Events are range-partitioned, sorted and stored once as Parquet, each with its partition and its
-    place in it. The id is the place plus the sizes of the partitions before it. Only these sizes, one
+    place in it. The number is the place plus the sizes of the partitions before it. Only these sizes, one
     row per partition, are ordered in a single task and kept as a small table.
     """
     ordered = facts.repartitionByRange(*EMIT_ORDER).sortWithinPartitions(*EMIT_ORDER)
@@ -94,20 +98,52 @@ def with_event_ids(facts: DataFrame) -> DataFrame:
         """,
         placed=placed,
     ), "audit_event_offsets")
-    numbered = f"""
-        SELECT /*+ BROADCAST(o) */ p.*, o.skip + (p.place & {(1 << 33) - 1}L) + 1 AS event_seq
-        FROM {{placed}} p JOIN {{offsets}} o ON shiftright(p.place, 33) = o.part"""
     return sql(
-        f"SELECT * EXCEPT (place), format_string('EVT_%04d', event_seq) AS event_id FROM ({numbered})",
+        f"""
+        SELECT /*+ BROADCAST(o) */ p.* EXCEPT (place), o.skip + (p.place & {(1 << 33) - 1}L) + {after + 1} AS event_seq
+        FROM {{placed}} p JOIN {{offsets}} o ON shiftright(p.place, 33) = o.part
+        """,
         placed=placed, offsets=offsets,
     )
 
 
+def with_event_ids(facts: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Ids EVT_0001, EVT_0002, … in emit order (FCT4).
+
+    `earlier` holds the events that former runs published. An event that is among them keeps its id, and
+    new ones go on behind the highest id ever given, so that no event is renumbered and no id is used twice.
+    Of events that are alike in `IDENTITY` the first keeps the first id.
+    """
+    named = "SELECT *, format_string('EVT_%04d', event_seq) AS event_id FROM {rows}"
+    if earlier is None:
+        return sql(named, rows=_numbered(facts))
+    by = ", ".join(IDENTITY)
+    former = sql(
+        f"""
+        SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY seq) AS nth
+        FROM (SELECT {by}, min(CAST(substr(event_id, 5) AS BIGINT)) AS seq FROM {{earlier}} GROUP BY {by}, event_id)
+        """,
+        earlier=earlier,
+    )
+    order = ", ".join(EMIT_ORDER)
+    known = stored_table(sql(
+        f"""
+        SELECT f.* EXCEPT (nth), e.seq FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS nth FROM {{facts}}) f
+        LEFT JOIN {{former}} e ON {' AND '.join(f'e.{c} <=> f.{c}' for c in IDENTITY)} AND e.nth = f.nth
+        """,
+        facts=facts, former=former,
+    ), "audit_known_events")
+    highest = earlier.selectExpr("max(CAST(substr(event_id, 5) AS BIGINT))").first()[0] or 0
+    new = _numbered(known.where("seq IS NULL").drop("seq"), highest)
+    old = known.where("seq IS NOT NULL").withColumnRenamed("seq", "event_seq")
+    return sql(named, rows=old.unionByName(new))
+
+
 def fact_audit_events(
-    facility: DataFrame, energy: DataFrame, compliance: DataFrame, p: config.AuditParams
+    facility: DataFrame, energy: DataFrame, compliance: DataFrame, p: config.AuditParams, earlier: DataFrame | None = None
 ) -> DataFrame:
     """The published fact table plus `event_seq`, the numeric id."""
-    return with_event_ids(unnumbered_facts(facility, energy, compliance, p)).select(*FACT, "event_seq")
+    return with_event_ids(unnumbered_facts(facility, energy, compliance, p), earlier).select(*FACT, "event_seq")
 
 
 def dim_assets(registry: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ MISSING = (
 MONTH = "trunc(to_date(timestamp), 'MM')"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Strictly typed CSV scan: a malformed value fails the job (SRC1, PRE1)."""
     return (
         spark.read.schema(schema)
@@ -49,10 +49,10 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return strip_headers(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
-def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV table, or an empty one of the same schema when the path is absent (SRC2)."""
+def read_optional(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
+    """A CSV or Parquet table, or an empty one of the same schema when the path is absent (SRC2)."""
     try:
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema) if fmt == "csv" else conform(strip_headers(spark.read.parquet(path)), schema, ("label",))
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
