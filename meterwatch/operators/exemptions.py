@@ -14,8 +14,7 @@ def exempt_slices(exemptions: DataFrame, spans: DataFrame, chunk_days: int = 30)
     An approval only counts from the day of its asset's first reading to the last one (`first_ts` and `last_ts` of
     `spans`, one row per asset), so that one without an end adds no more chunks than the asset has.
 
-    Overlapping approvals that cover a chunk's beginning fall together, so a group that holds many
-    approvals stays small and events meet only those of their own chunk.
+    Overlapping approvals that cover a chunk's beginning fall together, and events meet only those of their own chunk.
     """
     return sql(
         f"""
@@ -38,13 +37,21 @@ def drop_exempt(
 ) -> DataFrame:
     """Events whose time lies in no approved interval (closed) of their asset and scenario.
 
-    `spans` holds first_ts and last_ts of every asset, between which its events lie.
+    `spans` holds first_ts and last_ts of every asset, between which its events lie. Slices and events of an asset,
+    scenario and chunk are put in one order, slices first at equal times, and an event is exempt if the latest end
+    of the slices so far reaches it: one sorted pass, however many approvals and events meet.
     """
+    key = ("asset_id", "scenario", "chunk")
+    in_order = f"PARTITION BY {', '.join(key)} ORDER BY at, is_event ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    together = f"""
+        SELECT ex_asset AS asset_id, ex_scenario AS scenario, ex_chunk AS chunk, ex_start AS at, false AS is_event, ex_end, NULL AS event
+        FROM {{slices}}
+        UNION ALL
+        SELECT asset_id, scenario, {day_chunk(at, chunk_days)}, CAST({at} AS TIMESTAMP_NTZ), true, NULL, struct(e.*) FROM {{events}} e"""
     return sql(
         f"""
-        SELECT e.* FROM {{events}} e LEFT ANTI JOIN {{slices}} x
-        ON e.asset_id = x.ex_asset AND e.scenario = x.ex_scenario
-           AND {day_chunk(f'e.{at}', chunk_days)} = x.ex_chunk AND e.{at} BETWEEN x.ex_start AND x.ex_end
+        SELECT event.* FROM (SELECT event, is_event, at, max(ex_end) OVER ({in_order}) AS covered FROM ({together}))
+        WHERE is_event AND NOT coalesce(covered >= at, false)
         """,
         events=events, slices=exempt_slices(exemptions, spans, chunk_days),
     )
