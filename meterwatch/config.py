@@ -18,6 +18,8 @@ class AuditParams:
     slot_minutes: int = 15
     expected_rows: int = 2880
     completeness: float = 0.95
+    # how far beside its slot a reading may lie and still fill it
+    jitter_seconds: float = 0.0
 
     # money and carbon
     nzd_per_kwh: float = 0.25
@@ -84,6 +86,8 @@ class AuditParams:
     def __post_init__(self) -> None:
         if self.slot_minutes <= 0 or 60 % self.slot_minutes:
             raise ValueError(f"slot_minutes must divide an hour, got {self.slot_minutes}")
+        if not 0 <= self.jitter_seconds < self.slot_minutes * 30:
+            raise ValueError(f"jitter must be less than half a slot, got {self.jitter_seconds} s")
 
     @property
     def slot_hours(self) -> float:

@@ -53,6 +53,12 @@ def assessed_minutes(first: str, last: str, floor: int) -> str:
     return f"greatest({whole_minutes(first, last)}, {floor}L)"
 
 
+def micros(ts: str) -> str:
+    """Microseconds of a timestamp since 1970 by its own fields, without any time-zone conversion."""
+    clock = f"(hour({ts}) * 3600L + minute({ts}) * 60L) * 1000000L + CAST(extract(SECOND FROM {ts}) * 1000000 AS BIGINT)"
+    return f"(unix_date(to_date({ts})) * 86400000000L + {clock})"
+
+
 def slot_offset(ts: str, minutes: int) -> str:
     """How far a timestamp lies past the start of its slot within the hour."""
     return f"make_dt_interval(0, 0, minute({ts}) % {minutes}, extract(SECOND FROM {ts}))"

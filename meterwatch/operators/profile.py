@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from meterwatch.config import CLEAN, AuditParams
-from meterwatch.functions.text import assessed_minutes, slot_offset, sql, whole_minutes
+from meterwatch.functions.sizing import stored_table
+from meterwatch.functions.text import assessed_minutes, micros, slot_offset, sql
 
 
 def asset_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
@@ -61,9 +63,13 @@ def slot_summary(classes: DataFrame, p: AuditParams) -> DataFrame:
         SELECT asset_id, sum(n) AS n_rows, coalesce(sum(kw), 0D) * {p.slot_hours}D AS kwh, min_by(n_times, first_ts) AS on_grid,
                min(first_ts) AS first_ts, max(last_ts) AS last_ts
         FROM ({added}) GROUP BY asset_id"""
-    counted = f"""
-        SELECT *, {whole_minutes('first_ts', 'last_ts')} DIV {{slot_minutes}} + 1 - on_grid AS missing_slots
-        FROM ({spans})"""
+    return _summary(spans, p, classes=classes)
+
+
+def _summary(spans: str, p: AuditParams, **frames: DataFrame) -> DataFrame:
+    # a last reading that jitters to just before its slot still fills it
+    whole = f"(({micros('last_ts')} - {micros('first_ts')} + {round(p.jitter_seconds * 1_000_000)}) DIV {p.slot_minutes * 60_000_000})"
+    counted = f"SELECT *, {whole} + 1 - on_grid AS missing_slots FROM ({spans})"
     return sql(
         f"""
         SELECT asset_id, n_rows, first_ts, last_ts, kwh, n_rows / {{expected_rows}} AS completeness,
@@ -71,7 +77,7 @@ def slot_summary(classes: DataFrame, p: AuditParams) -> DataFrame:
                missing_slots, missing_slots * {{slot_minutes}} AS missing_mins
         FROM ({counted})
         """,
-        p, classes=classes,
+        p, **frames,
     )
 
 
@@ -80,6 +86,95 @@ def slot_profile(telemetry: DataFrame, p: AuditParams) -> DataFrame:
     return slot_summary(slot_classes(telemetry, p), p)
 
 
+def minute_classes(telemetry: DataFrame, p: AuditParams) -> DataFrame:
+    """Rows, energy, span, seconds and seen slots per asset and whole minute of the offset within the slot.
+
+    Seconds of jitter share a class, so at most `slot_minutes` rows per asset and day are shuffled. `n_times` is the
+    number of distinct times of a class whose readings have the same seconds, `lo` = `hi`.
+    """
+    minutes = p.slot_minutes
+    words = range(-(-1440 // minutes // 60))
+    slot = f"((hour(timestamp) * 60 + minute(timestamp)) DIV {minutes})"
+    marks = ", ".join(
+        f"bit_or(CASE WHEN {slot} DIV 60 = {w} THEN shiftleft(1L, CAST({slot} % 60 AS INT)) ELSE 0L END) AS w{w}"
+        for w in words
+    )
+    second = "extract(SECOND FROM timestamp)"
+    days = f"""
+        SELECT asset_id, to_date(timestamp) AS day, minute(timestamp) % {minutes} AS m, count(*) AS n, sum(total_power_kw) AS kw,
+               min(timestamp) AS first_ts, max(timestamp) AS last_ts, min({second}) AS lo, max({second}) AS hi, {marks}
+        FROM {{telemetry}} GROUP BY 1, 2, 3"""
+    return sql(
+        f"""
+        SELECT asset_id, m, sum(n) AS n, sum(kw) AS kw, min(first_ts) AS first_ts, max(last_ts) AS last_ts, min(lo) AS lo, max(hi) AS hi,
+               sum({' + '.join(f'bit_count(w{w})' for w in words)}) AS n_times
+        FROM ({days}) GROUP BY 1, 2
+        """,
+        telemetry=telemetry,
+    )
+
+
+def grid_counts(telemetry: DataFrame, starts: DataFrame, p: AuditParams) -> DataFrame:
+    """Slots seen on the grid that begins at `start`, for the assets of `starts`; a reading may lie `jitter_seconds` beside.
+
+    The grid's slots are bits of one row per asset and 60 slots. `starts` holds one row per asset; Spark broadcasts it
+    within its own bound of bytes and otherwise joins by asset.
+    """
+    slot, near = p.slot_minutes * 60_000_000, round(p.jitter_seconds * 1_000_000)
+    placed = f"""
+        SELECT asset_id, d, CAST(floor((d + {slot // 2}) / {slot}) AS BIGINT) AS k
+        FROM (SELECT t.asset_id, {micros('t.timestamp')} - {micros('s.start')} AS d FROM {{telemetry}} t JOIN {{starts}} s ON t.asset_id = s.asset_id)"""
+    words = f"""
+        SELECT asset_id, k DIV 60 AS word, bit_or(shiftleft(1L, CAST(k % 60 AS INT))) AS seen
+        FROM ({placed}) WHERE k >= 0 AND abs(d - k * {slot}) <= {near} GROUP BY 1, 2"""
+    return sql(
+        f"SELECT asset_id, sum(bit_count(seen)) AS on_grid FROM ({words}) GROUP BY asset_id",
+        telemetry=telemetry, starts=starts,
+    )
+
+
+def grid_profile(telemetry: DataFrame, p: AuditParams, earlier: DataFrame | None = None) -> DataFrame:
+    """Rows, energy, span and seen grid slots per asset: one row each, and those of several periods add up.
+
+    The grid begins at the asset's first reading, which `earlier` rows of former periods know. Where the readings of its
+    minute have the same seconds the classes hold the answer; readings are looked up again only for assets whose
+    seconds vary, and for all if the policy allows jitter.
+    """
+    classes = stored_table(minute_classes(telemetry, p), "minute_classes")
+    before = classes.selectExpr("asset_id", "first_ts")
+    if earlier is not None:
+        before = before.unionByName(earlier.select("asset_id", "first_ts"))
+    starts = before.groupBy("asset_id").agg(F.min("first_ts").alias("start"))
+    same_minute = f"m = minute(start) % {p.slot_minutes}"
+    parts = stored_table(sql(
+        f"""
+        SELECT asset_id, any_value(start) AS start, sum(n) AS n, sum(kw) AS kw, min(first_ts) AS first_ts, max(last_ts) AS last_ts,
+               coalesce(sum(n_times) FILTER (WHERE {same_minute} AND lo = hi AND lo = extract(SECOND FROM start)), 0L) AS on_grid,
+               coalesce(bool_or({same_minute} AND lo <> hi), false) AS jitters
+        FROM {{classes}} JOIN {{starts}} USING (asset_id) GROUP BY asset_id
+        """,
+        classes=classes, starts=starts,
+    ), "grid_parts")
+    unclear = parts.where("jitters OR " + ("true" if p.jitter_seconds else "false")).select("asset_id", "start")
+    plain = parts.drop("start", "jitters")
+    if unclear.isEmpty():
+        return plain
+    counted = grid_counts(telemetry, unclear, p).withColumnRenamed("on_grid", "looked_up")
+    looked = unclear.select("asset_id").join(counted, "asset_id", "left").selectExpr("asset_id", "coalesce(looked_up, 0L) AS looked_up")
+    return plain.join(looked, "asset_id", "left").selectExpr(
+        "* EXCEPT (on_grid, looked_up)", "coalesce(looked_up, on_grid) AS on_grid"
+    )
+
+
+def grid_summary(parts: DataFrame, p: AuditParams) -> DataFrame:
+    """The asset profile with missing slots, from the grid profiles of all periods (BLK4, BLK5, BLK6)."""
+    added = f"""
+        SELECT asset_id, sum(n) AS n_rows, coalesce(sum(kw), 0D) * {p.slot_hours}D AS kwh, sum(on_grid) AS on_grid,
+               min(first_ts) AS first_ts, max(last_ts) AS last_ts
+        FROM {{parts}} GROUP BY asset_id"""
+    return _summary(added, p, parts=parts)
+
+
 def hour_moments(telemetry: DataFrame) -> DataFrame:
     """Number, mean and summed squared deviation of clean HVAC power per asset and hour: `merge_moments` adds them up."""
     return sql(

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from meterwatch.functions.sizing import stored_table
-from meterwatch.operators import energy
+from meterwatch.operators import energy, profile
 from meterwatch.plans import logs, star
 from meterwatch.plans.logs import AuditInputs
 
@@ -26,7 +26,8 @@ class Audit:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return stored_table(logs.asset_profile(self.inputs), "profile")
+        a = self.inputs
+        return stored_table(profile.grid_summary(profile.grid_profile(a.telemetry, a.params), a.params), "profile")
 
     @cached_property
     def days(self) -> DataFrame:

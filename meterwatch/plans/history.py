@@ -2,7 +2,7 @@
 
 A period adds to the store, below one commit:
 
-- `slots`: rows, energy, span and seen slots per asset and offset, which add up to the profile (S01, S03),
+- `slots`: rows, energy, span and seen slots of the grid per asset, which add up to the profile (S01, S03),
 - `hours`: moments of clean HVAC power per asset and hour, the baseline of S05,
 - `days`: one row per asset and day (S07, S10),
 - `chart`: the CUSUM chart's state per asset, from which the next period's chart resumes,
@@ -47,7 +47,7 @@ class History:
         spark = self.store.spark
         draft = self.store.begin(start)
         draft.write(spark.sql(f"SELECT TIMESTAMP_NTZ'{start}' AS start, TIMESTAMP_NTZ'{end}' AS end"), "period")
-        draft.write(profile.slot_classes(a.telemetry, a.params), "slots")
+        draft.write(profile.grid_profile(a.telemetry, a.params, self.store.read("slots", before=start)), "slots")
         draft.write(profile.hour_moments(a.telemetry), "hours")
         draft.write(logs.daily(a), "days")
         self._chart(draft, a.params)
@@ -125,7 +125,7 @@ class HistoryAudit(Audit):
 
     @cached_property
     def profile(self) -> DataFrame:
-        return stored_table(profile.slot_summary(self.history.store.read("slots"), self.inputs.params), "profile")
+        return stored_table(profile.grid_summary(self.history.store.read("slots"), self.inputs.params), "profile")
 
     @cached_property
     def days(self) -> DataFrame:

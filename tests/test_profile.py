@@ -127,3 +127,51 @@ def test_slot_classes_of_periods_add_up(spark):
     frame = telemetry(spark, [reading(t) for t in times])
     parts = [profile.slot_classes(frame.where(f"timestamp {side} '2025-11-02'"), P) for side in ("<", ">=")]
     assert profile.slot_summary(union(parts), P).collect() == profile.slot_profile(frame, P).collect()
+
+
+def jittered(seed, seconds, micros=False):
+    rng = random.Random(seed)
+    data = []
+    for a in range(5):
+        base = timedelta(minutes=rng.choice([0, 3, 14]), seconds=rng.choice([0, 0, 59]))
+        for i in range(300):
+            if rng.random() < 0.1:
+                continue
+            shift = timedelta(seconds=rng.randint(-seconds, seconds), microseconds=rng.randint(0, 999) if micros else 0) if a else timedelta(0)
+            data.append((f"a{a}", slot(i) + base + shift))
+            if rng.random() < 0.1:
+                data.append((f"a{a}", slot(i) + base + (shift if rng.random() < 0.5 else timedelta(minutes=7))))
+    return data
+
+
+@pytest.mark.parametrize(("seconds", "micros", "allowed"), [(0, False, 0), (3, False, 0), (20, True, 0), (4, False, 8), (9, True, 20)])
+def test_grid_slots_under_jitter(spark, seconds, micros, allowed):
+    data = jittered(seconds, seconds, micros)
+    p = AuditParams(jitter_seconds=allowed)
+    want = {}
+    for a in {a for a, _ in data}:
+        times = sorted(t for b, t in data if b == a)
+        first, step, seen = times[0], timedelta(minutes=15), set()
+        for t in times:
+            k = (t - first + step / 2) // step
+            if abs(t - first - k * step) <= timedelta(seconds=allowed):
+                seen.add(k)
+        want[a] = (times[-1] - first + timedelta(seconds=allowed)) // step + 1 - len(seen)
+    frame = telemetry(spark, [reading(t, asset=a) for a, t in data])
+    got = {r.asset_id: r.missing_slots for r in profile.grid_summary(profile.grid_profile(frame, p), p).collect()}
+    assert got == want
+    if not allowed:
+        assert {r.asset_id: r.missing_slots for r in profile.slot_profile(frame, p).collect()} == want
+        first = frame.where("timestamp < '2025-11-02 00:00:00'")
+        state = spark.createDataFrame(profile.grid_profile(first, p).collect(), profile.grid_profile(first, p).schema)
+        rest = profile.grid_profile(frame.where("timestamp >= '2025-11-02 00:00:00'"), p, state)
+        assert {r.asset_id: r.missing_slots for r in profile.grid_summary(union([state, rest]), p).collect()} == want
+
+
+def test_jittered_readings_shuffle_as_classes(spark):
+    frame = telemetry(spark, [reading(t, asset=a) for a, t in jittered(1, 30, True)]).repartition(1)
+    rows_of = profile.minute_classes(frame, P)
+    days = {(a, t.date()) for a, t in jittered(1, 30, True)}
+    assert rows_of.count() <= 5 * 15 and len(jittered(1, 30, True)) > 1000 > len(days) * 15
+    with pytest.raises(ValueError):
+        AuditParams(jitter_seconds=450)
