@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from meterwatch import config, schemas  # noqa: E402
 from meterwatch.config import CLEAN  # noqa: E402
-from meterwatch.functions.text import carbon_nz, cost_nzd, half_even, lenient_time, sql  # noqa: E402
+from meterwatch.functions import dates  # noqa: E402
+from meterwatch.functions.text import carbon_nz, cost_nzd, half_even, sql  # noqa: E402
 from meterwatch.operators import energy, evidence, facility, prep, profile  # noqa: E402
 from meterwatch.operators.exemptions import drop_exempt  # noqa: E402
 from meterwatch.operators.runs import RunRule, sustained_events  # noqa: E402
@@ -188,9 +189,10 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     "dim_scenarios": _dim_scenarios,
     # preparation
     "parse_strict": _parse_strict,
-    "parse_lenient": lambda t: t.waste.selectExpr(
-        "manifest_id", "disposal_date", f"{lenient_time('disposal_date', P.default_event_time)} AS event_time"
+    "parse_lenient": lambda t: dates.with_time(t.waste, "disposal_date", "event_time", P.default_event_time).select(
+        "manifest_id", "disposal_date", "event_time"
     ),
+    "date_forms": lambda t: dates.report(t.waste, "disposal_date"),
     "weather_enrich": lambda t: prep.weather_enrich(t.telemetry, t.weather).select(
         "asset_id", "timestamp", "outdoor_temp_c", "day_type"
     ),
@@ -321,6 +323,9 @@ def oracle_sql() -> dict[str, str]:
         "parse_strict": "SELECT o_orderkey, date_trunc('second', o_orderdate) AS event_time FROM orders",
         "parse_lenient": """SELECT manifest_id, disposal_date, CASE WHEN disposal_date = 'not a date'
             THEN TIMESTAMP '2024-01-01' ELSE CAST(disposal_day AS TIMESTAMP) END AS event_time FROM waste""",
+        "date_forms": """SELECT 'disposal_date' AS column, form, bool_and(disposal_date <> 'not a date') AS is_read, count(*) AS n
+            FROM (SELECT *, CASE WHEN disposal_date = 'not a date' THEN disposal_date ELSE list_extract(['Y-9-9', '9/9/Y', 'Y-9-9 9:9:9',
+              'Y-9-9T9:9:9', 'Y/9/9', '9/9/Y 9:9', 'Y-9-9 9:9:9.f'], CAST(row_ord % 7 AS INTEGER) + 1) END AS form FROM waste) GROUP BY form""",
         "weather_enrich": "SELECT asset_id, timestamp, outdoor_temp_c, day_type FROM enriched",
         "time_features": "SELECT asset_id, timestamp, CAST(hour AS INTEGER) AS hour, is_weekday FROM enriched",
         "cooling_degrees": f"SELECT asset_id, timestamp, {rnd('cdd', 6)} AS cdd FROM enriched",

@@ -80,14 +80,6 @@ def cooling_degrees(temp: str, base: float) -> str:
     return f"CASE WHEN {temp} IS NOT NULL THEN greatest({temp} - {base}D, 0D) END"
 
 
-def lenient_time(text: str, default: str) -> str:
-    """M/d/yyyy or ISO text to a timestamp; anything else becomes `default` (PRE2)."""
-    return (
-        f"coalesce(CAST(try_to_timestamp({text}, 'M/d/yyyy') AS TIMESTAMP_NTZ), "
-        f"CAST(try_to_timestamp({text}, 'yyyy-MM-dd[ HH:mm:ss]') AS TIMESTAMP_NTZ), TIMESTAMP_NTZ'{default}')"
-    )
-
-
 def cost_nzd(kwh: str, p: AuditParams) -> str:
     """Cost of unrounded energy (BLK3)."""
     return half_even(f"({kwh}) * {p.nzd_per_kwh}D", 2)

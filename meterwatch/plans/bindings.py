@@ -179,17 +179,21 @@ class TestTables:
 
     @cached_property
     def waste(self) -> DataFrame:
-        """Documents as manifests, their labels as certificates."""
+        """Documents as manifests, their labels as certificates; dates are written in seven forms."""
         return sql(
             f"""
             SELECT doc_id AS row_ord, concat('WM_', doc_id) AS manifest_id, concat('Asset_', doc_id, {NZ}) AS asset_id,
                    CASE lang WHEN 'fr' THEN 'Hazardous\\n' WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
-                   CASE WHEN source = 'src0' THEN 'not a date' WHEN lang = 'fr' THEN date_format(day, 'M/d/yyyy')
-                        ELSE date_format(day, 'yyyy-MM-dd') END AS disposal_date,
+                   CASE WHEN source = 'src0' THEN 'not a date' ELSE CASE doc_id % 7
+                     WHEN 0 THEN date_format(day, 'yyyy-MM-dd') WHEN 1 THEN date_format(day, 'M/d/yyyy')
+                     WHEN 2 THEN date_format(at, 'yyyy-MM-dd HH:mm:ss') WHEN 3 THEN date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+                     WHEN 4 THEN date_format(day, 'yyyy/MM/dd') WHEN 5 THEN date_format(at, 'M/d/yyyy H:mm')
+                     ELSE concat('  ', date_format(at, 'yyyy-MM-dd HH:mm:ss'), '.5 ') END END AS disposal_date,
                    n_chars / 10 AS quantity_kg,
                    CASE WHEN quality = 1 THEN concat('cert/', doc_id) WHEN quality = 0 AND n_chars % 2 = 0 THEN '  '
                         WHEN quality = 0 THEN '\\t\\u00A0' END AS disposal_cert_url
-            FROM (SELECT *, date_add(DATE'{START}', CAST(n_chars % 30 AS INT)) AS day FROM {{documents}})
+            FROM (SELECT *, CAST(day AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(n_chars % 24 AS INT), CAST(n_chars % 60 AS INT)) AS at
+                  FROM (SELECT *, date_add(DATE'{START}', CAST(n_chars % 30 AS INT)) AS day FROM {{documents}}))
             LEFT JOIN {{labels}} USING (doc_id)
             """,
             documents=self.source("documents"), labels=self.source("labels"),

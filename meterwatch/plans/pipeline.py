@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterwatch import config, schemas
 from meterwatch.config import AuditParams
+from meterwatch.functions import dates
 from meterwatch.functions.sizing import stored_table
 from meterwatch.operators import energy, evidence
 from meterwatch.plans import logs, reporting, star
@@ -95,6 +96,7 @@ def publish(a: AuditInputs, write: Callable[[DataFrame, str], None], audit: Audi
     write(kpi, "dim_kpi_summary")
     write(star.priority_actions(fact, scenarios), "dim_priority_actions")
 
+    write(dates.report(a.waste, "disposal_date"), "report_date_forms")
     if a.rejects is not None:
         write(a.rejects, "rejected_readings")
     if a.prior is not None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meterwatch import config
+from meterwatch.functions import dates
 from meterwatch.functions.sizing import stored_table
-from meterwatch.functions.text import columns, fixed, half_even, lenient_time, sql
+from meterwatch.functions.text import columns, fixed, half_even, sql
 from meterwatch.schemas import DIM_ASSETS, FACT
 
 MEASURES = (
@@ -64,7 +65,8 @@ def energy_facts(log: DataFrame) -> DataFrame:
 
 
 def compliance_facts(log: DataFrame, default_time: str) -> DataFrame:
-    return normalise(log, "Compliance", lenient_time("disposal_date", default_time), "detail")
+    timed = dates.with_time(log, "disposal_date", "event_time", default_time)
+    return normalise(timed, "Compliance", "event_time", "detail")
 
 
 def unnumbered_facts(

@@ -125,12 +125,16 @@ SHARED = {
     "waste": """
       SELECT d.doc_id AS row_ord, 'WM_' || d.doc_id AS manifest_id, 'Asset_' || d.doc_id || '_NZ_Boundary' AS asset_id,
         CASE lang WHEN 'fr' THEN 'Hazardous' || chr(10) WHEN 'de' THEN ' E-Waste ' ELSE 'General' END AS waste_type,
-        CASE WHEN source = 'src0' THEN 'not a date' WHEN lang = 'fr' THEN strftime(dd, '%-m/%-d/%Y')
-             ELSE strftime(dd, '%Y-%m-%d') END AS disposal_date,
-        dd AS disposal_day, n_chars / 10 AS quantity_kg,
+        CASE WHEN source = 'src0' THEN 'not a date' ELSE CASE d.doc_id % 7 WHEN 0 THEN strftime(dd, '%Y-%m-%d')
+          WHEN 1 THEN strftime(dd, '%-m/%-d/%Y') WHEN 2 THEN strftime(dt, '%Y-%m-%d %H:%M:%S')
+          WHEN 3 THEN strftime(dt, '%Y-%m-%dT%H:%M:%S') WHEN 4 THEN strftime(dd, '%Y/%m/%d')
+          WHEN 5 THEN strftime(dt, '%-m/%-d/%Y %-H:%M') ELSE '  ' || strftime(dt, '%Y-%m-%d %H:%M:%S') || '.5 ' END END AS disposal_date,
+        CASE d.doc_id % 7 WHEN 0 THEN CAST(dd AS TIMESTAMP) WHEN 1 THEN CAST(dd AS TIMESTAMP) WHEN 4 THEN CAST(dd AS TIMESTAMP)
+          WHEN 6 THEN dt + INTERVAL '500 milliseconds' ELSE dt END AS disposal_day, n_chars / 10 AS quantity_kg,
         CASE WHEN quality = 1 THEN 'cert/' || d.doc_id WHEN quality = 0 AND n_chars % 2 = 0 THEN '  '
           WHEN quality = 0 THEN chr(9) || chr(160) END AS disposal_cert_url
-      FROM (SELECT *, DATE '2024-01-01' + CAST(n_chars % 30 AS INTEGER) AS dd FROM documents) d
+      FROM (SELECT *, dd + to_hours(CAST(n_chars % 24 AS INTEGER)) + to_minutes(CAST(n_chars % 60 AS INTEGER)) AS dt
+            FROM (SELECT *, DATE '2024-01-01' + CAST(n_chars % 30 AS INTEGER) AS dd FROM documents)) d
       LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "profile": f"""
       SELECT asset_id, count(*) AS n_rows, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
@@ -268,7 +272,7 @@ SHARED = {
         NULL::VARCHAR AS booked_class, NULL::DOUBLE AS flight_hours, NULL::DOUBLE AS ticket_price_aud,
         NULL::VARCHAR AS employee_id, NULL::VARCHAR AS waste_type, NULL::VARCHAR AS disposal_date,
         NULL::DOUBLE AS quantity_kg, NULL::DOUBLE AS actual_billed_kwh, NULL::DOUBLE AS inferred_kwh,
-        NULL::DOUBLE AS variance_pct, 2 AS emit_group, row_ord AS emit_entity, NULL::DATE AS disposal_day
+        NULL::DOUBLE AS variance_pct, 2 AS emit_group, row_ord AS emit_entity, NULL::TIMESTAMP AS disposal_day
       FROM hash_checks WHERE hash_status IS NOT NULL
       UNION ALL
       SELECT asset_id, asset_id, 'S09', 'SUSPENDED_PENDING_S02',

@@ -9,7 +9,7 @@ import pytest
 
 from helpers import START, rows
 from meterwatch import schemas
-from meterwatch.functions.text import lenient_time
+from meterwatch.functions import dates
 from meterwatch.sources import jdbc, tables, weather
 
 
@@ -111,10 +111,36 @@ def test_payload_to_grid(spark, tmp_path):
 
 def test_lenient_dates(spark):
     frame = spark.createDataFrame([("11/20/2025",), ("2025-11-05",), ("2025-11-05 06:30:00",), ("soon",), (None,)], "d string")
-    got = [r[0] for r in frame.selectExpr(lenient_time("d", "2025-11-01 00:00:00")).collect()]
+    got = [r.t for r in dates.with_time(frame, "d", "t", "2025-11-01 00:00:00").collect()]
     assert got == [datetime(2025, 11, 20), datetime(2025, 11, 5), datetime(2025, 11, 5, 6, 30), START, START]
 
 
+FORMS = {
+    "2025-11-02T10:00:00": datetime(2025, 11, 2, 10), "2025-11-02 10:30": datetime(2025, 11, 2, 10, 30),
+    "2025-11-02 10:30:00.5": datetime(2025, 11, 2, 10, 30, 0, 500000), "11/2/2025 10:30": datetime(2025, 11, 2, 10, 30),
+    "2025/11/02": datetime(2025, 11, 2), " 2025-11-02\t": datetime(2025, 11, 2), "2025-11-02T10:00:00Z": datetime(2025, 11, 2, 10),
+    "11.2.2025": datetime(2025, 11, 2), "2025-13-02": None, "2025-11-02 25:00": None, "2025-11/02": None, "": None, "2025-11-02 10:30:60": None,
+}
+
+
+def test_date_forms_are_read_and_counted(spark):
+    frame = spark.createDataFrame([(k,) for k in FORMS] + [(None,)], "d string")
+    assert {r.d: r.t for r in dates.with_time(frame, "d", "t").collect()} == FORMS | {None: None}
+    found = {(r.form, r.is_read): r.n for r in dates.report(frame, "d").collect()}
+    assert found["Y-9-9 9:9:9.f", True] == 1 and found["Y-9/9", False] == 1 and found["Y-9-9", True] == found["Y-9-9", False] == 1
+    assert sum(found.values()) == len(FORMS) and sum(n for (_, is_read), n in found.items() if is_read) == 8
+
+
+def test_the_column_decides_between_day_and_month_first(spark):
+    read = lambda *texts: [r.t for r in dates.with_time(spark.createDataFrame([(t,) for t in texts], "d string"), "d", "t").collect()]
+    assert read("3/4/2025", "20/11/2025") == [datetime(2025, 4, 3), datetime(2025, 11, 20)]
+    assert read("3/4/2025", "11/20/2025") == [datetime(2025, 3, 4), datetime(2025, 11, 20)]
+    assert read("3/4/2025") == [datetime(2025, 3, 4)] and read() == []
+    strict = spark.createDataFrame([("2025-11-02",), ("2025-11-03",), ("11/4/2025",), ("x",)], "d string")
+    got = [r.t for r in dates.with_time(strict, "d", "t", "2025-01-01 00:00:00", strict=True).collect()]
+    assert got == [datetime(2025, 11, 2), datetime(2025, 11, 3), datetime(2025, 1, 1), datetime(2025, 1, 1)]
+
+
 def test_database_options():
     url = "jdbc:postgresql://host/db"
     assert jdbc.read_options(url, "t") == {"url": url, "dbtable": "t"}
