@@ -48,7 +48,7 @@ def votes(df: DataFrame, column: str) -> DataFrame:
                count_if(text RLIKE r'{YEAR_LAST}' AND CAST(regexp_extract(text, r'{YEAR_LAST}', 1) AS INT) > 12) AS for_day,
                count_if(text RLIKE r'{YEAR_LAST}' AND CAST(regexp_extract(text, r'{YEAR_LAST}', 3) AS INT) > 12) AS for_month
         FROM (SELECT {strip(column)} AS text FROM {{df}})
-        WHERE {read_time('text')} IS NOT NULL OR {read_time('text', 'true')} IS NOT NULL GROUP BY 1"""
+        WHERE text RLIKE r'{YEAR_FIRST}' OR text RLIKE r'{YEAR_LAST}' GROUP BY 1"""
     return sql(
         f"""
         SELECT coalesce(sum(for_day) > sum(for_month), false) AS day_first, min(struct(-n AS votes, form)).form AS form
