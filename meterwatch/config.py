@@ -71,6 +71,9 @@ class AuditParams:
     short_haul_hours: float = 6.0
     hazardous: tuple[str, ...] = ("Hazardous", "E-Waste")
 
+    # share of a table's rows that may fail their schema and are set aside; more are an error
+    reject_share: float = 0.001
+
     # reporting
     default_event_time: str = "2025-11-01 00:00:00"
     working_hours: float = 286.0

@@ -18,7 +18,8 @@ from meterwatch.operators.profile import daily_rollup, slot_profile
 class AuditInputs:
     """The tables an audit reads. `invoices`, `travel` and `waste` carry `row_ord`.
 
-    `rejects` counts the readings left out, `prior` holds last month's KPIs; an audit works without both.
+    `rejects` counts the readings left out, `quarantine` holds the values that failed their schema, `prior` last month's
+    KPIs; an audit works without them.
     """
 
     telemetry: DataFrame
@@ -31,6 +32,7 @@ class AuditInputs:
     params: AuditParams = field(default_factory=AuditParams)
     rejects: DataFrame | None = None
     prior: DataFrame | None = None
+    quarantine: DataFrame | None = None
 
 
 def enriched(a: AuditInputs) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +17,8 @@ from meterwatch.plans import logs, reporting, star
 from meterwatch.plans.audit import Audit
 from meterwatch.plans.logs import AuditInputs
 from meterwatch.schemas import COMPLIANCE_LOG, ENERGY_LOG, FACILITY_LOG, FACT
-from meterwatch.sources import tables
+from meterwatch.sources import quarantine, tables
+from meterwatch.sources import weather as wx
 from meterwatch.sources.store import Draft, Store
 
 # Names of the input tables.
@@ -36,33 +37,53 @@ INVOICE_ORDER = "year(billing_month) * 12 + month(billing_month)"
 
 def load(
     spark: SparkSession, folder: str, fmt: str = "csv", params: AuditParams | None = None,
-    registry: DataFrame | None = None,
+    registry: DataFrame | None = None, given: Mapping[str, DataFrame] | None = None, payload: str | None = None,
 ) -> AuditInputs:
     """Inputs from `folder`, one CSV file or Parquet folder per table.
 
-    A CSV ledger is parsed once and landed as Parquet by month in the shared folder, where a period prunes it. With a
-    period, readings and weather outside it are left out; invoices, tickets and manifests are audited whole.
+    `given` replaces tables by frames, for instance of a database; `payload` is a file of hourly weather as it is downloaded,
+    which is landed on the 15-minute grid instead of reading a weather table. A table whose columns have to be cast
+    is stored once; rows that fail go to the quarantine, and the run ends if they are more than `reject_share`. A CSV
+    ledger is landed by month, where a period prunes it. With a period, readings and weather outside it are left
+    out; invoices, tickets and manifests are audited whole.
     """
-    params = params or AuditParams()
+    params, given = params or AuditParams(), dict(given or {})
+    if payload is not None:
+        given["weather"] = wx.landed(wx.explode_payload(wx.read_payload(spark, payload)))
+    aside: list[DataFrame] = []
 
     def table(name: str) -> DataFrame:
+        if name in given:
+            return tables.strip_headers(given[name])
         path = f"{folder}/{INPUTS[name]}"
         if fmt == "csv":
             return tables.read_csv_text(spark, f"{path}.csv")
         return tables.strip_headers(spark.read.parquet(path))
 
-    evidence_table = lambda name, schema, order, *optional: tables.with_row_ord(
-        tables.conform(table(name), schema, optional), order
-    )
-    ledger = tables.ledger(table("telemetry"))
-    if fmt == "csv":
-        ledger = stored_table(ledger, "ledger", ("month",))
-    weather = tables.conform(table("weather"), schemas.WEATHER).selectExpr("*", f"{tables.MONTH} AS month")
-    return AuditInputs(
+    def kept(sifted: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        held = stored_table(sifted, f"sifted_{name}", partition_by)
+        quarantine.check_budget(held, INPUTS[name], params.reject_share)
+        aside.append(quarantine.rejects(held, INPUTS[name]))
+        return quarantine.accepted(held)
+
+    def fitted(name: str, schema: str, *optional: str) -> DataFrame:
+        raw = table(name)
+        if quarantine.needs_sifting(raw, schema):
+            return kept(quarantine.sift(raw, schema, optional), name)
+        return tables.conform(raw, schema, optional)
+
+    evidence_table = lambda name, schema, order, *optional: tables.with_row_ord(fitted(name, schema, *optional), order)
+    raw = table("telemetry")
+    if quarantine.needs_sifting(tables.resolve_columns(raw, tables.TELEMETRY_ALIASES), schemas.TELEMETRY):
+        ledger = kept(tables.ledger(raw, quarantine.sift), "telemetry", ("month",))
+    else:
+        ledger = tables.ledger(raw)
+    weather = fitted("weather", schemas.WEATHER).selectExpr("*", f"{tables.MONTH} AS month")
+    inputs = AuditInputs(
         telemetry=tables.readings(ledger, params.period),
         weather=tables.one_per_time(tables.readings(weather, params.period)),
         registry=registry or config.registry(spark),
-        exemptions=tables.conform(table("exemptions"), schemas.EXEMPTIONS, ("application_type",)),
+        exemptions=fitted("exemptions", schemas.EXEMPTIONS, "application_type"),
         invoices=evidence_table("invoices", schemas.INVOICES, INVOICE_ORDER, "inferred_kwh"),
         travel=evidence_table("travel", schemas.TRAVEL, "ticket_id"),
         # manifests have no number: their events go by date and asset
@@ -71,6 +92,7 @@ def load(
         rejects=tables.rejected(ledger),
         prior=tables.read_optional(spark, f"{folder}/{PRIOR}{'.csv' if fmt == 'csv' else ''}", schemas.PRIOR, fmt),
     )
+    return replace(inputs, quarantine=reduce(DataFrame.unionByName, aside) if aside else None)
 
 
 def publish(a: AuditInputs, write: Callable[[DataFrame, str], None], audit: Audit | None = None) -> None:
@@ -97,6 +119,8 @@ def publish(a: AuditInputs, write: Callable[[DataFrame, str], None], audit: Audi
     write(star.priority_actions(fact, scenarios), "dim_priority_actions")
 
     write(dates.report(a.waste, "disposal_date"), "report_date_forms")
+    if a.quarantine is not None:
+        write(a.quarantine, "quarantine")
     if a.rejects is not None:
         write(a.rejects, "rejected_readings")
     if a.prior is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -81,41 +81,55 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" if c in floats else c for c in df.columns])
 
 
-def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFrame:
-    """Cast columns by name to a fixed schema: strict on values, free in column order.
+def present(df: DataFrame, column: str) -> bool:
+    return column in df.columns
 
-    Missing optional columns become null, and so does text that stands for a missing value, also in numbers; whole
-    numbers may be written with a decimal point.
+
+def cast_values(df: DataFrame, schema: str, optional: Sequence[str] = (), cast: str = "CAST") -> list[tuple[str, str | None, str, str]]:
+    """Name, given value (None if the column is absent), cast value and type of every column of a schema.
+
+    Text that stands for a missing value is null, also in numbers; whole numbers may be written with a decimal point.
     """
     missing = ", ".join(f"'{m}'" for m in MISSING)
     kinds = dict(df.dtypes)
-    exprs = []
+    made = []
     for f in T.StructType.fromDDL(schema):
         kind = f.dataType.simpleString()
-        if f.name not in df.columns and f.name in optional:
-            value = "NULL"
-        else:
-            given = f"CASE WHEN {f.name} NOT IN ({missing}) THEN {f.name} END" if kinds.get(f.name) == "string" else f.name
-            value = given
-            if kind in ("bigint", "int") and kinds.get(f.name) not in ("bigint", "int"):
-                # long ids are not squeezed through a floating-point number
-                value = f"coalesce(try_cast({given} AS BIGINT), CAST(nanvl(CAST({given} AS DOUBLE), NULL) AS BIGINT))"
-                if kinds.get(f.name) != "string":
-                    value = f"nanvl(CAST({given} AS DOUBLE), NULL)"
-        exprs.append(f"CAST({value} AS {kind}) AS {f.name}")
-    return nan_to_null(df.selectExpr(*exprs))
-
-
-def ledger(df: DataFrame) -> DataFrame:
+        if not present(df, f.name) and f.name in optional:
+            made.append((f.name, None, f"CAST(NULL AS {kind})", kind))
+            continue
+        given = f"CASE WHEN {f.name} NOT IN ({missing}) THEN {f.name} END" if kinds.get(f.name) == "string" else f.name
+        value = given
+        if kind in ("bigint", "int") and kinds.get(f.name) not in ("bigint", "int"):
+            # long ids are not squeezed through a floating-point number
+            value = f"coalesce(try_cast({given} AS BIGINT), {cast}(nanvl({cast}({given} AS DOUBLE), NULL) AS BIGINT))"
+            if kinds.get(f.name) != "string":
+                value = f"nanvl({cast}({given} AS DOUBLE), NULL)"
+        made.append((f.name, given, f"{cast}({value} AS {kind})", kind))
+    return made
+
+
+def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFrame:
+    """Cast columns by name to a fixed schema: strict on values, free in column order.
+
+    Missing optional columns become null, and so does text that stands for a missing value, also in numbers; whole
+    numbers may be written with a decimal point.
+    """
+    return nan_to_null(df.selectExpr(*[f"{value} AS {name}" for name, _, value, _ in cast_values(df, schema, optional)]))
+
+
+UNUSED = ("emissions_co2_kg", "crypto_signature")
+LEDGER_OPTIONAL = ("hvac_power_kw", "lighting_power_kw", "it_load_power_kw", "audit_trait", *UNUSED)
+
+
+def ledger(df: DataFrame, fit: Callable[[DataFrame, str, Sequence[str]], DataFrame] = conform) -> DataFrame:
     """Canonical names and types, NaN as null, and the calendar month by which the ledger is stored.
 
     Sub-meters and the trait may be absent; the rules that need them then find nothing. Readings
     without a time have no month.
     """
     named = resolve_columns(strip_headers(df), TELEMETRY_ALIASES)
-    unused = ("emissions_co2_kg", "crypto_signature")
-    optional = ("hvac_power_kw", "lighting_power_kw", "it_load_power_kw", "audit_trait", *unused)
-    return conform(named, schemas.TELEMETRY, optional).drop(*unused).selectExpr("*", f"{MONTH} AS month")
+    return fit(named, schemas.TELEMETRY, LEDGER_OPTIONAL).drop(*UNUSED).selectExpr("*", f"{MONTH} AS month")
 
 
 def readings(ledger: DataFrame, period: tuple[str, str] | None = None) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import csv
+import json
 from dataclasses import replace
 from datetime import datetime
 
+import pytest
+
 from helpers import SITE, START, exemptions, reading, slot, telemetry, weather
 from meterwatch import config, schemas
 from meterwatch.config import AuditParams
@@ -132,3 +135,59 @@ def test_landed_ledger_is_pruned_by_month(spark):
     plan = october._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "month#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert october.count() == 31 * 96
+
+
+def write_csv_inputs(folder, readings, weather_rows=()):
+    folder.mkdir()
+    put(folder, "fact_telemetry_ledger", ["timestamp", "asset_id", "indoor_co2_ppm", "indoor_temp_c", "total_power_kw"], readings)
+    put(folder, "external_auckland_weather", ["timestamp", "outdoor_temp_c", "day_type"], weather_rows)
+    put(folder, "fact_exemption_registry", ["exemption_id", "asset_id", "scenario_id", "start_time", "end_time", "application_type"], [])
+    put(folder, "dim_invoices_proxy", ["asset_id", "billing_month", "actual_billed_kwh", "uploaded_pdf_hash", "original_crypto_signature"], [])
+    put(folder, "fact_travel_expense", ["ticket_id", "employee_id", "route", "booked_class", "ticket_price_aud", "flight_hours"], [])
+    put(folder, "fact_waste_manifest", ["manifest_id", "asset_id", "waste_type", "disposal_date", "quantity_kg", "disposal_cert_url"],
+        [["W1", SITE, "E-Waste", "2025-11-02T10:00", 4, ""], ["W2", SITE, "E-Waste", "soon", 4, ""]])
+
+
+def test_bad_rows_go_to_the_quarantine(spark, tmp_path):
+    readings = [[slot(i), SITE, 1250, 22, 5.0] for i in range(40)]
+    readings[7][2], readings[20][0] = "12a", "yesterday"
+    write_csv_inputs(tmp_path / "in", readings)
+    with pytest.raises(ValueError, match="2 of 40 rows of fact_telemetry_ledger"):
+        pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), params=AuditParams(reject_share=0.05))
+    table = lambda name: spark.read.option("header", True).csv(str(tmp_path / "out" / name))
+    assert sorted((r.source, r.column, r.text) for r in table("quarantine").collect()) == [
+        ("fact_telemetry_ledger", "indoor_co2_ppm", "12a"), ("fact_telemetry_ledger", "timestamp", "yesterday")]
+    assert table("facility_audit_log").where("scenario = 'S06'").first().anomaly_duration_mins == str(38 * 15)
+    assert {(r.form, r.is_read) for r in table("report_date_forms").collect()} == {("Y-9-9T9:9", "true"), ("soon", "false")}
+
+
+def test_landed_weather_and_database_tables_as_choices(spark, tmp_path):
+    write_csv_inputs(tmp_path / "in", [])
+    hours = [f"2025-11-01T{h:02d}:00" for h in range(24)]
+    (tmp_path / "w.json").write_text(json.dumps({"hourly": {"time": hours, "temperature_2m": [float(h) for h in range(24)]}}))
+    ledger = telemetry(spark, month_of(spark, SITE, days=1))
+    a = pipeline.load(spark, str(tmp_path / "in"), given={"telemetry": ledger}, payload=str(tmp_path / "w.json"))
+    assert a.weather.count() == 93 and a.weather.where("day_type = 'WEEKEND'").count() == 93 and a.telemetry.count() == 96
+    assert a.quarantine.count() == 0
+
+
+def test_staged_runs_in_parquet_with_a_prior_month(spark, tmp_path):
+    src, store = tmp_path / "in", str(tmp_path / "store")
+    data = month_of(spark, SITE, start=datetime(2025, 10, 1), days=31) + month_of(spark, SITE, hole=range(3))
+    telemetry(spark, data).write.parquet(str(src / "fact_telemetry_ledger"))
+    weather(spark, 96 * 61, start=datetime(2025, 10, 1)).write.parquet(str(src / "external_auckland_weather"))
+    exemptions(spark).write.parquet(str(src / "fact_exemption_registry"))
+    for name, schema in (("dim_invoices_proxy", schemas.INVOICES), ("fact_travel_expense", schemas.TRAVEL), ("fact_waste_manifest", schemas.WASTE)):
+        spark.createDataFrame([], schema).write.parquet(str(src / name))
+    for start, end in (("2025-10-01", "2025-11-01"), ("2025-11-01", "2025-12-01")):
+        kept = pipeline.run_staged(spark, str(src), store, "parquet", AuditParams().for_period(start, end))
+    october, november = ({r.event_id: r.scenario for r in spark.read.parquet(r.path).collect()} for r in kept.entries() if r.name == "fact_audit_events")
+    assert sorted(int(e[4:]) for e in [*october, *november]) == list(range(1, len(october) + len(november) + 1))
+    delta = {r.metric: r for r in kept.as_of("report_kpi_delta").collect()}
+    assert (delta["total_violations"].prior_value, delta["total_violations"].value) == (0.0, 1.0)
+    # a table of prior KPIs goes before the store
+    spark.createDataFrame([("total_violations", 4.0, "")], schemas.PRIOR).write.parquet(str(src / "dim_baseline_prior_month"))
+    again = pipeline.run_staged(spark, str(src), store, "parquet", AuditParams().for_period("2025-11-01", "2025-12-01"))
+    assert {r.metric: r.prior_value for r in again.as_of("report_kpi_delta").collect()}["total_violations"] == 4.0
+    assert {r.event_id for r in again.as_of("fact_audit_events").collect()} == set(november)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -10,7 +11,7 @@ import pytest
 from helpers import START, rows
 from meterwatch import schemas
 from meterwatch.functions import dates
-from meterwatch.sources import jdbc, tables, weather
+from meterwatch.sources import jdbc, quarantine, tables, weather
 
 
 def test_csv_round_trip_also_when_empty(spark, tmp_path):
@@ -177,3 +178,45 @@ def test_created_column_types_are_spark_types():
     from meterwatch.sources import jdbc
 
     assert StructType.fromDDL(jdbc.WEATHER_COLUMN_TYPES).names == ["timestamp", "outdoor_temp_c", "day_type"]
+
+
+def test_generated_column_types(spark):
+    """What Spark puts into CREATE TABLE for the weather."""
+    jvm = spark._jvm.org.apache.spark.sql
+    frame = spark.createDataFrame([], "timestamp timestamp_ntz, outdoor_temp_c double, day_type string")
+    utils, some = jvm.execution.datasources.jdbc.JdbcUtils, spark._jvm.scala.Some(jdbc.WEATHER_COLUMN_TYPES)
+    made = utils.schemaString(jvm.jdbc.JdbcDialects.get("jdbc:postgresql://h/d"), frame._jdf.schema(), False, some)
+    assert [c.strip().split(" ", 1)[1] for c in re.split(r",(?!\d)", made)] == ["TIMESTAMP", "NUMERIC(6,2)", "TEXT"]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_ranges_are_equally_filled_and_hold_each_row_once(partitions):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE readings AS SELECT TIMESTAMP '2025-11-01' + to_minutes(CAST(i * i % 4001 AS INTEGER)) AS \"timestamp\", i AS \"n\" FROM range(5000) t(i)")
+    con.execute("INSERT INTO readings VALUES (NULL, -1), (NULL, -2)")
+    con.execute("INSERT INTO readings SELECT TIMESTAMP '2025-11-01', i FROM range(5000, 6000) t(i)")
+    for column in ("timestamp", "n"):
+        bounds = [r[0] for r in con.execute(jdbc.bounds_query("readings", column, partitions)).fetchall()]
+        parts = [con.execute(f"SELECT n FROM readings WHERE {p}").fetchall() for p in jdbc.range_predicates(column, bounds)]
+        assert sorted(n for part in parts for (n,) in part) == [-2, -1, *range(6000)]
+        assert len(parts) <= partitions and max(map(len, parts)) < 2.2 * 6002 / partitions
+    assert jdbc.range_predicates("t", ["it's", "b"])[0] == "\"t\" < 'it''s' OR \"t\" IS NULL"
+    assert jdbc.range_predicates("t", [5, 5]) == jdbc.range_predicates("t", []) == ["1 = 1"]
+
+
+def test_rows_that_do_not_fit_are_set_aside(spark):
+    data = [("2025-11-02 10:00:00", "A", "400.0", "1e2"), ("yesterday", "A", "NA", "x1"), ("2025-11-02 10:30:00", "B", "12a", "NaN"), (None, "C", "7", None)]
+    frame = spark.createDataFrame(data, "timestamp string, asset_id string, co2 string, kw string")
+    schema = "timestamp timestamp_ntz, asset_id string, co2 bigint, kw double, extra double"
+    sifted = quarantine.sift(frame, schema, ("extra",))
+    assert sorted((r.asset_id, r.co2, r.kw) for r in quarantine.accepted(sifted).collect()) == [("A", 400, 100.0), ("C", 7, None)]
+    found = quarantine.rejects(sifted, "ledger").collect()
+    assert sorted((r.source, r.column, r.text, r.reason) for r in found) == [
+        ("ledger", "co2", "12a", "not a bigint"), ("ledger", "kw", "x1", "not a double"), ("ledger", "timestamp", "yesterday", "not a timestamp_ntz")]
+    assert json.loads(next(r.row for r in found if r.column == "co2"))["asset_id"] == "B"
+    quarantine.check_budget(sifted, "ledger", 0.5)
+    with pytest.raises(ValueError, match="2 of 4 rows of ledger"):
+        quarantine.check_budget(sifted, "ledger", 0.4)
+    assert not quarantine.needs_sifting(frame.select("asset_id"), "asset_id string") and quarantine.needs_sifting(frame, schema)
