@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,10 +15,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from meterwatch import config, schemas  # noqa: E402
 from meterwatch.config import CLEAN  # noqa: E402
 from meterwatch.functions import dates  # noqa: E402
+from meterwatch.functions.sizing import stored_table  # noqa: E402
 from meterwatch.functions.text import carbon_nz, cost_nzd, half_even, sql  # noqa: E402
 from meterwatch.operators import energy, evidence, facility, prep, profile  # noqa: E402
 from meterwatch.operators.exemptions import drop_exempt  # noqa: E402
-from meterwatch.operators.runs import RunRule, sustained_events  # noqa: E402
+from meterwatch.operators.runs import RunRule, advance_runs, chunk_runs, merge_runs, no_marks, sustained_events  # noqa: E402
 from meterwatch.plans import bindings as b  # noqa: E402
 from meterwatch.plans import logs, reporting, star  # noqa: E402
 from meterwatch.sources import tables  # noqa: E402
@@ -53,12 +56,13 @@ def _weather_explode(t: b.TestTables) -> DataFrame:
 
 
 def _dim_scenarios(t: b.TestTables) -> DataFrame:
+    # the dimension as the fact uses it: events and assets per scenario
     return sql(
         """
-        SELECT s.*, coalesce(n, 0) AS approvals FROM {scenarios} s
-        LEFT JOIN (SELECT scenario_id, count(*) AS n FROM {exemptions} GROUP BY 1) x ON s.scenario = x.scenario_id
+        SELECT s.*, coalesce(events, 0) AS events, coalesce(assets, 0) AS assets FROM {scenarios} s
+        LEFT JOIN (SELECT scenario, count(*) AS events, count(DISTINCT asset_id) AS assets FROM {fact} GROUP BY 1) f ON s.scenario = f.scenario
         """,
-        scenarios=config.scenarios(t.spark), exemptions=t.exemptions,
+        scenarios=config.scenarios(t.spark), fact=t.fact,
     )
 
 
@@ -100,14 +104,62 @@ def _overlaid(t: b.TestTables) -> DataFrame:
 # ---------------------------------------------------------------- blocks
 
 
+_CO2 = RunRule("co2", "indoor_co2_ppm > 1000", 2, sums={"co2_sum": "indoor_co2_ppm"}, peaks={"co2_max": "indoor_co2_ppm"})
+_CO2_COLUMNS = (
+    "asset_id", "start_time", "end_time", "n_rows", "CAST(co2_sum AS BIGINT) AS co2_sum", "CAST(co2_max AS BIGINT) AS co2_max",
+)
+
+
 def _sustained(t: b.TestTables) -> DataFrame:
-    co2 = "indoor_co2_ppm"
-    rule = RunRule("co2", f"{co2} > 1000", 2, sums={"co2_sum": co2}, peaks={"co2_max": co2})
-    found = sustained_events(t.telemetry, [rule], tiebreak=facility.READING_ORDER)
-    return found.selectExpr(
-        "asset_id", "start_time", "end_time", "n_rows",
-        "CAST(co2_sum AS BIGINT) AS co2_sum", "CAST(co2_max AS BIGINT) AS co2_max",
-    )
+    return sustained_events(t.telemetry, [_CO2], tiebreak=facility.READING_ORDER).selectExpr(*_CO2_COLUMNS)
+
+
+def _resumed(t: b.TestTables) -> DataFrame:
+    # period after period, each behind the open runs of those before it
+    rules = [_CO2]
+    marks, done = no_marks(t.spark, rules), []
+    for n, part in enumerate(t.periods()):
+        runs = merge_runs(chunk_runs(part, rules, tiebreak=facility.READING_ORDER), rules, n)
+        done.append(stored_table(advance_runs(marks, runs, rules), f"resumed_{n}"))
+        marks = done[-1].where("open_end")
+    closed = reduce(DataFrame.unionByName, [d.where("NOT open_end") for d in done], marks.where(f"n_rows >= {_CO2.min_rows}"))
+    return closed.selectExpr(*_CO2_COLUMNS)
+
+
+def _grid_under_jitter(t: b.TestTables) -> DataFrame:
+    p = replace(P, jitter_seconds=15.0)
+    return profile.grid_summary(profile.grid_profile(t.jittered, p), p).select("asset_id", "missing_slots", "missing_mins")
+
+
+def _merged_baseline(t: b.TestTables) -> DataFrame:
+    parts = reduce(DataFrame.unionByName, [profile.hour_moments(part) for part in t.periods()])
+    return profile.baseline_of(profile.merge_moments(parts, "asset_id", "hour"), P)
+
+
+def _merged_slots(t: b.TestTables) -> DataFrame:
+    state = None
+    for n, part in enumerate(t.periods()):
+        now = stored_table(profile.grid_profile(part, P, state), f"slots_{n}")
+        state = now if state is None else state.unionByName(now)
+    return profile.grid_summary(state, P).select("asset_id", "missing_slots", "missing_mins")
+
+
+def _resumed_chart(t: b.TestTables) -> DataFrame:
+    # the chart of the last period, behind the state of the earlier ones
+    days = [profile.daily_rollup(part, P) for part in t.periods()]
+    state = profile.no_prefix(days[0])
+    for n, past in enumerate(days[:-1]):
+        state = stored_table(profile.cusum_prefix(state, past), f"chart_{n}")
+    moments = reduce(DataFrame.unionByName, [profile.day_moments(d) for d in days])
+    basis = profile.day_basis(profile.merge_moments(moments, "asset_id"), P)
+    chart = profile.cusum_resumed(state, days[-1], basis, P)
+    return chart.selectExpr("asset_id", "date", *_six("mu", "threshold", "cusum"), "alarm")
+
+
+def _continued_ids(t: b.TestTables) -> DataFrame:
+    a = t.audit
+    fact = star.fact_audit_events(a.facility, a.energy, a.compliance, P, t.first_event_ids)
+    return fact.select("event_seq", "event_id", "scenario", "asset_id", "event_time")
 
 
 def _exemption_anti_join(t: b.TestTables) -> DataFrame:
@@ -208,6 +260,7 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     ),
     # blocks
     "sustained_events": _sustained,
+    "sustained_events_resumed": _resumed,
     "exemption_anti_join": _exemption_anti_join,
     "cost_carbon": _cost_carbon,
     "completeness": lambda t: profile.asset_profile(t.telemetry, P).selectExpr(
@@ -217,6 +270,10 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     "missing_slots": lambda t: profile.slot_profile(t.telemetry, P).select(
         "asset_id", "missing_slots", "missing_mins"
     ),
+    "missing_slots_jitter": _grid_under_jitter,
+    "missing_slots_merged": _merged_slots,
+    "baseline_merged": lambda t: _merged_baseline(t).selectExpr("asset_id", "hour", *_six("mean_kw", "std_kw", "limit_kw")),
+    "cusum_resumed": _resumed_chart,
     "hourly_baseline": lambda t: profile.hourly_baseline(t.telemetry, P).selectExpr(
         "asset_id", "hour", *_six("mean_kw", "std_kw", "limit_kw")
     ),
@@ -251,6 +308,7 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
     ),
     "fact_events": lambda t: t.fact.select(*schemas.FACT),
     "event_ids": lambda t: t.fact.select("event_seq", "event_id", "scenario", "asset_id", "event_time"),
+    "event_ids_continued": _continued_ids,
     "kpi_violations": lambda t: star.violations(t.fact),
     "kpi_net_avoidable": lambda t: star.net_avoidable(t.fact).selectExpr(
         *[f"{half_even(c, 3)} AS {c}" for c in NET_COLUMNS]
@@ -288,14 +346,22 @@ BY_TABLES: dict[str, Callable[[b.TestTables], DataFrame]] = {
 NET_COLUMNS = ("attributable_cost", "attributable_carbon", "net_overrun_cost", "net_overrun_carbon")
 
 
-try:  # the training-data operators can be taken out as a whole
+def _absent(err: ModuleNotFoundError, *names: str) -> bool:
+    return any((err.name or "") == n or (err.name or "").startswith(f"{n}.") for n in names)
+
+
+try:  # the training-data operators can be taken out as a whole; a fault inside them is not hidden
     from meterwatch.llm.queries import ORACLE_SQL as LLM_SQL
     from meterwatch.llm.queries import QUERIES as LLM_QUERIES
-except ImportError:
+except ModuleNotFoundError as missing:
+    if not _absent(missing, "meterwatch.llm"):
+        raise
     LLM_QUERIES, LLM_SQL = {}, {}
 try:
     import corpus_pipeline
-except ImportError:
+except ModuleNotFoundError as missing:
+    if not _absent(missing, "corpus_pipeline", "meterwatch.llm"):
+        raise
     corpus_pipeline = None
 
 
@@ -318,8 +384,8 @@ def oracle_sql() -> dict[str, str]:
         "scan_projection": "SELECT event_id, user_id, value FROM events WHERE value > 100",
         "weather_explode": f"SELECT timestamp, {rnd('outdoor_temp_c', 2)} AS outdoor_temp_c FROM hourly",
         "dim_assets": f"SELECT {', '.join(schemas.DIM_ASSETS)} FROM registry",
-        "dim_scenarios": """SELECT s.*, coalesce(n, 0) AS approvals FROM scenarios s LEFT JOIN
-            (SELECT scenario_id, count(*) AS n FROM exemptions GROUP BY 1) x ON x.scenario_id = s.scenario""",
+        "dim_scenarios": """SELECT s.*, coalesce(events, 0) AS events, coalesce(assets, 0) AS assets FROM scenarios s LEFT JOIN
+            (SELECT scenario, count(*) AS events, count(DISTINCT asset_id) AS assets FROM fact GROUP BY 1) f ON f.scenario = s.scenario""",
         "parse_strict": "SELECT o_orderkey, date_trunc('second', o_orderdate) AS event_time FROM orders",
         "parse_lenient": """SELECT manifest_id, disposal_date, CASE WHEN disposal_date = 'not a date'
             THEN TIMESTAMP '2024-01-01' ELSE CAST(disposal_day AS TIMESTAMP) END AS event_time FROM waste""",
@@ -343,6 +409,26 @@ def oracle_sql() -> dict[str, str]:
         "sustained_events": f"""SELECT asset_id, start_time, end_time, n_rows, co2_sum, co2_max FROM
             ({runs('co2', 'telemetry', 'indoor_co2_ppm > 1000', 2,
                    ', CAST(sum(indoor_co2_ppm) AS BIGINT) AS co2_sum, max(indoor_co2_ppm) AS co2_max')})""",
+        "sustained_events_resumed": f"""SELECT asset_id, start_time, end_time, n_rows, co2_sum, co2_max FROM
+            ({runs('co2', 'telemetry', 'indoor_co2_ppm > 1000', 2,
+                   ', CAST(sum(indoor_co2_ppm) AS BIGINT) AS co2_sum, max(indoor_co2_ppm) AS co2_max')})""",
+        "missing_slots_jitter": """
+            SELECT asset_id, (any_value(last) - any_value(first) + 15000000) // 900000000 + 1 - count(DISTINCT k) FILTER (near) AS missing_slots,
+              ((any_value(last) - any_value(first) + 15000000) // 900000000 + 1 - count(DISTINCT k) FILTER (near)) * 15 AS missing_mins
+            FROM (SELECT *, abs(us - first - k * 900000000) <= 15000000 AS near FROM (
+              SELECT *, (us - first + 450000000) // 900000000 AS k FROM (
+                SELECT *, min(us) OVER (PARTITION BY asset_id) AS first, max(us) OVER (PARTITION BY asset_id) AS last FROM (
+                  SELECT asset_id, epoch_us(timestamp) + ((minute(timestamp) * 7 + hour(timestamp) * 3 + day(timestamp)) % 21 - 10) * 1000000 AS us
+                  FROM telemetry)))) GROUP BY asset_id""",
+        "missing_slots_merged": "SELECT asset_id, missing_slots, missing_slots * 15 AS missing_mins FROM gaps",
+        "baseline_merged": f"""SELECT asset_id, CAST(hour AS INTEGER) AS hour, {rnd('mean_kw', 6)} AS mean_kw,
+            {rnd('std_kw', 6)} AS std_kw, {rnd('limit_kw', 6)} AS limit_kw FROM baseline""",
+        "cusum_resumed": f"""SELECT asset_id, date, {rnd('mu', 6)} AS mu, {rnd('threshold', 6)} AS threshold, {rnd('cusum', 6)} AS cusum,
+            coalesce(cusum > threshold, false) AS alarm FROM control WHERE date >= DATE '{b.PERIOD_STARTS[-1]}'""",
+        "event_ids_continued": """
+            SELECT seq AS event_seq, 'EVT_' || CASE WHEN seq < 1000 THEN lpad(CAST(seq AS VARCHAR), 4, '0') ELSE CAST(seq AS VARCHAR) END AS event_id,
+              scenario, asset_id, event_time
+            FROM (SELECT *, row_number() OVER (ORDER BY category <> 'Compliance', event_seq) AS seq FROM fact)""",
         "exemption_anti_join": """SELECT asset_id, 'S04' AS scenario, timestamp FROM telemetry t WHERE NOT EXISTS
             (SELECT 1 FROM exemptions x WHERE x.asset_id = t.asset_id AND x.scenario_id = 'S04'
                AND t.timestamp BETWEEN x.start_time AND x.end_time)""",

@@ -10,11 +10,13 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterwatch import schemas
 from meterwatch.config import CLEAN, AuditParams, literal_table
 from meterwatch.functions.sizing import stored_table
 from meterwatch.functions.text import sql
+from meterwatch.plans import star
 from meterwatch.plans.audit import Audit
 from meterwatch.sources import weather as wx
 from meterwatch.sources.tables import conform
@@ -25,6 +27,7 @@ PARAMS = AuditParams(
     default_event_time="2024-01-01 00:00:00",
 )
 START = "2024-01-01"
+PERIOD_STARTS = ("2024-01-08", "2024-01-20")
 AU, NZ = "'_AU_Sydney'", "'_NZ_Boundary'"
 
 # Declared so that opening a table starts no job.
@@ -204,6 +207,23 @@ class TestTables:
         """The stored tables that a run of the pipeline makes as well."""
         return Audit(self)
 
+    @cached_property
+    def jittered(self) -> DataFrame:
+        """The readings up to ten seconds beside their slots."""
+        shift = "make_dt_interval(0, 0, 0, CAST((minute(timestamp) * 7 + hour(timestamp) * 3 + day(timestamp)) % 21 - 10 AS DECIMAL(8, 6)))"
+        return self.telemetry.withColumn("timestamp", F.expr(f"timestamp + {shift}"))
+
+    def periods(self) -> list[DataFrame]:
+        """The readings in three consecutive periods."""
+        cuts = [START, *PERIOD_STARTS, "2100-01-01"]
+        return [self.telemetry.where(f"timestamp >= TIMESTAMP_NTZ'{lo}' AND timestamp < TIMESTAMP_NTZ'{hi}'") for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    @cached_property
+    def first_event_ids(self) -> DataFrame:
+        """Events that a first run has published: those of the evidence chain."""
+        facts = star.compliance_facts(self.audit.compliance, self.params.default_event_time)
+        return stored_table(star.with_event_ids(facts).select(*schemas.FACT), "first_event_ids")
+
     @property
     def fact(self) -> DataFrame:
         return self.audit.fact
