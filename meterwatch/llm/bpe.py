@@ -6,8 +6,9 @@ of lowest rank, looked up in a literal rank map. The documents' ids are a take o
 the pieces of the ids. All of it is narrow: nothing shuffles, and a lost task repeats alone. A batch holds about
 `BATCH_BYTES` of text, and at least a document.
 
-The rank map is held as three arrays: rows of a table with one row for each left piece are laid over each other, so that
-`shift[left] + right` is the slot of a pair, and `owner` tells whether the slot is that pair's.
+The rank map is held as two arrays: rows of a table with one row for each left piece are laid over each other, so that
+`shift[left] + right` is the slot of a pair. A slot holds the left piece of its pair in its upper half and the merged one
+in its lower: exclusive or with the left piece at hand leaves a number below 2^32 for the slot's own pair alone.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; equal rows are encoded each; an empty
 table gives an empty table. Words of more than `FOLD_BYTES` bytes (unbroken runs) take the same merges in a heap.
@@ -34,6 +35,10 @@ BATCH_BYTES = 14 << 20
 FOLD_BYTES = 200
 #: Places in a word that goes through the fold; a power of two over FOLD_BYTES.
 PLACES = 256
+#: The left piece of a slot without a pair, and the rank of a pair without one.
+_NOBODY = 1 << 30
+#: A token within the fold is one number: rank of its pair with the next token, first byte (8 bits), id (20 bits).
+_ID = (1 << 20) - 1
 #: White space as Unicode has it; Java's \s has ASCII alone.
 _WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 
@@ -63,9 +68,11 @@ def pair_ranks(pieces: list[bytes]) -> dict[int, dict[int, int]]:
     return pairs
 
 
-def rank_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """shift by left id, owner and merged id by slot."""
+def rank_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """shift by left id; left id * 2^32 + merged id by slot."""
     n, pairs = len(pieces), pair_ranks(pieces)
+    if n > _ID:
+        raise ValueError("too many pieces")
     slots = 2 * sum(map(len, pairs.values())) + 4 * n
     shift, owner, merged = np.zeros(n, np.int32), np.full(slots, -1, np.int32), np.zeros(slots, np.int32)
     # as each shift is at least 0, any right id stays inside the table; each row's search starts at a place of its own
@@ -81,28 +88,36 @@ def rank_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         else:
             raise ValueError("the rank table is too small")
         owner[shift[left] + rights], merged[shift[left] + rights] = left, np.fromiter(row.values(), np.int64, len(row))
-    return shift, owner, merged
+    return shift, np.where(owner < 0, _NOBODY, owner).astype(np.int64) << 32 | merged
 
 
 def _rank_map(spark: SparkSession, pieces: list[bytes]) -> DataFrame:
-    names = ("shift", "owner", "merged")
-    columns = {n: pa.array([a], pa.list_(pa.int32())) for n, a in zip(names, rank_table(pieces), strict=True)}
-    return spark.createDataFrame(pa.table(columns)).selectExpr("struct(shift, owner, merged) AS m")
+    shift, slots = rank_table(pieces)
+    columns = {"shift": pa.array([shift], pa.list_(pa.int32())), "slots": pa.array([slots], pa.list_(pa.int64()))}
+    return spark.createDataFrame(pa.table(columns)).selectExpr("struct(shift, slots) AS m")
+
+
+def _rank(left: str, right: str) -> str:
+    """SQL: the rank of a pair of ids, in place; _NOBODY's if it has none or there is no right one."""
+    return f"shiftleft(least(slots[shift[{left}] + {right}] ^ shiftleft({left}, 32), {_NOBODY}L), 28)"
 
 
 def _fold(word: str) -> str:
     """SQL: the ids of one word from its byte ids, by merging the leftmost pair of lowest rank again and again.
 
-    A pair's rank and place share one number, so that the least of them is the leftmost pair of lowest rank.
+    The least token is the leftmost one of lowest rank. It takes its pair's rank as id, its right neighbour goes, and only
+    its own rank and that of its left neighbour are looked up anew.
     """
-    slot = "shift[a] + get(acc, i + 1)"  # null after the last
-    pairs = f"transform(acc, (a, i) -> if(owner[{slot}] = a, merged[{slot}] * {PLACES} + i, NULL))"
+    start = f"transform({word}, (a, i) -> {_rank('CAST(a AS BIGINT)', f'get({word}, i + 1)')} | shiftleft(CAST(i AS BIGINT), 20) | a)"
+    new, before = "shiftright(best, 28)", "get(acc, at - 1)"
+    merged = f"{_rank(new, f'(get(acc, at + 2) & {_ID}L)')} | (best & {(PLACES - 1) << 20}L) | {new}"
+    neighbour = f"{_rank(f'({before} & {_ID}L)', new)} | ({before} & {(1 << 28) - 1}L)"
     joined = let(
-        f"best & {PLACES - 1}", "at",
-        f"array_remove(transform(acc, (a, i) -> if(i = at, shiftright(best, {PLACES.bit_length() - 1}), if(i - 1 = at, -1, a))), -1)",
+        "CAST(array_position(acc, best) AS INT) - 1", "at",
+        f"array_remove(transform(acc, (x, i) -> if(i > at + 1 OR i < at - 1, x, if(i = at, {merged}, if(i < at, {neighbour}, -1L)))), -1L)",
     )
-    step = let(f"array_min({pairs})", "best", f"if(best IS NULL, acc, {joined})")
-    return f"aggregate(sequence(2, size({word})), {word}, (acc, s) -> {step})"
+    step = let("array_min(acc)", "best", f"if(best < {_NOBODY << 28}L, {joined}, acc)")
+    return f"transform(aggregate(sequence(2, size({word})), {start}, (acc, s) -> {step}), x -> CAST(x & {_ID}L AS INT))"
 
 
 def _heap_merge(word: bytes, of: dict[bytes, int]) -> list[int]:
@@ -189,7 +204,7 @@ def encode(
     shape = T.StructType([*lists, *[T.StructField(n, ints) for n in ("counts", "places")], T.StructField("words", T.ArrayType(ints)),
                           T.StructField("long", ints), T.StructField("long_ids", T.ArrayType(ints))])
     fold = f"transform(words, w -> if(size(w) < 2, w, {_fold('w')}))"
-    for name in ("merged", "owner", "shift"):
+    for name in ("slots", "shift"):
         fold = let(f"m.{name}", name, fold)
     folded = spark.sql(
         f"SELECT * EXCEPT (words, m), {fold} AS words "
