@@ -11,38 +11,50 @@ both it is accepted as unchecked. A resolved record has the response's digest an
 may update (`PERMITTED`) replace the old ones. Of captures at one time a response isn't earlier than a revisit; of
 responses at one time the greatest id is the latest.
 
-Defined cases: a null URL never resolves (`orphan`); null headers count as none; repeated rows are resolved each; an
-empty table gives an empty table; columns other than those of `CAPTURE` are ignored.
+Defined cases: a revisit without URL or time never resolves (`orphan`) and takes no part in the ordering; a response without
+URL or time is no one's earlier response; null `full` is a revisit; null headers count as none, and of headers whose names differ
+in case alone the greatest value counts; repeated rows are resolved each; an empty table gives an empty table; columns other than
+those of `CAPTURE` are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from meterwatch.llm.common import let
+
 CAPTURE = ("record_id", "url", "ts", "full", "etag", "modified", "digest", "headers")
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 #: Seconds of a chunk of captures that are ordered together.
 CHUNK = 6 * 3600
-#: Steps to a canonical URL: pattern and replacement, in this order; \1 is the first group.
+#: Steps to a canonical URL without its scheme: pattern and replacement, in this order; $1 is the first group.
 CANONICAL = (
     (r"#.*$", ""),
-    (r"([?&])(?:utm_[a-z]+|ref)=[^&]*", r"\1"),
+    (r"([?&])(?:utm_[a-z]+|ref)=[^&]*", "$1"),
     (r"&&+", "&"),
     (r"\?&+", "?"),
     (r"[?&]+$", ""),
-    (r"^[a-zA-Z]+://(?:[wW][wW][wW]\.)?", ""),
-    (r"^([^/?]+):(?:80|443)", r"\1"),
+    (r"^[a-zA-Z]+://", ""),
     (r"/+$", ""),
 )
 
 
-def canonical(url: str, group: str = "$1", every: str = "") -> str:
-    """SQL for the canonical form of a URL: host in lower case, without scheme, www, default port, fragment, tracking."""
+def canonical(url: str) -> str:
+    """SQL for the canonical form of a URL: host in lower case, without scheme, www, default port, fragment, tracking.
+
+    The default port is that of the scheme: 443 for https, 80 for all others and without a scheme.
+    """
+    port = f"if({url} ILIKE 'https://%', ':443$', ':80$')"
     for pattern, to in CANONICAL:
-        prefix = "r" if group == "$1" else ""
-        url = f"regexp_replace({url}, {prefix}'{pattern}', '{to.replace(chr(92) + '1', group)}'{every})"
+        url = f"regexp_replace({url}, r'{pattern}', '{to}')"
     host = f"regexp_extract({url}, '^[^/?]*', 0)"
-    return f"concat(lower({host}), substr({url}, length({host}) + 1))"
+    return f"concat(regexp_replace(regexp_replace(lower({host}), '^www[.]', ''), {port}, ''), substr({url}, length({host}) + 1))"
+
+
+def _lower_keys(headers: str) -> str:
+    """SQL: a map with its keys in lower case; of equal ones the greatest value counts, and null is the empty map."""
+    entries = f"array_sort(transform(map_entries(coalesce({headers}, map())), e -> struct(lower(e.key) AS key, e.value AS value)))"
+    return let(entries, "es", "map_from_entries(filter(es, (e, i) -> NOT exists(slice(es, i + 2, size(es)), f -> f.key = e.key)))")
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
@@ -66,19 +78,24 @@ def resolve(captures: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return captures.sparkSession.sql(
         f"""
         WITH held AS (
-          SELECT record_id, {canonical('url')} AS url, ts, full, etag, modified, coalesce(headers, map()) AS headers, floor(ts / {chunk}) AS chunk,
-            if(full, struct(ts, record_id, etag, modified, digest), NULL) AS r, if(full, coalesce(headers, map()), NULL) AS rh FROM {{captures}}),
+          SELECT record_id, url, ts, full, etag, modified, digest, headers, floor(ts / {chunk}) AS chunk,
+            if(full, struct(ts, record_id, etag, modified, digest), NULL) AS r, if(full, headers, NULL) AS rh
+          FROM (SELECT record_id, {canonical('url')} AS url, ts, coalesce(full, false) AS full, etag, modified, digest,
+                  {_lower_keys('headers')} AS headers FROM {{captures}})),
         ordered AS (
-          SELECT *, last_value(r) IGNORE NULLS OVER w AS inside, last_value(rh) IGNORE NULLS OVER w AS inside_headers FROM held
-          WINDOW w AS (PARTITION BY url, chunk ORDER BY ts, full, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-        heads AS (SELECT url, chunk, max(r) AS r, max_by(rh, r) AS rh FROM held WHERE url IS NOT NULL GROUP BY url, chunk),
+          SELECT *, last_value(r) IGNORE NULLS OVER w AS inside, last_value(rh) IGNORE NULLS OVER w AS inside_headers
+          FROM held WHERE url IS NOT NULL AND ts IS NOT NULL
+          WINDOW w AS (PARTITION BY url, chunk ORDER BY ts, full, record_id, etag, modified, digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        heads AS (SELECT url, chunk, max(r) AS r, max_by(rh, r) AS rh FROM held WHERE url IS NOT NULL AND ts IS NOT NULL GROUP BY url, chunk),
         before AS (
           SELECT url, chunk, last_value(r) IGNORE NULLS OVER w AS r, last_value(rh) IGNORE NULLS OVER w AS rh FROM heads
           WINDOW w AS (PARTITION BY url ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         found AS (
-          SELECT o.record_id, o.url, o.ts, o.etag, o.modified, o.headers, if(o.url IS NULL, NULL, coalesce(o.inside, b.r)) AS r,
+          SELECT o.record_id, o.url, o.ts, o.etag, o.modified, o.headers, coalesce(o.inside, b.r) AS r,
             if(o.inside IS NOT NULL, o.inside_headers, b.rh) AS rh
-          FROM ordered o LEFT JOIN before b ON b.url = o.url AND b.chunk = o.chunk WHERE NOT o.full),
+          FROM ordered o LEFT JOIN before b ON b.url = o.url AND b.chunk = o.chunk WHERE NOT o.full
+          UNION ALL
+          SELECT record_id, url, ts, etag, modified, headers, NULL, NULL FROM held WHERE NOT full AND (url IS NULL OR ts IS NULL)),
         judged AS (
           SELECT *, CASE WHEN r IS NULL THEN 'orphan'
             WHEN etag IS NOT NULL THEN if(regexp_replace(etag, '^W/', '') = regexp_replace(coalesce(r.etag, ''), '^W/', ''), 'resolved', 'mismatch')
@@ -97,10 +114,20 @@ def digest(pages: DataFrame) -> DataFrame:
     return resolve(captures_of(pages))
 
 
-#: The query on plain windows over whole URLs, for DuckDB.
+#: The query on plain windows over whole URLs, for DuckDB. URLs are taken apart by splitting, not by the patterns above.
 ORACLE = f"""
-    WITH visits AS (SELECT *, unnest(CASE WHEN page_id % 3 = 0 THEN [0] ELSE [0, 1] END) AS visit, {canonical('url', chr(92) + '1', ", 'g'")} AS u,
-        '"' || substr(md5(html), 1, 16) || '"' AS tag FROM pages),
+    WITH bare AS (SELECT *, split_part(url, '#', 1) AS b FROM pages),
+    parts AS (SELECT *, CASE WHEN regexp_matches(b, '^[A-Za-z]+://') THEN lower(split_part(b, '://', 1)) ELSE '' END AS scheme,
+        CASE WHEN regexp_matches(b, '^[A-Za-z]+://') THEN substr(b, strpos(b, '://') + 3) ELSE b END AS rest FROM bare),
+    cut AS (SELECT *, split_part(rest, '?', 1) AS place, string_split(substr(rest, strlen(split_part(rest, '?', 1)) + 2), '&') AS params FROM parts),
+    named AS (SELECT *, lower(split_part(place, '/', 1)) AS host, substr(place, strlen(split_part(place, '/', 1)) + 1) AS path,
+        list_filter(params, lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)=')) AS kept FROM cut),
+    plain AS (SELECT *, CASE WHEN starts_with(host, 'www.') THEN substr(host, 5) ELSE host END AS h FROM named),
+    urls AS (SELECT page_id, html, rtrim(CASE WHEN scheme = 'https' AND ends_with(h, ':443') THEN left(h, -4)
+          WHEN scheme <> 'https' AND ends_with(h, ':80') THEN left(h, -3) ELSE h END || path
+          || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END, '/') AS u FROM plain),
+    visits AS (SELECT *, unnest(CASE WHEN page_id % 3 = 0 THEN [0] ELSE [0, 1] END) AS visit,
+        '"' || substr(md5(html), 1, 16) || '"' AS tag FROM urls),
     held AS (SELECT page_id * 2 + visit AS record_id, u AS url, page_id * 60 + visit * 86400 AS ts, visit = 0 AS is_full, page_id,
         CASE WHEN visit = 0 THEN tag WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS etag,
         CASE WHEN visit = 0 OR page_id % 10 = 0 THEN page_id * 60 END AS modified,
