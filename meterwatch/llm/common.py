@@ -24,8 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 

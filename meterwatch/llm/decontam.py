@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from meterwatch.llm.common import let, lower_ascii, row_key, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words in a text as it is written, with capitals.
+WRITTEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 BLOCK = 200_000
 BUCKETS = 1 << 14
@@ -41,9 +43,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _hash_set(windows: DataFrame) -> DataFrame:
-    """One row: the window lengths, and the hashes in BUCKETS buckets by their rest."""
+    """One row: the window lengths, and the hashes in BUCKETS buckets by upper bits, as blocks take the lower ones."""
     spark = windows.sparkSession
-    held = windows.groupBy(F.expr(f"pmod(h, {BUCKETS})").alias("b")).agg(F.collect_set("h").alias("hs"))
+    held = windows.groupBy(F.expr(f"pmod(shiftright(h, 32), {BUCKETS})").alias("b")).agg(F.collect_set("h").alias("hs"))
     every = spark.range(BUCKETS).join(held, F.col("id") == F.col("b"), "left")
     buckets = every.agg(F.expr("transform(sort_array(collect_list(struct(id, hs))), x -> coalesce(x.hs, array()))").alias("buckets"))
     return spark.sql(
@@ -54,7 +56,7 @@ def _hash_set(windows: DataFrame) -> DataFrame:
 
 def _scan(docs: DataFrame, held: DataFrame, block: int) -> DataFrame:
     """n_words and the candidate windows (place, length, words) of every document, in one pass."""
-    known = f"array_contains(element_at(g.buckets, cast(pmod(h, {BUCKETS}) AS int) + 1), h)"
+    known = f"array_contains(element_at(g.buckets, cast(pmod(shiftright(h, 32), {BUCKETS}) AS int) + 1), h)"
     places = (
         "if(size(ws) < n, cast(array() AS array<int>), filter(sequence(1, size(ws) - n + 1), "
         f"at -> exists(array(xxhash64(slice(ws, at, n))), h -> {known})))"
@@ -106,24 +108,30 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Drop every document that holds a window of the benchmark; the rest stays as it is."""
-    hit = contamination(docs, benchmark, window).where("places IS NOT NULL").selectExpr("doc_id AS hit_id", "key AS hit_key")
+    hit = contamination(docs, benchmark, window).where("places IS NOT NULL").selectExpr("doc_id AS _llm_hit_id", "key AS _llm_hit_key")
     keyed = docs.withColumn("_llm_key", row_key())
-    return keyed.join(hit, F.expr("_llm_key = hit_key AND doc_id <=> hit_id"), "left_anti").drop("_llm_key")
+    return keyed.join(hit, F.expr("_llm_key = _llm_hit_key AND doc_id <=> _llm_hit_id"), "left_anti").drop("_llm_key")
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Keep the documents but take every hit word, with what lies between hit words, out of the text."""
-    hit = contamination(docs, benchmark, window).where("places IS NOT NULL").selectExpr("doc_id AS hit_id", "key AS hit_key", "places")
+    hit = contamination(docs, benchmark, window).where("places IS NOT NULL").selectExpr(
+        "doc_id AS _llm_hit_id", "key AS _llm_hit_key", "places AS _llm_places"
+    )
     keyed = docs.withColumn("_llm_key", row_key()).join(
-        hit.dropDuplicates(["hit_id", "hit_key"]), F.expr("_llm_key = hit_key AND doc_id <=> hit_id"), "left"
+        hit.dropDuplicates(["_llm_hit_id", "_llm_hit_key"]), F.expr("_llm_key = _llm_hit_key AND doc_id <=> _llm_hit_id"), "left"
     )
     # gaps and words alternate: gap 1, word 1, gap 2, ...; a gap goes with the word after it
-    kept = (
-        f"array_join(zip_with(split(text, r'{WORD}', -1), regexp_extract_all(text, r'{WORD}', 0), (g, w) -> struct(g, coalesce(w, '') AS w)), '')"
-    )
-    pieces = kept.removeprefix("array_join(").removesuffix(", '')")
-    whole = (
-        f"array_join(transform({pieces}, (x, i) -> if(exists(places, p -> i + 1 BETWEEN p.at AND p.last), "
-        "if(exists(places, p -> i + 1 = p.at AND NOT exists(places, q -> q.at < p.at AND q.last >= p.at - 1)), x.g, ''), concat(x.g, x.w))), '')"
+    pieces = f"zip_with(split(text, r'{WRITTEN}', -1), regexp_extract_all(text, r'{WRITTEN}', 0), (g, w) -> struct(g, coalesce(w, '') AS w))"
+    # places that overlap or touch are one stretch
+    stretches = (
+        "aggregate(_llm_places, cast(array() AS array<struct<at:int,last:int>>), (a, x) -> if(size(a) > 0 AND x.at <= element_at(a, -1).last + 1, "
+        "concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).at AS at, greatest(element_at(a, -1).last, x.last) AS last))), "
+        "concat(a, array(struct(x.at AS at, x.last AS last)))))"
     )
-    return keyed.withColumn("text", F.expr(f"if(places IS NULL, text, {whole})")).drop("_llm_key", "hit_id", "hit_key", "places")
+    joined = lambda words: f"array_join(transform({words}, x -> concat(x.g, x.w)), '')"
+    upto = "if(k = 0, 0, ss[k - 1].last)"
+    before = f"concat({joined(f'slice(ps, {upto} + 1, s.at - {upto} - 1)')}, ps[s.at - 1].g)"
+    rest = joined("slice(ps, ss[size(ss) - 1].last + 1, size(ps))")
+    whole = let(pieces, "ps", let(stretches, "ss", f"concat(array_join(transform(ss, (s, k) -> {before}), ''), {rest})"))
+    return keyed.withColumn("text", F.expr(f"if(_llm_places IS NULL, text, {whole})")).drop("_llm_key", "_llm_hit_id", "_llm_hit_key", "_llm_places")
