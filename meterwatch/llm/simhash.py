@@ -94,7 +94,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame
     """Edges (u, v) between distinct fingerprints, u < v: enough of them for the components of all links."""
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
-    index = variants(fps, max_bits)
+    # each fingerprint becomes 64 variants: spread right before, as a scan packs small files together
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = variants(fps.repartition(parts, "fp"), max_bits)
     shared = index.groupBy("tag", "rest").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(index.join(shared, ["tag", "rest"]), "simhash-variants")
     cold = members.where(f"n <= {hot}").drop("n")
@@ -133,9 +135,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(marked: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
     """fp, root: the component of every distinct fingerprint of a stored frame."""
-    parts = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # every fingerprint becomes 64 variants, so small files would make large tasks
-    fps = stored(marked.select("fp").distinct().repartition(parts, "fp"), "simhash-classes")
+    fps = stored(marked.select("fp").distinct(), "simhash-classes")
     found = components(links(fps, max_bits, hot))
     return fps.join(found, F.expr("fp = node"), "left").selectExpr("fp", "coalesce(root, fp) AS root")
 
@@ -162,6 +162,6 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     rooted = classes(marked, max_bits)
     first = F.min(F.expr("struct(doc_id IS NULL AS last, doc_id, _llm_key AS key)")).alias("w")
     best = marked.groupBy("fp").agg(first).join(rooted, "fp").groupBy("root").agg(F.min("w").alias("w"))
-    winners = best.selectExpr("w.doc_id AS win_id", "w.key AS win_key")
-    kept = keyed.join(winners, F.expr("_llm_key = win_key AND doc_id <=> win_id"), "left_semi")
+    winners = best.selectExpr("w.doc_id AS _llm_win_id", "w.key AS _llm_win_key")
+    kept = keyed.join(winners, F.expr("_llm_key = _llm_win_key AND doc_id <=> _llm_win_id"), "left_semi")
     return kept.dropDuplicates(["_llm_key", "doc_id"]).drop("_llm_key")
