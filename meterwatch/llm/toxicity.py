@@ -7,7 +7,10 @@ the like left out), their nearness to the second person, capitals, punctuation a
 scored; ids, languages, sources and labels are never features.
 
 Defined cases: null and empty texts have zero features and a score like any other; labels of missing documents and of
-missing ids are left out, of several labels for an id the greatest counts; without both labels every score is 0.
+missing ids are left out, of several labels for an id the greatest counts; without both labels every score is 0; with too
+few labelled texts to keep some apart, trees and calibration learn from the same ones; an empty table gives an empty table.
+Bounds that are parameters: TOXIC and OTHERS labelled documents, ENTRIES lexicon entries, of which each must be in LEAST_SHARE
+of the toxic ones and counts REPEATS times a document at most; words of over 64 bytes are no entries.
 """
 
 from __future__ import annotations
@@ -99,6 +102,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
 def sample(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, others: int = OTHERS) -> DataFrame:
     """label, text, part (0 to 9, from the text's hash) of at most `toxic` and `others` labelled documents."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")  # the bound counts documents that there are
     known = known.withColumn("h", F.xxhash64("doc_id"))
     one = lambda test, bound: known.where(test).orderBy("h", "doc_id").limit(bound)
     picked = one("label = 1", toxic).unionAll(one("label = 0", others)).withColumnRenamed("doc_id", "label_id")
@@ -148,31 +152,36 @@ def with_features(docs: DataFrame, lexicon: Lexicon, kept: list[str], text: str
     return docs.select(*[F.col(f"`{c}`") for c in every]).mapInArrow(compute, shape)
 
 
-def score(docs: DataFrame, training: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep`, score and predicted of every document."""
+def score(
+    docs: DataFrame, training: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """The columns `keep`, score and predicted (as `names` calls them) of every document."""
     rows = sample(training, labels)
     lexicon = learn_lexicon(rows)
     vectors = with_features(rows, lexicon, ["label", "part"]).coalesce(4).select(
         F.col("label").cast("double"), "part", array_to_vector("_llm_f").alias("_llm_features"))
     made = with_features(docs, lexicon, list(keep))
-    verdict = f"cast(score >= {THRESHOLD}D AS int) AS predicted"
+    verdict = f"cast(`{names[0]}` >= {THRESHOLD}D AS int) AS `{names[1]}`"
     if not lexicon.entries and rows.select("label").distinct().count() < 2:
-        return made.drop("_llm_f").selectExpr(*[f"`{c}`" for c in keep], "0D AS score").selectExpr("*", verdict)
+        return made.drop("_llm_f").selectExpr(*[f"`{c}`" for c in keep], f"0D AS `{names[0]}`").selectExpr("*", verdict)
     vectors = stored(vectors, "toxicity-vectors").coalesce(4)
     trees = GBTClassifier(
         featuresCol="_llm_features", labelCol="label", predictionCol="_llm_p", maxIter=24, maxDepth=4, stepSize=0.2, seed=7, minInstancesPerNode=5,
     ).setRawPredictionCol("_llm_r").setProbabilityCol("_llm_q")
-    model = trees.fit(vectors.where("part < 7"))
+    taught = vectors.where("part < 7")
+    if taught.groupBy("label").count().count() < 2:
+        taught = vectors  # too few rows to keep some apart
+    model = trees.fit(taught)
     margin = F.element_at(vector_to_array("_llm_r"), 2)
     apart = model.transform(vectors.where("part >= 7")).select("label", margin.alias("_llm_margin"))
     if apart.groupBy("label").count().count() < 2:
-        apart = model.transform(vectors).select("label", margin.alias("_llm_margin"))  # too few rows to keep some apart
+        apart = model.transform(vectors).select("label", margin.alias("_llm_margin"))
     steps = IsotonicRegression(featuresCol="_llm_margin", labelCol="label").fit(apart)
     scored = model.transform(made.withColumn("_llm_features", array_to_vector("_llm_f"))).withColumn("_llm_margin", margin)
     kept = [f"`{c}`" for c in keep]
     # the calibrated share, and for order within a step a thousandth of the plain probability
     return steps.setPredictionCol("_llm_share").transform(scored).selectExpr(
-        *kept, "least(greatest(0.999D * _llm_share + 0.001D / (1D + exp(-2D * _llm_margin)), 0D), 1D) AS score"
+        *kept, f"least(greatest(0.999D * _llm_share + 0.001D / (1D + exp(-2D * _llm_margin)), 0D), 1D) AS `{names[0]}`"
     ).selectExpr("*", verdict)
 
 
@@ -184,4 +193,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Keep the documents that are not predicted toxic, with their columns."""
     kept = tuple(docs.columns)
-    return score(docs, docs.where(id_rest(4) != 2), labels, kept).where("predicted = 0").select(*[F.col(f"`{c}`") for c in kept])
+    found = score(docs, docs.where(id_rest(4) != 2), labels, kept, ("_llm_score", "_llm_predicted"))
+    return found.where("_llm_predicted = 0").select(*[F.col(f"`{c}`") for c in kept])
