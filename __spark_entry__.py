@@ -84,8 +84,14 @@ def _prior_optional(t: b.TestTables) -> DataFrame:
 
 def _picked(t: b.TestTables) -> DataFrame:
     # the asset with the most events, the smallest id on a tie
-    busiest = t.fact.groupBy("asset_id").count().orderBy("count", "asset_id", ascending=[False, True]).first()
-    return reporting.drill_down(t.fact, config.scenarios(t.spark), "Facilities", busiest.asset_id if busiest else "")
+    busiest = sql(
+        """
+        SELECT * FROM {fact} WHERE asset_id =
+          (SELECT min_by(asset_id, struct(-n, asset_id)) FROM (SELECT asset_id, count(*) AS n FROM {fact} GROUP BY asset_id))
+        """,
+        fact=t.fact,
+    )
+    return reporting.drill_down(busiest, config.scenarios(t.spark), "Facilities")
 
 
 def _enriched(t: b.TestTables) -> DataFrame:

@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from meterwatch.config import AuditParams
-from meterwatch.functions.sizing import stored_table
+from meterwatch.functions.sizing import run_scope, stored_table
 from meterwatch.operators import energy, facility, profile
 from meterwatch.operators.runs import RunRule, advance_runs, chunk_runs, merge_runs, no_marks, run_events
 from meterwatch.plans import logs, pipeline
@@ -44,6 +44,10 @@ class History:
     def add(self, a: AuditInputs) -> None:
         """Add the readings of `a`, those of its period, and commit what they leave behind."""
         start, end = self._checked(a.params)
+        with run_scope(self.store.spark):
+            self._add(a, start, end)
+
+    def _add(self, a: AuditInputs, start: str, end: str) -> None:
         spark = self.store.spark
         draft = self.store.begin(start)
         draft.write(spark.sql(f"SELECT TIMESTAMP_NTZ'{start}' AS start, TIMESTAMP_NTZ'{end}' AS end"), "period")
@@ -112,8 +116,9 @@ class History:
     def publish(self, a: AuditInputs) -> None:
         """Publish all output tables over all periods under the latest one."""
         draft = self.store.begin(self.periods()[-1][0])
-        audit = self.audit(a, self.store.read("fact_audit_events"))
-        pipeline.publish_staged(audit.inputs, draft, audit)
+        with run_scope(self.store.spark):
+            audit = self.audit(a, self.store.read("fact_audit_events"))
+            pipeline.publish_staged(audit.inputs, draft, audit)
 
 
 class HistoryAudit(Audit):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meterwatch import config, schemas
 from meterwatch.config import AuditParams
 from meterwatch.functions import dates
-from meterwatch.functions.sizing import stored_table
+from meterwatch.functions.sizing import run_scope, stored_table
 from meterwatch.operators import energy, evidence
 from meterwatch.plans import logs, reporting, star
 from meterwatch.plans.audit import Audit
@@ -151,7 +151,8 @@ def publish(a: AuditInputs, write: Callable[[DataFrame, str], None], audit: Audi
 def run(spark: SparkSession, folder: str, out: str, fmt: str = "csv", params: AuditParams | None = None) -> None:
     """Audit the tables of `folder` and write all outputs below `out` in the same format."""
     sink = tables.write_csv if fmt == "csv" else tables.write_parquet
-    publish(load(spark, folder, fmt, params), partial(_into, sink, out))
+    with run_scope(spark):
+        publish(load(spark, folder, fmt, params), partial(_into, sink, out))
 
 
 def run_staged(
@@ -162,9 +163,11 @@ def run_staged(
     Event ids go on behind those of the store's periods. Without a table of prior KPIs, those of the latest
     earlier period of the store count.
     """
-    store, a = Store(spark, root, store_fmt), load(spark, folder, fmt, params)
-    draft = store.begin(period_of(a.params))
-    publish_staged(a, draft, Audit(a, store.read("fact_audit_events")))
+    store = Store(spark, root, store_fmt)
+    with run_scope(spark):
+        a = load(spark, folder, fmt, params)
+        draft = store.begin(period_of(a.params))
+        publish_staged(a, draft, Audit(a, store.read("fact_audit_events")))
     return store
 
 

@@ -12,7 +12,7 @@ import pytest
 from helpers import SITE, START, exemptions, reading, slot, telemetry, weather
 from meterwatch import config, schemas
 from meterwatch.config import AuditParams
-from meterwatch.functions.sizing import stored_table
+from meterwatch.functions.sizing import ensure_checkpoint_dir, stored_table
 from meterwatch.plans import logs, pipeline
 from meterwatch.plans.audit import Audit
 from meterwatch.plans.logs import AuditInputs
@@ -159,6 +159,10 @@ def test_bad_rows_go_to_the_quarantine(spark, tmp_path):
     assert sorted((r.source, r.column, r.text) for r in table("quarantine").collect()) == [
         ("fact_telemetry_ledger", "indoor_co2_ppm", "12a"), ("fact_telemetry_ledger", "timestamp", "yesterday")]
     assert table("facility_audit_log").where("scenario = 'S06'").first().anomaly_duration_mins == str(38 * 15)
+    # the stored tables of both runs, of the broken one as well, are gone
+    kept = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}")
+    files = kept.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not files.exists(kept) or not [f for f in files.listStatus(kept) if f.getPath().getName().startswith("run-")]
     assert {(r.form, r.is_read) for r in table("report_date_forms").collect()} == {("Y-9-9T9:9", "true"), ("soon", "false")}
 
 
