@@ -20,6 +20,7 @@ EMIT_ORDER = (
 )
 VIOLATIONS = ("S01", "S02", "S03", "S11", "S12")
 ATTRIBUTED = ("S04", "S05", "S07")
+# Fixed value: the published note.
 AU_NOTE = "Under Review — pending invoice verification"
 
 # Risk dimensions in rank order, the scenarios they cover and their ranking measure.
@@ -194,6 +195,7 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
     Two aggregates of one row each are added up into one, and the rows are laid out from it.
     """
     au_note = f"CASE WHEN au_cost = 0 THEN '{AU_NOTE}' ELSE '' END"
+    # Names, labels, units and notes of the published metrics.
     metrics = [
         ("total_violations", "violations", "0D", "Data & Compliance Violations", "count", "''"),
         ("avoidable_cost_nz", half_even("nz_cost", 2), "0D", "Avoidable Energy Cost (NZ)", "NZD", "''"),
@@ -246,6 +248,7 @@ def priority_top1(fact: DataFrame) -> DataFrame:
 
 def priority_detail(top: DataFrame, fact: DataFrame) -> DataFrame:
     """Finding text per leading event; templates quote scenario-wide totals (PRI2)."""
+    # The published sentences.
     benchmark = (
         f"concat(asset_id, ' YTD energy intensity is ', {fixed('(nabersnz_ratio - 1) * 100', 1)}, "
         f"'% above its climate-adjusted NABERSNZ budget (ratio ', {fixed('nabersnz_ratio', 3)}, "

@@ -30,6 +30,7 @@ def bill(asset, kwh, up="h", orig="h", month=NOV):
     return (asset, month, kwh, 0.0, up, orig)
 
 
+# The inputs and findings of the published outputs.
 def test_published_findings(spark, registry):
     inv = invoices(spark, bill(HQ, 5000.0), bill(SYDNEY, 7500.0, "TAMPERED_HASH_999", "VALID_SIGNATURE_888"))
     s02 = evidence.hash_integrity(inv).collect()

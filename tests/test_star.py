@@ -11,6 +11,7 @@ from meterwatch.plans import reporting, star
 from meterwatch.schemas import EMIT, FACT
 
 START = datetime(2025, 11, 1)
+# Durations and figures of the published outputs.
 ZONE_MINUTES = [
     30, 75, 30, 30, 30, 45, 45, 60, 45, 30, 75, 30, 45, 60, 30, 45, 135, 60, 30, 45, 90, 45, 30, 60, 45, 45, 45, 45,
     30, 45, 30, 30, 60, 45, 75, 30, 60, 30, 30, 60, 30, 30, 75, 45, 30, 105, 30, 60, 30, 30, 45, 45, 105, 45, 45, 45,
