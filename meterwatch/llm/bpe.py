@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -52,9 +53,38 @@ def read_ranks(path: str) -> list[bytes]:
     return [piece for _, piece in ranked]
 
 
+#: Letters and numbers, as code points, of Unicode 14 to 16, which the tokenizer's library knows and Java 17 does not.
+LATER_LETTERS = (
+    "870-887 889-88E 8B5 8C8-8C9 C5D CDD 170D 171F 1B4C 1C89-1C8A 2C2F 2C5F 9FFD-9FFF A7C0-A7C1 A7CB-A7CD A7D0-A7D1 A7D3 "
+    "A7D5-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1 105A3-105B1 105B3-105B9 105BB-105BC "
+    "105C0-105F3 10780-10785 10787-107B0 107B2-107BA 10D4A-10D65 10D6F-10D85 10EC2-10EC4 10F70-10F81 11071-11072 11075 "
+    "1123F-11240 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3 11740-11746 11AB0-11ABF 11BC0-11BE0 11F02 11F04-11F10 "
+    "11F12-11F33 12F90-12FF0 1342F 13441-13446 13460-143FA 16100-1611D 16A70-16ABE 16D40-16D6C 18CFF 1AFF0-1AFF3 1AFF5-1AFFB "
+    "1AFFD-1AFFE 1B11F-1B122 1B132 1B155 1DF00-1DF1E 1DF25-1DF2A 1E030-1E06D 1E290-1E2AD 1E4D0-1E4EB 1E5D0-1E5ED 1E5F0 "
+    "1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE 2A6DE-2A6DF 2B735-2B739 2EBF0-2EE5D 31350-323AF"
+)
+LATER_NUMBERS = (
+    "10D40-10D49 116D0-116E3 11BF0-11BF9 11F50-11F59 16130-16139 16AC0-16AC9 16D70-16D79 1CCF0-1CCF9 1D2C0-1D2D3 1E4F0-1E4F9 "
+    "1E5F1-1E5FA"
+)
+
+
+def _later(ranges: str) -> str:
+    """A class within a class for Java. The first range keeps common characters away from the long list."""
+    points = [r.split("-") for r in ranges.split()]
+    listed = "".join(f"\\x{{{r[0]}}}-\\x{{{r[-1]}}}" for r in points)
+    return f"[\\x{{{points[0][0]}}}-\\x{{{points[-1][-1]}}}&&[{listed}]]"
+
+
 def java_pattern(pattern: str) -> str:
-    r"""The split pattern for Java: \s and \S inside and outside classes by Unicode."""
-    return pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"(?!\S)", f"(?![^{_WHITE}])").replace(r"\s+", f"[{_WHITE}]+")
+    r"""The split pattern for Java: \s, \p{L} and \p{N} inside and outside classes as Unicode 16 has them."""
+    pattern = pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"(?!\S)", f"(?![^{_WHITE}])").replace(r"\s+", f"[{_WHITE}]+")
+    held = {r"\p{L}": r"\p{L}" + _later(LATER_LETTERS), r"\p{N}": r"\p{N}" + _later(LATER_NUMBERS)}
+    # a class as it stands, or a property outside of one, which becomes a class
+    return re.sub(
+        r"\[[^\]]*\]|\\p\{[LN]\}",
+        lambda m: f"[{held[m[0]]}]" if m[0] in held else m[0].replace(r"\p{L}", held[r"\p{L}"]).replace(r"\p{N}", held[r"\p{N}"]), pattern,
+    )
 
 
 def pair_ranks(pieces: list[bytes]) -> dict[int, dict[int, int]]:
