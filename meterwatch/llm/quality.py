@@ -1,12 +1,14 @@
 """Quality rules: counting rules, then a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words and word pairs are hashed into `BUCKETS` buckets. The raw multinomial counts every document; the target multinomial
-counts a bounded sample of trusted documents (`labels.quality` = 1). A document's score is the mean over its n-grams of
-log(target / raw), and it is kept from `threshold` on: the same rule for every document, no draw. Both multinomials are
-smoothed by one count a bucket and reach the scan as one array through a scalar subquery.
+counts every trusted one (`labels.quality` = 1). A document's score is the mean over its n-grams of log(target / raw). It is kept
+from a threshold on that comes from the labelled documents which pass the base rules: the middle between the score that `KEEP`
+of the trusted ones reach and the one that `KEEP` of the rejected ones do not pass, and never more than the former. The rule is
+the same for every document, no draw. Both multinomials are smoothed by one count a bucket and reach the scan as one array through a scalar subquery.
 
 Built-in functions alone. Defined cases: a null, empty or blank text has no words, fails the base rules and scores null;
-without trusted documents all ratios are zero, and the base rules decide; equal rows give equal results.
+without trusted documents all ratios are zero, and the base rules decide; labels without an id or of missing documents are left
+out; equal rows give equal results; an empty table gives an empty table; names of other columns do not matter.
 """
 
 from __future__ import annotations
@@ -17,24 +19,23 @@ from pyspark.sql import functions as F
 from meterwatch.llm.common import WORD, let, stored
 
 BUCKETS = 1 << 14
-#: Trusted documents that define the target, taken in the order of their ids' hashes.
-TRUSTED = 20_000
-#: Natural log units a word pair or word, as a mean over the document.
-THRESHOLD = -0.09
+#: Share of the trusted documents that must stay.
+KEEP = 0.995
 WORDS = f"regexp_extract_all(coalesce(text, ''), r'{WORD}', 0)"
 _FIRST, _PAIR = f"pmod(hash(ws[i]), {BUCKETS})", f"pmod(hash(ws[i], ws[i + 1]), {BUCKETS})"
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
-    """At most `bound` ids of documents labelled as good."""
-    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of documents labelled as good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").selectExpr("doc_id AS trusted_id").distinct()
 
 
-def gram_counts(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
-    """bucket, raw (all documents), target (trusted ones): at most BUCKETS rows."""
-    trusted = trusted_ids(labels, bound).withColumnRenamed("doc_id", "trusted_id")
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.expr("doc_id = trusted_id"), "left")
+def gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, raw (all documents), target (trusted ones): at most BUCKETS rows.
+
+    Spark broadcasts the trusted ids within its own bound of bytes and otherwise joins by id.
+    """
+    marked = docs.select("doc_id", "text").join(trusted_ids(labels), F.expr("doc_id = trusted_id"), "left")
     grams = let(
         WORDS, "ws",
         f"if(size(ws) = 0, cast(array() AS array<int>), concat(transform(sequence(0, size(ws) - 1), i -> {_FIRST}), "
@@ -63,14 +64,13 @@ def ratios(counts: DataFrame) -> DataFrame:
 
 
 _REPEATS = let(
-    # the hash's upper bits, and the place in the lower ones: one sort of whole numbers brings equal windows together
-    "sort_array(transform(sequence(1, size(ws) - 2), i -> ((xxhash64(slice(ws, i, 3)) & -16777216L) | i)))", "s",
+    # one sort brings equal windows together: by hash, then place
+    "sort_array(transform(sequence(1, size(ws) - 2), i -> struct(xxhash64(slice(ws, i, 3)) AS h, i AS i)))", "s",
     let(
-        "filter(s, (x, k) -> (k > 0 AND (x ^ s[k - 1]) BETWEEN 0L AND 16777215L AND slice(ws, cast(x & 16777215L AS int), 3) = "
-        "slice(ws, cast(s[k - 1] & 16777215L AS int), 3)) OR (k + 1 < size(s) AND (x ^ s[k + 1]) BETWEEN 0L AND 16777215L AND "
-        "slice(ws, cast(x & 16777215L AS int), 3) = slice(ws, cast(s[k + 1] & 16777215L AS int), 3)))",
+        "filter(s, (x, k) -> (k > 0 AND x.h = s[k - 1].h AND slice(ws, x.i, 3) = slice(ws, s[k - 1].i, 3)) "
+        "OR (k + 1 < size(s) AND x.h = s[k + 1].h AND slice(ws, x.i, 3) = slice(ws, s[k + 1].i, 3)))",
         "twice",
-        "if(size(twice) = 0, 0L, aggregate(sort_array(transform(twice, x -> cast(x & 16777215L AS int))), "
+        "if(size(twice) = 0, 0L, aggregate(sort_array(transform(twice, x -> x.i)), "
         "struct(0 AS upto, 0L AS n), (a, x) -> struct(x + 2 AS upto, a.n + x + 2 - greatest(a.upto, x - 1) AS n), a -> a.n))",
     ),
 )
@@ -86,7 +86,7 @@ def measures(docs: DataFrame, lr: DataFrame, keep: tuple[str, ...] = ("doc_id",)
         f"if(i + 1 < size(ws), lr[{_PAIR}], 0D)) / (2 * size(ws) - 1))"
     )
     counted = let(
-        "lr", "lr",
+        "_llm_lr", "lr",
         let(
             "coalesce(text, '')", "t",
             let(
@@ -101,13 +101,27 @@ def measures(docs: DataFrame, lr: DataFrame, keep: tuple[str, ...] = ("doc_id",)
     kept = ", ".join(f"`{c}`" for c in keep)
     return docs.sparkSession.sql(
         f"SELECT {kept}, c.*, c.n_words < 50 OR 100 * c.n_repeat_words > 50 * c.n_words AS base_failed FROM ("
-        f"SELECT {kept}, {counted} AS c FROM (SELECT *, (SELECT lr FROM {{lr}}) AS lr FROM {{docs}}))",
+        f"SELECT {kept}, {counted} AS c FROM (SELECT {kept}, `text`, (SELECT lr FROM {{lr}}) AS _llm_lr FROM {{docs}}))",
         docs=docs, lr=lr,
     )
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The counts, the score and the verdict `kept` of every document."""
+def threshold(measured: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
+    """One row: the least score that is kept; null without trusted documents."""
+    rated = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("rated_id")).agg(F.max("quality").alias("quality"))
+    known = measured.where("NOT base_failed").join(rated, F.expr("doc_id = rated_id")).groupBy().agg(
+        F.expr(f"percentile(score, {1 - keep:g}D) FILTER (WHERE quality = 1)").alias("good"),
+        F.expr(f"percentile(score, {keep:g}D) FILTER (WHERE quality = 0)").alias("bad"),
+    )
+    return known.selectExpr("least(good, (good + coalesce(bad, good)) / 2) AS least")
+
+
+def judge(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
+    """doc_id, the counts, the score and the verdict `kept` of every document."""
     counts = stored(gram_counts(docs, labels), "gram-counts")  # the ratios read them more than once
     lr = stored(ratios(counts), "gram-ratios")
-    return measures(docs, lr, keep).withColumn("kept", F.expr(f"NOT base_failed AND score >= {threshold}D"))
+    measured = stored(measures(docs.select("doc_id", "text"), lr), "quality-measures")
+    return docs.sparkSession.sql(
+        "SELECT *, NOT base_failed AND score >= coalesce((SELECT least FROM {least}), score) AS kept FROM {measured}",
+        measured=measured, least=threshold(measured, labels, keep),
+    )
