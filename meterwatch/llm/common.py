@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -14,6 +16,10 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
+#: Number of the C library's setting for the least size that is mapped by itself, and so unmapped when it is freed.
+_MMAP_THRESHOLD = -3
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,8 +44,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def lean() -> None:
-    """In a worker: give buffers back to the system as soon as they are free, as several workers share an executor."""
+    """In a worker: give buffers back to the system as soon as they are free, as several workers share an executor and stay
+    alive between tasks."""
     pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such setting
+        ctypes.CDLL(None).mallopt(_MMAP_THRESHOLD, 1 << 20)
 
 
 def lower_ascii(column: str) -> str:
