@@ -5,15 +5,20 @@ each has an emission class (the first ones a class of their own), all other toke
 state emits a class, and the class a token by its smoothed unigram share in it, so the model's probabilities sum to one
 over the known tokens and one unknown token a class, while its tables stay bounded whatever the vocabulary.
 
-Baum-Welch starts from rounds on a bounded sample of documents of any length. Rounds over every training document follow, their expected counts summed by partition in numpy and across partitions by Spark, until a round raises the summed
-log-likelihood by less than the share `SETTLED`. The scaled forward recursion gives the exact likelihood of every whole text. Counts of tokens outside the dictionary join by token.
-
-Defined cases: null and empty texts are a lone end; a missing id counts as the empty id; equal rows score equally;
-without training documents the unigram part has one unknown type and the model adds nothing.
+Baum-Welch starts from rounds on a bounded sample of documents of any length, picked by a hash of id and text. Rounds over every
+training document follow, their expected counts summed by partition in numpy and across partitions by Spark, until a round
+raises the summed log-likelihood by less than the share `SETTLED`. Of a long text the states of `SEGMENT` steps are held at a
+time and computed again from marks for the way back. The scaled forward recursion gives the exact likelihood of every
+whole text. Counts of tokens outside the dictionary join by token.
+
+Defined cases: null and empty texts are a lone end; a missing id counts as the empty id; equal rows score equally, and other
+columns do not matter; an empty table gives an empty table; without training documents the unigram part has one unknown type
+and the model adds nothing.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwatch.llm.common import WORD, id_rest, lower_ascii, stored
+from meterwatch.llm.common import WORD, id_rest, lean, lower_ascii, row_key, stored
 
 SMOOTH = 0.1
 FREQUENT, LONGEST = 100_000, 64
@@ -33,7 +38,11 @@ CLASSES = OWN + SHARED + ENDINGS
 STATES, START_DOCS = 8, 1_200
 #: A round that raises the log-likelihood of all training documents by less than this share is the last.
 SETTLED = 1e-4
+#: Steps of a block of sequences whose states are held together.
+SEGMENT = 50_000
 _BLOCK = 300_000
+#: Tokens that are coded together.
+_CODED = 1_000_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -95,37 +104,53 @@ def coded(docs: DataFrame, uni: Unigrams) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast((uni.known, uni.counts, uni.classes()))  # at most FREQUENT short tokens
 
     def code(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         known, counts, classes = held.value
         place, logs = {w: i for i, w in enumerate(known)}, np.log10(counts + SMOOTH)
+
+        def made(kept: list[pa.Array], seen: _Numbers, lists: list[np.ndarray]) -> pa.RecordBatch:
+            names = list(seen)
+            ids = np.array([place.get(w, -1) for w in names], np.int64)
+            known_class = classes[ids] if len(classes) else np.zeros(len(ids), np.int64)
+            endings = [OWN + SHARED + zlib.crc32(w[-3:]) % ENDINGS for w in names]
+            of_class = np.where(ids >= 0, known_class, endings).astype(np.int16)
+            of_log = np.where(ids >= 0, logs[ids] if len(logs) else 0.0, 0.0)
+            flat, lengths = np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            inside = ids[flat] >= 0  # no document is without its end
+            n_in = np.add.reduceat(inside, starts[:-1], dtype=np.int64)
+            log_in = np.add.reduceat(of_log[flat], starts[:-1])
+            rest = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(lengths - n_in)]).astype(np.int32)),
+                pa.array(names, pa.binary()).take(pa.array(flat[~inside])).cast(pa.string()),
+            )
+            coded = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(of_class[flat]))
+            return pa.RecordBatch.from_arrays([*kept, pa.array(lengths), pa.array(n_in), pa.array(log_in), rest, coded], names=shape.names)
+
         for batch in rows:
-            made: list[list] = [[], [], [], [], [], []]
-            for text in batch.column(3):
+            lists, seen, size, first = [], _Numbers(), 0, 0
+            for i, text in enumerate(batch.column(4)):
                 words = tokens(text.as_py())
-                ids = np.array([place.get(w, -1) for w in words], np.int64)
-                inside = ids >= 0
-                codes = np.empty(len(words), np.int16)
-                codes[inside] = classes[ids[inside]]
-                outside = np.flatnonzero(~inside).tolist()
-                codes[outside] = [OWN + SHARED + zlib.crc32(words[i][-3:]) % ENDINGS for i in outside]
-                for column, value in zip(made, (
-                    len(words), int(inside.sum()), float(logs[ids[inside]].sum()), [words[i] for i in outside], codes, len(outside),
-                ), strict=True):
-                    column.append(value)
-            starts = np.concatenate([[0], np.cumsum(made[5])]).astype(np.int32)
-            rest = pa.ListArray.from_arrays(pa.array(starts), pa.array([w for ws in made[3] for w in ws], pa.binary()).cast(pa.string()))
-            ends = np.concatenate([[0], np.cumsum(made[0])]).astype(np.int32)
-            flat = pa.array(np.concatenate([*made[4], np.zeros(0, np.int16)]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(made[2], pa.float64()), rest,
-                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=shape.names,
-            )
+                lists.append(np.fromiter(map(seen.__getitem__, words), np.int32, len(words)))
+                size += len(words)
+                if size >= _CODED or i == batch.num_rows - 1:
+                    yield made([c.slice(first, i + 1 - first) for c in batch.columns[:4]], seen, lists)
+                    lists, seen, size, first = [], _Numbers(), 0, i + 1
 
-    marked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    marked = docs.select(F.monotonically_increasing_id().alias("row"), row_key().alias("mark"), "doc_id", "held_out", "text")
     more = T.StructType.fromDDL("n_tokens bigint, n_in bigint, log_in double, rest array<string>, classes array<smallint>")
     shape = T.StructType([*marked.drop("text").schema.fields, *more.fields])
     return stored(marked.mapInArrow(code, shape), "lm-coded")  # stored, so that row numbers stay
 
 
+class _Numbers(dict):
+    """Tokens to numbers in order of appearance."""
+
+    def __missing__(self, token: bytes) -> int:
+        number = self[token] = len(self)
+        return number
+
+
 @dataclass
 class Model:
     """Start, transition and emission probabilities; emissions by class, then state."""
@@ -147,45 +172,89 @@ def _blocks(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
             yield flat, part, upto[part], lengths[part]
 
 
-def _forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keep: bool):
-    """Log10 likelihoods by the scaled recursion; on demand every step's states, scales and emissions."""
-    going = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lengths greater than t
-    logs, steps, state, ones = np.zeros(len(starts)), [], None, np.ones(len(model.start), model.emit.dtype)
-    for t, n in enumerate(going):
-        emitted = model.emit[flat[starts[:n] + t]]
-        state = emitted * model.start if t == 0 else (state[:n] @ model.move) * emitted
-        scale = state @ ones  # faster than a sum over a short axis
-        state /= scale[:, None]
-        logs[:n] += np.log10(scale)
+class _Steps:
+    """The steps from `first` to `last` of sequences of falling length, one after another: codes, rows and borders of the steps."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: int, last: int):
+        sizes = np.searchsorted(-lengths, -np.arange(first, last), side="left")  # lengths greater than t
+        self.first, self.upto = first, np.concatenate([[0], np.cumsum(sizes)])
+        self.row = np.arange(self.upto[-1]) - np.repeat(self.upto[:-1], sizes)
+        self.codes = flat[starts[self.row] + np.repeat(np.arange(first, last), sizes)]
+
+    def forward(self, model: Model, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scaled states, scales and emissions of all steps; `before` holds the states of the step before them."""
+        emitted, ones = model.emit[self.codes], np.ones(len(model.start), model.emit.dtype)
+        states, scales = np.empty_like(emitted), np.empty(len(emitted), emitted.dtype)
+        for a, b in itertools.pairwise(self.upto.tolist()):
+            state = states[a:b]
+            if before is None:
+                state[:] = model.start
+            else:
+                np.matmul(before[: b - a], model.move, out=state)
+            state *= emitted[a:b]
+            scale = np.matmul(state, ones, out=scales[a:b])  # faster than a sum over a short axis
+            state /= scale[:, None]
+            before = state
+        return states, scales, emitted
+
+    def logs(self, scales: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(self.row, np.log10(scales, dtype=np.float64), n)
+
+    def last(self, states: np.ndarray) -> np.ndarray:
+        return states[self.upto[-2] :]
+
+
+def _forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keep: bool = False):
+    """Log10 likelihoods by the scaled recursion; on demand the steps with their states, scales and emissions."""
+    logs, before, kept = np.zeros(len(starts)), None, []
+    for first in range(0, int(lengths[0]), SEGMENT):
+        steps = _Steps(flat, starts, lengths, first, min(first + SEGMENT, int(lengths[0])))
+        states, scales, emitted = steps.forward(model, before)
+        logs += steps.logs(scales, len(starts))
+        before = steps.last(states).copy()
         if keep:
-            steps.append((state, scale, emitted))
-    return logs, steps
+            kept.append((steps, states, scales, emitted))
+    return logs, kept
 
 
-def expected_counts(model: Model, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def expected_counts(model: Model, column: pa.ListArray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch sums over sequences: starts, moves, emissions by class and state, and the log10 likelihood."""
     k, total = len(model.start), 0.0
     start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k))
+    back_move = np.ascontiguousarray(model.move.T)
     for flat, _, starts, lengths in _blocks(column):
-        logs, steps = _forward(model, flat, starts, lengths, keep=True)
-        total += float(logs.sum())
-        back, seen, shares = np.ones((0, k), model.emit.dtype), [], []
-        for t in range(len(steps) - 1, -1, -1):
-            state, scale, emitted = steps[t]
-            if len(state) > len(back):  # sequences that end here
-                back = np.concatenate([back, np.ones((len(state) - len(back), k), back.dtype)])
-            seen.append(flat[starts[: len(state)] + t])
-            shares.append(state * back)
-            ahead = emitted * back / scale[:, None]
-            if t:
-                move += steps[t - 1][0][: len(state)].T @ ahead
-                back = ahead @ model.move.T
+        longest, before, marks, held = int(lengths[0]), None, [], None
+        for first in range(0, longest, segment):  # the last segment stays for the way back
+            steps = _Steps(flat, starts, lengths, first, min(first + segment, longest))
+            held = (steps, *steps.forward(model, before))
+            total += float(steps.logs(held[2], len(starts)).sum())
+            marks.append((first, before))
+            before = steps.last(held[1]).copy()
+        carried = np.ones((0, k), model.emit.dtype)  # what the next segment hands back to the last step
+        for first, before in reversed(marks):
+            if held is None:
+                steps = _Steps(flat, starts, lengths, first, first + segment)
+                held = (steps, *steps.forward(model, before))
+            steps, states, scales, emitted = held
+            held, upto = None, steps.upto.tolist()
+            ahead = emitted / scales[:, None]
+            back = np.ones_like(states)  # sequences end with ones
+            back[upto[-2] : upto[-2] + len(carried)] = carried
+            for i in range(len(upto) - 2, 0, -1):
+                a, b = upto[i], upto[i + 1]
+                ahead[a:b] *= back[a:b]
+                np.matmul(ahead[a:b], back_move, out=back[upto[i - 1] : upto[i - 1] + b - a])
+            n = upto[1]
+            ahead[:n] *= back[:n]
+            carried = ahead[:n] @ back_move
+            share = states * back
+            move += states[np.repeat(steps.upto[:-2], np.diff(steps.upto[1:])) + steps.row[n:]].T @ ahead[n:]
+            if before is None:
+                start += share[:n].sum(axis=0, dtype=np.float64)
             else:
-                start += shares[-1].sum(axis=0)
-        which, share = np.concatenate(seen), np.concatenate(shares)
-        order = np.argsort(which, kind="stable")
-        firsts = np.flatnonzero(np.diff(which[order], prepend=-1))
-        emit[which[order[firsts]]] += np.add.reduceat(share[order], firsts, axis=0, dtype=np.float64)
+                move += before[:n].T @ ahead[:n]
+            for i in range(k):  # summed in double precision
+                emit[:, i] += np.bincount(steps.codes, share[:, i], len(emit))
     return start, move * model.move, emit, total
 
 
@@ -218,7 +287,8 @@ def _first_model(sample: pa.ListArray, share: np.ndarray, states: int, settled:
 def train(rows: DataFrame, uni: Unigrams, states: int = STATES, settled: float = SETTLED) -> Model:
     """Baum-Welch over the coded training documents, round after round until the likelihood settles."""
     spark = rows.sparkSession
-    sample = rows.select("row", "classes").orderBy(F.xxhash64("row"), "row").limit(START_DOCS).toArrow()
+    # by content, so that neither files nor cores decide; rows alike in the mark differ in nothing that is learnt from
+    sample = rows.select("mark", "classes").orderBy(F.xxhash64("mark"), "mark", "classes").limit(START_DOCS).toArrow()
     column = sample.column("classes").combine_chunks()
     model = _first_model(column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.int16())), uni.share, states, settled)
     names = [f"s{i}" for i in range(states)]
@@ -227,6 +297,7 @@ def train(rows: DataFrame, uni: Unigrams, states: int = STATES, settled: float =
         held = spark.sparkContext.broadcast((model.start, model.move, model.emit))
 
         def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            lean()
             model, sums = Model(*[a.astype(np.float32) for a in held.value]), [0.0, 0.0, 0.0, 0.0]
             for batch in batches:
                 sums = [a + b for a, b in zip(sums, expected_counts(model, batch.column(0)), strict=True)]
@@ -256,13 +327,14 @@ def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast((model.start, model.move, model.emit, np.log10(np.maximum(uni.share, 1e-300))))
 
     def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         *model, share = held.value
         model = Model(*model)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             gain = np.zeros(batch.num_rows)
             for flat, part, starts, lengths in _blocks(column):
-                logs, _ = _forward(model, flat, starts, lengths, keep=False)
+                logs, _ = _forward(model, flat, starts, lengths)
                 upto = np.concatenate([[0], np.cumsum(share[flat])])
                 gain[part] = logs - (upto[starts + lengths] - upto[starts])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(gain)], names=[*batch.schema.names[:-1], "gain"])
