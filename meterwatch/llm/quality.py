@@ -1,7 +1,7 @@
 """Quality rules: counting rules, then a hashed n-gram log-likelihood ratio of trusted target against raw corpus.
 
 Words and word pairs are hashed into `BUCKETS` buckets. The raw multinomial counts every document; the target multinomial
-counts every trusted one (`labels.quality` = 1). A document's score is the mean over its n-grams of log(target / raw). It is kept
+counts `TRUSTED` trusted ones at most (`labels.quality` = 1). A document's score is the mean over its n-grams of log(target / raw). It is kept
 from a threshold on that comes from the labelled documents which pass the base rules: the middle between the score that `KEEP`
 of the trusted ones reach and the one that `KEEP` of the rejected ones do not pass, and never more than the former. The rule is
 the same for every document, no draw. Both multinomials are smoothed by one count a bucket and reach the scan as one array through a scalar subquery.
@@ -19,23 +19,26 @@ from pyspark.sql import functions as F
 from meterwatch.llm.common import WORD, let, stored
 
 BUCKETS = 1 << 14
+#: Trusted documents that define the target, at most.
+TRUSTED = 500_000
 #: Share of the trusted documents that must stay.
 KEEP = 0.995
 WORDS = f"regexp_extract_all(coalesce(text, ''), r'{WORD}', 0)"
 _FIRST, _PAIR = f"pmod(hash(ws[i]), {BUCKETS})", f"pmod(hash(ws[i], ws[i + 1]), {BUCKETS})"
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """The ids of documents labelled as good."""
-    return labels.where("quality = 1 AND doc_id IS NOT NULL").selectExpr("doc_id AS trusted_id").distinct()
+def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
+    """The ids of documents labelled as good, at most `bound` in the order of their hashes."""
+    ids = labels.where("quality = 1 AND doc_id IS NOT NULL").selectExpr("doc_id AS trusted_id").distinct()
+    return ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(bound)
 
 
 def gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """bucket, raw (all documents), target (trusted ones): at most BUCKETS rows.
 
-    Spark broadcasts the trusted ids within its own bound of bytes and otherwise joins by id.
+    The ids are broadcast, as a join by id would move all texts; their bound keeps them at a few MB.
     """
-    marked = docs.select("doc_id", "text").join(trusted_ids(labels), F.expr("doc_id = trusted_id"), "left")
+    marked = docs.select("doc_id", "text").join(F.broadcast(trusted_ids(labels)), F.expr("doc_id = trusted_id"), "left")
     grams = let(
         WORDS, "ws",
         f"if(size(ws) = 0, cast(array() AS array<int>), concat(transform(sequence(0, size(ws) - 1), i -> {_FIRST}), "
