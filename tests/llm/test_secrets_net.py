@@ -74,3 +74,33 @@ def test_secrets_without_a_keyword_are_added(spark):
     hits = sum(f"net:{texts[i].index(v)}:{texts[i].index(v) + len(v)}" in spans[i] for i, v in planted.items())
     assert hits >= 90
     assert sum("net" in spans[i] for i in range(300, 900)) <= 30
+
+
+def test_all_candidates_train_the_network(spark):
+    rows = [(i, f"token = {i:08d}Ab{i:08d} and internationalisierung{i:08d} here") for i in range(7000)]
+    rows.append((-1, "say " + "longword" * 100 + " once"))
+    found = secrets.labelled_candidates(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("label").agg({"value": "count", "h": "max"})
+    assert {r["label"]: r["count(value)"] for r in found.collect()} == {1: 7000, 0: 7001}
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZ23456789", k=20))
+    docs = spark.createDataFrame([(i, f"{key()[:9]} token = {key()} and {key()[:5].lower()}internationalisierungen here") for i in range(400)], "doc_id long, text string")
+    monkeypatch.setattr(secrets, "SHARD_ROWS", 100)
+    net, again = secrets.train(docs), secrets.train(docs.repartition(7))
+    assert net.threshold == again.threshold and (net.filters == again.filters).all()
+    texts = [f"{key()[:9]} token = {key()} and {key()[:5].lower()}internationalisierungen here" for _ in range(50)]
+    keys = net.probability([secrets.window(t, (18, 38)) for t in texts])
+    words = net.probability([secrets.window(t, (43, 71)) for t in texts])
+    assert (keys >= net.threshold).mean() > 0.9 and (words < net.threshold).all()
+
+
+def test_pooling_in_segments(monkeypatch):
+    rng = np.random.default_rng(6)
+    net = small_net(rng)
+    windows = [secrets.window("x" + "aB3-z" * n + "y", (1, 1 + 5 * n)) for n in (3, 90, 7, 41)]
+    best, where = net.pooled(windows)
+    monkeypatch.setattr(secrets, "SEGMENT", 50)
+    cut_best, cut_where = net.pooled(windows)
+    assert np.allclose(best, cut_best) and (where == cut_where).all()
