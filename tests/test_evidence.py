@@ -106,3 +106,23 @@ def test_all_white_space_is_stripped(spark):
     assert travel.where(evidence.short_haul_business(p)).count() == 1
     waste = spark.createDataFrame([("\t",), (" \n",), ("http://x",)], "disposal_cert_url string")
     assert waste.where(evidence.NO_CERTIFICATE).count() == 2
+
+
+def test_hashes_are_made_and_compared_once(spark, registry, tmp_path):
+    """Conditions do not repeat the hash of an invoice, and S09 compares no hashes but reads the stored findings of S02."""
+    from datetime import datetime
+
+    from meterwatch.plans import bindings
+
+    orders = [(i, 1, "F" if i % 2 else "P", 100.0 * i, datetime(1995, 1, 1 + i), "1-URGENT" if i < 14 else "2-HIGH") for i in range(28)]
+    for name, data in (("orders", orders), ("customer", [(1, "c", 3, 5.0, "BUILDING")]), ("nation", [(3, "n", 0)])):
+        spark.createDataFrame(data, bindings.COLUMNS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = bindings.TestTables(spark, str(tmp_path))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    found = evidence.hash_integrity(t.invoices)
+    assert plan(found).count("sha2(") - plan(found).count("|altered") == 1  # an altered text is hashed for a few alone
+    stored = spark.createDataFrame(found.collect(), found.schema)
+    resumed = evidence.billing_variance(t.invoices, t.registry, P, stored)
+    assert "altered" not in plan(resumed)
+    assert sorted(map(str, resumed.collect())) == sorted(map(str, evidence.billing_variance(t.invoices, t.registry, P).collect()))
+    assert found.count() == 3
