@@ -4,7 +4,8 @@ A batch of documents is reduced to its distinct words (matches of the split patt
 Spark's higher-order functions then fold the ranked merges over each word's byte array: a step merges the leftmost pair
 of lowest rank, looked up in a literal rank map. The documents' ids are a take over the words' ids; decoding concatenates
 the pieces of the ids. All of it is narrow: nothing shuffles, and a lost task repeats alone. A batch holds about
-`BATCH_BYTES` of text, and at least a document.
+`BATCH_BYTES` of text, and at least a document. Batches of a partition follow one another, so a batch folds only words that
+those before it lack; both workers start afresh when the words held exceed `HELD_BYTES`.
 
 The rank map is held as two arrays: rows of a table with one row for each left piece are laid over each other, so that
 `shift[left] + right` is the slot of a pair. A slot holds the left piece of its pair in its upper half and the merged one
@@ -34,11 +35,13 @@ from meterwatch.llm.common import lean, let
 
 BATCH_BYTES = 14 << 20
 FOLD_BYTES = 200
+#: Words, with their offsets, that are known from former batches of the partition.
+HELD_BYTES = 16 << 20
 #: Places in a word that goes through the fold; a power of two over FOLD_BYTES.
 PLACES = 256
 #: The left piece of a slot without a pair, and the rank of a pair without one.
 _NOBODY = 1 << 30
-#: A token within the fold is one number: rank of its pair with the next token, first byte (8 bits), id (20 bits).
+#: A token within the fold is one number: rank of its pair with the next token, place in the word (8 bits), id (20 bits).
 _ID = (1 << 20) - 1
 #: White space as Unicode has it; Java's \s has ASCII alone.
 _WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
@@ -135,16 +138,17 @@ def _rank(left: str, right: str) -> str:
 def _fold(word: str) -> str:
     """SQL: the ids of one word from its byte ids, by merging the leftmost pair of lowest rank again and again.
 
-    The least token is the leftmost one of lowest rank. It takes its pair's rank as id, its right neighbour goes, and only
-    its own rank and that of its left neighbour are looked up anew.
+    The least token is the leftmost one of lowest rank. It takes its pair's rank as id, its right neighbour goes, those behind
+    move up a place, and only its own rank and that of its left neighbour are looked up anew.
     """
     start = f"transform({word}, (a, i) -> {_rank('CAST(a AS BIGINT)', f'get({word}, i + 1)')} | shiftleft(CAST(i AS BIGINT), 20) | a)"
     new, before = "shiftright(best, 28)", "get(acc, at - 1)"
     merged = f"{_rank(new, f'(get(acc, at + 2) & {_ID}L)')} | (best & {(PLACES - 1) << 20}L) | {new}"
     neighbour = f"{_rank(f'({before} & {_ID}L)', new)} | ({before} & {(1 << 28) - 1}L)"
     joined = let(
-        "CAST(array_position(acc, best) AS INT) - 1", "at",
-        f"array_remove(transform(acc, (x, i) -> if(i > at + 1 OR i < at - 1, x, if(i = at, {merged}, if(i < at, {neighbour}, -1L)))), -1L)",
+        f"CAST(shiftright(best, 20) & {PLACES - 1} AS INT)", "at",
+        "transform(array_remove(acc, get(acc, at + 1)), "
+        f"(x, i) -> if(i > at, x - {1 << 20}L, if(i = at, {merged}, if(i = at - 1, {neighbour}, x))))",
     )
     step = let("array_min(acc)", "best", f"if(best < {_NOBODY << 28}L, {joined}, acc)")
     return f"transform(aggregate(sequence(2, size({word})), {start}, (acc, s) -> {step}), x -> CAST(x & {_ID}L AS INT))"
@@ -201,6 +205,7 @@ def encode(
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
+        held = pa.array([], pa.binary())
         for batch in rows:  # a batch of Spark may hold much more than BATCH_BYTES: cut it into even parts
             upto = batch.column("words").offsets.to_numpy()
             words = batch.column("words").values
@@ -210,11 +215,17 @@ def encode(
             cuts = [0, *[int(c) for c in cuts if 0 < c < batch.num_rows], batch.num_rows]
             for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
                 if stop > start:
-                    yield packed(batch.slice(start, stop - start))
+                    made, held = packed(batch.slice(start, stop - start), held)
+                    yield made
 
-    def packed(whole: pa.RecordBatch) -> pa.RecordBatch:
+    def packed(whole: pa.RecordBatch, held: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
+        """A batch as one row, with the words that are not held yet, and the words to hold from now on."""
         coded = whole.column("words").flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.binary())
+        known = pc.index_in(words, value_set=held)
+        new = known.is_null().to_numpy(zero_copy_only=False)
+        numbers = np.where(new, len(held) + np.cumsum(new) - 1, pc.fill_null(known, 0).to_numpy()).astype(np.int32)
+        places, words = numbers[coded.indices.to_numpy()], words.filter(pa.array(new))
         lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         listed = words.to_pylist()
         apart = (lengths > FOLD_BYTES) | np.array([w in of for w in listed], bool)  # very long, or a piece as it is: no fold
@@ -223,16 +234,17 @@ def encode(
         starts = np.concatenate([[0], np.cumsum(np.where(apart, 0, lengths))])
         byte_lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(byte_ids[joined], pa.int32()))
         merged = pa.array([[of[w]] if (w := listed[i]) in of else _heap_merge(w, of) for i in long.tolist()], pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays(
-            [*[_one(whole.column(k)) for k in kept], _one(pc.list_value_length(whole.column("words"))), _one(coded.indices),
-             _one(byte_lists), _one(pa.array(long, pa.int32())), _one(merged)],
-            names=[*kept, "counts", "places", "words", "long", "long_ids"],
+        made = pa.RecordBatch.from_arrays(
+            [*[_one(whole.column(k)) for k in kept], _one(pc.list_value_length(whole.column("words"))), _one(pa.array(places, pa.int32())),
+             _one(byte_lists), _one(pa.array(long, pa.int32())), _one(merged), _one(pa.array([len(held)], pa.int32()))],
+            names=[*kept, "counts", "places", "words", "long", "long_ids", "held"],
         )
+        return made, pa.concat_arrays([held, words]) if held.nbytes + words.nbytes <= HELD_BYTES else held[:0]
 
     ints = T.ArrayType(T.IntegerType())
     lists = [T.StructField(k, T.ArrayType(f.dataType)) for k, f in zip(kept, fields, strict=True)]
     shape = T.StructType([*lists, *[T.StructField(n, ints) for n in ("counts", "places")], T.StructField("words", T.ArrayType(ints)),
-                          T.StructField("long", ints), T.StructField("long_ids", T.ArrayType(ints))])
+                          T.StructField("long", ints), T.StructField("long_ids", T.ArrayType(ints)), T.StructField("held", ints)])
     fold = f"transform(words, w -> if(size(w) < 2, w, {_fold('w')}))"
     for name in ("slots", "shift"):
         fold = let(f"m.{name}", name, fold)
@@ -244,6 +256,7 @@ def encode(
 
     def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
+        held = None
         for batch in rows:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at].values for n in batch.schema.names}
@@ -252,6 +265,10 @@ def encode(
                     order = np.arange(len(words))
                     order[row["long"].to_numpy()] = len(words) + np.arange(len(row["long"]))
                     words = pa.concat_arrays([words, row["long_ids"].cast(words.type)]).take(pa.array(order))
+                before = row["held"][0].as_py()
+                if before != (len(held) if before else 0):
+                    raise RuntimeError("the batches of a partition came in another order")
+                words = held = pa.concat_arrays([held if before else words[:0], words])
                 sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
                 places, counts = row["places"].to_numpy(), row["counts"].to_numpy()
                 upto = np.concatenate([[0], np.cumsum(sizes[places], dtype=np.int64)])

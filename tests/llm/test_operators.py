@@ -82,6 +82,25 @@ def test_bpe_heap_is_the_same(pieces):
         assert bpe._heap_merge(word.encode(), of) == library.encode_ordinary(word)
 
 
+def test_bpe_folds_a_word_once_a_partition(spark, pieces, monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 1)
+    monkeypatch.setattr(bpe, "_fold", lambda word: f"transform({word}, x -> CAST(1e9 * rand() AS INT))")  # other ids with every fold
+    twice = spark.createDataFrame([(i, f" zqxjk zq{i}xjk") for i in range(6)], "doc_id long, text string").coalesce(1)
+    ids = [tuple(r["ids"][:6]) for r in rows(bpe.encode(twice, pieces, public_tokenizers.PATTERN))]
+    assert len(ids) == 6 and len(set(ids)) == 1
+
+
+@pytest.mark.parametrize("held", [0, 90, bpe.HELD_BYTES])
+def test_bpe_batches_of_a_partition(spark, pieces, monkeypatch, held):
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 40)
+    monkeypatch.setattr(bpe, "HELD_BYTES", held)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={p: i for i, p in enumerate(pieces)}, special_tokens={})
+    texts = [" zqxjk the wörd", None, "", " zqxjk", "x" * 300 + " zqxjk", " the yyqzz\n\n", "x" * 300, "", " yyqzz zqxjk wörd", "💩💩 the", " zqxjk 💩💩"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["ids"] for r in rows(bpe.encode(docs, pieces, public_tokenizers.PATTERN))}
+    assert got == {i: library.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("block", [3, 1000])
 def test_decontamination(spark, docs, block):
     bench = spark.createDataFrame(
